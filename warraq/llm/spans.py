@@ -120,7 +120,13 @@ def _shared_borders(texts: DataFrame, least: int) -> DataFrame:
     """
     long = texts.where(F.length("text") >= least)
     told = long.mapInPandas(_announce, "id bigint, symbol bigint, before bigint, pos int").repartition("symbol")
-    shared = told.groupBy("symbol").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("symbol")
+    # Asking for all columns keeps both sides of the join below on one exchange, so texts are parsed and symbols shuffled once.
+    shared = (
+        told.groupBy("symbol")
+        .agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.max("before").alias("b"), F.max("pos").alias("p"))
+        .where("lo < hi and coalesce(b, p) is not null")
+        .select("symbol")
+    )
     hot = cut(told.join(shared.hint("shuffle_hash"), "symbol").dropDuplicates(["id", "pos"]), "symbols")
     ids = hot.select("id").distinct()
     bounded = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
