@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from warraq.llm import spans
+from warraq.llm import encodings, lookalikes, spans, splitting
 from warraq.plans.materialize import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -33,3 +33,71 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
 def p6_shared_share(spark: SparkSession, d: str) -> DataFrame:
     """Of every paragraph, how much of its text occurs in others."""
     return spans.shared_share(_paragraphs(spark, d)).withColumnRenamed("id", "para_id")
+
+
+def _text_pieces(spark: SparkSession, d: str) -> DataFrame:
+    return splitting.split_texts(_paragraphs(spark, d))
+
+
+def _page_pieces(spark: SparkSession, d: str) -> DataFrame:
+    ranges = table(spark, d, "event_segments").select(F.col("seg_id").alias("id"), "source", "from_page", "to_page")
+    grades = splitting.page_grades(table(spark, d, "pages").select("source", "web_page", "para_idx", "text"))
+    return splitting.split_page_ranges(ranges, grades)
+
+
+@query
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    """Paragraphs of more than 1,500 code points and event segments of more than 8 pages: those cut into pieces."""
+    of = lambda item, pieces: pieces.where("piece_no = 1").select(F.lit(item).alias("item"), F.col("id").alias("item_id"))
+    return of("paragraph", _text_pieces(spark, d)).unionByName(of("event_segment", _page_pieces(spark, d)))
+
+
+ORACLE["p3_found"] = """
+SELECT DISTINCT 'paragraph' AS item, para_id AS item_id FROM pages WHERE length(text) > 1500
+UNION ALL SELECT DISTINCT 'event_segment', seg_id FROM event_segments WHERE to_page - from_page + 1 > 8
+"""
+
+
+@query
+def p3_text_pieces(spark: SparkSession, d: str) -> DataFrame:
+    """The pieces of the long paragraphs."""
+    return _text_pieces(spark, d).withColumnRenamed("id", "para_id")
+
+
+@query
+def p3_page_pieces(spark: SparkSession, d: str) -> DataFrame:
+    """The pieces of the long event segments."""
+    return _page_pieces(spark, d).withColumnRenamed("id", "seg_id")
+
+
+def _spelled(spark: SparkSession, d: str) -> DataFrame:
+    of = lambda tab, key, text: table(spark, d, tab).select(F.lit(tab).alias("tab"), F.col(key).cast("string").alias("row_key"), F.col(text).alias("text"))
+    return of("pages", "para_id", "text").unionByName(of("event_registry", "event_id", "name_ar")).unionByName(of("person_entries", "entry_id", "name_ar"))
+
+
+@query
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    """Rows whose text is stored with characters that look like the ordinary ones."""
+    return lookalikes.one_form(_spelled(spark, d)).select("tab", "row_key").distinct()
+
+
+@query
+def p4_one_form(spark: SparkSession, d: str) -> DataFrame:
+    """These rows with their text in the one consistent form."""
+    return lookalikes.one_form(_spelled(spark, d))
+
+
+def _documents(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "documents").select(F.col("doc_id").alias("id"), "source", "text")
+
+
+@query
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    """Documents with a stretch of text that was read in another encoding than it was written in."""
+    return encodings.garbled(_documents(spark, d)).select(F.col("id").alias("doc_id")).distinct()
+
+
+@query
+def p9_restored(spark: SparkSession, d: str) -> DataFrame:
+    """These documents with their text restored as far as it can be."""
+    return encodings.restore(_documents(spark, d)).withColumnRenamed("id", "doc_id")
