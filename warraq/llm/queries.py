@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from warraq.llm import encodings, lookalikes, spans, splitting
-from warraq.plans.materialize import table
+from warraq.llm import encodings, lookalikes, matching, mixing, packing, spans, splitting, tokens
+from warraq.plans.materialize import cut, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -101,3 +101,68 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
 def p9_restored(spark: SparkSession, d: str) -> DataFrame:
     """These documents with their text restored as far as it can be."""
     return encodings.restore(_documents(spark, d)).withColumnRenamed("id", "doc_id")
+
+
+@query
+def p7_containers(spark: SparkSession, d: str) -> DataFrame:
+    """The container of every document or piece, for every capacity."""
+    packed = packing.pack_all(tokens.with_sizes(_documents(spark, d)), table(spark, d, "pack_specs"))
+    return packed.withColumnRenamed("id", "doc_id")
+
+
+@query
+def p7_fill(spark: SparkSession, d: str) -> DataFrame:
+    """Containers, tokens and unused room of every capacity."""
+    per = p7_containers(spark, d).groupBy("spec_id", "capacity", "container_id").agg(F.sum("n_tokens").alias("used"))
+    return per.groupBy("spec_id", "capacity").agg(
+        F.count("*").alias("n_containers"), F.sum("used").alias("n_tokens"), F.max("used").alias("fullest"), (1 - F.sum("used") / (F.count("*") * F.col("capacity"))).alias("unused_share")
+    )
+
+
+def _mix(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    sizes = cut(tokens.with_sizes(_documents(spark, d)), "sizes")
+    rate = cut(mixing.rates(sizes, table(spark, d, "mix_targets")), "rates")
+    return mixing.mix(sizes, rate), rate
+
+
+@query
+def p8_mixture(spark: SparkSession, d: str) -> DataFrame:
+    """The chosen documents, one row a copy."""
+    return _mix(spark, d)[0].withColumnRenamed("id", "doc_id")
+
+
+@query
+def p8_shares(spark: SparkSession, d: str) -> DataFrame:
+    """Target and actual share of every listed source."""
+    return mixing.shares(*_mix(spark, d))
+
+
+def _entries(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "person_entries").withColumn("canonical", F.coalesce(F.col("link_status") == "canonical", F.lit(False)))
+
+
+def _resolved(spark: SparkSession, d: str) -> DataFrame:
+    return matching.resolve(_entries(spark, d).where("not canonical"), table(spark, d, "persons"))
+
+
+@query
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    """The person of every entry whose stored ishabah_id is null, where there is one."""
+    open_ = _entries(spark, d).where("ishabah_id is null").select("entry_id").distinct()
+    return _resolved(spark, d).join(open_, "entry_id").select("ishabah_id", "entry_id")
+
+
+@query
+def p2_links(spark: SparkSession, d: str) -> DataFrame:
+    """The person of every entry of the later dictionaries, with marginal probability and confidence."""
+    return _resolved(spark, d)
+
+
+@query
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    """Pairs of entries about the same person whose names as stored aren't identical."""
+    entries = _entries(spark, d)
+    name = cut(entries.select("entry_id", "name_ar").dropDuplicates(["entry_id"]), "names")
+    of = lambda x: name.select(F.col("entry_id").alias(f"entry_id_{x}"), F.col("name_ar").alias(x))
+    pairs = matching.same_person(entries).join(of("a"), "entry_id_a").join(of("b"), "entry_id_b")
+    return pairs.where("not a <=> b").select("entry_id_a", "entry_id_b")
