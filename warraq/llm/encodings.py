@@ -150,9 +150,15 @@ _C1 = re.compile("[\u0080-\u0084\u0086-\u009f]")
 _UPPER = re.compile("[À-ÖØ-öø-ÿ]")
 
 
+#: A text is looked at token by token only if it has a character beyond its scripts' letters, figures and punctuation, or two scripts
+#: in one token. Read by Python and by Spark alike.
+USUAL = " -~\n\r\tء-ي\u064b-\u0652ـ،؛؟«»‘’“”–—…٠-٩ĀāĪīŪūḌḍḤḥṢṣṬṭʿʾ\ufdfa"
+PECULIAR = f"[^{USUAL}]|[A-Za-z][ء-ي]|[ء-ي][A-Za-z]"
+
+
 @_once
 def _quick() -> re.Pattern:
-    return re.compile("|".join([*(_sequence(CHAINS[k][3]).pattern.rstrip("+") for k in _MULTI), "[�\u0080-\u0084\u0086-\u009fÀ-ÖØ-öø-ÿ]"]))
+    return re.compile(PECULIAR)
 
 
 _ORDINARY = re.compile("[^ -~ء-ي\u064b-\u0652،؛؟«»‘’“”–—…٠-٩]")
@@ -203,22 +209,27 @@ def stretches(text: str) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
+def _unclean(token: str) -> bool:
+    """Whether a suspect token stays out of the model of clean text. Lone letters of Latin-1 (sigla) and Cyrillic words are in it."""
+    return LOST in token or bool(_C1.search(token)) or _sequences(token) or len(_UPPER.findall(token)) > 1
+
+
 def _count_pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    total: dict[int, int] = {}
+    total = np.zeros(SIZE * SIZE, dtype=np.int64)
     for b in batches:
         clean = []
         for t in b["text"]:
             if _quick().search(t):
                 for a, z in reversed(stretches(t)):
-                    # Lone letters of Latin-1 are as often somebody's siglum: they stay in the model of clean text.
-                    if any(len(re.findall(r"[^\W\d_]", w)) > 1 or _sequences(w) or LOST in w for w in t[a:z].split()):
+                    if any(map(_unclean, t[a:z].split())):
                         t = t[:a] + " " + t[z:]
             clean.append(t)
         codes = _codes(" \n" + "\n".join(clean) + " ")
-        pairs, n = np.unique(codes[:-1].astype(np.int64) * SIZE + codes[1:], return_counts=True)
-        for p, c in zip(pairs.tolist(), n.tolist()):
-            total[p] = total.get(p, 0) + c
-    yield pd.DataFrame({"pair": list(total.keys()), "n": list(total.values())}, dtype="int64")
+        for k in range(0, len(codes) - 1, 1 << 21):
+            part = codes[k : k + (1 << 21) + 1].astype(np.int64)
+            total += np.bincount(part[:-1] * SIZE + part[1:], minlength=SIZE * SIZE)
+    at = np.flatnonzero(total)
+    yield pd.DataFrame({"pair": at, "n": total[at]})
 
 
 def clean_model(texts: DataFrame) -> dict[str, np.ndarray]:
@@ -254,7 +265,7 @@ def _weigh(counts):
         for b in batches:
             out = []
             for doc, pool, text in zip(b["id"], b["pool"], b["text"]):
-                for start, end in stretches(text) if _quick().search(text) or re.search("[Ѐ-џ]", text) else ():
+                for start, end in stretches(text) if _quick().search(text) else ():
                     raw = text[start:end]
                     beside = _beside(text, start, end)
                     base = model(raw) + _switches(raw, beside)
@@ -295,8 +306,8 @@ def judged_stretches(texts: DataFrame, field: str = "text") -> DataFrame:
     spark = texts.sparkSession
     rows = texts.select("id", F.concat_ws("\x1f", F.coalesce("source", F.lit("\x00")), F.lit(field)).alias("pool"), "text").where("id is not null and text is not null")
     counts = spark.sparkContext.broadcast(clean_model(rows))
-    # Texts of ordinary letters and punctuation only never reach Python.
-    odd = rows.where(F.col("text").rlike("[\u0080-ª¬-º¼-ÿŒ-ƒˆ˜Ѐ-ґ†-‰›€№™�ٹپچڈڑژکگںھہے─-◿]"))
+    # Texts of usual characters only never reach Python here.
+    odd = rows.where(F.col("text").rlike(PECULIAR))
     fits = cut(odd.mapInPandas(_weigh(counts), "id bigint, pool string, start int, end int, fit array<double>, back array<string>"), "fits").dropDuplicates(["id", "start"])
     fits = cut(fits, "stretches")
     start = [0.7] + [0.3 / (K - 1)] * (K - 1)
