@@ -1,0 +1,119 @@
+"""Full-text search over an inverted index: phrases, boolean queries, relevance, snippets.
+
+index(): id, term, pos, one row per token. Queries come as a table, so that any number of them is one job.
+"""
+
+from __future__ import annotations
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
+from pyspark.sql import functions as F
+
+from warraq.functions import normalise as N
+
+# Parameters of the ranking, window of a snippet.
+K1, B = 1.2, 0.75
+BEFORE, AFTER, SNAP = 100, 240, 40
+
+
+def index(docs: DataFrame, key: Column, text: Column) -> DataFrame:
+    """Id, pos (from 0), term of normalised texts. Null texts have no terms."""
+    return docs.select(key.alias("id"), F.posexplode(N.tokens(N.search_key(text))).alias("pos", "term"))
+
+
+def query_terms(queries: DataFrame) -> DataFrame:
+    """qid, k (place in the query), term; n (terms), of queries (qid, query). Queries without a token have no row."""
+    t = N.tokens(N.search_key(F.col("query")))
+    return queries.select("qid", F.size(t).alias("n"), F.posexplode(t).alias("k", "term"))
+
+
+def phrase_hits(postings: DataFrame, terms: DataFrame) -> DataFrame:
+    """qid, id, tf, where all terms stand side by side in order; tf: how often."""
+    at = postings.join(F.broadcast(terms), "term").select("qid", "id", "n", "k", (F.col("pos") - F.col("k")).alias("start"))
+    whole = at.groupBy("qid", "id", "start", "n").agg(F.count("*").alias("c")).where("c = n")
+    return whole.groupBy("qid", "id").agg(F.count("*").alias("tf"))
+
+
+def boolean_hits(postings: DataFrame, terms: DataFrame, every: bool) -> DataFrame:
+    """qid, id of texts with all (or any) distinct terms; n_terms found."""
+    want = terms.select("qid", "term").distinct()
+    need = want.groupBy("qid").agg(F.count("*").alias("need"))
+    got = postings.select("id", "term").join(F.broadcast(want), "term").groupBy("qid", "id").agg(F.count_distinct("term").alias("n_terms"))
+    got = got.join(F.broadcast(need), "qid")
+    return (got.where("n_terms = need") if every else got).drop("need")
+
+
+def ladder(postings: DataFrame, terms: DataFrame) -> DataFrame:
+    """the phrase's hits; where a query has none, the texts with all terms. qid, id, match_mode."""
+    exact = phrase_hits(postings, terms).select("qid", "id", F.lit("phrase").alias("match_mode"))
+    all_ = boolean_hits(postings, terms, every=True).select("qid", "id", F.lit("all").alias("match_mode"))
+    return exact.unionByName(all_.join(exact.select("qid").distinct(), "qid", "left_anti"))
+
+
+def ranked(postings: DataFrame, terms: DataFrame, k: int) -> DataFrame:
+    """The k best texts per query by Okapi BM25 over its distinct terms; equal scores by id. qid, id, score, rank."""
+    lengths = postings.groupBy("id").agg(F.count("*").alias("len"))
+    stats = lengths.agg(F.count("*").alias("docs"), F.avg("len").alias("avg_len"))
+    want = terms.select("qid", "term").distinct()
+    tf = postings.join(F.broadcast(want.select("term").distinct()), "term").groupBy("id", "term").agg(F.count("*").alias("tf"))
+    df = tf.groupBy("term").agg(F.count("*").alias("df"))
+    idf = F.log((F.col("docs") - F.col("df") + 0.5) / (F.col("df") + 0.5))
+    weight = F.when(idf > 0, idf).otherwise(1e-6) * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("len") / F.col("avg_len")))
+    scored = tf.join(df, "term").join(lengths, "id").crossJoin(F.broadcast(stats)).join(F.broadcast(want), "term").groupBy("qid", "id").agg(F.round(F.sum(weight), 6).alias("score"))
+    rank = F.row_number().over(W.partitionBy("qid").orderBy(F.desc("score"), "id"))
+    return scored.withColumn("rank", rank).where(F.col("rank") <= k)
+
+
+_DROP = "[ً-ْٰـۖ-ۭ]"
+_SAME = str.maketrans("أإآٱىة", "اااايه")
+
+
+@F.pandas_udf("string")
+def snippet(text: pd.Series, query: pd.Series) -> pd.Series:
+    """the stretch of the stored text around the phrase, else around the first token found, else the text's start; cut at blanks, with dots."""
+    import re
+
+    def one(t, q):
+        if t is None:
+            return None
+        kept = [(i, c) for i, c in enumerate(t.translate(_SAME)) if not re.match(_DROP, c)]
+        plain = "".join(c for _, c in kept)
+        words = re.findall(r"\w+", re.sub(_DROP, "", (q or "").translate(_SAME)))
+        m = (words and re.search(r"\W+".join(map(re.escape, words)), plain)) or next((x for w in words if (x := re.search(re.escape(w), plain))), None)
+        at = kept[m.start()][0] if m else 0
+        start, end = max(0, at - BEFORE), min(len(t), at + AFTER)
+        if start > 0 and (b := t.find(" ", start, start + SNAP)) >= 0:
+            start = b + 1
+        if end < len(t) and (b := t.rfind(" ", end - SNAP, end)) >= 0:
+            end = b
+        return ("…" if start else "") + t[start:end] + ("…" if end < len(t) else "")
+
+    return pd.Series([one(t, q) for t, q in zip(text, query)], dtype=object)
+
+
+def title_hits(titles: DataFrame, keys: list[str], title: Column, queries: DataFrame, k: int = 20) -> DataFrame:
+    """Titles in which every token of the query is a substring, in order of first appearance (column ord), at most k per query.
+
+    titles: keys, ord. The queries are few and broadcast.
+    """
+    per = titles.select(*keys, "ord", N.search_key(title).alias("_hay")).groupBy(*keys, "_hay").agg(F.min("ord").alias("first_ord"), F.count("*").alias("n_rows"))
+    q = queries.select("qid", N.tokens(N.search_key(F.col("query"))).alias("_t")).where(F.size("_t") > 0)
+    hits = per.join(F.broadcast(q), F.forall(q["_t"], lambda t: per["_hay"].contains(t)))
+    rank = F.row_number().over(W.partitionBy("qid").orderBy("first_ord", *keys))
+    return hits.select("qid", *keys, "first_ord", "n_rows", rank.alias("rank")).where(F.col("rank") <= k)
+
+
+def tier(key: Column, query: Column) -> Column:
+    """100 equal, 60 as whole words, 40 a word begins with it (queries of one word), 10 contained, 0 not; keys and queries normalised."""
+    whole = F.concat(F.lit(" "), key, F.lit(" "))
+    one_word = ~query.contains(" ")
+    return (
+        F.when((query == "") | key.isNull(), 0).when(key == query, 100).when(whole.contains(F.concat(F.lit(" "), query, F.lit(" "))), 60)
+        .when(one_word & whole.contains(F.concat(F.lit(" "), query)), 40).when(key.contains(query), 10).otherwise(0)
+    )
+
+
+def tier_label(score: Column) -> Column:
+    """F14."""
+    return F.when(score >= 100, "exact").when(score >= 60, "word").otherwise("partial")
