@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from warraq.functions import normalise as N
 
@@ -69,7 +70,7 @@ _DROP = "[ً-ْٰـۖ-ۭ]"
 _SAME = str.maketrans("أإآٱىة", "اااايه")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def snippet(text: pd.Series, query: pd.Series) -> pd.Series:
     """the stretch of the stored text around the phrase, else around the first token found, else the text's start; cut at blanks, with dots."""
     import re
