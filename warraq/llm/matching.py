@@ -46,6 +46,12 @@ def propagate(pairs: DataFrame, second: float = SECOND, rounds: int = ROUNDS, da
     return state.join(by_entry, "entry").select("entry", "person", "source", (F.col("w") * F.col("nu") / (1 + F.col("all"))).alias("marginal"))
 
 
+def _once(df: DataFrame, key: str) -> DataFrame:
+    """One row per key, the least by all columns: whichever task it is read in."""
+    rest = [c for c in df.columns if c != key]
+    return df.groupBy(key).agg(F.min(F.struct(*rest)).alias("r")).select(key, "r.*")
+
+
 def _records(entries: DataFrame, persons: DataFrame) -> DataFrame:
     e = entries.select(F.col("entry_id").alias("rid"), F.lit(1).alias("side"), "name_ar", "name_norm", "kunya", "town", "death_h").where("rid is not null")
     # Persons stand beside entries under negative numbers.
@@ -59,10 +65,10 @@ def resolve(entries: DataFrame, persons: DataFrame) -> DataFrame:
     entries: entry_id bigint, source, name_ar, name_norm, kunya, town string, death_h int; persons: ishabah_id int and the same fields.
     All fields but the ids may be null; repeated ids count once. Equal marginals go to the smaller ishabah_id.
     """
-    people = cut(names.profiles(_records(entries, persons).dropDuplicates(["rid"])), "profiles")
+    people = cut(names.profiles(_once(_records(entries, persons), "rid")), "profiles")
     met = names.meetings(people).where("a < 0 and b >= 0")
     scores = names.scored(cut(names.graded(met, people), "grades"))
-    source = entries.select(F.col("entry_id").alias("b"), "source").dropDuplicates(["b"])
+    source = entries.groupBy(F.col("entry_id").alias("b")).agg(F.min("source").alias("source"))
     pairs = scores.join(source, "b").select(F.col("b").alias("entry"), (-F.col("a") - 1).alias("person"), "source", "score")
     found = propagate(pairs)
     best = found.groupBy("entry").agg(F.max_by(F.struct("person", "marginal"), F.struct("marginal", -F.col("person"))).alias("m"))
@@ -77,7 +83,7 @@ def same_person(entries: DataFrame, least: float = 0.5) -> DataFrame:
     entries: entry_id, name_ar, name_norm, kunya, town, death_h. Two entries that are each linked with an entry of the canonical
     dictionary (canonical boolean) belong together too. Equal records are compared once and paired with all partners of their like.
     """
-    rows = entries.where("entry_id is not null").dropDuplicates(["entry_id"])
+    rows = _once(entries.select("entry_id", "canonical", "name_ar", "name_norm", "kunya", "town", "death_h").where("entry_id is not null"), "entry_id")
     people = cut(names.profiles(rows.select(F.col("entry_id").alias("rid"), F.when(F.col("canonical"), 0).otherwise(1).alias("side"), "name_ar", "name_norm", "kunya", "town", "death_h")), "profiles")
     fields = [c for c in people.columns if c != "rid"]
     # Equal in all parts and attributes: one record, for the comparisons.

@@ -18,6 +18,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BooleanType, StringType, StructField, StructType
 
 from warraq.llm.lookalikes import ARABIC_LIKE, plain
 from warraq.plans.materialize import cut
@@ -27,6 +28,8 @@ RADIUS = 1
 PIVOTS = 1024
 #: Longer parts are compared whole, but join only when equal.
 LONGEST = 40
+#: Words that go through the distance recurrence together.
+BLOCK = 32
 
 # Words inside names.
 CONNECTORS = {"بن", "ابن", "بنت", "ب", "ابنه", "نب", "بنن", "ابنت", "اين", "بت", "ين"}
@@ -38,7 +41,7 @@ SERVANT = {"عبد", "عبذ", "عيد", "غبد", "عبدد", "عببد", "عد
 
 _DROP = re.compile("[ؐ-ًؚ-ٰٟـﷰ-﷿]")
 _SAME = str.maketrans({**ARABIC_LIKE, "أ": "ا", "إ": "ا", "آ": "ا", "ٱ": "ا", "ى": "ي", "ة": "ه", "ؤ": "و", "ئ": "ي", "گ": "ك"})
-PARTS = "own string, chain array<string>, nisba string, kunya string, laqab string, sex string"
+PARTS = StructType([StructField("chain", ArrayType(StringType())) if c == "chain" else StructField(c, StringType()) for c in ("own", "chain", "nisba", "kunya", "laqab", "sex")])
 
 
 def simple(text: str) -> str:
@@ -121,7 +124,7 @@ def parts(name: pd.Series, norm: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["own", "chain", "nisba", "kunya", "laqab", "sex"])
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def kunya_of(text: pd.Series) -> pd.Series:
     """The kunya of a column that holds nothing else."""
 
@@ -132,34 +135,48 @@ def kunya_of(text: pd.Series) -> pd.Series:
     return pd.Series([one(t) for t in text], dtype=object)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def place(text: pd.Series) -> pd.Series:
     return pd.Series([simple(t) or None if isinstance(t, str) else None for t in text], dtype=object)
 
 
-def distances(a: str, many: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """Damerau-Levenshtein distances (unrestricted, hence a metric) of a to many words: rows of code points, padded with 0."""
-    n, width = many.shape
-    big = len(a) + width + 2
-    d = np.full((len(a) + 2, width + 2, n), big, dtype=np.int32)
-    d[1, 1:] = np.arange(width + 1)[:, None]
-    d[1:, 1] = np.arange(len(a) + 1)[:, None]
-    rows = np.arange(n)
-    table = np.zeros(0x800, dtype=np.int32)  # last row of each code point below U+0800; others never count as swapped
-    for i in range(1, len(a) + 1):
-        c = ord(a[i - 1])
-        column = np.zeros(n, dtype=np.int32)
+def distances(words: np.ndarray, many: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Damerau-Levenshtein distances (unrestricted, hence a metric) of words of one length to many words of these lengths.
+
+    Words are rows of code points, those of many padded with 0. All pairs go through the recurrence side by side, in bytes: words
+    are shorter than 100 letters.
+    """
+    (n, length), (m, width) = words.shape, many.shape
+    big = length + width + 2
+    d = np.full((length + 2, width + 2, n, m), big, dtype=np.uint8)
+    d[1, 1:] = np.arange(width + 1, dtype=np.uint8)[:, None, None]
+    d[1:, 1] = np.arange(length + 1, dtype=np.uint8)[:, None, None]
+    # Of each column of many: the last row before this one in which the word has its letter.
+    row_of = np.zeros((width + 1, n, m), dtype=np.uint8)
+    for i in range(1, length + 1):
+        letter = words[:, i - 1][:, None]
+        column = np.zeros((n, m), dtype=np.uint8)
         for j in range(1, width + 1):
-            b = many[:, j - 1]
-            k = np.where(b < 0x800, table[b & 0x7FF], 0)
-            same = b == c
-            best = np.minimum(np.minimum(d[i, j] + (~same).astype(np.int32), d[i + 1, j] + 1), d[i, j + 1] + 1)
-            swap = d[k, column, rows] + (i - k - 1) + 1 + (j - column - 1)
-            d[i + 1, j + 1] = np.minimum(best, np.where((k > 0) & (column > 0), swap, big))
-            column = np.where(same, j, column)
-        if c < 0x800:
-            table[c] = i
-    return d[len(a) + 1, lengths + 1, rows]
+            same = letter == many[:, j - 1][None, :]
+            best = np.minimum(np.minimum(d[i + 1, j], d[i, j + 1]) + np.uint8(1), d[i, j] + (~same).view(np.uint8))
+            x, y = np.nonzero((row_of[j] > 0) & (column > 0))
+            if len(x):
+                k, l = row_of[j][x, y].astype(np.intp), column[x, y].astype(np.intp)
+                swap = d[k, l, x, y] + (i - k - 1) + 1 + (j - l - 1)
+                best[x, y] = np.minimum(best[x, y], swap)
+            d[i + 1, j + 1] = best
+            column[same] = j
+            row_of[j][same] = i
+    return d[length + 1, lengths + 1, :, np.arange(m)].T
+
+
+def close(x: str, y: str) -> bool:
+    """Whether two words are at a distance of at most 1."""
+    while x and y and x[0] == y[0]:
+        x, y = x[1:], y[1:]
+    while x and y and x[-1] == y[-1]:
+        x, y = x[:-1], y[:-1]
+    return max(len(x), len(y)) <= 1 or (len(x) == len(y) == 2 and x == y[::-1])
 
 
 def _matrix(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -170,9 +187,9 @@ def _matrix(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return out, lengths
 
 
-@F.pandas_udf("boolean")
+@F.pandas_udf(BooleanType())
 def _within(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([int(distances(x, *_matrix([y]))[0]) <= RADIUS for x, y in zip(a, b)], dtype=bool)
+    return pd.Series([close(x, y) for x, y in zip(a, b)], dtype=bool)
 
 
 def near_parts(words: DataFrame, pivots: int = PIVOTS) -> DataFrame:
@@ -192,19 +209,21 @@ def near_parts(words: DataFrame, pivots: int = PIVOTS) -> DataFrame:
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             out = []
-            for w in b["word"]:
-                d = distances(w, matrix, lengths)
-                home = int(d.argmin())
-                near = np.flatnonzero(d <= d[home] + 2 * RADIUS)
-                out += [(w, int(p), int(d[p]), p == home) for p in near]
+            for _, same_length in b.groupby(b["word"].str.len())["word"]:
+                for at in range(0, len(same_length), BLOCK):
+                    block = same_length.iloc[at : at + BLOCK].tolist()
+                    all_ = distances(_matrix(block)[0], matrix, lengths)
+                    for w, d in zip(block, all_):
+                        home = int(d.argmin())
+                        out += [(w, int(p), int(d[p]), p == home) for p in np.flatnonzero(d <= d[home] + 2 * RADIUS)]
             yield pd.DataFrame(out, columns=["word", "cell", "d", "home"])
 
     seats = cut(short.repartition(4 * short.sparkSession.sparkContext.defaultParallelism, "word").mapInPandas(assign, "word string, cell int, d int, home boolean"), "seats")
     home = seats.where("home").select("cell", F.col("word").alias("x"), F.col("d").alias("dx"))
     radius = home.groupBy("cell").agg(F.max("dx").alias("radius"))
     guests = seats.select("cell", F.col("word").alias("y"), F.col("d").alias("dy")).join(F.broadcast(radius), "cell").where(f"dy <= radius + {RADIUS}")
-    close = home.join(guests, "cell").where(f"abs(dx - dy) <= {RADIUS} and abs(length(x) - length(y)) <= {RADIUS} and x <> y and levenshtein(x, y, {2 * RADIUS}) >= 0")
-    pairs = close.select("x", "y").distinct().where(_within("x", "y"))
+    met = home.join(guests, "cell").where(f"abs(dx - dy) <= {RADIUS} and abs(length(x) - length(y)) <= {RADIUS} and x <> y and levenshtein(x, y, {2 * RADIUS}) >= 0")
+    pairs = met.select("x", "y").distinct().where(_within("x", "y"))
     return pairs.unionByName(words.select(F.col("word").alias("x"), F.col("word").alias("y")))
 
 
