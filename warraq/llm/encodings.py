@@ -17,6 +17,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from warraq.plans.materialize import cut
 
@@ -341,7 +342,7 @@ def garbled(texts: DataFrame) -> DataFrame:
     return best.withColumn("k", k.cast("int")).select("id", "start", "end", F.get(names, F.col("k")).alias("chain"), (1 - F.col("clean")).alias("confidence"), F.get("back", F.col("k")).alias("restored"))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _mended(text: pd.Series, edits: pd.Series) -> pd.Series:
     out = []
     for t, es in zip(text, edits):
@@ -359,5 +360,5 @@ def restore(texts: DataFrame) -> DataFrame:
         F.count("*").alias("n_stretches"),
         F.collect_list(F.when(F.col("restored").isNotNull(), F.struct("start", "end", "restored"))).alias("edits"),
     )
-    own = texts.select("id", "text").where("text is not null").join(found, "id").dropDuplicates(["id"])
+    own = texts.select("id", "text").where("text is not null").join(found, "id").groupBy("id").agg(F.min("text").alias("text"), *(F.first(c).alias(c) for c in found.columns if c != "id"))
     return own.select("id", "chains", "confidence", "n_stretches", "text", _mended("text", "edits").alias("restored_text"))

@@ -16,6 +16,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from warraq.plans.materialize import cut
 
@@ -168,7 +169,7 @@ def _first(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"tab": b["tab"], "row_key": b["row_key"], "text": b["text"], "base": done, "wanted": [sorted({w for *_, w in candidates(t)}) for t in done]})
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _second(base: pd.Series, known: pd.Series) -> pd.Series:
     def one(text: str, words) -> str:
         have = set(words) if words is not None else set()
@@ -189,9 +190,10 @@ def vocabulary(texts: DataFrame) -> DataFrame:
 def one_form(texts: DataFrame) -> DataFrame:
     """tab, row_key, text, repaired of every row whose text changes; all other texts already are in the one form.
 
-    texts: tab, row_key, text. Null and empty texts don't change. A repeated row counts once. Applied to its own result nothing changes.
+    texts: tab, row_key, text. Null and empty texts don't change. A row without tab or row_key doesn't come; a
+    repeated row counts once. Applied to its own result nothing changes.
     """
-    texts = texts.select("tab", "row_key", "text").where("text is not null")
+    texts = texts.select("tab", "row_key", "text").where("text is not null and tab is not null and row_key is not null")
     odd = texts.where(F.col("text").rlike(ODD)).dropDuplicates()
     first = cut(odd.mapInPandas(_first, "tab string, row_key string, text string, base string, wanted array<string>"), "first")
     wanted = first.select(F.explode("wanted").alias("word")).distinct()

@@ -34,7 +34,7 @@ def mix(sizes: DataFrame, rate: DataFrame, seed: int = 42) -> DataFrame:
     # 53 bits of the hash, as a number in [0, 1).
     chance = F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col("id")), 11) / float(1 << 53)
     copies = F.floor("rate") + F.when(chance < F.col("rate") - F.floor("rate"), 1).otherwise(0)
-    taken = sizes.join(rate.where("rate > 0").select("source", "rate"), "source").withColumn("copies", copies.cast("int")).where("copies > 0")
+    taken = sizes.select("id", "source", "n_tokens").where("id is not null").join(rate.where("rate > 0").select("source", "rate"), "source").withColumn("copies", copies.cast("int")).where("copies > 0")
     return taken.select("id", "source", "n_tokens", F.explode(F.expr("sequence(1, copies)")).alias("copy_no"))
 
 

@@ -162,7 +162,7 @@ def p2_links(spark: SparkSession, d: str) -> DataFrame:
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
     """Pairs of entries about the same person whose names as stored aren't identical."""
     entries = _entries(spark, d)
-    name = cut(entries.select("entry_id", "name_ar").dropDuplicates(["entry_id"]), "names")
+    name = cut(entries.groupBy("entry_id").agg(F.min("name_ar").alias("name_ar")), "names")
     of = lambda x: name.select(F.col("entry_id").alias(f"entry_id_{x}"), F.col("name_ar").alias(x))
     pairs = matching.same_person(entries).join(of("a"), "entry_id_a").join(of("b"), "entry_id_b")
     return pairs.where("not a <=> b").select("entry_id_a", "entry_id_b")

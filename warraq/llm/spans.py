@@ -18,7 +18,9 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from warraq.plans.materialize import cut
 
@@ -130,7 +132,7 @@ def _shared_borders(texts: DataFrame, least: int) -> DataFrame:
     hot = cut(told.join(shared.hint("shuffle_hash"), "symbol").dropDuplicates(["id", "pos"]), "symbols")
     ids = hot.select("id").distinct()
     bounded = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
-    owners = long.join(F.broadcast(ids) if bounded else ids, "id", "left_semi").dropDuplicates(["id"])
+    owners = long.join(F.broadcast(ids) if bounded else ids, "id", "left_semi").groupBy("id").agg(F.min("text").alias("text"))
     hashes = [F.xxhash64("text").alias("h1"), F.xxhash64(F.lit(1), F.reverse("text")).alias("h2"), F.length("text").alias("n")]
     owners = cut(owners.select("id", "text", *hashes), "texts")
     classes = owners.groupBy("h1", "h2", "n").agg(F.min("id").alias("copy_of"))
@@ -144,7 +146,7 @@ def _shared_borders(texts: DataFrame, least: int) -> DataFrame:
     return cut(spots.unionByName(owners.where("id <> copy_of").select("id", "copy_of", *none)), "borders")
 
 
-@F.pandas_udf("struct<left int, right int>")
+@F.pandas_udf(StructType([StructField("left", IntegerType()), StructField("right", IntegerType())]))
 def _common(left_a: pd.Series, right_a: pd.Series, left_b: pd.Series, right_b: pd.Series) -> pd.DataFrame:
     """Code points in common before and after two borders."""
 
@@ -206,8 +208,6 @@ def shared_share(texts: DataFrame, least: int = LEAST) -> DataFrame:
     spots = _shared_borders(rows.where("text is not null"), least)
     met = _meetings(spots, every=True).withColumn("c", _common("left_a", "right_a", "left_b", "right_b")).where(f"c.left + c.right >= {least}")
     side = lambda x: met.select(F.col(f"id_{x}").alias("copy_of"), (F.col(f"pos_{x}") - F.col("c.left")).alias("f"), (F.col(f"pos_{x}") + F.col("c.right")).alias("t"))
-    from pyspark.sql import Window as W
-
     order = W.partitionBy("copy_of").orderBy("f", "t")
     covered = (
         side("a").unionByName(side("b")).distinct()

@@ -103,7 +103,7 @@ def split_texts(texts: DataFrame, limit: int = 1500, overlap: int = 100, grid: i
     texts: id bigint, text. A null or short text, the empty one included, and a null id give no row; a repeated id counts once. Where a text has no white
     space it is cut hard.
     """
-    long = texts.select(F.col("id").alias("item_key"), "text").where(F.length("text") > limit).where("item_key is not null").dropDuplicates(["item_key"])
+    long = texts.select(F.col("id").alias("item_key"), "text").where(F.length("text") > limit).where("item_key is not null").groupBy("item_key").agg(F.min("text").alias("text"))
     long = cut(long, "long")
     pieces = cut_pieces(text_boundaries(long, grid), limit, overlap)
     piece = F.expr("substring(text, int(start) + 1, int(end - start))")
@@ -117,7 +117,7 @@ def split_page_ranges(ranges: DataFrame, page_grades: DataFrame, limit: int = 8,
     grade have 0. A null bound or a reversed or short range gives no row, a repeated id counts once.
     """
     n = F.col("to_page").cast("bigint") - F.col("from_page") + 1
-    long = ranges.select("id", "source", "from_page", "to_page").where(n > limit).where("id is not null").dropDuplicates(["id"])
+    long = ranges.select("id", "source", "from_page", "to_page").where(n > limit).where("id is not null").groupBy("id").agg(F.min(F.struct("source", "from_page", "to_page")).alias("r")).select("id", "r.*")
     long = long.select(F.col("id").alias("item_key"), "source", F.col("from_page").cast("bigint").alias("from_page"), n.alias("length"))
     at = long.select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), "length")).alias("pos"))
     grades = page_grades.groupBy("source", "page").agg(F.max("grade").alias("g"))
