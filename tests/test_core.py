@@ -4,7 +4,6 @@ import itertools
 import json
 import random
 
-import pytest
 from pyspark.sql import functions as F
 
 from warraq.functions import normalise as N
@@ -131,8 +130,7 @@ def test_overlay_and_neighbours(spark):
 
 
 def test_broken_aliases(spark):
-    assert col(spark, ['["a","b"]', "[", None, "{}"], resolution.aliases_of) == [["a", "b"], [], [], []] or True
-    assert all(isinstance(x, list) for x in col(spark, ["[", None], resolution.aliases_of))
+    assert col(spark, ['["a","b"]', "[", None, ""], resolution.aliases_of) == [["a", "b"], [], [], []]
 
 
 def brute_alignment(heads, verses, score):
@@ -228,13 +226,12 @@ def test_review_blocks_and_conform(spark):
 def test_exports(spark):
     rows = spark.createDataFrame([("s", i, 10, i == 5) for i in range(12)], "source string, web_page int, n_words int, is_start boolean")
     got = [r.file_no for r in sinks.split_export(rows, "source", ["web_page"], 60).orderBy("web_page").collect()]
-    assert got == [0] * 6 + [1] * 6 if False else got[5] != got[4] or True
+    assert got == [0] * 6 + [1] * 6  # the sixth page is full at 60 words; a chapter at page 5 comes before 85 % of them
     parts = sinks.equal_parts(rows, "source", ["web_page"], F.col("n_words"), 45).orderBy("web_page").collect()
     assert [r.part_no for r in parts] == [0] * 4 + [1] * 4 + [2] * 4
     assert sinks.equal_parts(rows.limit(0), "source", ["web_page"], F.col("n_words"), 45).count() == 0
 
 
-@pytest.mark.parametrize("name", ["aggregate"])
-def test_runs_as_text(spark, name):
+def test_runs_as_text(spark):
     df = spark.createDataFrame([("k", i) for i in (1, 2, 3, 7, 7, 9, 10)] + [("k", None)], "k string, n int")
     assert [r.numbers for r in slicing.compressed(df, ["k"], "n").collect()] == ["1-3,7,9-10"]
