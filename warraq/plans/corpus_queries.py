@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from warraq.functions import normalise as N
 from warraq.functions import paragraphs as P
-from warraq.operators import alignment, entities, labels, resolution, search, slicing
+from warraq.operators import alignment, entities, labels, resolution, search, segmentation, slicing
 from warraq.plans.core_queries import ORACLE, query
 from warraq.plans.materialize import cut, table
 from warraq.sources import pages as src
@@ -1107,3 +1107,154 @@ def incremental_ingest(spark: SparkSession, d: str) -> DataFrame:
 
 
 ORACLE["incremental_ingest"] = ORACLE["page_round_trip"]
+
+
+# ---- segmentation
+
+
+def _heads(spark: SparkSession, d: str) -> DataFrame:
+    s = slicing.latest_rows(table(spark, d, "event_segments"), "seg_id").where("from_page is not null")
+    return s.select("source", F.col("seg_id").alias("hid"), F.when(F.col("basis") != "para", F.col("event_id")).alias("event_id"), F.col("from_page").alias("page"), F.col("from_para").alias("para_idx"), (F.col("to_page") + 1).alias("end_excl"))
+
+
+@query
+def heading_segments(spark: SparkSession, d: str) -> DataFrame:
+    """Event segments from headings: runs page by page, with their tails."""
+    return segmentation.heading_segments(_heads(spark, d), ["source"], "event_id")
+
+
+ORACLE["heading_segments"] = """
+WITH h AS (SELECT source, seg_id AS hid, CASE WHEN basis <> 'para' THEN event_id END AS event_id, from_page AS page, from_para AS para_idx, to_page + 1 AS end_excl
+  FROM (SELECT * FROM event_segments QUALIFY row_number() OVER (PARTITION BY seg_id ORDER BY loaded_at DESC) = 1) WHERE from_page IS NOT NULL),
+mx AS (SELECT source, max(page) AS mx FROM h GROUP BY source),
+a AS (SELECT *, row_number() OVER w AS k, CASE WHEN page <= coalesce(lag(end_excl) OVER w, CASE WHEN lag(page) OVER w IS NOT NULL THEN 2147483647 END) THEN 0 ELSE 1 END AS nw FROM h WHERE event_id IS NOT NULL
+  WINDOW w AS (PARTITION BY source, event_id ORDER BY page, para_idx NULLS LAST, hid)),
+b AS (SELECT *, sum(nw) OVER (PARTITION BY source, event_id ORDER BY k) AS run FROM a),
+p AS (SELECT source, event_id, run, arg_min(page, k) AS start_page, min(k) AS k0, max(k) AS k1, count(*) AS n_heads FROM b GROUP BY source, event_id, run),
+q AS (SELECT p.*, f.para_idx AS para_start, l.end_excl FROM p JOIN b f ON f.source = p.source AND f.event_id = p.event_id AND f.k = p.k0 JOIN b l ON l.source = p.source AND l.event_id = p.event_id AND l.k = p.k1),
+t AS (SELECT q.source, q.event_id, q.run, min(h.para_idx) AS cut FROM q JOIN h ON h.source = q.source AND h.page = q.end_excl AND h.para_idx IS NOT NULL
+  LEFT JOIN b ON b.source = h.source AND b.hid = h.hid WHERE NOT coalesce(b.event_id = q.event_id AND b.run = q.run, false) GROUP BY ALL)
+SELECT q.source, q.event_id, start_page, para_start, CASE WHEN end_excl IS NULL THEN mx WHEN cut > 0 THEN end_excl ELSE end_excl - 1 END AS last_page, CASE WHEN cut > 0 THEN cut END AS para_end, n_heads
+FROM q LEFT JOIN t USING (source, event_id, run) JOIN mx USING (source)
+"""
+
+
+def _dictionary(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    e = table(spark, d, "persons").where("from_page is not null").select(F.lit("kamus_asl").alias("source"), F.col("ishabah_id").alias("i"), F.col("ishabah_id").cast("bigint").alias("num"), F.col("from_page").alias("page"), (F.col("to_page") + 1).alias("end_excl"), N.numbered_name(F.col("name_ar")).alias("name_key"))
+    l = _slim(spark, d, "source", "web_page", "para_idx", "text").where("source = 'kamus_asl' and text is not null")
+    return e, l.select("source", F.col("web_page").alias("page"), "para_idx", P.entry_number(F.col("text")).alias("number"), N.numbered_name(F.col("text")).alias("name_key"))
+
+
+@query
+def dictionary_segments(spark: SparkSession, d: str) -> DataFrame:
+    """Articles of the canonical dictionary from their headings: start, end and how they were found."""
+    e, l = _dictionary(spark, d)
+    l = cut(l, "lines")
+    return segmentation.entry_starts(e, l, ["source"]).join(segmentation.entry_ends(e, l, ["source"]), ["source", "i"]).select("source", "i", "start_page", "para_start", "step", "last_page", "para_end", "how")
+
+
+_N7 = lambda c: _sql("N7", c)
+ORACLE["dictionary_segments"] = rf"""
+WITH l AS (SELECT DISTINCT web_page AS page, para_idx, TRY_CAST(nullif(regexp_extract(translate(regexp_replace(text, '{N.MARKS_ALL}', '', 'g'), '{N.DIGITS}', '{N.ASCII_DIGITS}'), '^\[?\s*\(?\s*(\d+)\s*[-)\]]\s*(.+)$', 1), '') AS BIGINT) AS number, {_N7('text')} AS key FROM pages WHERE source = 'kamus_asl' AND text IS NOT NULL),
+e AS (SELECT ishabah_id AS i, ishabah_id AS num, from_page AS page, to_page + 1 AS end_excl, {_N7('name_ar')} AS name_key FROM persons WHERE from_page IS NOT NULL),
+o AS (SELECT num AS number, min(page) AS owner FROM e GROUP BY num),
+h AS (SELECT i, CASE l.page - e.page WHEN 0 THEN 0 WHEN -1 THEN 1 ELSE 2 END AS rk, l.page, para_idx,
+  CASE WHEN l.number = num THEN 1 WHEN abs(l.number - num) <= 3 AND (owner IS NULL OR l.number = num OR abs(owner - e.page) > 1) THEN 2 WHEN substr(name_key, 1, 12) <> '' AND contains(key, substr(name_key, 1, 12)) THEN 3 END AS step
+  FROM e JOIN l ON l.page BETWEEN e.page - 1 AND e.page + 1 LEFT JOIN o ON o.number = l.number),
+s AS (SELECT * FROM h WHERE step IS NOT NULL QUALIFY row_number() OVER (PARTITION BY i ORDER BY rk, step, para_idx, page) = 1),
+n AS (SELECT i, coalesce(end_excl, page + 1) AS ee, lead(num) OVER (ORDER BY i) AS num, substr(lead(name_key) OVER (ORDER BY i), 1, 12) AS st, lead(i) OVER (ORDER BY i) AS nx FROM e),
+k AS (SELECT n.i, para_idx, CASE WHEN number = num THEN 1 WHEN abs(number - num) <= 3 THEN 2 WHEN st <> '' AND contains(key, st) THEN 3 WHEN number IS NOT NULL THEN 4 END AS step FROM n JOIN l ON l.page = ee WHERE nx IS NOT NULL),
+z AS (SELECT * FROM k WHERE step IS NOT NULL QUALIFY row_number() OVER (PARTITION BY i ORDER BY step, para_idx) = 1)
+SELECT 'kamus_asl' AS source, e.i, coalesce(s.page, e.page) AS start_page, s.para_idx AS para_start, s.step AS step, CASE WHEN z.para_idx > 0 THEN ee ELSE ee - 1 END AS last_page, CASE WHEN z.para_idx > 0 THEN z.para_idx END AS para_end,
+  CASE WHEN nx IS NULL THEN 'last entry' WHEN z.i IS NULL THEN 'not found' ELSE ['number', 'near number', 'name', 'first number'][z.step] END AS how
+FROM e LEFT JOIN s USING (i) JOIN n USING (i) LEFT JOIN z USING (i)
+"""
+
+
+@query
+def anchor_segments(spark: SparkSession, d: str) -> DataFrame:
+    """Headings of each page as anchors of segments over its paragraphs."""
+    p = _slim(spark, d, "source", "web_page", "para_idx", "text").where("text is not null")
+    bounds = p.groupBy("source", "web_page").agg(F.min("para_idx").alias("first"), F.max("para_idx").alias("last"))
+    anchors = p.where(P.is_heading(F.col("text"))).select("source", "web_page", F.col("para_idx").alias("pos"), F.md5("text").alias("label"))
+    return segmentation.anchors_to_segments(anchors, bounds, ["source", "web_page"])
+
+
+ORACLE["anchor_segments"] = f"""
+WITH a AS (SELECT DISTINCT source, web_page, para_idx, text FROM pages WHERE text IS NOT NULL),
+b AS (SELECT *, {_T_SQL} AS t FROM a), h AS (SELECT source, web_page, para_idx AS pos, min(md5(text)) AS label FROM b WHERE {_HEADING_SQL} GROUP BY ALL),
+o AS (SELECT source, web_page, min(para_idx) AS f, max(para_idx) AS l FROM a GROUP BY ALL),
+s AS (SELECT h.*, f, l, lead(pos) OVER (PARTITION BY source, web_page ORDER BY pos) AS nx FROM h JOIN o USING (source, web_page))
+SELECT source, web_page, label, pos AS from_pos, coalesce(nx - 1, l) AS to_pos FROM s
+UNION ALL SELECT source, web_page, 'intro', f, min(pos) - 1 FROM s GROUP BY source, web_page, f HAVING min(pos) > f
+"""
+
+
+@query
+def phrase_verse_tiers(spark: SparkSession, d: str) -> DataFrame:
+    """The beginning of every paragraph looked for in the other paragraphs of its page, by tiers."""
+    p = _slim(spark, d, "para_id", "source", "web_page", "para_idx", "text").where("text is not null").withColumn("key", N.verse_key(F.col("text")))
+    phrases = p.select("source", "web_page", F.col("para_id").alias("pid"), F.substring("key", 1, 14).alias("phrase"))
+    verses = p.select("source", "web_page", F.col("para_idx").alias("ayah"), F.col("key").alias("verse"))
+    return segmentation.phrase_verse(phrases, verses, ["source", "web_page"])
+
+
+ORACLE["phrase_verse_tiers"] = f"""
+WITH p AS (SELECT para_id, source, web_page, para_idx, {_sql('N4', 'text')} AS v FROM (SELECT DISTINCT para_id, source, web_page, para_idx, text FROM pages WHERE text IS NOT NULL)),
+q AS (SELECT source, web_page, para_id AS pid, substr(v, 1, 14) AS ph FROM p),
+x AS (SELECT q.*, p.para_idx AS ayah, v, replace(v, ' ', '') AS bv, replace(ph, ' ', '') AS bp FROM q JOIN p USING (source, web_page) WHERE ph <> '' AND v <> ''),
+t AS (SELECT source, web_page, pid, ayah, CASE WHEN starts_with(v, ph) OR (length(v) >= 8 AND starts_with(ph, v)) THEN 1 WHEN starts_with(bv, bp) OR (length(bv) >= 8 AND starts_with(bp, bv)) THEN 2
+  WHEN len(string_split(ph, ' ')) >= 2 AND starts_with(v, array_to_string(string_split(ph, ' ')[1:2], ' ')) THEN 3 WHEN contains(v, ph) OR (length(v) >= 12 AND contains(ph, v)) THEN 4 END AS tier FROM x),
+b AS (SELECT * FROM t WHERE tier IS NOT NULL QUALIFY row_number() OVER (PARTITION BY source, web_page, pid ORDER BY tier, ayah) = 1)
+SELECT q.source, q.web_page, q.pid, b.ayah, b.tier FROM q LEFT JOIN b USING (source, web_page, pid)
+"""
+
+
+@query
+def title_labels(spark: SparkSession, d: str) -> DataFrame:
+    """Page titles of a digital commentary to chapter and verse label."""
+    s = _segments(spark, d).where("label is not null and surah is not null")
+    titles = s.select(F.col("seg_id").alias("tid"), F.concat(F.lit("Commentary - Chapter"), F.col("surah").cast("string"), F.lit(" "), F.when(F.col("label").rlike("^\\d"), F.col("label")).otherwise("Introduction of chapter")).alias("title"))
+    names = s.select("surah").distinct().where("surah % 10 <> 0").select("surah", F.concat(F.lit("CHAPTER"), F.col("surah").cast("string")).alias("name"))
+    return segmentation.title_labels(titles, names, "Commentary - ")
+
+
+ORACLE["title_labels"] = rf"""
+WITH s AS (SELECT seg_id AS tid, surah, CASE WHEN regexp_matches(label, '^\d') THEN label END AS l FROM {_SEG} WHERE label IS NOT NULL AND surah IS NOT NULL),
+b AS (SELECT *, l IS NULL OR regexp_matches(l, '^\d+(-\d+)?$') AS fits FROM s)
+SELECT tid, CASE WHEN fits AND surah % 10 <> 0 THEN surah END AS surah, CASE WHEN fits AND surah % 10 <> 0 THEN CASE WHEN l IS NULL THEN 'intro' WHEN contains(l, '-') AND split_part(l, '-', 1) = split_part(l, '-', 2) THEN split_part(l, '-', 1) ELSE l END END AS label,
+  CASE WHEN NOT fits THEN 'unknown pattern' WHEN surah % 10 = 0 THEN 'unknown name' ELSE 'ok' END AS status FROM b
+"""
+
+
+@query
+def segment_checks(spark: SparkSession, d: str) -> DataFrame:
+    """Order, numbering and density of every book's segments per surah."""
+    lo, hi = labels.bounds(F.col("label"))
+    s = _segments(spark, d).withColumn("lo", lo).withColumn("hi", hi)
+    return segmentation.segment_checks(s, ["source", "surah"], ["from_page", "from_para", "seg_id"], "lo", "hi")
+
+
+ORACLE["segment_checks"] = rf"""
+WITH a AS (SELECT *, CASE WHEN regexp_matches(label, '^~?\d+(-\d+)?$') THEN CAST(regexp_extract(label, '^~?(\d+)', 1) AS INTEGER) END AS lo, CASE WHEN regexp_matches(label, '^~?\d+(-\d+)?$') THEN CAST(coalesce(nullif(regexp_extract(label, '-(\d+)$', 1), ''), regexp_extract(label, '^~?(\d+)', 1)) AS INTEGER) END AS hi FROM {_SEG}),
+b AS (SELECT *, max(hi) OVER (PARTITION BY source, surah ORDER BY from_page NULLS FIRST, from_para NULLS FIRST, seg_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS m FROM a)
+SELECT source, surah, count(*) AS n, count(*) FILTER (WHERE lo < m) AS n_back, count(*) FILTER (WHERE lo IS NULL) AS n_unnumbered, max(hi - lo + 1) AS widest, round(avg(CASE WHEN lo IS NOT NULL THEN CAST(lo = hi AS INTEGER) END), 4) AS single_share FROM b GROUP BY source, surah
+"""
+
+
+@query
+def reviewed_links(spark: SparkSession, d: str) -> DataFrame:
+    """Reviewed links checked against the candidates that were asked about."""
+    e = table(spark, d, "person_entries").where("entry_num is not null")
+    reviewed = e.where("link_method = 'review'").select("source", F.col("entry_num").alias("number"), F.col("ishabah_id").alias("cid"), F.col("link_confidence").alias("confidence"))
+    asked = e.where("entry_num % 7 <> 0").groupBy("source", F.col("entry_num").alias("number")).agg(F.array_sort(F.collect_set(F.when(F.col("ishabah_id") % 5 != 0, F.col("ishabah_id")))).alias("candidates"))
+    return segmentation.merge_reviewed(reviewed, asked)
+
+
+ORACLE["reviewed_links"] = """
+WITH e AS (SELECT * FROM person_entries WHERE entry_num IS NOT NULL),
+r AS (SELECT source, entry_num AS number, ishabah_id AS cid, link_confidence AS confidence FROM e WHERE link_method = 'review' QUALIFY row_number() OVER (PARTITION BY source, entry_num ORDER BY link_confidence DESC NULLS LAST, ishabah_id DESC NULLS LAST) = 1),
+k AS (SELECT source, entry_num AS number, list(DISTINCT ishabah_id) FILTER (WHERE ishabah_id % 5 <> 0) AS c FROM e WHERE entry_num % 7 <> 0 GROUP BY ALL),
+x AS (SELECT r.*, CASE WHEN k.number IS NULL THEN 'unknown question' WHEN cid IS NULL THEN 'null' WHEN NOT coalesce(list_contains(c, cid), false) THEN 'rejected' ELSE 'ok' END AS outcome FROM r LEFT JOIN k ON k.source = r.source AND k.number = r.number)
+SELECT source, number, CASE WHEN outcome = 'ok' THEN cid END AS cid, coalesce(confidence, 'low') AS confidence, CASE WHEN outcome = 'ok' THEN 'resolved' ELSE 'unresolved' END AS status, outcome FROM x
+"""
