@@ -66,7 +66,7 @@ def resolve(entries: DataFrame, persons: DataFrame) -> DataFrame:
     All fields but the ids may be null; repeated ids count once. Equal marginals go to the smaller ishabah_id.
     """
     people = cut(names.profiles(_once(_records(entries, persons), "rid")), "profiles")
-    met = names.meetings(people).where("a < 0 and b >= 0")
+    met = names.meetings(people, across=True)
     scores = names.scored(cut(names.graded(met, people), "grades"))
     source = entries.groupBy(F.col("entry_id").alias("b")).agg(F.min("source").alias("source"))
     pairs = scores.join(source, "b").select(F.col("b").alias("entry"), (-F.col("a") - 1).alias("person"), "source", "score")

@@ -244,8 +244,11 @@ def profiles(rows: DataFrame) -> DataFrame:
     )
 
 
-def meetings(people: DataFrame) -> DataFrame:
-    """Pairs of rids (a < b by side, then rid) two of whose parts agree, one exactly and one within the radius. people: profiles()."""
+def meetings(people: DataFrame, across: bool = False) -> DataFrame:
+    """Pairs of rids (a < b by side, then rid) two of whose parts agree, one exactly and one within the radius. people: profiles().
+
+    across: only pairs of one record of side 0 and one of side 1.
+    """
     both = people.withColumn("kunyas", F.array_compact(F.array("kunya", "kunya2"))).withColumn("kunya", F.explode_outer("kunyas"))
     keys = [both.where(f"{u} is not null and {v} is not null").select("rid", "side", F.lit(i).alias("view"), F.col(u).alias("u"), F.col(v).alias("v")) for i, (u, v) in enumerate(VIEWS)]
     keyed = keys[0]
@@ -264,9 +267,11 @@ def meetings(people: DataFrame) -> DataFrame:
     wide = keyed.join(as_u, "u").select("rid", "side", "view", F.col("w").alias("u"), "v").unionByName(keyed.join(as_v, "v").select("rid", "side", "view", "u", F.col("w").alias("v")))
     beside = late.select("rid", "side", "nisba", F.explode(F.array(seen(-1), seen(1))).alias("v")).join(near.toDF("nisba", "u"), "nisba")
     wide = wide.unionByName(beside.select("rid", "side", F.lit(len(VIEWS)).alias("view"), "u", "v"))
-    a = wide.select(F.col("rid").alias("a"), F.col("side").alias("side_a"), "view", "u", "v")
-    b = keyed.select(F.col("rid").alias("b"), F.col("side").alias("side_b"), "view", "u", "v")
-    met = a.join(b, ["view", "u", "v"]).where("a <> b")
+    # The three key columns as one number: two keys under one number would only be a pair more to grade.
+    key = F.xxhash64("view", "u", "v").alias("key")
+    a = (wide.where("side = 1") if across else wide).select(F.col("rid").alias("a"), F.col("side").alias("side_a"), key)
+    b = (keyed.where("side = 0") if across else keyed).select(F.col("rid").alias("b"), F.col("side").alias("side_b"), key)
+    met = a.join(b, "key").where("a <> b")
     first = (F.col("side_a") < F.col("side_b")) | ((F.col("side_a") == F.col("side_b")) & (F.col("a") < F.col("b")))
     return met.select(F.when(first, F.col("a")).otherwise(F.col("b")).alias("a"), F.when(first, F.col("b")).otherwise(F.col("a")).alias("b")).distinct()
 
