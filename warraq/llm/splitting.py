@@ -30,6 +30,8 @@ TEXT_GRADES = (
     (1, re.compile(r"\s+")),
 )
 MAX_ROUNDS = 40
+#: Positions of one item that a task takes together, at least.
+BLOCK = 1 << 15
 
 
 def _text_boundaries(grid: int):
@@ -70,31 +72,35 @@ def cut_pieces(boundaries: DataFrame, limit: int, overlap: int) -> DataFrame:
     if not 0 <= overlap < limit / 2:
         raise ValueError("overlap must be less than half the limit")
     b = boundaries.where(F.col("length") > limit).groupBy("item_key", "pos").agg(F.max("grade").alias("grade"), F.max("length").alias("length"))
-    line = W.partitionBy("item_key").orderBy("pos")
-    reach = line.rangeBetween(limit // 2 + 1, limit)
+    # Lines are looked at block by block, each with the positions within reach of it, so an item with a third of all boundaries is many groups.
+    block = max(BLOCK, 4 * limit)
+    at = F.floor(F.col("pos") / block)
+    ahead = F.when(F.col("pos") % block <= limit, F.array(at, at - 1)).otherwise(F.array(at))
+    line = W.partitionBy("item_key", "block").orderBy("pos")
     # The best grade, and of it the farthest: one maximum of both in one number (positions stay below 2**40).
-    best = F.max(F.shiftleft(F.col("grade").cast("bigint"), 40) + F.col("pos")).over(reach).bitwiseAND((1 << 40) - 1)
+    best = F.max(F.shiftleft(F.col("grade").cast("bigint"), 40) + F.col("pos")).over(line.rangeBetween(limit // 2 + 1, limit)).bitwiseAND((1 << 40) - 1)
     end = F.when(F.col("length") - F.col("pos") <= limit, F.col("length")).otherwise(best)
-    ended = b.withColumn("end", end)
+    ended = b.withColumn("block", F.explode(ahead)).withColumn("end", end).where(F.col("block") == at).drop("block")
+    ended = cut(ended.select("item_key", "pos", "end", "length"), "ends")
     # next(p): the last boundary at or before end(p) - overlap, over both kinds of points on one line.
-    marks = ended.select("item_key", "pos", F.col("pos").alias("boundary"), F.lit(None).cast("bigint").alias("p"), F.lit(0).alias("kind"))
-    wants = ended.where("end < length").select("item_key", (F.col("end") - overlap).alias("pos"), F.lit(None).cast("bigint").alias("boundary"), F.col("pos").alias("p"), F.lit(1).alias("kind"))
-    upto = W.partitionBy("item_key").orderBy("pos", "kind").rowsBetween(W.unboundedPreceding, 0)
+    behind = F.when(block - F.col("pos") % block <= limit, F.array(at, at + 1)).otherwise(F.array(at))
+    marks = ended.select("item_key", "pos", F.col("pos").alias("boundary"), F.lit(None).cast("bigint").alias("p"), F.lit(0).alias("kind"), F.explode(behind).alias("block"))
+    wants = ended.where("end < length").select("item_key", (F.col("end") - overlap).alias("pos"), F.lit(None).cast("bigint").alias("boundary"), F.col("pos").alias("p"), F.lit(1).alias("kind")).withColumn("block", at)
+    upto = W.partitionBy("item_key", "block").orderBy("pos", "kind").rowsBetween(W.unboundedPreceding, 0)
     succ = marks.unionByName(wants).withColumn("q", F.max("boundary").over(upto)).where("kind = 1").select("item_key", "p", "q")
-    ends = cut(ended.select("item_key", "pos", "end"), "ends")
     power = cut(succ, "next0")
-    starts = ends.where("pos = 0").select("item_key", "pos")
+    starts = ended.where("pos = 0").select("item_key", "pos", F.lit(0).cast("bigint").alias("piece_no"))
     for k in range(MAX_ROUNDS):
-        reached = starts.join(power.withColumnRenamed("p", "pos"), ["item_key", "pos"]).select("item_key", F.col("q").alias("pos"))
-        starts = cut(starts.unionByName(reached).distinct(), f"starts{k + 1}")
+        # Starts of the pieces below 2**k are known; their 2**k-th successors are those of the pieces up to 2**(k + 1).
+        reached = starts.join(power.withColumnRenamed("p", "pos"), ["item_key", "pos"]).select("item_key", F.col("q").alias("pos"), (F.col("piece_no") + (1 << k)).alias("piece_no"))
+        starts = cut(starts.unionByName(reached), f"starts{k + 1}")
         power = cut(power.alias("x").join(power.select("item_key", F.col("p").alias("q"), F.col("q").alias("r")), ["item_key", "q"]).select("item_key", "p", F.col("r").alias("q")), f"next{k + 1}")
         if power.isEmpty():
             # No boundary has a 2**(k + 1)-th successor, and starts has all that lie fewer pieces on.
             break
     else:
         raise RuntimeError(f"an item has more than 2**{MAX_ROUNDS} pieces")
-    pieces = starts.join(ends, ["item_key", "pos"])
-    return pieces.select("item_key", (F.row_number().over(line) - 1).alias("piece_no"), F.col("pos").alias("start"), "end")
+    return starts.join(ended.select("item_key", "pos", "end"), ["item_key", "pos"]).select("item_key", "piece_no", F.col("pos").alias("start"), "end")
 
 
 def split_texts(texts: DataFrame, limit: int = 1500, overlap: int = 100, grid: int = 50) -> DataFrame:
@@ -119,7 +125,8 @@ def split_page_ranges(ranges: DataFrame, page_grades: DataFrame, limit: int = 8,
     n = F.col("to_page").cast("bigint") - F.col("from_page") + 1
     long = ranges.select("id", "source", "from_page", "to_page").where(n > limit).where("id is not null").groupBy("id").agg(F.min(F.struct("source", "from_page", "to_page")).alias("r")).select("id", "r.*")
     long = long.select(F.col("id").alias("item_key"), "source", F.col("from_page").cast("bigint").alias("from_page"), n.alias("length"))
-    at = long.select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), "length")).alias("pos"))
+    blocks = long.select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor(F.col("length") / BLOCK))).alias("_b"))
+    at = blocks.select("*", F.explode(F.sequence(F.col("_b") * BLOCK, F.least((F.col("_b") + 1) * BLOCK - 1, F.col("length")))).alias("pos")).drop("_b")
     grades = page_grades.groupBy("source", "page").agg(F.max("grade").alias("g"))
     at = at.join(grades, (at["source"] == grades["source"]) & (at["from_page"] + at["pos"] == grades["page"]), "left")
     edge = (F.col("pos") == 0) | (F.col("pos") == F.col("length"))
