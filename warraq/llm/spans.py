@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
 from warraq.plans.materialize import cut
 
@@ -164,13 +164,12 @@ def _common(left_a: pd.Series, right_a: pd.Series, left_b: pd.Series, right_b: p
     return pd.DataFrame([(prefix(la[::-1], lb[::-1]), prefix(ra, rb)) for la, ra, lb, rb in pairs], columns=["left", "right"])
 
 
-def _meetings(spots: DataFrame, every: bool) -> DataFrame:
-    """Borders of two texts under one symbol. With every=False each shared span is met once, at its first border."""
+def _meetings(spots: DataFrame) -> DataFrame:
+    """Borders of two texts under one symbol: each shared span once, at its first border."""
     s = spots.where("symbol is not null")
     a = s.select("symbol", *(F.col(c).alias(f"{c}_a") for c in ("id", "before", "pos", "left", "right")))
     b = s.select("symbol", *(F.col(c).alias(f"{c}_b") for c in ("id", "before", "pos", "left", "right")))
-    met = a.join(b, "symbol").where("id_a < id_b")
-    return met if every else met.where("before_a is null or before_b is null or before_a <> before_b")
+    return a.join(b, "symbol").where("id_a < id_b and (before_a is null or before_b is null or before_a <> before_b)")
 
 
 def shared_pairs(texts: DataFrame, least: int = LEAST) -> DataFrame:
@@ -186,7 +185,7 @@ def shared_pairs(texts: DataFrame, least: int = LEAST) -> DataFrame:
     spots = _shared_borders(texts, least)
     common = _common("left_a", "right_a", "left_b", "right_b")
     # A span's first border has no text in common further left, but where the border before is cut off by the text's start.
-    pairs = _meetings(spots, every=False).withColumn("c", common).where(f"c.left + c.right >= {least}").select("id_a", "id_b").distinct()
+    pairs = _meetings(spots).withColumn("c", common).where(f"c.left + c.right >= {least}").select("id_a", "id_b").distinct()
     members = spots.select("copy_of", "id").distinct()
     wide = (
         pairs.join(members.withColumnsRenamed({"copy_of": "id_a", "id": "a"}), "id_a")
@@ -197,27 +196,44 @@ def shared_pairs(texts: DataFrame, least: int = LEAST) -> DataFrame:
     return wide.select(F.least("a", "b").alias("id_a"), F.greatest("a", "b").alias("id_b")).unionByName(of_copies.toDF("id_a", "id_b"))
 
 
+@F.pandas_udf(ArrayType(LongType()))
+def _windows(left: pd.Series, right: pd.Series, least: pd.Series) -> pd.Series:
+    """Names of the stretches of ``least`` code points with the border at least REACH from both ends, the leftmost border first; 0 where the text is too short."""
+
+    def one(a: str, b: str, n: int) -> list[int]:
+        both = a + b
+        names = _Names(np.frombuffer(both.encode("utf-32-le", "surrogatepass"), dtype=np.uint32))
+        start = len(a) - np.arange(REACH, n - REACH + 1)
+        fits = (start >= 0) & (start + n <= len(both))
+        out = np.zeros(len(start), dtype=np.int64)
+        out[fits] = names(start[fits], start[fits] + n).view(np.int64)
+        return out.tolist()
+
+    return pd.Series([one(a, b, n) for a, b, n in zip(left, right, least)], dtype=object)
+
+
 def shared_share(texts: DataFrame, least: int = LEAST) -> DataFrame:
     """Of every text, how many code points lie in runs of ``least`` or more that another id's text has too.
 
-    Result: id, n_chars, shared_chars, shared_share (0 for an empty text). A null text gives nulls; a repeated id counts once.
+    Result: id, n_chars, shared_chars, shared_share (0 for an empty text). A null text gives nulls; a repeated id counts once. No pairs
+    are made: of each shared border the stretches of ``least`` code points around it are named and counted, so a passage in a third of
+    all texts costs no more than its occurrences.
     """
     if least < LEAST:
         raise ValueError(f"least must be {LEAST} or more")
     rows = texts.select("id", "text").where("id is not null")
     spots = _shared_borders(rows.where("text is not null"), least)
-    met = _meetings(spots, every=True).withColumn("c", _common("left_a", "right_a", "left_b", "right_b")).where(f"c.left + c.right >= {least}")
-    side = lambda x: met.select(F.col(f"id_{x}").alias("copy_of"), (F.col(f"pos_{x}") - F.col("c.left")).alias("f"), (F.col(f"pos_{x}") + F.col("c.right")).alias("t"))
-    order = W.partitionBy("copy_of").orderBy("f", "t")
-    covered = (
-        side("a").unionByName(side("b")).distinct()
-        .withColumn("from", F.greatest("f", F.coalesce(F.max("t").over(order.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))))
-        .groupBy("copy_of").agg(F.sum(F.greatest(F.col("t") - F.col("from"), F.lit(0))).alias("covered"))
-    )
+    borders_ = spots.where("symbol is not null").select("id", "pos", _windows("left", "right", F.lit(least)).alias("w"))
+    each = borders_.select("id", "pos", F.posexplode("w").alias("k", "name")).where("name <> 0").select("id", (F.col("pos") - REACH - F.col("k")).alias("f"), "name")
+    common = each.groupBy("name").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("name")
+    order = W.partitionBy("id").orderBy("f")
+    hit = each.join(common, "name").select("id", "f").distinct()
+    new = F.least(F.lit(least), F.col("f") - F.coalesce(F.lag("f").over(order), F.lit(-least)))
+    covered = hit.withColumn("new", new).groupBy("id").agg(F.sum("new").alias("covered")).withColumnRenamed("id", "copy_of")
     copies = spots.groupBy("copy_of").agg(F.count_distinct("id").alias("n_copies"))
     of = spots.select("id", "copy_of").distinct().join(copies, "copy_of").join(covered, "copy_of", "left")
     lengths = rows.groupBy("id").agg(F.max(F.length("text")).alias("n_chars"))
     shared = F.when(F.col("n_copies") > 1, F.col("n_chars")).otherwise(F.coalesce("covered", F.lit(0)))
-    out = lengths.join(of, "id", "left").withColumn("shared_chars", F.when(F.col("n_chars").isNotNull(), shared.cast("int")))
+    out = lengths.join(of, "id", "left").withColumn("shared_chars", F.when(F.col("n_chars").isNotNull(), F.coalesce(shared, F.lit(0)).cast("int")))
     share = F.when(F.col("n_chars") == 0, 0.0).otherwise(F.col("shared_chars") / F.col("n_chars"))
     return out.select("id", "n_chars", "shared_chars", share.alias("shared_share"))
