@@ -58,7 +58,7 @@ def _tokens(text: str) -> list[str]:
     raw = text.replace("،", " ، ").split()
     out: list[str] = []
     for t in raw:
-        if out and out[-1] in SERVANT and t.startswith("ال"):
+        if out and (out[-1] in SERVANT and t.startswith("ال") or out[-1] == "عبد" and t != "،" and t not in CONNECTORS):
             out[-1] = "عبد" + t
         else:
             out.append(t if t == "،" or re.fullmatch(r"\w\.", t) else t.replace(".", ""))
@@ -67,7 +67,7 @@ def _tokens(text: str) -> list[str]:
 
 def _connects(t: str, between: bool) -> bool:
     """Whether t is a connector; between two names also with a letter mistyped."""
-    return t in CONNECTORS or between and (len(t) <= 2 or len(t) == 3 and t[0] == "ا" and (t[1] == "ب" or t[2] == "ن"))
+    return t in CONNECTORS or between and (len(t) <= 2 or any(close(t, c) for c in ("بن", "ابن", "بنت")))
 
 
 def _kunya_word(t: str, leading: bool) -> bool:
@@ -102,7 +102,8 @@ def parse(name: str | None) -> tuple[str | None, list[str], str | None, str | No
             sex = "f" if own and not chain and (t.startswith("بنت") or t == "بت") else sex or ("m" if own else None)
             i += 1
             continue
-        elif t.startswith("ال") and len(t) > 3 and not linked:
+        elif not linked and (t.startswith("ال") and len(t) > 3 or own is None and after and (after == "،" or _kunya_word(after, True))):
+            # With the article, or, its article mistyped, alone before a comma or a kunya.
             if t.endswith("ي"):
                 nisba = t
             else:
@@ -284,6 +285,8 @@ def _grade(x: Column, y: Column) -> Column:
     return F.when(x.isNull() | y.isNull(), 0).when(x == y, 1).when(initial | (F.levenshtein(x, y, 1) >= 0) | swapped, 2).otherwise(3)
 
 
+#: log-odds of a different own name, at most.
+OTHER_NAME = -4.5
 FIELDS = ("own", "father", "grandfather", "great", "nisba", "kunya", "town", "death")
 #: Where the estimation starts: the grades of one person's fields, and of two persons' who met. Per field: equal, near, different.
 START_SAME = ((0.85, 0.12, 0.03),) * 5 + ((0.8, 0.12, 0.08), (0.85, 0.1, 0.05), (0.5, 0.4, 0.1))
@@ -291,14 +294,15 @@ START_OTHER = ((0.6, 0.1, 0.3), (0.2, 0.05, 0.75), (0.05, 0.02, 0.93), (0.05, 0.
 
 
 def graded(pairs: DataFrame, people: DataFrame) -> DataFrame:
-    """pairs (a, b) with the grade of each field. Kunyas agree if any two do."""
+    """pairs (a, b) with the grade of each field. Kunyas agree if any two do; years are near within three, or with their figures in another order."""
     of = lambda x: people.select(F.col("rid").alias(x), *(F.col(c).alias(f"{c}_{x}") for c in people.columns if c not in ("rid", "side")))
     both = pairs.join(of("a"), "a").join(of("b"), "b")
     g = {f: _grade(F.col(f"{f}_a"), F.col(f"{f}_b")) for f in FIELDS if f not in ("kunya", "death")}
     kunya = [_grade(F.col(f"{k}_a"), F.col(f"{m}_b")) for k in ("kunya", "kunya2") for m in ("kunya", "kunya2")]
     g["kunya"] = F.coalesce(F.least(*(F.when(k > 0, k) for k in kunya)), F.lit(0))
     apart = F.abs(F.col("death_a") - F.col("death_b"))
-    g["death"] = F.when(apart.isNull(), 0).when(apart == 0, 1).when(apart <= 3, 2).otherwise(3)
+    figures = lambda x: F.array_sort(F.split(F.col(f"death_{x}").cast("string"), ""))
+    g["death"] = F.when(apart.isNull(), 0).when(apart == 0, 1).when((apart <= 3) | (figures("a") == figures("b")), 2).otherwise(3)
     g["own"] = F.when(F.col("sex_a") != F.col("sex_b"), 3).otherwise(g["own"])
     return both.select("a", "b", *(g[f].cast("int").alias(f) for f in FIELDS))
 
@@ -327,6 +331,8 @@ def odds(grades: DataFrame, rounds: int = 30) -> tuple[dict, float]:
                 table[f, 1:] = c / c.sum()
     ratio = np.log(same) - np.log(other)
     ratio[:, 0] = 0.0
+    # Brothers share all but the own name, so their fields agree together: the odds of a different own name have a floor of their own.
+    ratio[0, 3] = min(ratio[0, 3], OTHER_NAME)
     return {f: ratio[k].tolist() for k, f in enumerate(FIELDS)}, float(np.log(share / (1 - share)))
 
 

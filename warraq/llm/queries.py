@@ -29,6 +29,14 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return spans.shared_pairs(_paragraphs(spark, d)).toDF("para_id_a", "para_id_b")
 
 
+_GRAMS = """
+t AS (SELECT DISTINCT para_id, text FROM pages WHERE length(text) >= 80),
+i AS (SELECT para_id, text, unnest(range(1, length(text) - 78)) AS pos FROM t),
+g AS (SELECT para_id, pos, substr(text, pos, 80) AS s FROM i)
+"""
+ORACLE["p6_found"] = f"WITH {_GRAMS} SELECT DISTINCT a.para_id AS para_id_a, b.para_id AS para_id_b FROM g a JOIN g b ON a.s = b.s AND a.para_id < b.para_id"
+
+
 @query
 def p6_shared_share(spark: SparkSession, d: str) -> DataFrame:
     """Of every paragraph, how much of its text occurs in others."""
@@ -70,6 +78,16 @@ def p3_page_pieces(spark: SparkSession, d: str) -> DataFrame:
     return _page_pieces(spark, d).withColumnRenamed("id", "seg_id")
 
 
+ORACLE["p6_shared_share"] = f"""WITH {_GRAMS},
+c AS (SELECT s FROM g GROUP BY s HAVING count(DISTINCT para_id) > 1),
+h AS (SELECT DISTINCT para_id, pos FROM g JOIN c USING (s)),
+n AS (SELECT para_id, least(80, pos - coalesce(lag(pos) OVER (PARTITION BY para_id ORDER BY pos), -100)) AS new FROM h),
+k AS (SELECT para_id, CAST(sum(new) AS INTEGER) AS shared FROM n GROUP BY para_id)
+SELECT p.para_id, length(p.text) AS n_chars, CASE WHEN p.text IS NOT NULL THEN coalesce(k.shared, 0) END AS shared_chars, CASE WHEN length(p.text) = 0 THEN 0.0 WHEN p.text IS NOT NULL THEN coalesce(k.shared, 0) / length(p.text) END AS shared_share
+FROM (SELECT DISTINCT para_id, text FROM pages) p LEFT JOIN k USING (para_id)
+"""
+
+
 def _spelled(spark: SparkSession, d: str) -> DataFrame:
     of = lambda tab, key, text: table(spark, d, tab).select(F.lit(tab).alias("tab"), F.col(key).cast("string").alias("row_key"), F.col(text).alias("text"))
     return of("pages", "para_id", "text").unionByName(of("event_registry", "event_id", "name_ar")).unionByName(of("person_entries", "entry_id", "name_ar"))
