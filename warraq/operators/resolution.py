@@ -124,3 +124,23 @@ def search_persons(queries: DataFrame, entries: DataFrame, k: int = 15) -> DataF
     s = x.join(F.broadcast(q), x["name"].contains(q["key"])).groupBy("qid", "person").agg(F.max(tier(F.col("name"), F.col("key"))).alias("score"), F.count_distinct("source").alias("n_sources"))
     rank = F.row_number().over(W.partitionBy("qid").orderBy(F.desc("score"), F.desc("n_sources"), "person"))
     return s.withColumn("rank", rank).where(F.col("rank") <= k)
+
+
+def with_fixes(rows: DataFrame, fixes: DataFrame) -> DataFrame:
+    """Rows (row_id, num, grade, grade_by) with a note on a corrected number and on the stored grade and its authority; fixes: row_id, printed_label, reason.
+
+    A grade is shown as stored and never inferred. Of several fixes of a row the least counts; the fixes are few and Spark broadcasts them by size.
+    """
+    f = fixes.groupBy("row_id").agg(F.min(F.struct("printed_label", "reason")).alias("_f"))
+    note = F.when(F.col("_f").isNotNull(), F.concat_ws("", F.lit("printed as "), F.coalesce("_f.printed_label", F.lit("?")), F.concat(F.lit(": "), F.col("_f.reason"))))
+    grade = F.when(F.col("grade").isNotNull(), F.concat_ws(" - ", "grade", "grade_by"))
+    return rows.join(f, "row_id", "left").withColumn("number_note", note).withColumn("grade_note", grade).drop("_f")
+
+
+def address_section(sections: DataFrame, ref: str) -> DataFrame:
+    """Sections (seg_id, section, title) by number, or by the start of the title; several: status ambiguous, none: no row."""
+    if ref.strip().isdigit():
+        return sections.where(F.col("section") == int(ref)).withColumn("status", F.lit("found"))
+    hit = sections.where((F.lit(ref.strip()) != "") & N.name_column(F.col("title")).startswith(N.name_column(F.lit(ref))))
+    n = F.count("*").over(W.partitionBy("seg_id"))
+    return hit.withColumn("status", F.when(n == 1, "found").otherwise("ambiguous"))
