@@ -235,3 +235,85 @@ def test_exports(spark):
 def test_runs_as_text(spark):
     df = spark.createDataFrame([("k", i) for i in (1, 2, 3, 7, 7, 9, 10)] + [("k", None)], "k string, n int")
     assert [r.numbers for r in slicing.compressed(df, ["k"], "n").collect()] == ["1-3,7,9-10"]
+
+
+def test_located_in_order(spark):
+    titles = spark.createDataFrame([("b", 1, 1, "باب الماء"), ("b", 2, 1, "باب الماء"), ("b", 3, 2, "باب النار"), ("b", 4, 9, "باب الهواء"), ("b", 5, 3, None)], "k string, i int, page int, tkey string")
+    lines = spark.createDataFrame([("b", 1, 0, "باب الماء وما فيه"), ("b", 1, 1, "نص"), ("b", 1, 2, "باب الماء"), ("b", 3, 0, "باب النار"), ("b", 3, 1, None)], "k string, page int, para_idx int, pkey string")
+    got = alignment.located(titles, lines, ["k"]).orderBy("i").collect()
+    assert [(r.found_page, r.para_idx) for r in got] == [(1, 0), (1, 2), (3, 0), (None, None), (None, None)]
+
+
+def brute_candidates(queries, canon, chains, k):
+    def near(a, b):
+        if a == b:
+            return True
+        if len(a) < 4 or len(b) < 4:
+            return False
+        s, l = sorted((a, b), key=len)
+        if len(s) == len(l):
+            return sum(x != y for x, y in zip(s, l)) == 1
+        return len(l) == len(s) + 1 and any(l[:i] + l[i + 1 :] == s for i in range(len(l)))
+
+    df = {}
+    for c in canon:
+        for t in set(chains[c]):
+            df[t] = df.get(t, 0) + 1
+    out = set()
+    for q in queries:
+        scores = []
+        for c in canon:
+            total = 0
+            for i, t in enumerate(chains[q]):
+                hits = [(j, u) for j, u in enumerate(chains[c]) if near(t, u)]
+                if hits:
+                    same = any(j == i for j, _ in hits)
+                    total += (3 if same and i == 0 else 2 if same else 0) + 1 + (2 if min(df[u] for _, u in hits) <= 2 else 0)
+            if total:
+                scores.append((-total, c))
+        out |= {(q, c, -s, r + 1) for r, (s, c) in enumerate(sorted(scores)[:k])}
+    return out
+
+
+def test_candidates_against_plain_python(spark):
+    rng = random.Random(7)
+    pool = ["زيد", "عمرو", "خالد", "خالدد", "معمر", "معمرر", "حارث", "حرث", "سعيد", "بكر"]
+    names = {i: [rng.choice(pool) for _ in range(rng.randrange(1, 4))] for i in range(40)}
+    df = lambda ids, key: spark.createDataFrame([(i, " بن ".join(names[i])) for i in ids] + [(900, None), (901, "")], f"{key} int, name string")
+    q, c = list(range(20)), list(range(20, 40))
+    got = {(r.qid, r.cid, r.score, r["rank"]) for r in entities.candidates(df(q, "qid"), df(c, "cid"), k=3, rare=2).collect()}
+    assert got == brute_candidates(q, c, names, 3)
+
+
+def test_sinks(spark, tmp_path):
+    df = spark.createDataFrame([("s", 2, None), ("s", 1, "x"), ("t", 1, "y")], "source string, i int, t string")
+    sinks.write_json_lines(df, str(tmp_path / "j"))
+    lines = [json.loads(x) for f in (tmp_path / "j").glob("*.json") for x in f.read_text(encoding="utf-8").splitlines()]
+    assert sorted(x["i"] for x in lines) == [1, 1, 2] and all("t" in x for x in lines)
+    sinks.rebuild(df, str(tmp_path / "p"), "source", ["i"])
+    sinks.rebuild(df, str(tmp_path / "p"), "source", ["i"])
+    assert spark.read.parquet(str(tmp_path / "p")).count() == 3
+    assert sorted(r.json for r in sinks.as_json(df.limit(1)).collect()) == ['{"source":"s","i":2,"t":null}']
+    assert [r.batch_no for r in sinks.batches(df, "source", ["i"], 1).orderBy("source", "i").collect()] == [0, 1, 0]
+
+
+def test_toc(spark):
+    rng = random.Random(3)
+    rows, page = [], 1
+    for i in range(60):
+        page += rng.choice([0, 0, 1, 3])
+        rows.append(("b", i, page, rng.randrange(0, 4)))
+    toc = spark.createDataFrame(rows, "k string, i int, page int, depth int")
+    ends = {r.i: (r.end_excl, r.end_any) for r in labels.toc_ends(toc, ["k"]).collect()}
+    parents = {r.i: r.parent for r in labels.toc_parents(toc, ["k"]).collect()}
+    for _, i, p, d in rows:
+        assert ends[i][0] == next((q for _, j, q, e in rows if j > i and q > p and e <= d), None)
+        assert ends[i][1] == next((q for _, j, q, _ in rows if j > i and q > p), None)
+        assert parents[i] == next((j for _, j, _, e in reversed(rows[:i]) if e < d), None)
+
+
+def test_kunya_titles(spark):
+    canon = spark.createDataFrame([(1, "زيد بن عمرو بن خالد القرشي"), (2, "أبو بكر سعد بن مالك الأزدي"), (3, "أبو بكر بشر الكندي"), (4, "أبو طالب عمار")], "cid int, name string")
+    q = spark.createDataFrame([(1, "أبو محمد", "أبو محمد واسمه زيد بن عمرو بن خالد"), (2, "أبو بكر الأزدي", "لا يعرف"), (3, "أبو بكر", None), (4, "أبو طالب", None), (5, "زيد", "اسمه زيد"), (6, None, None), (7, "أبو مكرر كذا", "x")], "qid int, title string, body string")
+    got = {r.qid: (r.cid, r.how) for r in entities.kunya_titled(q, canon, skip="أبو مكرر").collect()}
+    assert got == {1: (1, "name in text"), 2: (2, "kunya"), 3: (None, "unresolved"), 4: (4, "kunya")}

@@ -69,7 +69,8 @@ def toc_ends(toc: DataFrame, keys: list[str], i: str = "i", page: str = "page",
     Rows are in page order, so the first such row has the least page: one running minimum per depth, of MAX_DEPTH at most; deeper
     rows count as the deepest.
     """
-    later = W.partitionBy(*keys).orderBy(page).rangeBetween(1, W.unboundedFollowing)
+    # From the last page backwards, so that each minimum grows with the frame instead of being taken anew.
+    later = W.partitionBy(*keys).orderBy(F.desc(page)).rangeBetween(W.unboundedPreceding, -1)
     level = F.least(F.greatest(F.col(depth), F.lit(0)), F.lit(MAX_DEPTH))
     ends = F.array(*(F.min(F.when(level <= k, F.col(page))).over(later) for k in range(MAX_DEPTH + 1)))
     return toc.withColumn("end_excl", F.get(ends, level)).withColumn("end_any", F.min(page).over(later))

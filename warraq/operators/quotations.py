@@ -82,7 +82,7 @@ def section_units(rows: DataFrame, quotes: DataFrame, keys: list[str], pos: str,
     first = q.groupBy(*keys, "unit").agg(F.min_by("ayah", F.struct("pos", "k")).alias("lo"))
     x = units.join(first, [*keys, "unit"], "left").withColumn("lo", F.when(F.col("kind") == "tafsir", F.col("lo")))
     order = W.partitionBy(*keys).orderBy("unit")
-    following = F.first("lo", ignorenulls=True).over(order.rowsBetween(1, W.unboundedFollowing))
+    following = F.last("lo", ignorenulls=True).over(W.partitionBy(*keys).orderBy(F.desc("unit")).rowsBetween(W.unboundedPreceding, -1))
     x = x.withColumn("bound", F.greatest("lo", F.coalesce(following, F.lit(10_000))))
     inside = q.join(x.select(*keys, "unit", "lo", "bound"), [*keys, "unit"]).where("ayah >= lo and ayah < bound").groupBy(*keys, "unit").agg(F.max("ayah").alias("hi"))
     x = x.join(inside, [*keys, "unit"], "left").withColumn("own", F.when(F.col("lo").isNotNull(), F.struct("lo", F.coalesce("hi", "lo").alias("hi"))))

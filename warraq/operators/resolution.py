@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from warraq.functions import normalise as N
 from warraq.operators.search import tier, tier_label
+from warraq.plans.materialize import few
 
 # Words before a book's name that don't belong to it, and the widest range a reference may name.
 PREFIXES = ("shahih", "sahih", "sunan", "imam", "kitab", "hr", "musnad")
@@ -84,12 +85,12 @@ def resolve_events(queries: DataFrame, registry: DataFrame) -> DataFrame:
 
     Tier 0: the id itself; 1: the whole name, an alias as whole words, the Latin name; 2: contained. status: resolved if tier 0 or
     1 has one candidate, ambiguous otherwise (a single candidate of tier 2 included); a query without candidates comes with status
-    absent. Queries are few and broadcast.
+    absent. The queries are a stated set, held against the whole registry.
     """
     q = queries.select("qid", F.col("query"), N.name_column(F.col("query")).alias("key"), F.lower("query").alias("low"))
     hay = lambda c: F.concat(F.lit(" "), c, F.lit(" "))
     r = registry.select("event_id", "name_norm", "aliases", F.lower("name_id").alias("name_id"))
-    x = r.join(F.broadcast(q.where("key <> ''")), F.lit(True))
+    x = r.join(few(q.where("key <> ''")), F.lit(True))
     whole = (F.col("name_norm") == F.col("key")) | F.exists("aliases", lambda a: hay(a).contains(hay(F.col("key")))) | (F.col("name_id") == F.col("low"))
     part = F.col("name_norm").contains(F.col("key")) | F.exists("aliases", lambda a: a.contains(F.col("key"))) | F.col("name_id").contains(F.col("low"))
     t = F.when(F.col("event_id") == F.col("query"), 0).when(whole, 1).when(part, 2)
@@ -107,7 +108,7 @@ def search_registry(queries: DataFrame, registry: DataFrame, k: int = 15, roll_u
     Order: score, tier of the name, seq. qid, event_id, score, name_tier, label, rank, n_more (beyond k).
     """
     q = queries.select("qid", N.name_column(F.col("query")).alias("key"), F.lower("query").alias("low"))
-    x = registry.join(F.broadcast(q), F.lit(True)).where(~F.col("event_id").rlike(roll_up) | F.col("key").rlike(r"^\d+$"))
+    x = registry.join(few(q), F.lit(True)).where(~F.col("event_id").rlike(roll_up) | F.col("key").rlike(r"^\d+$"))
     name = tier(F.col("name_norm"), F.col("key"))
     alias = F.aggregate(F.transform("aliases", lambda a: tier(a, F.col("key"))), F.lit(0), lambda s, x: F.greatest(s, x))
     score = F.greatest(name, alias, tier(F.lower("name_id"), F.col("low")))
@@ -121,7 +122,7 @@ def search_persons(queries: DataFrame, entries: DataFrame, k: int = 15) -> DataF
     """persons by the best tier over the names of all their entries (person, source, name): score, number of sources, id."""
     q = queries.select("qid", N.name_column(F.col("query")).alias("key")).where("key <> ''")
     x = entries.where("person is not null").select("person", "source", N.name_column(F.col("name")).alias("name"))
-    s = x.join(F.broadcast(q), x["name"].contains(q["key"])).groupBy("qid", "person").agg(F.max(tier(F.col("name"), F.col("key"))).alias("score"), F.count_distinct("source").alias("n_sources"))
+    s = x.join(few(q), x["name"].contains(q["key"])).groupBy("qid", "person").agg(F.max(tier(F.col("name"), F.col("key"))).alias("score"), F.count_distinct("source").alias("n_sources"))
     rank = F.row_number().over(W.partitionBy("qid").orderBy(F.desc("score"), F.desc("n_sources"), "person"))
     return s.withColumn("rank", rank).where(F.col("rank") <= k)
 

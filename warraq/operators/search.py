@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from warraq.functions import normalise as N
+from warraq.plans.materialize import few
 
 # Parameters of the ranking, window of a snippet.
 K1, B = 1.2, 0.75
@@ -31,7 +32,7 @@ def query_terms(queries: DataFrame) -> DataFrame:
 
 def phrase_hits(postings: DataFrame, terms: DataFrame) -> DataFrame:
     """qid, id, tf, where all terms stand side by side in order; tf: how often."""
-    at = postings.join(F.broadcast(terms), "term").select("qid", "id", "n", "k", (F.col("pos") - F.col("k")).alias("start"))
+    at = postings.join(terms, "term").select("qid", "id", "n", "k", (F.col("pos") - F.col("k")).alias("start"))
     whole = at.groupBy("qid", "id", "start", "n").agg(F.count("*").alias("c")).where("c = n")
     return whole.groupBy("qid", "id").agg(F.count("*").alias("tf"))
 
@@ -40,8 +41,8 @@ def boolean_hits(postings: DataFrame, terms: DataFrame, every: bool) -> DataFram
     """qid, id of texts with all (or any) distinct terms; n_terms found."""
     want = terms.select("qid", "term").distinct()
     need = want.groupBy("qid").agg(F.count("*").alias("need"))
-    got = postings.select("id", "term").join(F.broadcast(want), "term").groupBy("qid", "id").agg(F.count_distinct("term").alias("n_terms"))
-    got = got.join(F.broadcast(need), "qid")
+    got = postings.select("id", "term").join(want, "term").groupBy("qid", "id").agg(F.count_distinct("term").alias("n_terms"))
+    got = got.join(need, "qid")
     return (got.where("n_terms = need") if every else got).drop("need")
 
 
@@ -57,11 +58,11 @@ def ranked(postings: DataFrame, terms: DataFrame, k: int) -> DataFrame:
     lengths = postings.groupBy("id").agg(F.count("*").alias("len"))
     stats = lengths.agg(F.count("*").alias("docs"), F.avg("len").alias("avg_len"))
     want = terms.select("qid", "term").distinct()
-    tf = postings.join(F.broadcast(want.select("term").distinct()), "term").groupBy("id", "term").agg(F.count("*").alias("tf"))
+    tf = postings.join(want.select("term").distinct(), "term").groupBy("id", "term").agg(F.count("*").alias("tf"))
     df = tf.groupBy("term").agg(F.count("*").alias("df"))
     idf = F.log((F.col("docs") - F.col("df") + 0.5) / (F.col("df") + 0.5))
     weight = F.when(idf > 0, idf).otherwise(1e-6) * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("len") / F.col("avg_len")))
-    scored = tf.join(df, "term").join(lengths, "id").crossJoin(F.broadcast(stats)).join(F.broadcast(want), "term").groupBy("qid", "id").agg(F.round(F.sum(weight), 6).alias("score"))
+    scored = tf.join(df, "term").join(lengths, "id").crossJoin(F.broadcast(stats)).join(want, "term").groupBy("qid", "id").agg(F.round(F.sum(weight), 6).alias("score"))
     rank = F.row_number().over(W.partitionBy("qid").orderBy(F.desc("score"), "id"))
     return scored.withColumn("rank", rank).where(F.col("rank") <= k)
 
@@ -96,11 +97,12 @@ def snippet(text: pd.Series, query: pd.Series) -> pd.Series:
 def title_hits(titles: DataFrame, keys: list[str], title: Column, queries: DataFrame, k: int = 20) -> DataFrame:
     """Titles in which every token of the query is a substring, in order of first appearance (column ord), at most k per query.
 
-    titles: keys, ord. The queries are few and broadcast.
+    titles: keys, ord. The queries are a stated set, held against all titles.
     """
     per = titles.select(*keys, "ord", N.search_key(title).alias("_hay")).groupBy(*keys, "_hay").agg(F.min("ord").alias("first_ord"), F.count("*").alias("n_rows"))
     q = queries.select("qid", N.tokens(N.search_key(F.col("query"))).alias("_t")).where(F.size("_t") > 0)
-    hits = per.join(F.broadcast(q), F.forall(q["_t"], lambda t: per["_hay"].contains(t)))
+    q = few(q)
+    hits = per.join(q, F.forall(q["_t"], lambda t: per["_hay"].contains(t)))
     rank = F.row_number().over(W.partitionBy("qid").orderBy("first_ord", *keys))
     return hits.select("qid", *keys, "first_ord", "n_rows", rank.alias("rank")).where(F.col("rank") <= k)
 

@@ -904,14 +904,22 @@ def year_lookup(spark: SparkSession, d: str) -> DataFrame:
 ORACLE["year_lookup"] = "WITH r AS (SELECT * FROM event_registry WHERE year_h IS NOT NULL) SELECT era, year_h, count(*) AS n_events, min(event_id) AS first_event, (SELECT min(year_h) FROM r b WHERE b.era IS NOT DISTINCT FROM a.era) AS first_year, (SELECT max(year_h) FROM r b WHERE b.era IS NOT DISTINCT FROM a.era) AS last_year FROM r a GROUP BY era, year_h"
 
 
+def _year_titles() -> list[tuple[str, int | None]]:
+    units = list(P.UNITS.items())
+    rows: list[tuple[str, int | None]] = [(f"سنة {w}", n) for w, n in units] + [(f"سنة {w} عشرة", n + 10) for w, n in units if n < 10]
+    rows += [(f"سنه {w} و{t}", n + m) for w, n in units for t, m in P.TENS.items() if n < 10 and n + m <= 40]
+    rows += [(f"ذكر السنة {w} من الهجرة", i + 1) for i, w in enumerate(P.ORDINALS)]
+    return rows + [("ذكر ما كان في أول سنة من الهجرة", 1), ("باب آخر", None), ("سنة", None), ("سنة تسع واربعين", None)]
+
+
 @query
 def year_titles(spark: SparkSession, d: str) -> DataFrame:
-    """Years named in words by chapter titles: every number word up to 40, made into a title, and back."""
-    units = [(w, n) for w, n in P.UNITS.items()]
-    rows = [(f"سنة {w}", n) for w, n in units] + [(f"سنة {w} عشرة", n + 10) for w, n in units if n < 10] + [(f"سنه {w} و{t}", n + m) for w, n in units for t, m in P.TENS.items() if n < 10 and n + m <= 40]
-    rows += [(f"ذكر السنة {w} من الهجرة", i + 1) for i, w in enumerate(P.ORDINALS)] + [("ذكر ما كان في أول سنة من الهجرة", 1), ("باب آخر", None), ("سنة", None), ("سنة تسع واربعين", None)]
-    t = _values(spark, rows, "title string, expected int")
-    return t.select("title", "expected", P.year_of_title(F.col("title")).alias("year"))
+    """Years named in words by chapter titles: every number word up to 40 made into a title, and read back."""
+    t = _values(spark, [(t,) for t, _ in _year_titles()], "title string")
+    return t.select("title", P.year_of_title(F.col("title")).alias("year"))
+
+
+ORACLE["year_titles"] = "SELECT title, CAST(year AS INTEGER) AS year FROM (VALUES " + ", ".join(f"('{t}', {'NULL' if n is None else n})" for t, n in _year_titles()) + ") AS v(title, year)"
 
 
 @query
@@ -965,6 +973,14 @@ def rule_cascade(spark: SparkSession, d: str) -> DataFrame:
     return entities.cascade(cut(_open(spark, d), "open"), _canon(spark, d))
 
 
+@query
+def kunya_titles(spark: SparkSession, d: str) -> DataFrame:
+    """Entries titled by a kunya to canonical persons, by the name that follows in the title or by kunya and nisba."""
+    q = table(spark, d, "person_entries").where("link_status is null or link_status <> 'canonical'").select(F.col("entry_id").alias("qid"), F.col("name_ar").alias("title"), F.col("name_ar").alias("body")).distinct()
+    canon = table(spark, d, "persons").select(F.col("ishabah_id").alias("cid"), F.concat_ws(" ", "kunya", "name_ar").alias("name"))
+    return entities.kunya_titled(cut(q, "titles"), canon)
+
+
 @query
 def candidate_topk(spark: SparkSession, d: str) -> DataFrame:
     """Up to eight candidates per entry by shared name words."""
@@ -1044,6 +1060,16 @@ def heading_match_scores(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("source", "web_page", "para_idx", alignment.match_score(F.col("phrase"), F.col("para_idx"), F.col("verse"), F.lit(1)).alias("score"))
 
 
+ORACLE["heading_match_scores"] = f"""
+WITH p AS (SELECT source, web_page, para_idx, {_sql('N4', 'substr(text, 1, 60)')} AS ph, {_sql('N4', 'text')} AS t FROM (SELECT DISTINCT source, web_page, para_idx, text FROM pages WHERE text IS NOT NULL)),
+q AS (SELECT *, lead(t) OVER (PARTITION BY source, web_page ORDER BY para_idx) AS v FROM p),
+w AS (SELECT *, string_split(ph, ' ') AS a, string_split(v, ' ') AS b FROM q),
+c AS (SELECT *, list_transform(range(1, least(len(a), len(b)) + 1), lambda i: a[i] = b[i]) AS eq FROM w)
+SELECT source, web_page, para_idx, CASE WHEN v IS NULL OR ph = '' OR v = '' THEN 0 WHEN starts_with(v, ph) THEN CASE WHEN len(a) >= 3 THEN 60 ELSE 30 END
+  WHEN length(replace(v, ' ', '')) >= 8 AND starts_with(ph, v) THEN 60 WHEN coalesce(nullif(list_position(eq, false), 0) - 1, len(eq)) >= 3 THEN 40 ELSE 0 END + CASE WHEN para_idx = 1 THEN 100 ELSE 0 END AS score FROM c
+"""
+
+
 @query
 def located_headings(spark: SparkSession, d: str) -> DataFrame:
     """Canonical persons' names located in their dictionary's pages, in order."""
@@ -1099,7 +1125,7 @@ def incremental_ingest(spark: SparkSession, d: str) -> DataFrame:
     from warraq.plans.materialize import shared_folder
     from warraq.streaming.ingest import ingest
 
-    folder = f"{shared_folder(spark)}/warraq-{uuid.uuid4().hex[:12]}-ingest"
+    folder = f"{shared_folder(spark)}/warraq-{spark.sparkContext.applicationId}-{uuid.uuid4().hex[:12]}-ingest"
     p = _pages(spark, d).where("text is not null")
     sinks.write_json_lines(_records(p), f"{folder}/in")
     ingest(spark, f"{folder}/in", f"{folder}/out", f"{folder}/state")

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -27,10 +28,24 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     A written table rather than ``checkpoint()``: the plan runs once, and the files are columnar, compressed and prunable.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/warraq-{uuid.uuid4().hex[:12]}-{name}"
+    path = f"{shared_folder(spark)}/warraq-{spark.sparkContext.applicationId}-{uuid.uuid4().hex[:12]}-{name}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def sweep(spark: SparkSession) -> int:
+    """Removes the tables that this application has written to the shared folder; how many. Results that read them can't be read afterwards."""
+    sc = spark.sparkContext
+    pattern = sc._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/warraq-{sc.applicationId}-*")
+    fs = pattern.getFileSystem(sc._jsc.hadoopConfiguration())
+    found = fs.globStatus(pattern) or []
+    return sum(bool(fs.delete(f.getPath(), True)) for f in found)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def few(df: DataFrame, most: int = 10_000) -> DataFrame:
+    """A stated set of questions, to be held against all rows: with a broadcast hint if there are at most ``most``, else as it is."""
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
