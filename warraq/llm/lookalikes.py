@@ -4,7 +4,7 @@ Three kinds of characters are brought to the ordinary form. Those whose ordinary
 presentation forms, special spaces, marks that Unicode composes with their letter) are replaced wherever they stand. Invisible
 ones are dropped where that changes no joining of letters. Look-alike letters and digits of another script are substituted only in
 tokens of mixed script, towards the token's dominant script, and only when the result exists in the corpus vocabulary, which is
-gathered over all texts (or, for words that occur once, when all its letter triples do). Vowel marks, tatweel, raised figures, one-character honorifics and words wholly in another script stay.
+gathered over all texts (or, for words that occur once, when all its pairs of neighbouring letters do). Vowel marks, tatweel, raised figures, one-character honorifics and words wholly in another script stay.
 """
 
 from __future__ import annotations
@@ -201,8 +201,8 @@ def one_form(texts: DataFrame) -> DataFrame:
     numbers = wanted.where(F.col("word").rlike("^[٠-٩]+$"))
     words = cut(vocabulary(texts), "vocabulary")
     whole = cut(wanted.join(words, "word", "left_semi").unionByName(numbers).distinct(), "known")
-    # A name that occurs once can't be in the vocabulary; it is taken if every three letters of it are, at their place in a word.
-    parts = F.explode(F.expr("transform(sequence(1, length(word)), i -> substring(concat('^', word, '$'), i, 3))")).alias("part")
+    # A name that occurs once can't be in the vocabulary; it is taken if every two neighbouring letters of it are, the first and the last at their place in a word.
+    parts = F.explode(F.expr("transform(sequence(1, length(word) + 1), i -> substring(concat('^', word, '$'), i, 2))")).alias("part")
     rest = wanted.join(whole, "word", "left_anti").where("length(word) > 1").select("word", parts)
     unknown = rest.join(words.select(parts).distinct(), "part", "left_anti").select("word").distinct()
     known = whole.unionByName(rest.select("word").distinct().join(unknown, "word", "left_anti"))
