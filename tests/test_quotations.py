@@ -26,6 +26,11 @@ def test_numbered_blocks(spark):
     assert [(r.pos, r.lo, r.hi) for r in got] == [(1, 1, 2), (4, 3, 3), (5, 7, 7)]
 
 
+def test_inline_quotes(spark):
+    rows = spark.createDataFrame([("b", 1, "قال {الحمدُ لله} ثم ﴿رب العالمين.﴾ {x}"), ("b", 2, None)], "key string, i int, text string")
+    assert [(r.pos, r.k, r.phrase) for r in Q.inline_quotes(rows, ["key"], "i").orderBy("k").collect()] == [(1, 0, "الحمد لله"), (1, 1, "رب العالمين")]
+
+
 def test_section_units(spark):
     texts = ["فضلها", "التفسير", "x", "اللغة", "التفسير", "y", "البلاغة", "خاتمة"]
     rows = spark.createDataFrame([("b", i, t) for i, t in enumerate(texts)], "k string, i int, text string")

@@ -194,13 +194,13 @@ QUALIFY row_number() OVER (PARTITION BY source, web_page ORDER BY para_idx, para
 def half_open_positions(spark: SparkSession, d: str) -> DataFrame:
     """Dictionary entries' half-open positions as inclusive ones, with missing ends filled from the page."""
     n = _slim(spark, d, "source", "web_page", "para_idx").groupBy("source", "web_page").agg((F.max("para_idx") + 1).alias("n"))
-    e = table(spark, d, "person_entries").select("entry_id", "source", F.col("from_page").alias("start_page"), F.col("from_para").alias("para_start"), F.col("to_page").alias("last_page"), (F.nullif(F.col("to_para"), F.lit(2)) + 1).alias("para_end")).distinct()
+    e = table(spark, d, "person_entries").select("entry_id", "source", F.col("from_page").alias("start_page"), F.col("from_para").alias("para_start"), F.col("to_page").alias("last_page"), (F.col("to_para") + 1).alias("para_end")).distinct()
     return slicing.inclusive(e, n).select("entry_id", "source", "start_page", "from_para", "last_page", "to_para")
 
 
 ORACLE["half_open_positions"] = """
 WITH n AS (SELECT source, web_page, max(para_idx) + 1 AS n FROM pages GROUP BY source, web_page),
-e AS (SELECT DISTINCT entry_id, source, from_page, from_para, to_page, nullif(to_para, 2) + 1 AS para_end FROM person_entries)
+e AS (SELECT DISTINCT entry_id, source, from_page, from_para, to_page, to_para + 1 AS para_end FROM person_entries)
 SELECT e.entry_id, e.source, e.from_page AS start_page, coalesce(e.from_para, 0) AS from_para, e.to_page AS last_page, coalesce(e.para_end - 1, n.n - 1) AS to_para
 FROM e LEFT JOIN n ON e.source = n.source AND e.to_page = n.web_page
 """
@@ -511,10 +511,10 @@ SELECT source, event_id, from_page, to_page, n FROM p QUALIFY row_number() OVER
 def _toc(spark: SparkSession, d: str) -> DataFrame:
     s = _segments(spark, d).where("from_page is not null and surah is not null")
     i = F.row_number().over(W.partitionBy("source").orderBy("from_page", F.coalesce("from_para", F.lit(-1)), "seg_id"))
-    return s.select("source", i.alias("i"), F.col("from_page").alias("page"), (F.col("surah") % 3).alias("depth"))
+    return s.select("source", i.alias("i"), F.col("from_page").alias("page"), F.coalesce(F.length("label"), F.lit(0)).alias("depth"))
 
 
-_TOC_SQL = f"t AS (SELECT source, row_number() OVER (PARTITION BY source ORDER BY from_page, coalesce(from_para, -1), seg_id) AS i, from_page AS page, surah % 3 AS depth FROM {_SEG} WHERE from_page IS NOT NULL AND surah IS NOT NULL)"
+_TOC_SQL = f"t AS (SELECT source, row_number() OVER (PARTITION BY source ORDER BY from_page, coalesce(from_para, -1), seg_id) AS i, from_page AS page, coalesce(length(label), 0) AS depth FROM {_SEG} WHERE from_page IS NOT NULL AND surah IS NOT NULL)"
 
 
 @query
@@ -542,15 +542,14 @@ SELECT a.source, CAST(a.i AS INTEGER) AS i, a.page, a.depth, CAST((SELECT max(b.
 
 @query
 def interval_contains(spark: SparkSession, d: str) -> DataFrame:
-    """Dictionary entries of the pages that events stand on: page spans meeting requested spans of the same book role, by number."""
-    asked = slicing.latest_rows(table(spark, d, "segments"), "seg_id").where("from_page <= to_page").select("seg_id", F.col("from_page").alias("a"), F.least("to_page", F.col("from_page") + 20).alias("b"), F.col("source").alias("src"))
-    rows = _slim(spark, d, "source", "web_page").select(F.col("source").alias("src"), F.col("web_page").alias("num"))
-    return asked.select("seg_id", "src", F.explode(F.sequence("a", "b")).alias("num")).join(rows, ["src", "num"]).groupBy("seg_id").agg(F.count("*").alias("n_pages"))
+    """How many of its book's pages each segment covers: intervals against page numbers."""
+    pages = _slim(spark, d, "source", "web_page").select("source", "web_page", F.lit(0).alias("para_idx"), F.lit("page").alias("text"))
+    whole = _segments(spark, d).select("seg_id", "source", "from_page", F.lit(0).alias("from_para"), "to_page", F.lit(0).alias("to_para"))
+    return slicing.slice_intervals(whole, pages).groupBy("seg_id").agg(F.count("*").alias("n_pages"))
 
 
 ORACLE["interval_contains"] = f"""
-SELECT s.seg_id, count(*) AS n_pages FROM {_SEG} s JOIN (SELECT DISTINCT source, web_page FROM pages) p ON p.source = s.source AND p.web_page BETWEEN s.from_page AND least(s.to_page, s.from_page + 20)
-WHERE s.from_page <= s.to_page GROUP BY s.seg_id
+SELECT s.seg_id, count(*) AS n_pages FROM {_SEG} s JOIN (SELECT DISTINCT source, web_page FROM pages) p ON p.source = s.source AND p.web_page BETWEEN s.from_page AND s.to_page GROUP BY s.seg_id
 """
 
 
@@ -1054,14 +1053,13 @@ def align_monotone(spark: SparkSession, d: str) -> DataFrame:
 def heading_match_scores(spark: SparkSession, d: str) -> DataFrame:
     """Scores of neighbouring paragraphs as heading and verse."""
     p = _slim(spark, d, "source", "web_page", "para_idx", "text").where("text is not null")
-    key = N.verse_key(F.substring("text", 1, 60))
     w = W.partitionBy("source", "web_page").orderBy("para_idx")
-    rows = p.select("source", "web_page", "para_idx", key.alias("phrase"), F.lead(N.verse_key(F.col("text"))).over(w).alias("verse"))
+    rows = p.select("source", "web_page", "para_idx", N.verse_key(F.col("text")).alias("phrase"), F.lead(N.verse_key(F.col("text"))).over(w).alias("verse"))
     return rows.select("source", "web_page", "para_idx", alignment.match_score(F.col("phrase"), F.col("para_idx"), F.col("verse"), F.lit(1)).alias("score"))
 
 
 ORACLE["heading_match_scores"] = f"""
-WITH p AS (SELECT source, web_page, para_idx, {_sql('N4', 'substr(text, 1, 60)')} AS ph, {_sql('N4', 'text')} AS t FROM (SELECT DISTINCT source, web_page, para_idx, text FROM pages WHERE text IS NOT NULL)),
+WITH p AS (SELECT source, web_page, para_idx, {_sql('N4', 'text')} AS ph, {_sql('N4', 'text')} AS t FROM (SELECT DISTINCT source, web_page, para_idx, text FROM pages WHERE text IS NOT NULL)),
 q AS (SELECT *, lead(t) OVER (PARTITION BY source, web_page ORDER BY para_idx) AS v FROM p),
 w AS (SELECT *, string_split(ph, ' ') AS a, string_split(v, ' ') AS b FROM q),
 c AS (SELECT *, list_transform(range(1, least(len(a), len(b)) + 1), lambda i: a[i] = b[i]) AS eq FROM w)
@@ -1218,16 +1216,16 @@ UNION ALL SELECT source, web_page, 'intro', f, min(pos) - 1 FROM s GROUP BY sour
 
 @query
 def phrase_verse_tiers(spark: SparkSession, d: str) -> DataFrame:
-    """The beginning of every paragraph looked for in the other paragraphs of its page, by tiers."""
+    """The first three words of every paragraph looked for in the other paragraphs of its page, by tiers."""
     p = _slim(spark, d, "para_id", "source", "web_page", "para_idx", "text").where("text is not null").withColumn("key", N.verse_key(F.col("text")))
-    phrases = p.select("source", "web_page", F.col("para_id").alias("pid"), F.substring("key", 1, 14).alias("phrase"))
+    phrases = p.select("source", "web_page", F.col("para_id").alias("pid"), F.array_join(F.slice(F.split("key", " "), 1, 3), " ").alias("phrase"))
     verses = p.select("source", "web_page", F.col("para_idx").alias("ayah"), F.col("key").alias("verse"))
     return segmentation.phrase_verse(phrases, verses, ["source", "web_page"])
 
 
 ORACLE["phrase_verse_tiers"] = f"""
 WITH p AS (SELECT para_id, source, web_page, para_idx, {_sql('N4', 'text')} AS v FROM (SELECT DISTINCT para_id, source, web_page, para_idx, text FROM pages WHERE text IS NOT NULL)),
-q AS (SELECT source, web_page, para_id AS pid, substr(v, 1, 14) AS ph FROM p),
+q AS (SELECT source, web_page, para_id AS pid, array_to_string(string_split(v, ' ')[1:3], ' ') AS ph FROM p),
 x AS (SELECT q.*, p.para_idx AS ayah, v, replace(v, ' ', '') AS bv, replace(ph, ' ', '') AS bp FROM q JOIN p USING (source, web_page) WHERE ph <> '' AND v <> ''),
 t AS (SELECT source, web_page, pid, ayah, CASE WHEN starts_with(v, ph) OR (length(v) >= 8 AND starts_with(ph, v)) THEN 1 WHEN starts_with(bv, bp) OR (length(bv) >= 8 AND starts_with(bp, bv)) THEN 2
   WHEN len(string_split(ph, ' ')) >= 2 AND starts_with(v, array_to_string(string_split(ph, ' ')[1:2], ' ')) THEN 3 WHEN contains(v, ph) OR (length(v) >= 12 AND contains(ph, v)) THEN 4 END AS tier FROM x),
@@ -1241,15 +1239,15 @@ def title_labels(spark: SparkSession, d: str) -> DataFrame:
     """Page titles of a digital commentary to chapter and verse label."""
     s = _segments(spark, d).where("label is not null and surah is not null")
     titles = s.select(F.col("seg_id").alias("tid"), F.concat(F.lit("Commentary - Chapter"), F.col("surah").cast("string"), F.lit(" "), F.when(F.col("label").rlike("^\\d"), F.col("label")).otherwise("Introduction of chapter")).alias("title"))
-    names = s.select("surah").distinct().where("surah % 10 <> 0").select("surah", F.concat(F.lit("CHAPTER"), F.col("surah").cast("string")).alias("name"))
+    names = s.select("surah").distinct().select("surah", F.concat(F.lit("CHAPTER"), F.col("surah").cast("string")).alias("name"))
     return segmentation.title_labels(titles, names, "Commentary - ")
 
 
 ORACLE["title_labels"] = rf"""
 WITH s AS (SELECT seg_id AS tid, surah, CASE WHEN regexp_matches(label, '^\d') THEN label END AS l FROM {_SEG} WHERE label IS NOT NULL AND surah IS NOT NULL),
 b AS (SELECT *, l IS NULL OR regexp_matches(l, '^\d+(-\d+)?$') AS fits FROM s)
-SELECT tid, CASE WHEN fits AND surah % 10 <> 0 THEN surah END AS surah, CASE WHEN fits AND surah % 10 <> 0 THEN CASE WHEN l IS NULL THEN 'intro' WHEN contains(l, '-') AND split_part(l, '-', 1) = split_part(l, '-', 2) THEN split_part(l, '-', 1) ELSE l END END AS label,
-  CASE WHEN NOT fits THEN 'unknown pattern' WHEN surah % 10 = 0 THEN 'unknown name' ELSE 'ok' END AS status FROM b
+SELECT tid, CASE WHEN fits THEN surah END AS surah, CASE WHEN NOT fits THEN NULL WHEN l IS NULL THEN 'intro' WHEN contains(l, '-') AND split_part(l, '-', 1) = split_part(l, '-', 2) THEN split_part(l, '-', 1) ELSE l END AS label,
+  CASE WHEN fits THEN 'ok' ELSE 'unknown pattern' END AS status FROM b
 """
 
 
@@ -1270,17 +1268,17 @@ SELECT source, surah, count(*) AS n, count(*) FILTER (WHERE lo < m) AS n_back, c
 
 @query
 def reviewed_links(spark: SparkSession, d: str) -> DataFrame:
-    """Reviewed links checked against the candidates that were asked about."""
+    """Reviewed links checked against questions with a town and candidates with a kunya."""
     e = table(spark, d, "person_entries").where("entry_num is not null")
     reviewed = e.where("link_method = 'review'").select("source", F.col("entry_num").alias("number"), F.col("ishabah_id").alias("cid"), F.col("link_confidence").alias("confidence"))
-    asked = e.where("entry_num % 7 <> 0").groupBy("source", F.col("entry_num").alias("number")).agg(F.array_sort(F.collect_set(F.when(F.col("ishabah_id") % 5 != 0, F.col("ishabah_id")))).alias("candidates"))
+    asked = e.where("town is not null").groupBy("source", F.col("entry_num").alias("number")).agg(F.array_sort(F.collect_set(F.when(F.col("kunya").isNotNull(), F.col("ishabah_id")))).alias("candidates"))
     return segmentation.merge_reviewed(reviewed, asked)
 
 
 ORACLE["reviewed_links"] = """
 WITH e AS (SELECT * FROM person_entries WHERE entry_num IS NOT NULL),
 r AS (SELECT source, entry_num AS number, ishabah_id AS cid, link_confidence AS confidence FROM e WHERE link_method = 'review' QUALIFY row_number() OVER (PARTITION BY source, entry_num ORDER BY link_confidence DESC NULLS LAST, ishabah_id DESC NULLS LAST) = 1),
-k AS (SELECT source, entry_num AS number, list(DISTINCT ishabah_id) FILTER (WHERE ishabah_id % 5 <> 0) AS c FROM e WHERE entry_num % 7 <> 0 GROUP BY ALL),
+k AS (SELECT source, entry_num AS number, list(DISTINCT ishabah_id) FILTER (WHERE kunya IS NOT NULL) AS c FROM e WHERE town IS NOT NULL GROUP BY ALL),
 x AS (SELECT r.*, CASE WHEN k.number IS NULL THEN 'unknown question' WHEN cid IS NULL THEN 'null' WHEN NOT coalesce(list_contains(c, cid), false) THEN 'rejected' ELSE 'ok' END AS outcome FROM r LEFT JOIN k ON k.source = r.source AND k.number = r.number)
 SELECT source, number, CASE WHEN outcome = 'ok' THEN cid END AS cid, coalesce(confidence, 'low') AS confidence, CASE WHEN outcome = 'ok' THEN 'resolved' ELSE 'unresolved' END AS status, outcome FROM x
 """
