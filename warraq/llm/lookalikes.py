@@ -43,7 +43,6 @@ _LIKE = "".join([*ARABIC_LIKE, *DIGIT_LIKE, *LATIN_LIKE])
 ODD = f"[{_CLASS}{_LIKE}]"
 _TOKEN = re.compile(r"[^\W_]+(?:[\u0610-\u061A\u064B-\u065F\u0670ـʿʾ'’]+[^\W_]+)*[\u064B-\u065F\u0670]*")
 _MARKS = re.compile(r"[\u0610-\u061A\u064B-\u065F\u0670ـ]")
-_LETTER = re.compile(r"[^\W\d_]")
 
 
 def _arabic(c: str) -> bool:
@@ -159,10 +158,6 @@ def candidates(text: str) -> list[tuple[int, int, str]]:
     return found
 
 
-def _words(text: str) -> list[str]:
-    return [m[0] for m in _TOKEN.finditer(text)]
-
-
 def _first(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for b in batches:
         done = [plain(t) for t in b["text"]]
