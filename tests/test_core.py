@@ -285,6 +285,30 @@ def test_candidates_against_plain_python(spark):
     assert got == brute_candidates(q, c, names, 3)
 
 
+def test_candidate_list(spark):
+    """Kunya, nisba, epithets, the gate, previous and forced candidates, evidence for the main entry, entries without candidates."""
+    canon = spark.createDataFrame(
+        [(1, "زيد بن خالد القرشي", "أبو جوفخ"), (2, "عمرو بن زيد", None), (3, "أبو طالب", None), (4, "عمار بن بكر", None), (5, "كعب بن مالك الصديق", None), (6, "أبي بن كعب", None), (7, "زيد بن بشر", None)]
+        + [(i, "سهل بن هند", "أبو ليث") for i in range(11, 17)],
+        "cid int, name string, kunya string",
+    )
+    q = spark.createDataFrame([(1, "أبو جوفخ القرشي"), (2, "زيد بن خالد"), (3, "أبو طالب"), (4, "مالك الصديق"), (5, "أبي بن كعب"), (6, None), (7, "ظظظ"), (8, "أبو ليث")], "qid int, name string")
+    aliases = spark.createDataFrame([(3, 4)], "cid int, main int")
+    previous = spark.createDataFrame([(2, 5, 0)], "qid int, cid int, place int")
+    got = {}
+    for r in entities.candidate_list(q, canon, aliases, previous).collect():
+        got.setdefault(r.qid, []).append((r["rank"], r.cid, r.score, r.how))
+    got = {k: sorted(v, key=lambda x: x[0] or 0) for k, v in got.items()}
+    assert got[1] == [(1, 1, 2, "kunya")]
+    # The previous one first though it scores nothing; 7 shares the first word; 2 has it as a forefather's, which scores nothing.
+    assert got[2] == [(1, 5, 0, "previous"), (2, 1, 5, "gated"), (3, 7, 3, "gated")]
+    assert got[3] == [(1, 3, 1, "kunya"), (2, 4, 1, "gated")]
+    assert got[4][0] == (1, 5, 3, "fill")
+    assert got[5][0] == (1, 6, 5, "gated")
+    assert got[6] == got[7] == [(None, None, None, "none")]
+    assert [x[3] for x in got[8]] == ["kunya"] * 4 + ["gated"] * 2 and [x[1] for x in got[8]] == list(range(11, 17))
+
+
 def test_sinks(spark, tmp_path):
     df = spark.createDataFrame([("s", 2, None), ("s", 1, "x"), ("t", 1, "y")], "source string, i int, t string")
     sinks.write_json_lines(df, str(tmp_path / "j"))

@@ -982,8 +982,14 @@ def kunya_titles(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def candidate_topk(spark: SparkSession, d: str) -> DataFrame:
-    """Up to eight candidates per entry by shared name words."""
-    return entities.candidates(_open(spark, d), _canon(spark, d))
+    """Up to eight candidates per entry by all shared words of the names; the canonical persons with their stored kunya and their articles' heads."""
+    p = table(spark, d, "persons")
+    article = p.select(F.col("ishabah_id").alias("seg_id"), F.lit("kamus_asl").alias("source"), "from_page", "from_para", "to_page", "to_para")
+    text = _slim(spark, d, "source", "web_page", "para_idx", "text").where("source = 'kamus_asl'")
+    heads = entities.head_and_body(slicing.slice_intervals(article, text), P.is_heading(F.col("text"))).select(F.col("seg_id").alias("cid"), "head_text")
+    aliases = entities.title_aliases(p.select(F.col("ishabah_id").alias("cid"), F.col("name_ar").alias("title")).join(heads, "cid", "left"))
+    canon = p.select(F.col("ishabah_id").alias("cid"), F.col("name_ar").alias("name"), "kunya")
+    return entities.candidate_list(cut(_open(spark, d), "open"), canon, cut(aliases, "aliases"))
 
 
 @query
