@@ -309,6 +309,22 @@ def test_candidate_list(spark):
     assert [x[3] for x in got[8]] == ["kunya"] * 4 + ["gated"] * 2 and [x[1] for x in got[8]] == list(range(11, 17))
 
 
+def test_search_names(spark):
+    """Words that stand apart, unlinked entries, sources over all of a person's entries, roll-ups hidden and counted or asked for."""
+    reg = spark.createDataFrame([("a", 1, "خطبه كبيره في وادي", "x", ["يوم"]), ("tahun_1_h", 2, "سنه واحد يوم", "Tahun 1", [])], "event_id string, seq int, name_norm string, name_id string, aliases array<string>")
+    persons = spark.createDataFrame([(1, "زيد بن خالد بن عمرو"), (2, "بكر")], "person int, name string")
+    e = spark.createDataFrame([(10, 1, "s", 1, "زيد بن خالد بن عمرو"), (11, 1, "t", 1, "غيره"), (12, None, "t", 2, "زيد الطويل عمرو"), (13, None, "s", 9, "زيدان عمرو"), (14, None, "t", 3, None)], "entry_id int, person int, source string, entry_num int, name string")
+    q = spark.createDataFrame([(1, "خطبة وادي"), (2, "زيد عمرو"), (3, "يوم"), (4, "سنة يوم"), (5, " "), (6, "tahun")], "qid int, query string")
+    got = {(r.qid, r.kind, r.id, r.score, r["rank"], r.n_more) for r in resolution.search_names(q, reg, persons, e).collect()}
+    assert got == {
+        (1, "event", "a", 0, 1, 0), (2, "person", "1", 0, 1, 0), (2, "unlinked", "12", None, 1, 0), (3, "event", "a", 100, 1, 0), (3, "hidden", None, None, 1, 1), (4, "event", "tahun_1_h", 0, 1, 0),
+        (6, "event", "tahun_1_h", 60, 1, 0),
+    }
+    many = spark.createDataFrame([(i, None, "s", i, "زيد") for i in range(23)], "entry_id int, person int, source string, entry_num int, name string")
+    rows = resolution.search_names(spark.createDataFrame([(1, "زيد")], "qid int, query string"), reg, persons.where("person = 2"), many).collect()
+    assert sorted(int(r.id) for r in rows) == list(range(20)) and {(r.kind, r.n_more) for r in rows} == {("unlinked", 3)}
+
+
 def test_sinks(spark, tmp_path):
     df = spark.createDataFrame([("s", 2, None), ("s", 1, "x"), ("t", 1, "y")], "source string, i int, t string")
     sinks.write_json_lines(df, str(tmp_path / "j"))

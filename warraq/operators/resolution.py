@@ -127,6 +127,41 @@ def search_persons(queries: DataFrame, entries: DataFrame, k: int = 15) -> DataF
     return s.withColumn("rank", rank).where(F.col("rank") <= k)
 
 
+def search_names(queries: DataFrame, registry: DataFrame, persons: DataFrame, entries: DataFrame, k: int = 15, most: int = 20, roll_up: str = r"^tahun_.*_h$") -> DataFrame:
+    """all that queries (qid, query) find under a name, through every channel: contained in a name, alias or Latin name, or all words anywhere in it.
+
+    persons: person, name; entries: entry_id, person (null: unlinked), source, entry_num, name. kind: event, hidden (roll-up rows not shown, as the
+    query is no number and names no year; counted in n_more), person, unlinked (entries of no person, by source and number, ``most`` shown).
+    qid, kind, id, score (null: hidden, unlinked), rank, n_more (beyond those shown).
+    """
+    every = F.array_distinct(N.tokens(N.search_key(F.col("query"))))
+    q = few(queries.where("trim(query) <> ''").select("qid", N.name_column(F.col("query")).alias("key"), F.lower(F.trim("query")).alias("low"), every.alias("words")))
+    in_words = (F.size("words") > 0) & F.forall("words", lambda t: F.array_contains("hay", t))
+    words = lambda c: F.coalesce(N.tokens(N.search_key(c)), F.array().cast("array<string>"))
+    within = (F.col("key") != "") & F.col("name").contains(F.col("key"))
+    shown = lambda df, n, *order: df.withColumn("rank", F.row_number().over(W.partitionBy("qid").orderBy(*order))).withColumn("n_more", F.greatest(F.count("*").over(W.partitionBy("qid")) - n, F.lit(0))).where(F.col("rank") <= n)
+    out = lambda df, kind, id_, score: df.select("qid", F.lit(kind).alias("kind"), id_.cast("string").alias("id"), score.cast("int").alias("score"), "rank", "n_more")
+    none = F.lit(None)
+
+    x = registry.select("event_id", "seq", "name_norm", "aliases", F.lower("name_id").alias("name_id"), words(F.concat_ws(" ", "name_norm", "aliases")).alias("hay")).join(q, F.lit(True))
+    name = tier(F.col("name_norm"), F.col("key"))
+    alias = F.coalesce(F.array_max(F.transform("aliases", lambda a: tier(a, F.col("key")))), F.lit(0))
+    year = F.col("key").rlike(r"^\p{Nd}+$") | F.col("key").contains("سنه") | F.col("low").contains("tahun")
+    ev = x.select("qid", "event_id", "seq", F.greatest(name, alias, tier(F.col("name_id"), F.col("low"))).alias("score"), name.alias("name_tier"), in_words.alias("all"), (F.col("event_id").rlike(roll_up) & ~year).alias("hide")).where("score > 0 or all")
+    events = out(shown(ev.where("not hide"), k, F.desc("score"), F.desc("name_tier"), "seq", "event_id"), "event", F.col("event_id"), F.col("score"))
+    hidden = out(ev.where("hide").groupBy("qid").agg(F.count("*").alias("n_more")).withColumn("rank", F.lit(1)), "hidden", none, none)
+
+    e = entries.select("entry_id", "person", "source", "entry_num", F.col("name").alias("stored"), N.name_column(F.col("name")).alias("name"), words(F.col("name")).alias("hay"))
+    p = persons.select("person", F.lit(None).cast("string").alias("source"), N.name_column(F.col("name")).alias("name"))
+    hit = e.where("person is not null").join(q, within | in_words).select("qid", "person").union(p.join(q, within).select("qid", "person")).distinct()
+    named = e.where("person is not null").select("person", "source", "name").unionByName(p)
+    s = hit.join(named, "person").join(q, "qid").groupBy("qid", "person").agg(F.max(tier(F.col("name"), F.col("key"))).alias("score"), F.count_distinct("source").alias("n_sources"))
+    people = out(shown(s, k, F.desc("score"), F.desc("n_sources"), "person"), "person", F.col("person"), F.col("score"))
+    u = e.where("person is null").join(q, in_words | ((F.size("words") == 0) & within)).groupBy("qid", "source", "entry_num", "stored").agg(F.min("entry_id").alias("entry_id"))
+    unlinked = out(shown(u, most, "source", "entry_num", "entry_id"), "unlinked", F.col("entry_id"), none)
+    return events.unionByName(hidden).unionByName(people).unionByName(unlinked)
+
+
 def with_fixes(rows: DataFrame, fixes: DataFrame) -> DataFrame:
     """Rows (row_id, num, grade, grade_by) with a note on a corrected number and on the stored grade and its authority; fixes: row_id, printed_label, reason.
 

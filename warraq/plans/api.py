@@ -174,12 +174,12 @@ class Corpus:
 
     # Q9
     def search(self, query: str) -> DataFrame:
-        """Events and persons under a name, by tier of match."""
+        """Events, persons and entries of no person under a name, by tier of match; a row of kind hidden counts the roll-ups that aren't shown."""
         q = self.spark.createDataFrame([(1, query)], "qid int, query string")
-        ev = resolution.search_registry(q, self.registry).select(F.lit("event").alias("kind"), F.col("event_id").alias("id"), "score", "rank")
-        e = self.entries.select(F.col("ishabah_id").alias("person"), "source", F.col("name_ar").alias("name"))
-        pe = resolution.search_persons(q, e).select(F.lit("person").alias("kind"), F.col("person").cast("string").alias("id"), "score", "rank")
-        return ev.unionByName(pe).withColumn("tier", search.tier_label(F.col("score"))).orderBy("kind", "rank")
+        e = self.entries.select("entry_id", F.col("ishabah_id").alias("person"), "source", "entry_num", F.col("name_ar").alias("name"))
+        p = self._table("persons").select(F.col("ishabah_id").alias("person"), F.col("name_ar").alias("name"))
+        found = resolution.search_names(q, self.registry, p, e).drop("qid")
+        return found.withColumn("tier", F.when(F.col("score").isNotNull(), search.tier_label(F.col("score")))).orderBy("kind", "rank")
 
     # Q10, Q11, Q16
     def coverage(self) -> DataFrame:

@@ -829,6 +829,15 @@ SELECT qid, person, score, n_sources, CAST(row_number() OVER (PARTITION BY qid O
 """
 
 
+@query
+def name_search(spark: SparkSession, d: str) -> DataFrame:
+    """All that names find: events with the hidden roll-ups counted, persons, entries of no person; contained, or all words anywhere."""
+    e = table(spark, d, "person_entries").select("entry_id", F.col("ishabah_id").alias("person"), "source", "entry_num", F.col("name_ar").alias("name")).distinct()
+    p = table(spark, d, "persons").select(F.col("ishabah_id").alias("person"), F.col("name_ar").alias("name"))
+    q = EVENT_QUERIES + [(11, "عبد"), (12, "بن"), (13, "أبو"), (14, "بنت"), (15, "بنت عبد"), (16, "بن أبو"), (17, "سنة"), (18, "هجرة سنة")]
+    return resolution.search_names(_values(spark, q, "qid int, query string"), _registry(spark, d), p, e)
+
+
 @query
 def alias_resolve(spark: SparkSession, d: str) -> DataFrame:
     """User-typed book names to sources."""
