@@ -309,6 +309,21 @@ def test_candidate_list(spark):
     assert [x[3] for x in got[8]] == ["kunya"] * 4 + ["gated"] * 2 and [x[1] for x in got[8]] == list(range(11, 17))
 
 
+def test_cascade_father_kunya(spark):
+    """The father's kunya as a stage of its own, at least five points, and the score of a common prefix."""
+    assert col(spark, ["أسماء بنت أبي بكر", "زيد بن عمرو", "أبو بكر بن عمرو", None], entities.father_kunya) == ["ابو بكر", None, None, None]
+    canon = spark.createDataFrame(
+        [(1, "أسماء بنت أبي بكر الصديق"), (2, "أسماء بنت يزيد"), (3, "هند بنت زيد أبو طالب"), (4, "زيد بن عمرو بن خالد بن بكر بن سعد"), (5, "زيد بن عمرو بن معمر بن بكر بن سعد"), (6, "سهل بن هود بن صالح بن نوح بن سام بن حام بن شيث"), (7, "سهل بن هود بن صالح بن نوح بن سام بن يافث بن شيث"), (8, "حمزة بن أبي ليث القيسي"), (9, "حمزة بن أبي ليث الأسدي")],
+        "cid int, name string",
+    )
+    q = spark.createDataFrame([(1, "أسماء بنت أبي بكر"), (2, "هند بنت أبي عمر"), (3, "هند بنت أبي خلف بن زيد أبو طالب"), (4, "سهل بن هود بن صالح بن نوح بن سام بن يافث"), (5, "زيد بن عمرو بن غالب بن بكر"), (6, "حمزة مولى أبي ليث العبسي"), (7, "هند بنت أبي طالب")], "qid int, name string")
+    got = {r.qid: (r.cid, r.stage, r.status) for r in entities.cascade(q, canon).collect()}
+    assert got[1] == (1, 7, "resolved") and got[2] == (None, None, "unresolved")
+    assert got[4] == (7, 3, "resolved"), "five forefathers"
+    assert got[5][2] == "ambiguous", "what stands behind a difference doesn't count"
+    assert got[6] == (None, 7, "ambiguous") and got[7] == (3, 7, "resolved"), "its kunya word stands in the name, and is shared"
+
+
 def test_search_names(spark):
     """Words that stand apart, unlinked entries, sources over all of a person's entries, roll-ups hidden and counted or asked for."""
     reg = spark.createDataFrame([("a", 1, "خطبه كبيره في وادي", "x", ["يوم"]), ("tahun_1_h", 2, "سنه واحد يوم", "Tahun 1", [])], "event_id string, seq int, name_norm string, name_id string, aliases array<string>")
