@@ -324,6 +324,21 @@ def test_cascade_father_kunya(spark):
     assert got[6] == (None, 7, "ambiguous") and got[7] == (3, 7, "resolved"), "its kunya word stands in the name, and is shared"
 
 
+def test_near_words_against_brute_force(spark):
+    def near(a, b):
+        if len(a) == len(b):
+            return sum(x != y for x, y in zip(a, b)) == 1
+        a, b = sorted((a, b), key=len)
+        return len(b) == len(a) + 1 and any(b[:i] + b[i + 1 :] == a for i in range(len(b)))
+
+    words = ["محمد", "محمود", "احمد", "مَحْمَدٌ", "محمدا", "ṭabarī", "ṭabari", "ṭabarīy", "kitab", "kitāb", "Kitab", "book", "boot", "иван", "ивана", "ab", "abc", "abd", "بن", "ابن"]
+    texts = spark.createDataFrame([(" ، ".join(words[:12]),), ("-".join(words[8:]),), (None,), ("",)], "text string")
+    keys = {w.lower().translate({c: None for c in range(0x64B, 0x653)}) for w in words}
+    want = {(a, b) for a in keys for b in keys if a < b and min(len(a), len(b)) >= 4 and near(a, b)}
+    got = [tuple(r) for r in entities.near_words(texts, "text").collect()]
+    assert sorted(got) == sorted(want) and ("محمد", "محمود") in want and ("book", "boot") in want and ("ṭabari", "ṭabarī") in want
+
+
 def test_search_names(spark):
     """Words that stand apart, unlinked entries, sources over all of a person's entries, roll-ups hidden and counted or asked for."""
     reg = spark.createDataFrame([("a", 1, "خطبه كبيره في وادي", "x", ["يوم"]), ("tahun_1_h", 2, "سنه واحد يوم", "Tahun 1", [])], "event_id string, seq int, name_norm string, name_id string, aliases array<string>")

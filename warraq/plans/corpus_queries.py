@@ -967,6 +967,12 @@ SELECT x.t AS a, y.t AS b FROM t x JOIN t y ON x.t < y.t AND abs(length(x.t) - l
 """
 
 
+@query
+def fuzzy_words(spark: SparkSession, d: str) -> DataFrame:
+    """Words of the documents in all scripts, from four letters on, at most one edit apart."""
+    return entities.near_words(table(spark, d, "documents"), "text")
+
+
 def _canon(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "persons").select(F.col("ishabah_id").alias("cid"), F.col("name_ar").alias("name"))
 
