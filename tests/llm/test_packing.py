@@ -102,3 +102,10 @@ def test_sizes(spark):
     assert got[1] == len(encoding.encode_ordinary("hello world")) and got[2] == got[3] == 0 and set(got) == {1, 2, 3, 4, 5}
     assert abs(got[4] - len(encoding.encode_ordinary(text))) <= 2 * len(text) / tokens.PART + 2 and got[5] > 1
     assert tokens.with_sizes(df.limit(0)).count() == 0
+
+
+def test_too_many_specs_are_an_error(spark):
+    sizes = spark.createDataFrame([(1, 5)], "id bigint, n_tokens int")
+    specs = spark.range(1001).selectExpr("cast(id as int) spec_id", "8 capacity")
+    with pytest.raises(ValueError, match="1000"):
+        packing.pack_all(sizes, specs)

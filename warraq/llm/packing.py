@@ -115,11 +115,17 @@ def pack(sizes: DataFrame, capacity: int, group_windows: int = GROUP_WINDOWS) ->
     return out.unionByName(none)
 
 
+MOST_SPECS = 1000
+
+
 def pack_all(sizes: DataFrame, specs: DataFrame) -> DataFrame:
     """pack() for every row of specs (spec_id int, capacity int; few rows, read on the driver), with spec_id and capacity. Null capacities don't count."""
     sizes = cut(sizes.select("id", "n_tokens"), "sizes")
     out = None
-    for spec in specs.where("capacity is not null").select("spec_id", "capacity").distinct().orderBy("spec_id", "capacity").limit(1000).collect():
+    rows = specs.where("capacity is not null").select("spec_id", "capacity").distinct().orderBy("spec_id", "capacity").limit(MOST_SPECS + 1).collect()
+    if len(rows) > MOST_SPECS:
+        raise ValueError(f"more than {MOST_SPECS} specs; pack them in parts")
+    for spec in rows:
         one = pack(sizes, spec["capacity"]).select(F.lit(spec["spec_id"]).alias("spec_id"), F.lit(spec["capacity"]).alias("capacity"), "*")
         out = one if out is None else out.unionByName(one)
     if out is None:
