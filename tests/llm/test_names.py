@@ -1,8 +1,10 @@
 import itertools
 import math
+import os
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from warraq.llm import matching, names
 
@@ -29,22 +31,55 @@ def words(n, seed, alphabet="ابتثج", longest=7):
     return ["".join(rng.choice(alphabet) for _ in range(rng.randrange(1, longest))) for _ in range(n)]
 
 
-def test_distances():
-    many = words(60, 1)
-    matrix, lengths = names._matrix(many)
-    for w in words(40, 2):
-        got = names.distances(names._matrix([w])[0], matrix, lengths)[0]
-        assert got.tolist() == [damerau(w, m) for m in many]
-        assert [names.close(w, m) for m in many] == [damerau(w, m) <= 1 for m in many]
+def test_within_the_radius(spark):
+    many = words(60, 1) + ["", "ابتث", "اتبث", "بااتث", "ا" * 3000 + "ب", "ا" * 2999 + "با", "ا" * 2999 + "بت"]
+    pairs = [(x, y) for x in words(40, 2) + many[-7:] for y in many]
+    got = spark.createDataFrame(pairs, "x string, y string").select(names.near(F.col("x"), F.col("y")).alias("n")).collect()
+    for (x, y), r in zip(pairs, got):
+        want = damerau(x, y) <= 1 if len(x) + len(y) < 50 else names.close(x, y)
+        assert names.close(x, y) == want and bool(r.n) == want, (x, y)
+
+
+def test_distances_to_pivots():
+    """A pivot repeats the letters of a set; the distance to it counts a word's letters outside the set."""
+    for w in words(25, 5, longest=5):
+        for letters in ("ا", "بت", "ابج", "ابتثج"):
+            pivot = letters * 9
+            assert damerau(w, pivot) == len(pivot) - sum(c in letters for c in w)
 
 
 def test_radius_join_is_exact(spark):
-    some = sorted(set(words(250, 3))) + ["x" * 60, "x" * 61]
-    rows = [(w, 1) for w in some + some[:40]] + [(None, 1), ("", 1)]
-    got = {tuple(r) for r in names.near_parts(spark.createDataFrame(rows, "word string, n int"), pivots=16).collect()}
-    want = {(a, b) for a in some for b in some if a == b or (len(a) < 50 and len(b) < 50 and damerau(a, b) <= 1)}
-    assert got == want
-    assert names.near_parts(spark.createDataFrame([], "word string, n int")).count() == 0
+    long = ["x" * 60, "x" * 61, "y" * 5000, "y" * 5001, "y" * 4999 + "xy"]
+    some = sorted(set(words(250, 3))) + long
+    rows = [(w, "cell") for w in some + some[:40]] + [(None, "x"), ("", "x")]
+    got = {tuple(r) for r in names.near_parts(spark.createDataFrame(rows, "word string, cell string")).collect()}
+    want = {(a, b) for a in some for b in some if names.close(a, b)}
+    assert got == want and ("x" * 60, "x" * 61) in got and ("y" * 5001, "y" * 4999 + "xy") in got
+    assert names.near_parts(spark.createDataFrame([], "word string")).count() == 0
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.1"), reason="no test tables")
+def test_every_fiftieth_name_against_all(spark):
+    """The radius join's neighbours of every fiftieth entry's parts, against brute force over all parts."""
+    entries = spark.read.parquet("/root/testdata/sf0.1/person_entries.parquet").select("entry_id", names.parts("name_ar", "name_norm").alias("p"))
+    rows = entries.select("entry_id", F.explode(F.concat(F.array("p.own", "p.nisba", "p.kunya"), F.coalesce("p.chain", F.array()))).alias("word")).where("word is not null").distinct()
+    all_ = {r.word for r in rows.select("word").distinct().collect()}
+    asked = {r.word for r in rows.where("entry_id % 50 = 0").select("word").distinct().collect()}
+    want = {(x, y) for x in asked for y in all_ if abs(len(x) - len(y)) <= 1 and names.close(x, y)}
+    near = {tuple(r) for r in names.near_parts(rows).collect()}
+    assert len(asked) > 100 and {p for p in near if p[0] in asked} == want
+
+
+@pytest.mark.parametrize(
+    "name, own, chain, nisba, kunya",
+    [
+        ("ايو تاخث موخف بن لوغط الزقاغي", "موخف", ["لوغط"], "الزقاغي", "تاخث"), ("شبو صحاط طرو اليرذي", "شبو", ["صحاط", "طرو"], "اليرذي", None),
+        ("ابن لثاخ، شبو الموطي", "شبو", ["لثاخ"], "الموطي", None), ("ذتاه اب معذر بن خوبز", "ذتاه", ["معذر", "خوبز"], None, None), ("زيد بنن عمرو", "زيد", ["عمرو"], None, None),
+        ("عند اللييت بن مويت القخابي", "عبداللييت", ["مويت"], "القخابي", None), ("عبيد القرشي", "عبيد", [], "القرشي", None),
+    ],
+)
+def test_mistyped_words_between_names(name, own, chain, nisba, kunya):
+    assert names.parse(name)[:4] == (own, chain, nisba, kunya)
 
 
 @pytest.mark.parametrize(
@@ -148,6 +183,10 @@ def test_same_person(spark):
     whose = {**true, **{i: i for i in range(len(persons))}, 7777: true[rows[0][0]]}
     want = {(a, b) for a in whose for b in whose if a < b and whose[a] == whose[b]}
     assert len(want & set(got)) >= 0.95 * len(want) and len(set(got) - want) <= 0.02 * len(want)
+    rows = matching.linked_entries(df).collect()
+    n_links = {r.entry_id: r.n_links for r in rows}
+    assert len(n_links) == len(rows) and n_links == {e: sum(e in p for p in got) for e in n_links}
+    assert matching.linked_entries(df.limit(0)).count() == 0
     assert matching.same_person(df.limit(0)).count() == 0
 
 

@@ -8,6 +8,8 @@ change; the marginal probability of each pair is its confidence.
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,7 +17,7 @@ from warraq.llm import names
 from warraq.plans.materialize import cut
 
 SECOND = 0.3
-ROUNDS = 20
+ROUNDS = 200
 CLOSE = 1e-3
 
 
@@ -26,9 +28,14 @@ def propagate(pairs: DataFrame, second: float = SECOND, rounds: int = ROUNDS, da
     null source is a dictionary of its own. An empty table gives no row.
     """
     base = pairs.select("entry", "person", F.coalesce("source", F.lit("")).alias("source"), F.exp(F.least(F.greatest(F.col("score"), F.lit(-30.0)), F.lit(30.0))).alias("w"))
-    base = cut(base, "pairs")
+    # An entry that is nowhere in another's way hears nothing from its persons' factors: its marginals stand at once.
+    rivals = base.groupBy("person", "source").agg(F.count("*").alias("n"))
+    base = base.join(rivals, ["person", "source"])
+    contested = base.groupBy("entry").agg(F.max(F.col("n") > 1).alias("contested"))
+    base = cut(base.join(contested, "entry").select("entry", "person", "source", "w", "contested"), "pairs")
+    state = base.where("contested").select("entry", "person", "source", "w", F.lit(1.0).alias("nu"))
+    moved = 0.0
     # nu: from the person's factor to the pair; mu: from the entry's factor to the pair.
-    state = base.withColumn("nu", F.lit(1.0))
     for _ in range(rounds):
         by_entry = state.groupBy("entry").agg(F.sum(F.col("w") * F.col("nu")).alias("all"))
         mu = F.col("w") / (1 + F.greatest(F.col("all") - F.col("w") * F.col("nu"), F.lit(0.0)))
@@ -39,9 +46,12 @@ def propagate(pairs: DataFrame, second: float = SECOND, rounds: int = ROUNDS, da
         new = (1 + second * other) / (1 + other)
         step = sent.join(by_person, ["person", "source"]).withColumn("new", damping * new + (1 - damping) * F.col("nu"))
         state = cut(step.select("entry", "person", "source", "w", F.abs(F.col("new") - F.col("nu")).alias("moved"), F.col("new").alias("nu")), "messages")
-        moved = state.agg(F.max("moved")).first()[0]
-        if moved is None or moved < CLOSE:
+        moved = state.agg(F.max("moved")).first()[0] or 0.0
+        if moved < CLOSE:
             break
+    else:
+        warnings.warn(f"belief propagation: messages still move by {moved:.2g} after {rounds} rounds", stacklevel=2)
+    state = state.select("entry", "person", "source", "w", "nu").unionByName(base.where("not contested").select("entry", "person", "source", "w", F.lit(1.0).alias("nu")))
     by_entry = state.groupBy("entry").agg(F.sum(F.col("w") * F.col("nu")).alias("all"))
     return state.join(by_entry, "entry").select("entry", "person", "source", (F.col("w") * F.col("nu") / (1 + F.col("all"))).alias("marginal"))
 
@@ -77,16 +87,12 @@ def resolve(entries: DataFrame, persons: DataFrame) -> DataFrame:
     return best.where(p >= 0.5).select(F.col("entry").alias("entry_id"), F.col("m.person").cast("int").alias("ishabah_id"), p.alias("marginal"), grade.alias("confidence"))
 
 
-def same_person(entries: DataFrame, least: float = 0.5) -> DataFrame:
-    """Pairs of entries about the same person: entry_id_a < entry_id_b, probability (of the pair by itself; null where both only meet in a third entry).
-
-    entries: entry_id, name_ar, name_norm, kunya, town, death_h. Two entries that are each linked with an entry of the canonical
-    dictionary (canonical boolean) belong together too. Equal records are compared once and paired with all partners of their like.
-    """
+def _classes(entries: DataFrame, least: float) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """members (rid, rep): entries that are equal in all parts and attributes have one representative; links (a, b, p, together) between
+    representatives, together where both belong to one canonical entry; heads (b, head): the canonical entry of a representative."""
     rows = _once(entries.select("entry_id", "canonical", "name_ar", "name_norm", "kunya", "town", "death_h").where("entry_id is not null"), "entry_id")
     people = cut(names.profiles(rows.select(F.col("entry_id").alias("rid"), F.when(F.col("canonical"), 0).otherwise(1).alias("side"), "name_ar", "name_norm", "kunya", "town", "death_h")), "profiles")
     fields = [c for c in people.columns if c != "rid"]
-    # Equal in all parts and attributes: one record, for the comparisons.
     classes = cut(people.groupBy(*fields).agg(F.min("rid").alias("rid")), "classes")
     same = [people[c].eqNullSafe(classes[c]) for c in fields]
     condition = same[0]
@@ -99,13 +105,42 @@ def same_person(entries: DataFrame, least: float = 0.5) -> DataFrame:
     # The canonical entry an entry most probably belongs to; an entry between two canonical ones belongs to the likelier.
     to_head = links.join(heads, links["a"] == heads["head"]).join(classes.where("side = 1").select(F.col("rid").alias("b")), "b")
     own = cut(to_head.groupBy("b").agg(F.max_by("head", F.struct("p", -F.col("head"))).alias("head")), "heads")
-    star = own.withColumnRenamed("b", "x").join(own.withColumnRenamed("b", "y"), "head").where("x < y").select(F.col("x").alias("a"), F.col("y").alias("b"), F.lit(None).cast("double").alias("p"))
     # A link to a canonical entry other than the likeliest one is no link; nor is one between entries of two canonical persons.
     of = lambda c: own.select(F.col("b").alias(c), F.col("head").alias(f"h{c}"))
     kept = links.join(of("a"), "a", "left").join(of("b"), "b", "left").join(heads.withColumnRenamed("head", "a").withColumn("is_head", F.lit(True)), "a", "left")
-    kept = kept.where("case when is_head then coalesce(hb = a, true) else coalesce(ha = hb, true) end").select("a", "b", "p")
-    pairs = kept.unionByName(star).groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.max("p").alias("p"))
+    kept = kept.where("case when is_head then coalesce(hb = a, true) else coalesce(ha = hb, true) end").select("a", "b", "p", F.expr("coalesce(ha = hb, false)").alias("together"))
+    return members, kept, own
+
+
+def same_person(entries: DataFrame, least: float = 0.5) -> DataFrame:
+    """Pairs of entries about the same person: entry_id_a < entry_id_b, probability (of the pair by itself; null where both only meet in a third entry).
+
+    entries: entry_id, name_ar, name_norm, kunya, town, death_h. Two entries that are each linked with an entry of the canonical
+    dictionary (canonical boolean) belong together too. Equal records are compared once and paired with all partners of their like;
+    all pairs are as many as the entries of one person squared. linked_entries() has the same links in rows as many as the entries.
+    """
+    members, kept, own = _classes(entries, least)
+    star = own.withColumnRenamed("b", "x").join(own.withColumnRenamed("b", "y"), "head").where("x < y").select(F.col("x").alias("a"), F.col("y").alias("b"), F.lit(None).cast("double").alias("p"))
+    pairs = kept.select("a", "b", "p").unionByName(star).groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.max("p").alias("p"))
     m = lambda c, out: members.select(F.col("rep").alias(c), F.col("rid").alias(out))
     wide = pairs.join(m("a", "x"), "a").join(m("b", "y"), "b").select("x", "y", "p")
     inner = members.alias("l").join(members.alias("r"), "rep").where("l.rid < r.rid").select(F.col("l.rid").alias("x"), F.col("r.rid").alias("y"), F.lit(1.0).alias("p"))
     return wide.unionByName(inner).select(F.least("x", "y").alias("entry_id_a"), F.greatest("x", "y").alias("entry_id_b"), F.col("p").alias("probability"))
+
+
+def linked_entries(entries: DataFrame, least: float = 0.5) -> DataFrame:
+    """One row per entry: entry_id, class_id (the least entry that is equal in all parts and attributes), head (the canonical entry it belongs to, or null), n_links.
+
+    n_links counts the entries that same_person() pairs the entry with, from the sizes of classes; no pairs of entries are made.
+    """
+    members, kept, own = _classes(entries, least)
+    size = cut(members.groupBy("rep").agg(F.count("*").alias("size")), "sizes")
+    of = own.withColumnRenamed("b", "rep")
+    family = of.join(size, "rep").groupBy("head").agg(F.sum("size").alias("family"))
+    direct = kept.where("not together").select("a", "b")
+    each = direct.unionByName(direct.toDF("b", "a")).toDF("rep", "other")
+    partners = each.join(size.toDF("other", "n"), "other").groupBy("rep").agg(F.sum("n").alias("direct"))
+    # The class itself is in its family, or stands alone.
+    per = size.join(of, "rep", "left").join(family, "head", "left").join(partners, "rep", "left")
+    per = per.select("rep", "head", (F.coalesce("family", "size") + F.coalesce("direct", F.lit(0)) - 1).alias("n_links"))
+    return members.join(per, "rep").select(F.col("rid").alias("entry_id"), F.col("rep").alias("class_id"), "head", "n_links")

@@ -1,43 +1,40 @@
 """Parts of Arabic personal names, and names of one person in many spellings, by metric-space partitioning.
 
 A name is read into its parts: own name, father and forefathers, nisba, kunya and by-names, whatever their order. Parts of two names
-agree when their Damerau-Levenshtein distance, a true metric, is at most RADIUS. All such pairs of parts come from an exact radius
-join: every distinct part is at home in the cell of its nearest pivot, and goes as a guest to every other cell whose members can lie
-within the radius; by the triangle inequality these are the pivots p with d(y, p) <= d(y, own pivot) + 2 RADIUS and
-d(y, p) <= (radius of p's cell) + RADIUS. Inside a cell only pairs with |d(x, p) - d(y, p)| <= RADIUS are compared. Two names meet when
-two of their parts agree (own name and father, own name and nisba, ...), one exactly and the other within the radius; whether they are the same person's is decided by
-the odds of all their parts and attributes.
+agree when their Damerau-Levenshtein distance d, a true metric, is at most 1. All such pairs of parts come from an exact radius join
+over a partition of the metric space by pivots. Pivots are words of our own making: for a set S of letters, p_S repeats the letters
+of S in turn so often that every word over S stands in it. Hence d(x, p_S) = |p_S| - (letters of x that are in S), which needs no
+recurrence, and a cell, the words at the same distances from all pivots, is the words of one bag of letters. Within the radius of x,
+no distance to a pivot differs by more than 1 (triangle inequality), for all S at once: a neighbour's bag has at most one letter more
+and one letter less. Words at a cell's boundary are therefore replicated to the bags they leave by losing one letter, where any two
+words within the radius meet, and there the true metric decides. A word takes one seat for each of its distinct letters and one at
+home, however many words there are; the words that can meet in one cell are bounded by the alphabet, not by the data.
+
+Two names meet when two of their parts agree (own name and father, own name and nisba, ...), one exactly and the other within the
+radius; whether they are the same person's is decided by the odds of all their parts and attributes.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+import warnings
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BooleanType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from warraq.llm.lookalikes import ARABIC_LIKE, plain
 from warraq.plans.materialize import cut
 
-RADIUS = 1
-#: Pivots: the most frequent parts. A bounded sample; all parts are assigned and joined.
-PIVOTS = 1024
-#: Longer parts are compared whole, but join only when equal.
-LONGEST = 40
-#: Words that go through the distance recurrence together.
-BLOCK = 32
-
 # Words inside names.
-CONNECTORS = {"بن", "ابن", "بنت", "ب", "ابنه", "نب", "بنن", "ابنت", "اين", "بت", "ين"}
-KUNYA = {"ابو", "ابي", "ابا", "ام", "ابوو", "اابو", "اني", "اببو", "ابيي", "بو", "اب", "اوب", "باو", "اببي", "ايي", "امم", "او"}
+CONNECTORS = ("بن", "ابن", "بنت", "ب", "ابنه")
+KUNYA = ("ابو", "ابي", "ابا", "ام")
 HONORIFICS = ("رضي الله عنه", "رضي الله عنها", "رضي الله عنهما", "رحمه الله", "رحمها الله", "عليه السلام", "صلي الله عليه وسلم", "رضي الله تعالي عنه")
 NAMED, KNOWN_AS = {"واسمه", "اسمه", "واسمها", "اسمها"}, {"الملقب", "المعروف", "يلقب", "الملقبه"}
 OWNER = {"ذو", "ذي", "ذا", "ذات"}
-SERVANT = {"عبد", "عبذ", "عيد", "غبد", "عبدد", "عببد", "عد", "عب", "عدب", "بعد"}
+SERVANT = "عبد"
 
 _DROP = re.compile("[ؐ-ًؚ-ٰٟـﷰ-﷿]")
 _SAME = str.maketrans({**ARABIC_LIKE, "أ": "ا", "إ": "ا", "آ": "ا", "ٱ": "ا", "ى": "ي", "ة": "ه", "ؤ": "و", "ئ": "ي", "گ": "ك"})
@@ -54,25 +51,44 @@ def simple(text: str) -> str:
     return re.sub(r"\s+", " ", text).strip()
 
 
+def close(x: str, y: str) -> bool:
+    """Whether two words are at a distance of at most 1."""
+    while x and y and x[0] == y[0]:
+        x, y = x[1:], y[1:]
+    while x and y and x[-1] == y[-1]:
+        x, y = x[:-1], y[:-1]
+    return max(len(x), len(y)) <= 1 or (len(x) == len(y) == 2 and x == y[::-1])
+
+
 def _tokens(text: str) -> list[str]:
     raw = text.replace("،", " ، ").split()
     out: list[str] = []
-    for t in raw:
-        if out and (out[-1] in SERVANT and t.startswith("ال") or out[-1] == "عبد" and t != "،" and t not in CONNECTORS):
-            out[-1] = "عبد" + t
+    for t, after in zip(raw, [*raw[1:], ""]):
+        before = out[-1] if out else ""
+        # A nisba stands after a name too, but no connector follows it.
+        mistyped = t.startswith("ال") and (not t.endswith("ي") or after in CONNECTORS) and before not in CONNECTORS and before and close(before, SERVANT)
+        if before == SERVANT and t != "،" and t not in CONNECTORS or mistyped:
+            out[-1] = SERVANT + t
         else:
             out.append(t if t == "،" or re.fullmatch(r"\w\.", t) else t.replace(".", ""))
     return [t for t in out if t]
 
 
 def _connects(t: str, between: bool) -> bool:
-    """Whether t is a connector; between two names also with a letter mistyped."""
-    return t in CONNECTORS or between and (len(t) <= 2 or any(close(t, c) for c in ("بن", "ابن", "بنت")))
+    """Whether t is a connector; between two names also one of which a letter is mistyped, or what is too short for a name."""
+    return t in CONNECTORS or between and (len(t) <= 2 or any(close(t, c) for c in CONNECTORS if len(c) > 1))
 
 
-def _kunya_word(t: str, leading: bool) -> bool:
-    """Whether t leads a kunya; before the own name also with a letter mistyped."""
-    return t in KUNYA or leading and len(t) == 3 and t.startswith("اب") and t not in CONNECTORS
+def _leads_kunya(tokens: list[str], i: int, leading: bool) -> bool:
+    """Whether a kunya begins at i; before the own name, where that and a connector follow, also with a letter mistyped."""
+    t, *after = tokens[i : i + 4]
+    if not after or after[0] == "،":
+        return False
+    if t in KUNYA:
+        return after[0] not in CONNECTORS
+    if not leading or t in CONNECTORS or len(after) < 3 or not any(close(t, k) for k in KUNYA):
+        return False
+    return not any(x == "،" or x.startswith("ال") or _connects(x, True) for x in after[:2]) and _connects(after[2], True)
 
 
 def parse(name: str | None) -> tuple[str | None, list[str], str | None, str | None, str | None, str | None]:
@@ -94,15 +110,15 @@ def parse(name: str | None) -> tuple[str | None, list[str], str | None, str | No
             laqab, i = after, i + 1
         elif (t in OWNER or len(t) == 2 and t[0] == "ذ") and after and after.startswith("ال") and not linked:
             laqab, i = after, i + 1
-        elif _kunya_word(t, own is None) and after and after not in CONNECTORS and after != "،" and not linked:
+        elif not linked and _leads_kunya(tokens, i, own is None):
             kunya, i = after, i + 1
             sex = "f" if t.startswith("ام") else sex or "m"
-        elif _connects(t, own is not None and not linked) and after and after != "،" and (own is not None or i == 0 or tokens[i - 1] in ("،", kunya, nisba, laqab) or len(t) > 1):
+        elif _connects(t, not linked and (own is not None or i > 0 and tokens[i - 1] == laqab)) and after and after != "،" and (own is not None or i == 0 or tokens[i - 1] in ("،", kunya, nisba, laqab) or len(t) > 1):
             linked = True
             sex = "f" if own and not chain and (t.startswith("بنت") or t == "بت") else sex or ("m" if own else None)
             i += 1
             continue
-        elif not linked and (t.startswith("ال") and len(t) > 3 or own is None and after and (after == "،" or _kunya_word(after, True))):
+        elif not linked and (t.startswith("ال") and len(t) > 3 or own is None and after and (after == "،" or _leads_kunya(tokens, i + 1, True))):
             # With the article, or, its article mistyped, alone before a comma or a kunya.
             if t.endswith("ي"):
                 nisba = t
@@ -141,91 +157,36 @@ def place(text: pd.Series) -> pd.Series:
     return pd.Series([simple(t) or None if isinstance(t, str) else None for t in text], dtype=object)
 
 
-def distances(words: np.ndarray, many: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """Damerau-Levenshtein distances (unrestricted, hence a metric) of words of one length to many words of these lengths.
-
-    Words are rows of code points, those of many padded with 0. All pairs go through the recurrence side by side, in bytes: words
-    are shorter than 100 letters.
-    """
-    (n, length), (m, width) = words.shape, many.shape
-    big = length + width + 2
-    d = np.full((length + 2, width + 2, n, m), big, dtype=np.uint8)
-    d[1, 1:] = np.arange(width + 1, dtype=np.uint8)[:, None, None]
-    d[1:, 1] = np.arange(length + 1, dtype=np.uint8)[:, None, None]
-    # Of each column of many: the last row before this one in which the word has its letter.
-    row_of = np.zeros((width + 1, n, m), dtype=np.uint8)
-    for i in range(1, length + 1):
-        letter = words[:, i - 1][:, None]
-        column = np.zeros((n, m), dtype=np.uint8)
-        for j in range(1, width + 1):
-            same = letter == many[:, j - 1][None, :]
-            best = np.minimum(np.minimum(d[i + 1, j], d[i, j + 1]) + np.uint8(1), d[i, j] + (~same).view(np.uint8))
-            x, y = np.nonzero((row_of[j] > 0) & (column > 0))
-            if len(x):
-                k, l = row_of[j][x, y].astype(np.intp), column[x, y].astype(np.intp)
-                swap = d[k, l, x, y] + (i - k - 1) + 1 + (j - l - 1)
-                best[x, y] = np.minimum(best[x, y], swap)
-            d[i + 1, j + 1] = best
-            column[same] = j
-            row_of[j][same] = i
-    return d[length + 1, lengths + 1, :, np.arange(m)].T
+def near(x: Column, y: Column) -> Column:
+    """Whether two words are at a distance of at most 1, as close() has it."""
+    at = lambda i, n=1: F.substr(y, i, F.lit(n))
+    swapped = F.exists(F.sequence(F.lit(1), F.length(y) - 1), lambda i: x == F.concat(F.substr(y, F.lit(1), i - 1), at(i + 1), at(i), F.substr(y, i + 2)))
+    return (F.levenshtein(x, y, 1) >= 0) | ((F.length(x) == F.length(y)) & (F.levenshtein(x, y, 2) == 2) & swapped)
 
 
-def close(x: str, y: str) -> bool:
-    """Whether two words are at a distance of at most 1."""
-    while x and y and x[0] == y[0]:
-        x, y = x[1:], y[1:]
-    while x and y and x[-1] == y[-1]:
-        x, y = x[:-1], y[:-1]
-    return max(len(x), len(y)) <= 1 or (len(x) == len(y) == 2 and x == y[::-1])
-
+def _cells(word: Column) -> Column:
+    """The bag of a word's letters, and each bag that one letter less leaves, as numbers. Two bags under one number would only be words more to compare."""
 
-def _matrix(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    lengths = np.array([len(w) for w in words], dtype=np.int64)
-    out = np.zeros((len(words), int(lengths.max(initial=0))), dtype=np.int64)
-    for i, w in enumerate(words):
-        out[i, : len(w)] = [ord(c) for c in w]
-    return out, lengths
+    def of(bag: Column) -> Column:
+        n = F.size(bag)
+        # Of equal letters, sorted side by side, the first stands for all.
+        less = F.transform(F.sequence(F.lit(1), n), lambda i: F.when((i == 1) | (F.get(bag, i - 1) != F.get(bag, i - 2)), F.xxhash64(F.concat(F.slice(bag, F.lit(1), i - 1), F.slice(bag, i + 1, n)))))
+        return F.array_append(F.array_compact(less), F.xxhash64(bag))
 
+    # Bound as a variable, the sorted letters are made once.
+    return F.get(F.transform(F.array(F.array_sort(F.split(word, ""))), of), F.lit(0))
 
-@F.pandas_udf(BooleanType())
-def _within(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([close(x, y) for x, y in zip(a, b)], dtype=bool)
 
+def near_parts(words: DataFrame) -> DataFrame:
+    """All pairs x, y of distinct words within a distance of 1, both orders, and each word with itself.
 
-def near_parts(words: DataFrame, pivots: int = PIVOTS) -> DataFrame:
-    """All pairs x, y of distinct words within RADIUS of each other, both orders, and each word with itself.
-
-    words: word string, n (how often it occurs). Null and empty words don't come. Words of more than LONGEST letters come with themselves only.
+    words: word string. Null and empty words don't come; a repeated word counts once; words may be of any length.
     """
-    words = words.where("word is not null and word <> ''").groupBy("word").agg(F.sum("n").alias("n"))
-    words = cut(words, "words")
-    short = words.where(F.length("word") <= LONGEST)
-    # At most ``pivots`` words reach the driver.
-    chosen = [r["word"] for r in short.orderBy(F.desc("n"), "word").limit(pivots).collect()]
-    if not chosen:
-        return words.select(F.col("word").alias("x"), F.col("word").alias("y"))
-    matrix, lengths = _matrix(chosen)
-
-    def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            out = []
-            for _, same_length in b.groupby(b["word"].str.len())["word"]:
-                for at in range(0, len(same_length), BLOCK):
-                    block = same_length.iloc[at : at + BLOCK].tolist()
-                    all_ = distances(_matrix(block)[0], matrix, lengths)
-                    for w, d in zip(block, all_):
-                        home = int(d.argmin())
-                        out += [(w, int(p), int(d[p]), p == home) for p in np.flatnonzero(d <= d[home] + 2 * RADIUS)]
-            yield pd.DataFrame(out, columns=["word", "cell", "d", "home"])
-
-    seats = cut(short.repartition(4 * short.sparkSession.sparkContext.defaultParallelism, "word").mapInPandas(assign, "word string, cell int, d int, home boolean"), "seats")
-    home = seats.where("home").select("cell", F.col("word").alias("x"), F.col("d").alias("dx"))
-    radius = home.groupBy("cell").agg(F.max("dx").alias("radius"))
-    guests = seats.select("cell", F.col("word").alias("y"), F.col("d").alias("dy")).join(F.broadcast(radius), "cell").where(f"dy <= radius + {RADIUS}")
-    met = home.join(guests, "cell").where(f"abs(dx - dy) <= {RADIUS} and abs(length(x) - length(y)) <= {RADIUS} and x <> y and levenshtein(x, y, {2 * RADIUS}) >= 0")
-    pairs = met.select("x", "y").distinct().where(_within("x", "y"))
-    return pairs.unionByName(words.select(F.col("word").alias("x"), F.col("word").alias("y")))
+    words = cut(words.where("word is not null and word <> ''").select("word").distinct(), "words")
+    seats = words.select("word", F.explode(_cells(F.col("word"))).alias("cell"))
+    met = seats.toDF("x", "cell").join(seats.toDF("y", "cell"), "cell").where("x < y and abs(length(x) - length(y)) <= 1")
+    pairs = met.where(near(F.col("x"), F.col("y"))).select("x", "y").distinct()
+    return pairs.unionByName(pairs.toDF("y", "x")).unionByName(words.select(F.col("word").alias("x"), F.col("word").alias("y")))
 
 
 #: Deaths this many years apart fall into the same or neighbouring periods.
@@ -262,11 +223,11 @@ def meetings(people: DataFrame, across: bool = False) -> DataFrame:
     keyed = keyed.unionByName(late.select("rid", "side", F.lit(len(VIEWS)).alias("view"), F.col("nisba").alias("u"), seen(0).alias("v")))
     keyed = cut(keyed.where("not u like '%.' and not v like '%.'").distinct(), "keys")
     by_time = F.col("view") == len(VIEWS)
-    words = keyed.select(F.explode(F.when(by_time, F.array("u")).otherwise(F.array("u", "v"))).alias("word"), F.lit(1).alias("n"))
-    near = cut(near_parts(words), "near")
-    as_u, as_v = near.toDF("u", "w"), near.where("x <> y").toDF("v", "w")
+    words = keyed.select(F.explode(F.when(by_time, F.array("u")).otherwise(F.array("u", "v"))).alias("word"))
+    alike = cut(near_parts(words), "near")
+    as_u, as_v = alike.toDF("u", "w"), alike.where("x <> y").toDF("v", "w")
     wide = keyed.join(as_u, "u").select("rid", "side", "view", F.col("w").alias("u"), "v").unionByName(keyed.join(as_v, "v").select("rid", "side", "view", "u", F.col("w").alias("v")))
-    beside = late.select("rid", "side", "nisba", F.explode(F.array(seen(-1), seen(1))).alias("v")).join(near.toDF("nisba", "u"), "nisba")
+    beside = late.select("rid", "side", "nisba", F.explode(F.array(seen(-1), seen(1))).alias("v")).join(alike.toDF("nisba", "u"), "nisba")
     wide = wide.unionByName(beside.select("rid", "side", F.lit(len(VIEWS)).alias("view"), "u", "v"))
     # The three key columns as one number: two keys under one number would only be a pair more to grade.
     key = F.xxhash64("view", "u", "v").alias("key")
@@ -280,11 +241,10 @@ def meetings(people: DataFrame, across: bool = False) -> DataFrame:
 def _grade(x: Column, y: Column) -> Column:
     """0 unknown, 1 equal, 2 near or a fitting initial, 3 different."""
     initial = (x.endswith(".") | y.endswith(".")) & (F.substring(x, 1, 1) == F.substring(y, 1, 1))
-    letters = lambda c: F.array_sort(F.split(c, ""))
-    swapped = (F.length(x) == F.length(y)) & (F.levenshtein(x, y, 2) == 2) & (letters(x) == letters(y))
-    return F.when(x.isNull() | y.isNull(), 0).when(x == y, 1).when(initial | (F.levenshtein(x, y, 1) >= 0) | swapped, 2).otherwise(3)
+    return F.when(x.isNull() | y.isNull(), 0).when(x == y, 1).when(initial | near(x, y), 2).otherwise(3)
 
 
+MOVED = 1e-4
 #: log-odds of a different own name, at most.
 OTHER_NAME = -4.5
 FIELDS = ("own", "father", "grandfather", "great", "nisba", "kunya", "town", "death")
@@ -307,9 +267,11 @@ def graded(pairs: DataFrame, people: DataFrame) -> DataFrame:
     return both.select("a", "b", *(g[f].cast("int").alias(f) for f in FIELDS))
 
 
-def odds(grades: DataFrame, rounds: int = 30) -> tuple[dict, float]:
+def odds(grades: DataFrame, rounds: int = 500) -> tuple[dict, float]:
     """log-odds of each grade of each field, and of a pair before anything is known, by expectation-maximization over all pairs.
 
+    It ends when no probability moves by MOVED any more, and warns if that doesn't come within ``rounds``.
+
     At most 4 ** len(FIELDS) patterns of grades reach the driver, with their counts.
     """
     rows = grades.groupBy(*FIELDS).count().collect()
@@ -322,6 +284,7 @@ def odds(grades: DataFrame, rounds: int = 30) -> tuple[dict, float]:
     prior_same, prior_other = 20 * same[:, 1:], 20 * other[:, 1:]
     at = np.arange(len(FIELDS))
     for _ in range(rounds):
+        before = np.concatenate([same, other])
         ls, lo = np.log(same[at, x]).sum(1) + np.log(share), np.log(other[at, x]).sum(1) + np.log(1 - share)
         w = n / (1 + np.exp(np.clip(lo - ls, -500, 500)))
         share = float(np.clip(w.sum() / n.sum(), 1e-4, 1 - 1e-4))
@@ -329,6 +292,11 @@ def odds(grades: DataFrame, rounds: int = 30) -> tuple[dict, float]:
             for table, weight, prior in ((same, w, prior_same), (other, n - w, prior_other)):
                 c = np.array([weight[x[:, f] == g].sum() for g in (1, 2, 3)]) + prior[f]
                 table[f, 1:] = c / c.sum()
+        moved = np.abs(np.concatenate([same, other]) - before).max()
+        if moved < MOVED:
+            break
+    else:
+        warnings.warn(f"odds of names: still moving by {moved:.2g} after {rounds} rounds", stacklevel=2)
     ratio = np.log(same) - np.log(other)
     ratio[:, 0] = 0.0
     # Brothers share all but the own name, so their fields agree together: the odds of a different own name have a floor of their own.

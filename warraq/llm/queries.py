@@ -184,3 +184,9 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
     of = lambda x: name.select(F.col("entry_id").alias(f"entry_id_{x}"), F.col("name_ar").alias(x))
     pairs = matching.same_person(entries).join(of("a"), "entry_id_a").join(of("b"), "entry_id_b")
     return pairs.where("not a <=> b").select("entry_id_a", "entry_id_b")
+
+
+@query
+def p5_linked(spark: SparkSession, d: str) -> DataFrame:
+    """Every entry with its class of equal records, its canonical entry and the number of entries about the same person: the links of p5_found without making pairs."""
+    return matching.linked_entries(_entries(spark, d))
