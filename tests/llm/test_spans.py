@@ -76,6 +76,23 @@ def test_repeats_nulls_and_long_texts(spark):
     assert {tuple(r) for r in spans.shared_pairs(frame(spark, rows)).collect()} == {(1, 2)}
 
 
+def test_a_passage_in_a_third_of_all_texts(spark):
+    """Its symbols are spread over many tasks, and meet the rows of texts in which they are rare."""
+    import numpy as np
+
+    rng = random.Random(5)
+    text = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    passage = text(110)
+    rows = [(i, text(60) + (passage[rng.randrange(20) :] if i % 3 == 0 else "") + text(50)) for i in range(240)] + [(999, "x" + passage)]
+    told = spans.symbols(np.arange(240), [t for _, t in rows[:240]])
+    assert told["known"].any() and (told["salt"] > 0).sum() > 50
+    # Each row a partition of its own or all in one: the same pairs.
+    for parts in (1, 16):
+        df = frame(spark, rows).repartition(parts)
+        assert {tuple(r) for r in spans.shared_pairs(df).collect()} == brute(rows)
+    assert {r.id: (r.n_chars, r.shared_chars) for r in spans.shared_share(frame(spark, rows)).collect()} == brute_share(rows)
+
+
 def test_empty(spark):
     assert spans.shared_pairs(frame(spark, [])).count() == 0
     assert spans.shared_share(frame(spark, [])).count() == 0

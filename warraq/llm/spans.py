@@ -27,11 +27,18 @@ from warraq.plans.materialize import cut
 CAPS = (1, 2, 3, 4, 5, 7, 9)
 REACH = sum(CAPS)
 LEAST = 2 * REACH + 2 * CAPS[-1]
+#: A symbol that occurs this often in one group of texts (GROUP code points) is spread over SALTS tasks.
+OFTEN = 8
+SALTS = 256
+GROUP = 1 << 19
+#: Bytes of input files for each task of the symbols' exchange, and tasks at most.
+TASK_BYTES = 4 << 20
+MOST_TASKS = 1 << 16
 #: Ids up to this many (8 bytes each) are broadcast to the scan for texts; more are joined by shuffle.
 BROADCAST_IDS = 500_000
 
 _BASE = 0x9E3779B97F4A7C15 | 1
-_INVERSE = pow(_BASE, -1, 1 << 64)
+_SECOND_BASE = 0xD1B54A32D192ED03
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -49,16 +56,20 @@ def _powers(base: int, n: int) -> np.ndarray:
 class _Names:
     """Names of substrings of a concatenation: position-free hashes from one running sum."""
 
-    def __init__(self, points: np.ndarray):
+    def __init__(self, points: np.ndarray, base: int = _BASE):
         n = len(points) + 1
         self.sums = np.zeros(n, dtype=np.uint64)
-        np.cumsum(_mix(points.astype(np.uint64) + np.uint64(1)) * _powers(_BASE, n - 1), out=self.sums[1:])
-        self.back = _powers(_INVERSE, n)
+        np.cumsum(_mix(points.astype(np.uint64) + np.uint64(base & 0xFFFF)) * _powers(base, n - 1), out=self.sums[1:])
+        self.back = _powers(pow(base, -1, 1 << 64), n)
 
     def __call__(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         return _mix((self.sums[end] - self.sums[start]) * self.back[start])
 
 
+def _points(texts: list[str]) -> np.ndarray:
+    return np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+
+
 def borders(points: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """The announced borders of texts laid end to end, starts: where each text begins."""
     names = _Names(points)
@@ -84,11 +95,15 @@ def borders(points: np.ndarray, starts: np.ndarray) -> np.ndarray:
 
 
 def symbols(ids: np.ndarray, texts: list[str]) -> pd.DataFrame:
-    """id, symbol, before (the symbol at the border before; null for a text's first), pos (the border, 0-based)."""
+    """id, symbol, before (the symbol at the border before; null for a text's first), pos (the border, 0-based), salt, known.
+
+    known: the symbol occurs OFTEN in these texts and in two ids, so it is shared whatever the other texts hold. Then only its first row
+    here has salt 0, where all groups of texts meet; the other rows are spread over the other salts.
+    """
     lengths = np.array([len(t) for t in texts], dtype=np.int64)
     ends = np.cumsum(lengths)
     starts = ends - lengths
-    points = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    points = _points(texts)
     at = borders(points, starts)
     of = np.searchsorted(ends, at, side="right")
     inside = (at - starts[of] >= REACH) & (ends[of] - at >= REACH)
@@ -98,7 +113,26 @@ def symbols(ids: np.ndarray, texts: list[str]) -> pd.DataFrame:
     first[1:] = of[1:] != of[:-1]
     before = pd.array(np.roll(symbol, 1), dtype="Int64")
     before[first] = pd.NA
-    return pd.DataFrame({"id": ids[of], "symbol": symbol, "before": before, "pos": (at - starts[of]).astype(np.int32)})
+    order = np.argsort(symbol, kind="stable")
+    new = np.ones(len(at), dtype=bool)
+    new[1:] = symbol[order][1:] != symbol[order][:-1]
+    begin = np.flatnonzero(new)
+    until = np.append(begin, len(at))[1:]
+    often = (until - begin >= OFTEN) & (ids[of[order[begin]]] != ids[of[order[until - 1]]])
+    known = np.zeros(len(at), dtype=bool)
+    known[order] = np.repeat(often, until - begin)
+    salt = np.where(known, 1 + np.arange(len(at)) % SALTS, 0).astype(np.int32)
+    salt[order[begin]] = 0
+    return pd.DataFrame({"id": ids[of], "symbol": symbol, "before": before, "pos": (at - starts[of]).astype(np.int32), "salt": salt, "known": known})
+
+
+def _tasks(df: DataFrame) -> int:
+    """How many tasks the symbols of df's texts need: by the bytes of the files it reads, at least as many as the session's setting."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    size = sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
+    usual = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # What isn't read from files has no known size, which Spark gives as 2 ** 63 - 1.
+    return usual if size > 1 << 60 else max(usual, min(MOST_TASKS, -(-size // TASK_BYTES)))
 
 
 def _announce(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -109,7 +143,7 @@ def _announce(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for i, t in enumerate(texts):
             group.append(i)
             size += len(t)
-            if size > 1 << 19 or i + 1 == len(texts):
+            if size > GROUP or i + 1 == len(texts):
                 yield symbols(ids[group], [texts[j] for j in group])
                 group, size = [], 0
 
@@ -121,15 +155,16 @@ def _shared_borders(texts: DataFrame, least: int) -> DataFrame:
     for it, with its own id, and ids of equal texts come with a null symbol.
     """
     long = texts.where(F.length("text") >= least)
-    told = long.mapInPandas(_announce, "id bigint, symbol bigint, before bigint, pos int").repartition("symbol")
+    schema = "id bigint, symbol bigint, before bigint, pos int, salt int, known boolean"
+    told = long.mapInPandas(_announce, schema).repartition(_tasks(long), "symbol", "salt")
     # Asking for all columns keeps both sides of the join below on one exchange, so texts are parsed and symbols shuffled once.
     shared = (
-        told.groupBy("symbol")
-        .agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.max("before").alias("b"), F.max("pos").alias("p"))
-        .where("lo < hi and coalesce(b, p) is not null")
-        .select("symbol")
+        told.groupBy("symbol", "salt")
+        .agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.max("before").alias("b"), F.max("pos").alias("p"), F.max("known").alias("known"))
+        .where("(known or lo < hi) and coalesce(b, p) is not null")
+        .select("symbol", "salt")
     )
-    hot = cut(told.join(shared.hint("shuffle_hash"), "symbol").dropDuplicates(["id", "pos"]), "symbols")
+    hot = cut(told.join(shared.hint("shuffle_hash"), ["symbol", "salt"]).select("id", "symbol", "before", "pos").dropDuplicates(["id", "pos"]), "symbols")
     ids = hot.select("id").distinct()
     bounded = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
     owners = long.join(F.broadcast(ids) if bounded else ids, "id", "left_semi").groupBy("id").agg(F.min("text").alias("text"))
@@ -196,20 +231,22 @@ def shared_pairs(texts: DataFrame, least: int = LEAST) -> DataFrame:
     return wide.select(F.least("a", "b").alias("id_a"), F.greatest("a", "b").alias("id_b")).unionByName(of_copies.toDF("id_a", "id_b"))
 
 
-@F.pandas_udf(ArrayType(LongType()))
-def _windows(left: pd.Series, right: pd.Series, least: pd.Series) -> pd.Series:
-    """Names of the stretches of ``least`` code points with the border at least REACH from both ends, the leftmost border first; 0 where the text is too short."""
-
-    def one(a: str, b: str, n: int) -> list[int]:
-        both = a + b
-        names = _Names(np.frombuffer(both.encode("utf-32-le", "surrogatepass"), dtype=np.uint32))
-        start = len(a) - np.arange(REACH, n - REACH + 1)
-        fits = (start >= 0) & (start + n <= len(both))
-        out = np.zeros(len(start), dtype=np.int64)
-        out[fits] = names(start[fits], start[fits] + n).view(np.int64)
-        return out.tolist()
-
-    return pd.Series([one(a, b, n) for a, b, n in zip(left, right, least)], dtype=object)
+@F.pandas_udf(StructType([StructField("h", ArrayType(LongType())), StructField("g", ArrayType(LongType()))]))
+def _windows(left: pd.Series, right: pd.Series, least: pd.Series) -> pd.DataFrame:
+    """Names of the stretches of ``least`` code points with the border at least REACH from both ends, the leftmost border first, by two independent hashes; 0 where the text is too short."""
+    texts = [a + b for a, b in zip(left, right)]
+    ends = np.cumsum([len(t) for t in texts], dtype=np.int64)[:, None]
+    begins = ends - np.array([len(t) for t in texts], dtype=np.int64)[:, None]
+    n = int(least.iloc[0]) if len(least) else 2 * REACH
+    start = begins + np.array([len(a) for a in left], dtype=np.int64)[:, None] - np.arange(REACH, n - REACH + 1)
+    fits = (start >= begins) & (start + n <= ends)
+    points = _points(texts)
+    out = {}
+    for c, base in (("h", _BASE), ("g", _SECOND_BASE)):
+        name = np.zeros(start.shape, dtype=np.int64)
+        name[fits] = _Names(points, base)(start[fits], start[fits] + n).view(np.int64)
+        out[c] = list(name)
+    return pd.DataFrame(out)
 
 
 def shared_share(texts: DataFrame, least: int = LEAST) -> DataFrame:
@@ -217,17 +254,18 @@ def shared_share(texts: DataFrame, least: int = LEAST) -> DataFrame:
 
     Result: id, n_chars, shared_chars, shared_share (0 for an empty text). A null text gives nulls; a repeated id counts once. No pairs
     are made: of each shared border the stretches of ``least`` code points around it are named and counted, so a passage in a third of
-    all texts costs no more than its occurrences.
+    all texts costs no more than its occurrences. A name has 128 bits, of two independent hashes: among 10^12 stretches two different
+    ones come under one name with a probability of about 10^-14.
     """
     if least < LEAST:
         raise ValueError(f"least must be {LEAST} or more")
     rows = texts.select("id", "text").where("id is not null")
     spots = _shared_borders(rows.where("text is not null"), least)
     borders_ = spots.where("symbol is not null").select("id", "pos", _windows("left", "right", F.lit(least)).alias("w"))
-    each = borders_.select("id", "pos", F.posexplode("w").alias("k", "name")).where("name <> 0").select("id", (F.col("pos") - REACH - F.col("k")).alias("f"), "name")
-    common = each.groupBy("name").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("name")
+    each = borders_.select("id", "pos", F.posexplode(F.arrays_zip("w.h", "w.g")).alias("k", "n")).where("n.h <> 0").select("id", (F.col("pos") - REACH - F.col("k")).alias("f"), "n.h", "n.g")
+    common = each.groupBy("h", "g").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("h", "g")
     order = W.partitionBy("id").orderBy("f")
-    hit = each.join(common, "name").select("id", "f").distinct()
+    hit = each.join(common, ["h", "g"]).select("id", "f").distinct()
     new = F.least(F.lit(least), F.col("f") - F.coalesce(F.lag("f").over(order), F.lit(-least)))
     covered = hit.withColumn("new", new).groupBy("id").agg(F.sum("new").alias("covered")).withColumnRenamed("id", "copy_of")
     copies = spots.groupBy("copy_of").agg(F.count_distinct("id").alias("n_copies"))
