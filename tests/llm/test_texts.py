@@ -1,5 +1,6 @@
 """Look-alikes and encodings."""
 
+import os
 import random
 
 import pytest
@@ -80,3 +81,52 @@ def test_found_and_restored(spark):
     got = {r.id: r.restored_text for r in encodings.restore(df).collect()}
     assert got == true
     assert encodings.restore(df.limit(0)).count() == 0
+
+
+RUSSIAN = "КНИГА О ВОЙНЕ И МИРЕ ИЗДАНИЕ ВТОРОЕ КНИГИ СБОРНИКА ВОЙНА МИРА НАРОДОВ ГОРОДА ДОРОГА"
+
+
+def test_capitals_that_leave_only_letters_of_another_script(spark):
+    """Cyrillic capitals read as Arabic leave nothing but Arabic letters: the letters' order alone gives them away."""
+    rng = random.Random(8)
+    pick = lambda t, n: " ".join(rng.choice(t.split()) for _ in range(n))
+    rows = [(i, "s", pick(RUSSIAN if i % 5 == 0 else AR, 40)) for i in range(400)]
+    chain = {c[0]: k for k, c in enumerate(encodings.CHAINS)}["cp1251 read as cp1256"]
+    bad = garble("КНИГА ВОЙНА МИРА", chain)
+    assert not encodings.stretches(bad)
+    rows += [(1000 + i, "s", f"{pick(AR, 6)} {bad} {pick(AR, 6)}") for i in range(3)]
+    got = {r.id: r.restored_text for r in encodings.restore(spark.createDataFrame(rows, "id bigint, source string, text string")).collect()}
+    assert set(got) == {1000, 1001, 1002} and all("КНИГА ВОЙНА МИРА" in t for t in got.values())
+
+
+def test_latin_letters_read_as_arabic():
+    chain = {c[0]: k for k, c in enumerate(encodings.CHAINS)}["cp1252 read as cp1256"]
+    assert garble("Relação", chain) == "Relaçمo" and encodings.undo("Relaçمo", chain) == "Relação"
+
+
+@pytest.mark.parametrize("word", ["ğüzel", "Ωμέγα", "漢字", "😀", "Ǧāmiʿ"])
+@pytest.mark.parametrize("chain", [1, 3, 5])
+def test_all_first_bytes(word, chain):
+    try:
+        bad = garble(word, chain)
+    except KeyError:
+        return
+    assert encodings.undo(bad, chain) == word and encodings.stretches(bad) == [(0, len(bad))]
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.1"), reason="no test tables")
+def test_what_the_choice_of_tokens_leaves_out(spark):
+    """Of every fiftieth document, all tokens judged instead of the chosen ones: none is left out but ordinary words that happen to be bytes of another letter, with the punctuation after them."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").selectExpr("doc_id as id", "source", "text").where("text is not null")
+    model = encodings._Model(encodings.clean_model(docs))
+    tokens = encodings._Tokens(model)
+    missed = []
+    for r in docs.where("id % 50 = 0").collect():
+        chosen = tokens.read([r.text])[0]
+        for t in encodings._split(r.text) - chosen - {""}:
+            own = model(t)
+            for k in range(1, encodings.K):
+                back = encodings.undo(t, k)
+                if back != t and model(back) - 4.0 * back.count(encodings.LOST) > own:
+                    missed.append((r.id, t, back))
+    assert not missed, missed[:10]

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+import warnings
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,13 +40,16 @@ CHAINS = (
     ("bytes lost", "lost", "", "", 0),
 )
 K = len(CHAINS)
-#: First bytes of UTF-8 that the corpus' scripts need: Latin and its extensions, modifiers, Greek, Cyrillic, Arabic; punctuation, presentation forms. Fixed values.
-LEADS_2 = (0xC2, 0xC3, 0xC4, 0xC5, 0xC6, 0xC8, 0xC9, 0xCA, 0xCB, 0xCC, 0xCE, 0xCF, 0xD0, 0xD1, 0xD2, 0xD8, 0xD9, 0xDA, 0xDB, 0xDD)
-LEADS_3 = (0xE1, 0xE2, 0xEF)
+#: First bytes of UTF-8 sequences of two, three and four bytes. Fixed values.
+LEADS = (range(0xC2, 0xE0), range(0xE0, 0xF0), range(0xF0, 0xF5))
 SHRINK = 20.0
 #: log-probability of a change of script between a stretch and the letter beside it.
 SWITCH = -4.0
-ROUNDS = 12
+ROUNDS = 100
+#: A token is judged too if an original has a log-probability of at least this much less than its own.
+MARGIN = 3.0
+#: Tokens that a worker remembers as judged; it forgets all and begins anew beyond.
+REMEMBERED = 2_000_000
 LOST = "�"
 _TOKEN = re.compile(r"[^ \n\r\t]+")
 
@@ -83,7 +87,7 @@ def _sequence(read: str) -> re.Pattern:
         of.setdefault(b, []).append(c)
     chars = lambda *bs: "[" + "".join(re.escape(c) for b in bs for c in of.get(b, [])) + "]"
     cont = chars(*range(0x80, 0xC0))[:-1] + LOST + "]"
-    return re.compile(f"(?:{chars(*LEADS_2)}{cont}|{chars(*LEADS_3)}{cont}{{2}})+")
+    return re.compile("(?:" + "|".join(f"{chars(*leads)}{cont}{{{n}}}" for n, leads in enumerate(LEADS, 1) if any(b in of for b in leads)) + ")+")
 
 
 def _undo_multi(text: str, read: str) -> str:
@@ -115,7 +119,7 @@ def undo(text: str, chain: int) -> str:
     if kind == "multi":
         for _ in range(times):
             text = _undo_multi(text, read)
-    elif kind == "single" and not _ASCII_LETTER.search(text):
+    elif kind == "single" and (written == "cp1252" or not _ASCII_LETTER.search(text)):
         table = _single(written, read)
         if all(ord(c) < 0x80 or ord(c) in table for c in text):
             back = text.translate(table)
@@ -151,17 +155,6 @@ _C1 = re.compile("[\u0080-\u0084\u0086-\u009f]")
 _UPPER = re.compile("[À-ÖØ-öø-ÿ]")
 
 
-#: A text is looked at token by token only if it has a character beyond its scripts' letters, figures and punctuation, or two scripts
-#: in one token. Read by Python and by Spark alike.
-USUAL = " -~\n\r\tء-ي\u064b-\u0652ـ،؛؟«»‘’“”–—…٠-٩ĀāĪīŪūḌḍḤḥṢṣṬṭʿʾ\ufdfa"
-PECULIAR = f"[^{USUAL}]|[A-Za-z][ء-ي]|[ء-ي][A-Za-z]"
-
-
-@_once
-def _quick() -> re.Pattern:
-    return re.compile(PECULIAR)
-
-
 _ORDINARY = re.compile("[^ -~ء-ي\u064b-\u0652،؛؟«»‘’“”–—…٠-٩]")
 _ARABIC_LETTER = re.compile("[ء-ي]")
 
@@ -173,6 +166,7 @@ def _sequences(token: str) -> bool:
 
 
 def _suspect(token: str) -> bool:
+    """Whether a token looks garbled by its characters alone."""
     if LOST in token or _C1.search(token) or _sequences(token):
         return True
     return not _ASCII_LETTER.search(token) and (bool(_UPPER.search(token)) or any("Ѐ" <= c <= "џ" for c in token))
@@ -196,12 +190,58 @@ def _switches(stretch: str, beside: list[str]) -> float:
     return SWITCH * (sum(_script(e) != s for e, s in zip((letters[0], letters[-1]), beside)) if len(beside) == 2 else min(_script(e) != beside[0] for e in (letters[0], letters[-1])))
 
 
-def stretches(text: str) -> list[tuple[int, int]]:
-    """(start, end) of runs of neighbouring tokens that could be garbled."""
+def _split(text: str) -> set[str]:
+    return set(text.replace("\n", " ").replace("\r", " ").replace("\t", " ").split(" "))
+
+
+@_once
+def _single_codes(chain: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of each code point: the model's symbol for its original under a chain of single bytes, -1 where it has none; and whether that is another character."""
+    table = _single(CHAINS[chain][2], CHAINS[chain][3])
+    codes = np.full(0x110000, -1, dtype=np.int32)
+    codes[:0x80] = _lookup()[:0x80]
+    other = np.zeros(0x110000, dtype=bool)
+    for o, back in table.items():
+        if back != "\0":
+            codes[o], other[o] = _lookup()[ord(back)], back != chr(o)
+    if CHAINS[chain][2] != "cp1252":
+        codes[[*range(65, 91), *range(97, 123)]] = -1
+    return codes, other
+
+
+#: Chains that leave nothing but letters of another script: only the letters' order gives them away.
+_HIDDEN = [k for k, c in enumerate(CHAINS) if c[1] == "single" and c[3] == "cp1256"]
+
+
+class _Tokens:
+    """Which tokens are to be judged: those that _suspect() names and, given a model, those of which an original is nearly as probable. Each is looked at once a worker."""
+
+    def __init__(self, model: _Model | None = None):
+        self.model, self.fine, self.strange = model, {""}, set()
+
+    def read(self, texts: list[str]) -> list[set[str]]:
+        """Of each text, its tokens that are to be judged."""
+        words = [_split(t) for t in texts]
+        new = list(set().union(*words) - self.fine - self.strange)
+        if new:
+            found = {t for t in new if not t.isascii() and _suspect(t)}
+            rest = [t for t in new if t not in found]
+            if self.model is not None and rest:
+                found.update(t for t, hidden in zip(rest, self.model.hidden(rest)) if hidden)
+            self.strange |= found
+            self.fine.update(t for t in new if t not in found)
+        out = [w & self.strange for w in words]
+        if len(self.fine) > REMEMBERED:
+            self.fine, self.strange = {""}, set()
+        return out
+
+
+def stretches(text: str, strange: set[str] | None = None) -> list[tuple[int, int]]:
+    """(start, end) of runs of neighbouring tokens that could be garbled: strange, or else those that look so."""
     out: list[list[int]] = []
     last = -9
     for k, m in enumerate(_TOKEN.finditer(text)):
-        if _suspect(m[0]):
+        if _suspect(m[0]) if strange is None else m[0] in strange:
             if last == k - 1 and out:
                 out[-1][1] = m.end()
             else:
@@ -217,11 +257,12 @@ def _unclean(token: str) -> bool:
 
 def _count_pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     total = np.zeros(SIZE * SIZE, dtype=np.int64)
+    tokens = _Tokens()
     for b in batches:
         clean = []
-        for t in b["text"]:
-            if _quick().search(t):
-                for a, z in reversed(stretches(t)):
+        for t, strange in zip(b["text"], tokens.read(b["text"].tolist())):
+            if strange:
+                for a, z in reversed(stretches(t, strange)):
                     if any(map(_unclean, t[a:z].split())):
                         t = t[:a] + " " + t[z:]
             clean.append(t)
@@ -248,25 +289,47 @@ class _Model:
         self.first = first
         self.single = (second + 0.05) / (second.sum() + 0.05 * SIZE)
 
+    def _steps(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """log P(b after a)."""
+        p = a.astype(np.int64) * SIZE + b
+        at = np.minimum(np.searchsorted(self.pair, p), len(self.pair) - 1)
+        n = np.where(self.pair[at] == p, self.n[at], 0.0)
+        return np.log((n + 2.0 * self.single[b]) / (self.first[a] + 2.0))
+
     def __call__(self, text: str) -> float:
         """log P(text), between blanks."""
         if len(self.pair) == 0:
             return 0.0
-        c = _codes(" " + text + " ").astype(np.int64)
-        a, b = c[:-1], c[1:]
-        p = a * SIZE + b
-        at = np.minimum(np.searchsorted(self.pair, p), len(self.pair) - 1)
-        n = np.where(self.pair[at] == p, self.n[at], 0.0)
-        return float(np.log((n + 2.0 * self.single[b]) / (self.first[a] + 2.0)).sum())
+        c = _codes(" " + text + " ")
+        return float(self._steps(c[:-1], c[1:]).sum())
+
+    def hidden(self, tokens: list[str]) -> np.ndarray:
+        """Whether each token could well come from a chain of single bytes."""
+        out = np.zeros(len(tokens), dtype=bool)
+        if len(self.pair) == 0:
+            return out
+        points = np.frombuffer((" " + " ".join(tokens) + " ").encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+        raw = _lookup()[points]
+        ends = np.cumsum([len(t) + 1 for t in tokens])
+        starts = ends - [len(t) + 1 for t in tokens]
+        own = np.add.reduceat(self._steps(raw[:-1], raw[1:]), starts)
+        for k in _HIDDEN:
+            codes, other = _single_codes(k)
+            back = codes[points]
+            fits = ~np.logical_or.reduceat(back[1:] < 0, starts) & (np.add.reduceat(other[points[1:]].astype(np.int32), starts) > 0)
+            back = np.maximum(back, 0)
+            out |= fits & (np.add.reduceat(self._steps(back[:-1], back[1:]), starts) > own - MARGIN)
+        return out
 
 
 def _weigh(counts):
     def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = _Model(counts.value)
+        tokens = _Tokens(model)
         for b in batches:
             out = []
-            for doc, pool, text in zip(b["id"], b["pool"], b["text"]):
-                for start, end in stretches(text) if _quick().search(text) else ():
+            for doc, pool, text, strange in zip(b["id"], b["pool"], b["text"], tokens.read(b["text"].tolist())):
+                for start, end in stretches(text, strange) if strange else ():
                     raw = text[start:end]
                     beside = _beside(text, start, end)
                     base = model(raw) + _switches(raw, beside)
@@ -307,13 +370,12 @@ def judged_stretches(texts: DataFrame, field: str = "text") -> DataFrame:
     spark = texts.sparkSession
     rows = texts.select("id", F.concat_ws("\x1f", F.coalesce("source", F.lit("\x00")), F.lit(field)).alias("pool"), "text").where("id is not null and text is not null")
     counts = spark.sparkContext.broadcast(clean_model(rows))
-    # Texts of usual characters only never reach Python here.
-    odd = rows.where(F.col("text").rlike(PECULIAR))
-    fits = cut(odd.mapInPandas(_weigh(counts), "id bigint, pool string, start int, end int, fit array<double>, back array<string>"), "fits").dropDuplicates(["id", "start"])
+    fits = cut(rows.mapInPandas(_weigh(counts), "id bigint, pool string, start int, end int, fit array<double>, back array<string>"), "fits").dropDuplicates(["id", "start"])
     fits = cut(fits, "stretches")
     start = [0.7] + [0.3 / (K - 1)] * (K - 1)
     overall = start
     shares: DataFrame | None = None
+    moved = 0.0
     for _ in range(ROUNDS):
         one = F.array(*map(F.lit, overall))
         # Few rows: one a pool. Joined by hash; Spark broadcasts them while they are small, and splits a pool with a third of all stretches.
@@ -325,8 +387,11 @@ def judged_stretches(texts: DataFrame, field: str = "text") -> DataFrame:
         before = overall
         overall = [((total[f"s{k}"] or 0.0) + 0.5) / ((total["n"] or 0) + 0.5 * K) for k in range(K)]
         shares = pools.select("pool", F.array(*((F.col(f"s{k}") + SHRINK * overall[k]) / (F.col("n") + SHRINK) for k in range(K))).alias("share"))
-        if max(abs(a - b) for a, b in zip(before, overall)) < 1e-4:
+        moved = max(abs(a - b) for a, b in zip(before, overall))
+        if moved < 1e-4:
             break
+    else:
+        warnings.warn(f"shares of encoding chains: still moving by {moved:.2g} after {ROUNDS} rounds", stacklevel=2)
     return fits.join(shares, "pool").select("id", "pool", "start", "end", "back", F.expr(_posterior("fit", "share")).alias("post"))
 
 

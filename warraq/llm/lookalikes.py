@@ -41,6 +41,8 @@ _CLASS = f"{_IDENTITY}{re.escape(INVISIBLE)}\u200C\u200D\uFB50-\uFDCF\uFDF0-\uFD
 _LIKE = "".join([*ARABIC_LIKE, *DIGIT_LIKE, *LATIN_LIKE])
 #: Texts without any of these are as they should be; the test runs in the scan's stage, on Spark's side.
 ODD = f"[{_CLASS}{_LIKE}]"
+#: Texts of these alone, the most, are as they should be too; few ranges, the commonest first, and none of them in ODD.
+USUAL = "[ء-ي -~\n\r\u064b-\u0652٠-٩،؛؟«»‘’“”–—…ĀāĪīŪūḌḍḤḥṢṣṬṭʿʾ\ufdfa]"
 _TOKEN = re.compile(r"[^\W_]+(?:[\u0610-\u061A\u064B-\u065F\u0670ـʿʾ'’]+[^\W_]+)*[\u064B-\u065F\u0670]*")
 _MARKS = re.compile(r"[\u0610-\u061A\u064B-\u065F\u0670ـ]")
 
@@ -189,7 +191,7 @@ def one_form(texts: DataFrame) -> DataFrame:
     repeated row counts once. Applied to its own result nothing changes.
     """
     texts = texts.select("tab", "row_key", "text").where("text is not null and tab is not null and row_key is not null")
-    odd = texts.where(F.col("text").rlike(ODD)).dropDuplicates()
+    odd = texts.where(F.col("text").rlike(USUAL.replace("[", "[^", 1)) & F.col("text").rlike(ODD)).dropDuplicates()
     first = cut(odd.mapInPandas(_first, "tab string, row_key string, text string, base string, wanted array<string>"), "first")
     wanted = first.select(F.explode("wanted").alias("word")).distinct()
     # Digits have no vocabulary: a number is a word of its script whatever its digits.
