@@ -127,6 +127,6 @@ def test_what_the_choice_of_tokens_leaves_out(spark):
             own = model(t)
             for k in range(1, encodings.K):
                 back = encodings.undo(t, k)
-                if back != t and model(back) - 4.0 * back.count(encodings.LOST) > own:
+                if back != t and model(back) - 4.0 * back.count(encodings.LOST) > own and encodings._ORDINARY.search(t):
                     missed.append((r.id, t, back))
     assert not missed, missed[:10]
