@@ -32,8 +32,8 @@ OFTEN = 8
 SALTS = 256
 GROUP = 1 << 19
 #: Bytes of input files for each task of the symbols' exchange, and tasks at most.
-TASK_BYTES = 4 << 20
-MOST_TASKS = 1 << 16
+TASK_BYTES = 2 << 20
+MOST_TASKS = 1 << 15
 #: Ids up to this many (8 bytes each) are broadcast to the scan for texts; more are joined by shuffle.
 BROADCAST_IDS = 500_000
 
@@ -160,11 +160,11 @@ def _shared_borders(texts: DataFrame, least: int) -> DataFrame:
     # Asking for all columns keeps both sides of the join below on one exchange, so texts are parsed and symbols shuffled once.
     shared = (
         told.groupBy("symbol", "salt")
-        .agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.max("before").alias("b"), F.max("pos").alias("p"), F.max("known").alias("known"))
-        .where("(known or lo < hi) and coalesce(b, p) is not null")
-        .select("symbol", "salt")
+        .agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.max("before").alias("b"), F.max("pos").alias("p"), F.max("known").alias("ever"))
+        .where("(ever or lo < hi) and coalesce(b, p) is not null")
+        .select("symbol", "salt", "ever", "lo", "hi")
     )
-    hot = cut(told.join(shared.hint("shuffle_hash"), ["symbol", "salt"]).select("id", "symbol", "before", "pos").dropDuplicates(["id", "pos"]), "symbols")
+    hot = cut(told.join(shared.hint("shuffle_hash"), ["symbol", "salt"]).where("known or ever or lo < hi").select("id", "symbol", "before", "pos").dropDuplicates(["id", "pos"]), "symbols")
     ids = hot.select("id").distinct()
     bounded = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
     owners = long.join(F.broadcast(ids) if bounded else ids, "id", "left_semi").groupBy("id").agg(F.min("text").alias("text"))
