@@ -10,7 +10,22 @@ def col(spark, values, f):
 def test_guards(spark):
     assert col(spark, ["﴿بِسْمِ اللَّهِ الرَّحْمَنِ الرَّحِيمِ﴾", "بسم الله", None], Q.is_basmalah) == [True, False, None]
     assert col(spark, ["أعوذ بالله من الشيطان الرجيم، قال", "قال"], Q.is_refuge) == [True, False]
-    assert col(spark, ["(سورة الفاتحة)", "سورة الفاتحة نزلت"], lambda c: Q.is_chapter_heading(c, F.lit("الفاتحة"))) == [True, False]
+    # A heading may go on after the name, if it is short.
+    assert col(spark, ["(سورة الفاتحة)", "سورة الفاتحة نزلت", "[تفسير] [١] سورة الفاتحة [مكية]", "ذكر سورة الفاتحة " + "كلام " * 40, "سورة البقرة"], lambda c: Q.is_chapter_heading(c, F.lit("الفاتحة"))) == [True, True, True, False, False]
+    assert col(spark, ["﷽", "سُبْحَانَ"], Q.is_basmalah) == [True, False] and col(spark, ["*[خاتمة] كذا", "آمين", "قال آمين"], Q.is_closing) == [True, True, False]
+
+
+def test_guarded_segments(spark):
+    rows = [("a", i, t) for i, t in enumerate(["نهاية السورة قبلها", "سورة الفاتحة", "مقدمة", "أعوذ بالله من الشيطان", "١", "شرح", "٢", "شرح", "خاتمة", "آخر", "سورة البقرة", "ذيل"])]
+    rows += [("b", i, t) for i, t in enumerate(["١", "بسم الله الرحمن الرحيم", "شرح", "بسم الله الرحمن الرحيم", "ذيل"])] + [("c", 0, "x")]
+    anchors = [("a", 4, "1", "tafsir"), ("a", 5, "1", "tafsir"), ("a", 6, "2", "tafsir"), ("b", 0, "1", "tafsir")]
+    names = [("a", "الفاتحة", "البقرة"), ("b", None, None), ("c", "y", "z")]
+    of = lambda r, s: spark.createDataFrame(r, s)
+    got = Q.guarded_segments(of(rows, "k string, pos int, text string"), of(anchors, "k string, pos int, label string, kind string"), of(names, "k string, own_name string, next_name string"), ["k"])
+    assert sorted(tuple(r) for r in got.collect()) == [
+        ("a", 0, 1, "out_of_scope", "out_of_scope"), ("a", 2, 2, "intro", "intro"), ("a", 3, 3, "istiadhah", "istiadhah"), ("a", 4, 5, "1", "tafsir"), ("a", 6, 7, "2", "tafsir"),
+        ("a", 8, 9, "closing", "closing"), ("a", 10, 11, "out_of_scope", "out_of_scope"), ("b", 0, 2, "1", "tafsir"), ("b", 3, 4, "out_of_scope", "out_of_scope"),
+    ]
     assert col(spark, ["التفسير: كذا", "اللغة:", "خاتمة", "قال"], Q.section_kind) == ["tafsir", "section", "closing", None]
 
 

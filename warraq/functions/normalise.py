@@ -21,10 +21,11 @@ PRESENTATION = r"[\x{FB50}-\x{FDFF}\x{FE70}-\x{FEFF}\x{200B}-\x{200F}\x{061C}]"
 PRESENTATION_FORMS = r"[\x{FB50}-\x{FDFF}\x{FE70}-\x{FEFF}]"
 MATCH_PUNCTUATION = r"[()\[\]«»{}:،؛.,!؟?\-–—_\x{0640}\x{FD3E}\x{FD3F}\x{FDF0}-\x{FDFF}]"
 DIGITS, PERSIAN_DIGITS, ASCII_DIGITS = "٠١٢٣٤٥٦٧٨٩", "۰۱۲۳۴۵۶۷۸۹", "0123456789"
+#: Dropped one after another in this order.
 HONORIFICS = (
-    "صلي الله عليه واله وسلم", "صلي الله عليه وسلم", "صلي الله عليه", "عليهما السلام", "عليها السلام", "عليه السلام",
-    "رضي الله عنهما", "رضي الله عنها", "رضي الله عنهم", "رضي الله عنهن", "رضي الله عنه", "رضي الله", "رضوان الله عليه",
-    "رحمه الله عليه", "رحمه الله", "غفر الله له",
+    "صلي الله عليه وسلم", "صلي الله عليه واله وسلم", "صلي الله عليه", "عليه السلام", "عليها السلام", "عليهما السلام",
+    "رضي الله عنه", "رضي الله عنها", "رضي الله عنهما", "رضي الله عنهم", "رضي الله عنهن", "رضي الله", "رضوان الله عليه",
+    "رحمة الله عليه", "رحمه الله", "غفر الله له", "اسلام رضي الله عنه", "امراه", "امراه ا", "زوجه", "زوجه النبي",
 )
 APOSTROPHES = "‘’ʼ`´ʿʾ"
 
@@ -91,7 +92,9 @@ def person_key(c: Column) -> Column:
     """For persons' names; letters only, servant names in two words, honorifics dropped."""
     letters = F.translate(_drop(F.regexp_replace(c, PRESENTATION, " "), MARKS_ALL), "أإآٱةىؤئ", "ااااهيوي")
     words = F.regexp_replace(F.regexp_replace(letters, r"[^\x{0621}-\x{064A}\s]", " "), r"(^|\s)عبدال", "$1عبد ال")
-    return collapse(F.regexp_replace(words, "|".join(HONORIFICS), " "))
+    for phrase in HONORIFICS:
+        words = F.replace(words, F.lit(phrase), F.lit(" "))
+    return collapse(words)
 
 
 def title_words(c: Column) -> Column:

@@ -26,7 +26,7 @@ UNITS = {
 }
 TENS = {"عشرين": 20, "ثلاثين": 30, "اربعين": 40}
 ORDINALS = ("الاولي", "الثانيه", "الثالثه", "الرابعه", "الخامسه", "السادسه", "السابعه", "الثامنه", "التاسعه", "العاشره")
-FOREIGN = r"[\x{0370}-\x{03FF}\x{0400}-\x{04FF}\x{0590}-\x{05FF}\x{0E00}-\x{0E7F}\x{3040}-\x{30FF}\x{4E00}-\x{9FFF}\x{FF00}-\x{FFEF}]"
+FOREIGN = r"[\x{0370}-\x{03FF}\x{0400}-\x{04FF}\x{0590}-\x{05FF}\x{0E00}-\x{0E7F}\x{3000}-\x{9FFF}\x{FF00}-\x{FFEF}]"
 
 
 def strip(c: Column) -> Column:

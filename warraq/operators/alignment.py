@@ -85,19 +85,27 @@ def best_chain(candidates: DataFrame, keys: list[str]) -> DataFrame:
 
     def one(key: tuple, c: pd.DataFrame) -> pd.DataFrame:
         c = c.sort_values(["pos", "lo", "hi"]).reset_index(drop=True)
-        n = len(c)
-        lo, hi = c["lo"].to_numpy(), c["hi"].to_numpy()
-        start, count, before = lo.copy(), np.ones(n, dtype=int), np.full(n, -1)
-        for j in range(n):
-            span = hi[j] - lo[j] + 1
-            for i in range(j):
-                if lo[j] > hi[i] and (hi[j] - start[i] + 1, count[i] + 1) > (span, count[j]):
-                    span, count[j], start[j], before[j] = hi[j] - start[i] + 1, count[i] + 1, start[i], i
-        j = max(range(n), key=lambda x: (hi[x] - start[x] + 1, count[x]))
+        ends = np.unique(c["hi"])
+        # Of the chains so far, by where they end: (first number, -members, place of the last member), the least of all that end up to a rank, in a binary indexed tree.
+        tree: list[tuple | None] = [None] * (len(ends) + 1)
+        link: list[tuple] = []
+        for j, (lo, hi) in enumerate(zip(c["lo"], c["hi"])):
+            at, best = int(np.searchsorted(ends, lo)), None
+            while at:
+                best = min(filter(None, (best, tree[at])), default=None)
+                at &= at - 1
+            mine = (best[0], best[1] - 1, j) if best else (lo, -1, j)
+            link.append((mine, best[2] if best else None))
+            at = int(np.searchsorted(ends, hi)) + 1
+            while at < len(tree):
+                tree[at] = min(filter(None, (tree[at], mine)))
+                at += at & -at
+        # The widest span, then most members, then the first.
+        j = min(range(len(link)), key=lambda k: (link[k][0][0] - c["hi"][k], link[k][0][1], k)) if link else None
         taken = []
-        while j >= 0:
+        while j is not None:
             taken.append(j)
-            j = int(before[j])
+            j = link[j][1]
         return c.loc[taken[::-1]]
 
     cols = [*keys, "pos", "lo", "hi"]

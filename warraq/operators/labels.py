@@ -2,11 +2,33 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-MAX_DEPTH = 8
+#: Verses of each chapter, 6,236 in all. Fixed values.
+VERSES = (
+    7, 286, 200, 176, 120, 165, 206, 75, 129, 109, 123, 111, 43, 52, 99, 128, 111, 110, 98, 135, 112, 78, 118, 64, 77, 227, 93, 88, 69, 60, 34, 30, 73, 54, 45, 83, 182, 88,
+    75, 85, 54, 53, 89, 59, 37, 35, 38, 29, 18, 45, 60, 49, 62, 55, 78, 96, 29, 22, 24, 13, 14, 11, 11, 18, 12, 12, 30, 52, 52, 44, 28, 28, 20, 56, 40, 31,
+    50, 40, 46, 42, 29, 19, 36, 25, 22, 17, 19, 26, 30, 20, 15, 21, 11, 8, 8, 19, 5, 8, 8, 11, 11, 8, 3, 9, 5, 4, 7, 3, 6, 3, 5, 4, 5, 6,
+)
+
+
+def chapters(spark: SparkSession) -> DataFrame:
+    """Surah, n_ayat of the 114 chapters."""
+    return spark.createDataFrame([(i + 1, n) for i, n in enumerate(VERSES)], "surah int, n_ayat int")
+
+
+def check_verses(refs: DataFrame) -> DataFrame:
+    """Refs (with surah, ayah; a null ayah means the whole chapter) with n_ayat and status: ok, no chapter, no verse."""
+    x = refs.join(F.broadcast(chapters(refs.sparkSession)), "surah", "left")
+    status = F.when(F.col("n_ayat").isNull(), "no chapter").when(F.col("ayah").isNull() | F.col("ayah").between(1, F.col("n_ayat")), "ok").otherwise("no verse")
+    return x.withColumn("status", status)
+
+
+def label_note(label: Column) -> Column:
+    """Q1: what a label that is no plain verse or range means, or null."""
+    return F.when(label.contains(","), "one of these verses").when(label.startswith("~"), "verses inferred from the neighbours")
 
 
 def bounds(label: Column) -> tuple[Column, Column]:
@@ -63,25 +85,34 @@ def longest_block(df: DataFrame, keys: list[str], page: str, gap: int = 3) -> Da
     return per.groupBy(*keys).agg(F.max_by(F.struct("from_page", "to_page", "n"), F.struct("n", -F.col("from_page"))).alias("b")).select(*keys, "b.*")
 
 
+def _levels(toc: DataFrame, keys: list[str], depth: str) -> DataFrame:
+    """Each row once for every level from its own depth down to its group's deepest: _r (the row), _own (its depth), _level. A null depth is 0.
+
+    Within one level the rows that count for it stand side by side, so what asks for rows of at most a given depth is one window, without a limit to the depth.
+    """
+    own = F.greatest(F.coalesce(F.col(depth), F.lit(0)), F.lit(0)).cast("int")
+    x = toc.select(*(F.col(k).alias(f"_{k}") for k in keys), F.struct(*toc.columns).alias("_r"), own.alias("_own"))
+    deepest = F.max("_own").over(W.partitionBy(*(f"_{k}" for k in keys)))
+    return x.withColumn("_max", deepest).withColumn("_level", F.explode(F.sequence("_own", "_max")))
+
+
 def toc_ends(toc: DataFrame, keys: list[str], i: str = "i", page: str = "page", depth: str = "depth") -> DataFrame:
     """end_excl, the page of the first later row of the same or a lesser depth on a later page; end_any, of any depth.
 
-    Rows are in page order, so the first such row has the least page: one running minimum per depth, of MAX_DEPTH at most; deeper
-    rows count as the deepest.
+    Rows are in page order, so the first such row has the least page. A tree may be of any depth.
     """
-    # From the last page backwards, so that each minimum grows with the frame instead of being taken anew.
-    later = W.partitionBy(*keys).orderBy(F.desc(page)).rangeBetween(W.unboundedPreceding, -1)
-    level = F.least(F.greatest(F.col(depth), F.lit(0)), F.lit(MAX_DEPTH))
-    ends = F.array(*(F.min(F.when(level <= k, F.col(page))).over(later) for k in range(MAX_DEPTH + 1)))
-    return toc.withColumn("end_excl", F.get(ends, level)).withColumn("end_any", F.min(page).over(later))
+    # From the last page backwards, so that the minimum grows with the frame instead of being taken anew.
+    at = W.partitionBy(*(f"_{k}" for k in keys), "_level").orderBy(F.desc(f"_r.{page}")).rangeBetween(W.unboundedPreceding, -1)
+    every = W.partitionBy(*keys).orderBy(F.desc(page)).rangeBetween(W.unboundedPreceding, -1)
+    x = _levels(toc, keys, depth).withColumn("end_excl", F.min(f"_r.{page}").over(at)).where("_own = _level")
+    return x.select("_r.*", "end_excl").withColumn("end_any", F.min(page).over(every))
 
 
 def toc_parents(toc: DataFrame, keys: list[str], i: str = "i", depth: str = "depth") -> DataFrame:
-    """Parent of each row of a pre-order list, the last row before it of a lesser depth; null for roots."""
-    w = W.partitionBy(*keys).orderBy(i).rowsBetween(W.unboundedPreceding, -1)
-    level = F.least(F.greatest(F.col(depth), F.lit(0)), F.lit(MAX_DEPTH))
-    last = F.array(*(F.max(F.when(level < k, F.col(i))).over(w) for k in range(MAX_DEPTH + 1)))
-    return toc.withColumn("parent", F.get(last, level))
+    """Parent of each row of a pre-order list, the last row before it of a lesser depth; null for roots. A tree may be of any depth."""
+    at = W.partitionBy(*(f"_{k}" for k in keys), "_level").orderBy(f"_r.{i}").rowsBetween(W.unboundedPreceding, -1)
+    x = _levels(toc, keys, depth).withColumn("parent", F.max(F.when(F.col("_own") < F.col("_level"), F.col(f"_r.{i}"))).over(at))
+    return x.where("_own = _level").select("_r.*", "parent")
 
 
 def coverage(verses: DataFrame, totals: DataFrame, keys: list[str]) -> DataFrame:

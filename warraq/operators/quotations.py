@@ -20,23 +20,77 @@ SECTION_HEADS = (
     ("intro", "بين يدي السورت"), ("intro", "بينا يدي"), ("intro", "فضله"), ("intro", "فضلها"), ("section", "التسميت"), ("section", "المناسبت"),
     ("section", "اللغت"), ("tafsir", "التفسير"), ("section", "البلاغت"), ("section", "الفوائد"), ("closing", "خاتمت"),
 )
-BASMALAH, REFUGE = "بسم الله الرحمن الرحيم", "اعوذ بالله من الشيطان الرجيم"
+BASMALAH, REFUGE = ("﷽", "بسم الله الرحمن الرحيم"), "اعوذ بالله"
+CLOSING = r"^(خاتمت|اللهم امين|امين|رب يسر|رب اعن|رب يسرك واعن)"
+CHAPTER = "سورت "
+BEFORE_HEADING, BEFORE_CLOSING = "*[]()﴾﴿.،:; ٠١٢٣٤٥٦٧٨٩", "*[]() "
 
 
 def is_basmalah(c: Column) -> Column:
     """Nothing but the basmalah, brackets and punctuation aside."""
-    return N.collapse(F.regexp_replace(N.verse_key(c), r"[^\p{L}\s]+", " ")) == BASMALAH
+    return N.verse_key(c).isin(*BASMALAH) | (N.collapse(F.regexp_replace(N.verse_key(c), r"[^\p{L}\s]+", " ")) == BASMALAH[1])
 
 
 def is_refuge(c: Column) -> Column:
-    """The formula of refuge, at the paragraph's beginning."""
-    return N.collapse(F.regexp_replace(N.verse_key(c), r"[^\p{L}\s]+", " ")).startswith(REFUGE)
+    """Led by the formula of refuge."""
+    return N.verse_key(c).startswith(REFUGE)
+
+
+def is_closing(c: Column) -> Column:
+    """Led by a closing phrase, brackets and asterisks aside."""
+    return F.ltrim(N.verse_key(c), F.lit(BEFORE_CLOSING)).rlike(CLOSING)
 
 
 def is_chapter_heading(c: Column, name: Column) -> Column:
-    """A short paragraph "chapter NAME", brackets aside."""
-    t = N.collapse(F.regexp_replace(N.verse_key(c), r"[^\p{L}\s]+", " "))
-    return (F.length(t) <= 40) & (t == F.concat(F.lit("سورت "), N.verse_key(name)))
+    """C12: "chapter NAME", the same led by "commentary on", or a short heading with "chapter" near its beginning that holds it; a null or empty name has none."""
+    t = F.ltrim(N.verse_key(c), F.lit(BEFORE_HEADING))
+    key = F.concat(F.lit(CHAPTER), N.verse_key(name))
+    near = F.substring(t, 1, 30).contains(CHAPTER.strip()) & t.contains(key) & (F.length(t) < 140)
+    return (N.verse_key(name) != "") & ~is_basmalah(c) & ((t == key) | t.startswith(F.concat(F.lit("تفسير "), key)) | near)
+
+
+def guarded_segments(rows: DataFrame, anchors: DataFrame, names: DataFrame, keys: list[str], pos: str = "pos", text: str = "text") -> DataFrame:
+    """All paragraphs of each group as segments: what stands before its own chapter heading and after the next one's is out of scope, then intro and
+    refuge, one segment an anchor, and the closing.
+
+    rows: keys, pos (0, 1, ... in each group), text; anchors: keys, pos, label, kind; names: keys, own_name, next_name (either may be null). Of neighbouring anchors with equal label and
+    kind the first counts, of anchors at one place the least label. The last own heading before the first anchor ends the leading part; the first heading of the
+    next chapter after the last anchor, or a basmalah more than one paragraph after it, begins the trailing part; the first closing phrase
+    after the last anchor, before that, begins the closing. Groups without an anchor give no row. Result: keys, from_pos, to_pos, label, kind.
+    """
+    w = W.partitionBy(*keys).orderBy("pos")
+    one = anchors.where("pos is not null").groupBy(*keys, "pos").agg(F.min(F.struct("label", "kind")).alias("a")).select(*keys, "pos", "a.*")
+    same = F.lag("label").over(w).eqNullSafe(F.col("label")) & F.lag("kind").over(w).eqNullSafe(F.col("kind")) & F.lag("pos").over(w).isNotNull()
+    kept = one.withColumn("_same", same).where("not _same").drop("_same").withColumn("_next", F.lead("pos").over(w))
+    ends = one.groupBy(*keys).agg(F.min("pos").alias("_first"), F.max("pos").alias("_last"))
+    r = rows.select(*keys, F.col(pos).alias("_p"), F.col(text).alias("_t")).join(ends, keys).join(names.select(*keys, "own_name", "next_name"), keys, "left")
+    p, first, last = F.col("_p"), F.col("_first"), F.col("_last")
+    # A paragraph that heads its own chapter isn't taken for the next one's heading.
+    own, nxt = F.coalesce(is_chapter_heading(F.col("_t"), F.col("own_name")), F.lit(False)), F.coalesce(is_chapter_heading(F.col("_t"), F.col("next_name")), F.lit(False))
+    cuts = r.groupBy(*keys).agg(
+        F.max(p).alias("_end"), F.max(F.when(own & (p < first), p)).alias("_lead"),
+        F.min(F.when((nxt & ~own & (p > last)) | (is_basmalah(F.col("_t")) & (p > last + 1)), p)).alias("_trail"),
+        F.min(F.when(is_closing(F.col("_t")) & (p > last), p)).alias("_close"), F.collect_set(F.when(is_refuge(F.col("_t")) & (p < first), p)).alias("_refuges"), F.max("_first").alias("_first"),
+    )
+    cuts = cuts.withColumn("_trail", F.coalesce("_trail", F.col("_end") + 1)).withColumn("_close", F.when(F.col("_close") < F.col("_trail"), F.col("_close"))).withColumn("_zone", F.coalesce(F.col("_lead") + 1, F.lit(0)))
+    cuts = cuts.withColumn("_refuge", F.array_min(F.filter("_refuges", lambda x: x >= F.col("_zone"))))
+    split = F.when(F.col("_refuge") > F.col("_zone"), F.col("_refuge"))
+    part = lambda a, b, label: F.struct(a.cast("long").alias("from_pos"), b.cast("long").alias("to_pos"), F.lit(label).alias("label"), F.lit(label).alias("kind"))
+    around = F.array(
+        part(F.when(F.col("_lead").isNotNull(), F.lit(0)), F.col("_lead"), "out_of_scope"), part(F.col("_zone"), F.coalesce(split, F.col("_first")) - 1, "intro"), part(split, F.col("_first") - 1, "istiadhah"),
+        part(F.col("_close"), F.col("_trail") - 1, "closing"), part(F.col("_trail"), F.col("_end"), "out_of_scope"),
+    )
+    zones = cuts.select(*keys, F.explode(around).alias("s")).select(*keys, "s.*")
+    stop = F.coalesce(F.col("_next"), F.coalesce("_close", "_trail")) - 1
+    body = kept.join(cuts.select(*keys, "_trail", "_close"), keys).select(*keys, F.col("pos").cast("long").alias("from_pos"), stop.cast("long").alias("to_pos"), "label", "kind")
+    return zones.unionByName(body).where("from_pos <= to_pos")
+
+
+def is_verse_block(c: Column, verse: Column, n: int = 24) -> Column:
+    """C11, X11: a displayed block without brackets: its text without printed numbers and the verse begin with the same ``n`` letters, or the shorter one begins the other."""
+    body, v = F.btrim(N.verse_key(F.regexp_replace(c, NUMBER, "")), F.lit(" .،:؛-﴿﴾")), N.verse_key(verse)
+    start = lambda x: F.substring(x, 1, n)
+    return (v != "") & (start(body).startswith(start(v)) | start(v).startswith(start(body)))
 
 
 def section_kind(c: Column) -> Column:

@@ -13,26 +13,57 @@ from warraq.plans.materialize import few
 # Words before a book's name that don't belong to it, and the widest range a reference may name.
 PREFIXES = ("shahih", "sahih", "sunan", "imam", "kitab", "hr", "musnad")
 MAX_RANGE = 2000
+# Bracket groups of titles; those of the first form lose their brackets, those of the second go.
+BRACKETS = (
+    (r"\[(?=[^\[\]]*(?:سور|تفسير))([^\[\]]*)\]", r"\[[^\[\]]*\]"),
+    (r"\((?=[^()]*(?:سور|تفسير))([^()]*)\)", r"\([^()]*\)"),
+)
 
 
 def resolve_aliases(inputs: DataFrame, aliases: DataFrame) -> DataFrame:
-    """Inputs (qid, name) against aliases (alias, target): qid, target, how (exact, prefix dropped, unique start); null, 'unknown' otherwise.
+    """Inputs (qid, name) against aliases (alias, target): qid, target, how (exact, prefix dropped, unique start); null and 'ambiguous' or 'unknown' otherwise.
 
-    Every input comes back, once. An alias of two targets counts for the lesser one.
+    Every input comes back, once. An alias of two targets is ambiguous: it names neither.
     """
-    a = aliases.select(N.alias_key(F.col("alias")).alias("key"), "target").where("key <> ''").groupBy("key").agg(F.min("target").alias("target"))
+    a = aliases.select(N.alias_key(F.col("alias")).alias("key"), "target").where("key <> ''").groupBy("key").agg(F.min("target").alias("least"), F.max("target").alias("most"))
+    a = a.select("key", F.when(F.col("least") == F.col("most"), F.col("least")).alias("target"), F.array("least", "most").alias("targets"))
     q = inputs.select("qid", N.alias_key(F.col("name")).alias("key"))
     exact = q.join(a, "key").select("qid", "target", F.lit(1).alias("step"))
     bare = q.select("qid", F.explode(F.array(*(F.when(F.col("key").startswith(p), F.substring(F.col("key"), F.lit(len(p) + 1), F.length("key"))) for p in PREFIXES))).alias("key"))
     bare = bare.where("key is not null").join(a, "key").select("qid", "target", F.lit(2).alias("step"))
     # All starts of at least four letters, joined by equality.
-    starts = a.where("length(key) >= 4").select("target", F.explode(F.expr("transform(sequence(4, length(key)), n -> left(key, n))")).alias("key"))
+    starts = a.where("length(key) >= 4").select(F.explode("targets").alias("target"), "key").select("target", F.explode(F.expr("transform(sequence(4, length(key)), n -> left(key, n))")).alias("key"))
     unique = q.join(starts, "key").groupBy("qid").agg(F.count_distinct("target").alias("n"), F.min("target").alias("target")).where("n = 1")
     tried = exact.unionByName(bare).unionByName(unique.select("qid", "target", F.lit(3).alias("step")))
-    best = tried.groupBy("qid").agg(F.min(F.struct("step", "target")).alias("b"))
+    # One step may find two targets, or an alias of two: null sorts first.
+    best = tried.groupBy("qid", "step").agg(F.when((F.min("target") == F.max("target")) & (F.count("*") == F.count("target")), F.min("target")).alias("target"))
+    best = best.groupBy("qid").agg(F.min(F.struct("step", "target")).alias("b"))
     how = F.array(F.lit("exact"), F.lit("prefix dropped"), F.lit("unique start"))
     out = q.select("qid").distinct().join(best, "qid", "left")
-    return out.select("qid", F.col("b.target").alias("target"), F.coalesce(F.get(how, F.col("b.step") - 1), F.lit("unknown")).alias("how"))
+    named = F.when(F.col("b").isNull(), "unknown").when(F.col("b.target").isNull(), "ambiguous").otherwise(F.get(how, F.col("b.step") - 1))
+    return out.select("qid", F.col("b.target").alias("target"), named.alias("how"))
+
+
+def title_targets(titles: DataFrame, aliases: DataFrame, key: str = "tid") -> DataFrame:
+    """Titles (key, title) like "[commentary on] chapter NAME ..." to the target of the longest alias (alias, target) that begins NAME, word by word.
+
+    Bracket groups go, but those that mention a chapter or a commentary lose their brackets only. status: ok, no heading (not led by the word for chapter),
+    unknown, ambiguous (the longest alias has two targets). Every title comes once.
+    """
+    clean = F.col("title")
+    for kept, whole in BRACKETS:
+        clean = F.regexp_replace(F.regexp_replace(clean, kept, "$1"), whole, " ")
+    words = N.title_words(clean)
+    words = F.when(F.get(words, F.lit(0)) == "تفسير", F.slice(words, F.lit(2), F.size(words))).otherwise(words)
+    tail = F.when(F.array_join(F.slice(words, 1, 4), " ") == "السوره التي يذكر فيها", F.slice(words, F.lit(5), F.size(words))).when(F.get(words, F.lit(0)).isin("سوره", "سورتي"), F.slice(words, F.lit(2), F.size(words)))
+    t = titles.select(key, tail.alias("w"))
+    a = aliases.select("target", N.title_words(F.col("alias")).alias("w")).where("size(w) > 0").select("target", F.array_join("w", " ").alias("k"))
+    starts = t.select(key, F.explode(F.expr("transform(filter(sequence(0, size(w)), n -> n > 0), n -> struct(n, array_join(slice(w, 1, n), ' ') as k))")).alias("x")).select(key, "x.n", "x.k")
+    hit = starts.join(a.distinct(), "k").groupBy(key, "n").agg(F.min("target").alias("least"), F.max("target").alias("most"))
+    best = hit.groupBy(key).agg(F.max(F.struct("n", "least", "most")).alias("b"))
+    one = F.col("b.least") == F.col("b.most")
+    status = F.when(F.col("w").isNull() | (F.size("w") == 0), "no heading").when(F.col("b").isNull(), "unknown").when(one, "ok").otherwise("ambiguous")
+    return t.join(best, key, "left").select(key, F.when(one, F.col("b.least")).alias("target"), status.alias("status"))
 
 
 def parse_references(inputs: DataFrame) -> DataFrame:

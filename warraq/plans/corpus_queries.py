@@ -41,6 +41,13 @@ def _slim(spark: SparkSession, d: str, *cols: str) -> DataFrame:
     return table(spark, d, "pages").select(*cols).distinct()
 
 
+#: For the twins alone, which don't read the constants of the profiles here.
+_PHRASES = (
+    "صلي الله عليه وسلم|صلي الله عليه واله وسلم|صلي الله عليه|عليه السلام|عليها السلام|عليهما السلام|رضي الله عنه|رضي الله عنها|رضي الله عنهما|رضي الله عنهم|"
+    "رضي الله عنهن|رضي الله|رضوان الله عليه|رحمة الله عليه|رحمه الله|غفر الله له|اسلام رضي الله عنه|امراه|امراه ا|زوجه|زوجه النبي"
+)
+
+
 def _sql(profile: str, c: str) -> str:
     """A normalisation profile in DuckDB's SQL."""
     drop = lambda x, what: f"regexp_replace({x}, '{what}', '', 'g')"
@@ -66,7 +73,10 @@ def _sql(profile: str, c: str) -> str:
     if profile == "N8":
         letters = tr(drop(f"regexp_replace({c}, '{N.PRESENTATION}', ' ', 'g')", N.MARKS_ALL), "أإآٱةىؤئ", "ااااهيوي")
         only = rf"regexp_replace({letters}, '[^\x{{0621}}-\x{{064A}}\s]', ' ', 'g')"
-        return space(rf"regexp_replace(regexp_replace({only}, '(^|\s)عبدال', '\1عبد ال', 'g'), '{'|'.join(N.HONORIFICS)}', ' ', 'g')")
+        out = rf"regexp_replace({only}, '(^|\s)عبدال', '\1عبد ال', 'g')"
+        for phrase in _PHRASES.split("|"):
+            out = f"replace({out}, '{phrase}', ' ')"
+        return space(out)
     if profile == "N11":
         return space(rf"regexp_replace({tr(drop(c, N.MARKS_ALL), 'أإآىة', 'ااايه')}, '[\s()\[\]«»:،؛.,\-–—]+', ' ', 'g')")
     if profile == "N12":
@@ -240,8 +250,9 @@ def script_guard(spark: SparkSession, d: str) -> DataFrame:
     return p.groupBy("source").agg(F.count("*").alias("n"), F.count_if(P.has_foreign_script(F.col("text"))).alias("n_foreign"), F.sum(F.regexp_count("text", F.lit(P.FOREIGN))).alias("n_characters"))
 
 
+_FOREIGN = r"[\x{370}-\x{3FF}\x{400}-\x{4FF}\x{590}-\x{5FF}\x{E00}-\x{E7F}\x{3000}-\x{9FFF}\x{FF00}-\x{FFEF}]"
 ORACLE["script_guard"] = f"""
-SELECT source, count(*) AS n, count(*) FILTER (WHERE regexp_matches(text, '{P.FOREIGN}')) AS n_foreign, CAST(sum(len(regexp_extract_all(text, '{P.FOREIGN}'))) AS BIGINT) AS n_characters
+SELECT source, count(*) AS n, count(*) FILTER (WHERE regexp_matches(text, '{_FOREIGN}')) AS n_foreign, CAST(sum(len(regexp_extract_all(text, '{_FOREIGN}'))) AS BIGINT) AS n_characters
 FROM (SELECT DISTINCT para_id, source, text FROM pages WHERE text IS NOT NULL) GROUP BY source
 """
 
@@ -360,17 +371,24 @@ def verse_segments(spark: SparkSession, d: str) -> DataFrame:
 ORACLE["verse_segments"] = f"WITH {_SPANS} SELECT DISTINCT v.surah, CAST(v.ayah AS INTEGER) AS ayah, v.source, s.seg_id, s.seg_section, s.from_page, s.to_page FROM v JOIN {_SEG} s USING (seg_id)"
 
 
+#: Verses of the chapters, for the twins.
+_AYAT = (
+    "7 286 200 176 120 165 206 75 129 109 123 111 43 52 99 128 111 110 98 135 112 78 118 64 77 227 93 88 69 60 34 30 73 54 45 83 182 88 75 85 54 53 89 59 37 35 38 29 18 45 60 49 62 55 78 96 29 "
+    "22 24 13 14 11 11 18 12 12 30 52 52 44 28 28 20 56 40 31 50 40 46 42 29 19 36 25 22 17 19 26 30 20 15 21 11 8 8 19 5 8 8 11 11 8 3 9 5 4 7 3 6 3 5 4 5 6"
+)
+_CHAPTERS = f"c AS (SELECT CAST(i AS INTEGER) AS surah, CAST(n AS INTEGER) AS n_ayat FROM (SELECT unnest(range(1, 115)) AS i, unnest([{_AYAT.replace(' ', ', ')}]) AS n))"
+
+
 @query
 def coverage_percent(spark: SparkSession, d: str) -> DataFrame:
-    """Covered verses per book and surah, of the highest verse that any book labels."""
+    """Verses of every chapter that each book covers, of all that the chapter has."""
     v = labels.verse_map(_segments(spark, d))
-    totals = v.groupBy("surah").agg(F.max("ayah").alias("n_ayat")).where("surah is not null")
-    return labels.coverage(v, totals, ["source", "surah"]).select("source", "surah", "n_ayat", "covered", "percent")
+    return labels.coverage(v, labels.chapters(spark), ["source", "surah"]).select("source", "surah", "n_ayat", "covered", "percent")
 
 
-ORACLE["coverage_percent"] = f"""WITH {_SPANS}, t AS (SELECT surah, max(ayah) AS n_ayat FROM v GROUP BY surah)
-SELECT source, surah, CAST(n_ayat AS INTEGER) AS n_ayat, count(DISTINCT ayah) FILTER (WHERE ayah BETWEEN 1 AND n_ayat) AS covered, round(100.0 * count(DISTINCT ayah) FILTER (WHERE ayah BETWEEN 1 AND n_ayat) / n_ayat, 2) AS percent
-FROM v JOIN t USING (surah) GROUP BY source, surah, n_ayat
+ORACLE["coverage_percent"] = f"""WITH {_SPANS}, {_CHAPTERS}
+SELECT source, surah, n_ayat, count(DISTINCT ayah) FILTER (WHERE ayah BETWEEN 1 AND n_ayat) AS covered, round(100.0 * count(DISTINCT ayah) FILTER (WHERE ayah BETWEEN 1 AND n_ayat) / n_ayat, 2) AS percent
+FROM v JOIN c USING (surah) GROUP BY source, surah, n_ayat
 """
 
 
@@ -378,12 +396,11 @@ FROM v JOIN t USING (surah) GROUP BY source, surah, n_ayat
 def missing_verse_runs(spark: SparkSession, d: str) -> DataFrame:
     """The verses that each book leaves out, as runs in one text."""
     v = labels.verse_map(_segments(spark, d))
-    totals = v.groupBy("surah").agg(F.max("ayah").alias("n_ayat")).where("surah is not null")
-    return slicing.compressed(labels.missing_verses(v, totals, ["source", "surah"]), ["source", "surah"], "ayah")
+    return slicing.compressed(labels.missing_verses(v, labels.chapters(spark), ["source", "surah"]), ["source", "surah"], "ayah")
 
 
-ORACLE["missing_verse_runs"] = f"""WITH {_SPANS}, t AS (SELECT surah, max(ayah) AS n FROM v GROUP BY surah), k AS (SELECT DISTINCT source, surah FROM v),
-a AS (SELECT source, surah, unnest(range(1, n + 1)) AS ayah FROM k JOIN t USING (surah)),
+ORACLE["missing_verse_runs"] = f"""WITH {_SPANS}, {_CHAPTERS}, k AS (SELECT DISTINCT source, surah FROM v),
+a AS (SELECT source, surah, unnest(range(1, n_ayat + 1)) AS ayah FROM k JOIN c USING (surah)),
 m AS (SELECT a.* FROM a LEFT JOIN (SELECT DISTINCT source, surah, ayah FROM v) w USING (source, surah, ayah) WHERE w.ayah IS NULL),
 g AS (SELECT *, ayah - row_number() OVER (PARTITION BY source, surah ORDER BY ayah) AS k FROM m),
 r AS (SELECT source, surah, min(ayah) AS lo, max(ayah) AS hi, count(*) AS c FROM g GROUP BY source, surah, k)
@@ -391,6 +408,22 @@ SELECT source, surah, string_agg(CASE WHEN lo = hi THEN CAST(lo AS VARCHAR) ELSE
 """
 
 
+@query
+def verse_reference(spark: SparkSession, d: str) -> DataFrame:
+    """First and last verse of every segment's label held against the chapters: ok, no chapter, no verse."""
+    lo, hi = labels.bounds(F.col("label"))
+    s = _segments(spark, d)
+    refs = s.select("seg_id", "surah", F.lit("first").alias("end"), lo.alias("ayah")).unionByName(s.select("seg_id", "surah", F.lit("last").alias("end"), hi.alias("ayah")))
+    return labels.check_verses(refs).select("seg_id", "end", "surah", "ayah", "n_ayat", "status")
+
+
+ORACLE["verse_reference"] = rf"""WITH {_CHAPTERS},
+b AS (SELECT seg_id, surah, regexp_matches(label, '^~?\d+(-\d+)?$') AS num, CAST(nullif(regexp_extract(label, '^~?(\d+)', 1), '') AS INTEGER) AS lo, CAST(nullif(regexp_extract(label, '-(\d+)$', 1), '') AS INTEGER) AS hi FROM {_SEG}),
+r AS (SELECT seg_id, surah, 'first' AS end, CASE WHEN num THEN lo END AS ayah FROM b UNION ALL SELECT seg_id, surah, 'last', CASE WHEN num THEN coalesce(hi, lo) END FROM b)
+SELECT seg_id, r."end", r.surah, ayah, n_ayat, CASE WHEN n_ayat IS NULL THEN 'no chapter' WHEN ayah IS NULL OR ayah BETWEEN 1 AND n_ayat THEN 'ok' ELSE 'no verse' END AS status FROM r LEFT JOIN c ON c.surah = r.surah
+"""
+
+
 @query
 def absence_matrix(spark: SparkSession, d: str) -> DataFrame:
     """(source, event) pairs that were looked for and aren't there."""
@@ -849,14 +882,16 @@ def alias_resolve(spark: SparkSession, d: str) -> DataFrame:
 
 
 ORACLE["alias_resolve"] = f"""
-WITH al AS (SELECT {_sql('N12', 'alias')} AS key, min(source) AS target FROM (SELECT source, unnest([source, title_ar, title_id]) AS alias FROM sources) GROUP BY 1 HAVING key <> ''),
+WITH ak AS (SELECT DISTINCT {_sql('N12', 'alias')} AS key, source AS target FROM (SELECT source, unnest([source, title_ar, title_id]) AS alias FROM sources) WHERE {_sql('N12', 'alias')} <> ''),
+al AS (SELECT key, CASE WHEN count(*) = 1 THEN min(target) END AS target FROM ak GROUP BY key),
 i AS (SELECT 'a' || source AS qid, 'kitab ' || source AS name FROM sources UNION ALL SELECT 'b' || source, upper(title_id) FROM sources UNION ALL SELECT 'c' || source, substr(source, 1, 9) FROM sources),
 q AS (SELECT qid, {_sql('N12', 'name')} AS key FROM i),
 e AS (SELECT qid, target, 1 AS step FROM q JOIN al USING (key)),
 b AS (SELECT qid, target, 2 AS step FROM q JOIN al ON EXISTS (SELECT 1 FROM (VALUES {', '.join(f"('{p}')" for p in resolution.PREFIXES)}) AS p(p) WHERE starts_with(q.key, p.p) AND al.key = substr(q.key, length(p.p) + 1))),
-u AS (SELECT qid, min(target) AS target, 3 AS step FROM q JOIN al ON length(q.key) >= 4 AND starts_with(al.key, q.key) GROUP BY qid HAVING count(DISTINCT target) = 1),
-w AS (SELECT * FROM (SELECT * FROM e UNION ALL SELECT * FROM b UNION ALL SELECT * FROM u) QUALIFY row_number() OVER (PARTITION BY qid ORDER BY step, target) = 1)
-SELECT q.qid, w.target, CASE w.step WHEN 1 THEN 'exact' WHEN 2 THEN 'prefix dropped' WHEN 3 THEN 'unique start' ELSE 'unknown' END AS how FROM (SELECT DISTINCT qid FROM q) q LEFT JOIN w USING (qid)
+u AS (SELECT qid, min(target) AS target, 3 AS step FROM q JOIN ak ON length(q.key) >= 4 AND starts_with(ak.key, q.key) GROUP BY qid HAVING count(DISTINCT target) = 1),
+t AS (SELECT qid, step, CASE WHEN count(*) = count(target) AND min(target) = max(target) THEN min(target) END AS target FROM (SELECT * FROM e UNION ALL SELECT * FROM b UNION ALL SELECT * FROM u) GROUP BY qid, step),
+w AS (SELECT * FROM t QUALIFY row_number() OVER (PARTITION BY qid ORDER BY step) = 1)
+SELECT q.qid, w.target, CASE WHEN w.step IS NULL THEN 'unknown' WHEN w.target IS NULL THEN 'ambiguous' WHEN w.step = 1 THEN 'exact' WHEN w.step = 2 THEN 'prefix dropped' ELSE 'unique start' END AS how FROM (SELECT DISTINCT qid FROM q) q LEFT JOIN w USING (qid)
 """
 
 
