@@ -122,9 +122,9 @@ def numbered_blocks(rows: DataFrame, keys: list[str], pos: str, text: str = "tex
     return best_chain(rows.where(block).select(*keys, F.col(pos).cast("bigint").alias("pos"), F.array_min(n).alias("lo"), F.array_max(n).alias("hi")), keys)
 
 
-def inline_quotes(rows: DataFrame, keys: list[str], pos: str, text: str = "text") -> DataFrame:
-    """Quotations inside paragraphs: keys, pos, k (place in the paragraph), phrase (verse profile), to be matched by segmentation.phrase_verse."""
-    x = rows.select(*keys, F.col(pos).alias("pos"), F.posexplode(F.regexp_extract_all(text, F.lit(BRACED), 1)).alias("k", "q"))
+def inline_quotes(rows: DataFrame, keys: list[str], pos: str, text: str = "text", marks: str = BRACED) -> DataFrame:
+    """Quotations inside paragraphs, between ``marks``: keys, pos, k (place in the paragraph), phrase (verse profile), to be matched by segmentation.phrase_verse."""
+    x = rows.select(*keys, F.col(pos).alias("pos"), F.posexplode(F.regexp_extract_all(text, F.lit(marks), 1)).alias("k", "q"))
     return x.select(*keys, "pos", "k", F.btrim(N.verse_key(F.col("q")), F.lit(" .،:")).alias("phrase")).where("length(phrase) >= 2")
 
 

@@ -87,12 +87,82 @@ def look_up_numbers(spans: DataFrame, rows: DataFrame) -> DataFrame:
     wide = rows.where("num is not null").select("row_id", "book", F.explode(F.sequence("num", F.greatest("num", F.coalesce("num_to", "num")))).alias("num"))
     found = asked.join(wide, ["book", "num"]).select("qid", "book", "num", "row_id", F.lit("found").alias("status"))
     rest = asked.join(found.select("qid", "book", "num").distinct(), ["qid", "book", "num"], "left_anti")
-    in_label = rows.select("row_id", "book", F.explode(F.regexp_extract_all(N.ascii_digits(F.col("num_label")), F.lit(r"(\d+)"), 1)).alias("n")).select("row_id", "book", F.col("n").cast("bigint").alias("num")).distinct()
+    in_label = rows.select("row_id", "book", F.explode(F.regexp_extract_all(N.ascii_digits(F.col("num_label")), F.lit(r"(\d+)"), 1)).alias("n")).select("row_id", "book", F.col("n").try_cast("bigint").alias("num")).distinct()
     by_label = rest.join(in_label, ["book", "num"]).select("qid", "book", "num", "row_id", F.lit("by label").alias("status"))
     missing = rest.join(by_label.select("qid", "book", "num").distinct(), ["qid", "book", "num"], "left_anti")
     return found.unionByName(by_label).unionByName(missing.select("qid", "book", "num", F.lit(None).cast(dict(rows.dtypes)["row_id"]).alias("row_id"), F.lit("missing").alias("status")))
 
 
+def look_up_in_parts(spans: DataFrame, rows: DataFrame) -> DataFrame:
+    """Numbers of books that number each part (sub) anew: K/N names part and number; a plain N names all parts that have it.
+
+    spans: qid, book, lo, hi, sub (null: plain); rows: row_id, book, sub, num. Result: qid, book, num, sub, row_id (the least of the part), n_rows, status: found (the part
+    named, or the only one that has the number), ambiguous (one row for each part that has it), missing.
+    """
+    asked = spans.where("lo <= hi").select("qid", "book", F.col("sub").alias("asked"), F.explode(F.sequence("lo", "hi")).alias("num")).distinct()
+    per = rows.where("num is not null").groupBy("book", "sub", F.col("num").cast("bigint").alias("num")).agg(F.min("row_id").alias("row_id"), F.count("*").alias("n_rows"))
+    x = asked.join(per, ["book", "num"], "left").withColumn("fits", F.col("row_id").isNotNull() & (F.col("asked").isNull() | F.coalesce(F.col("sub") == F.col("asked"), F.lit(False))))
+    w = W.partitionBy("qid", "book", "num", "asked")
+    n = x.withColumn("parts", F.count_if("fits").over(w)).withColumn("k", F.row_number().over(w.orderBy(F.desc("fits"), "sub")))
+    kept = n.where("fits or (parts = 0 and k = 1)")
+    shown = lambda c: F.when(F.col("fits"), F.col(c)).alias(c)
+    status = F.when(F.col("parts") == 0, "missing").when(F.col("parts") == 1, "found").otherwise("ambiguous")
+    return kept.select("qid", "book", "num", F.when(F.col("fits"), F.col("sub")).otherwise(F.col("asked")).alias("sub"), shown("row_id"), shown("n_rows"), status.alias("status"))
+
+
+def resolve_persons(queries: DataFrame, persons: DataFrame, entries: DataFrame, k: int = 15) -> DataFrame:
+    """Queries (qid, query) to persons: by number; by a whole name that one person bears; else through four channels: the whole name, contained in
+    the person's name, all words in the name of an entry, contained in the name of an entry.
+
+    persons: person, name; entries: person (null: of nobody), source, name. Candidates are ordered by the number of sources, of entries with the query in their names, then person;
+    ``k`` are shown. status: resolved (a number, the only whole name, the only candidate), suggested (the first of several, with four sources or more while the second has two at most),
+    ambiguous, absent. qid, person, n_sources, n_phrase, rank, status, n_candidates.
+    """
+    digits = F.trim("query").rlike(r"^\d+$")
+    q = queries.select("qid", F.when(digits, F.trim("query").try_cast("bigint")).alias("number"), digits.alias("is_number"), N.name_column(F.col("query")).alias("key"), F.array_distinct(N.tokens(N.search_key(F.col("query")))).alias("words"))
+    named = few(q.where("not is_number and key <> ''").select("qid", "key", "words"))
+    p = persons.select(F.col("person").cast("bigint").alias("person"), N.name_column(F.col("name")).alias("name"))
+    e = entries.where("person is not null").select(F.col("person").cast("bigint").alias("person"), "source", N.name_column(F.col("name")).alias("name"), F.coalesce(N.tokens(N.search_key(F.col("name"))), F.array().cast("array<string>")).alias("hay"))
+    own = p.join(named, p["name"].contains(F.col("key"))).select("qid", "person", (F.col("name") == F.col("key")).alias("whole"))
+    in_words = (F.size("words") > 0) & F.forall("words", lambda t: F.array_contains("hay", t))
+    met = e.join(named, e["name"].contains(F.col("key")) | in_words).join(p.select("person"), "person", "left_semi")
+    met = met.select("qid", "person", F.lit(False).alias("whole"))
+    # A channel may find a person of several entries; by number only if there is such a person.
+    number = q.where("is_number").select("qid", F.col("number").alias("person")).join(p.select("person"), "person", "left_semi").select("qid", "person", F.lit(True).alias("whole"))
+    c = own.unionByName(met).unionByName(number).groupBy("qid", "person").agg(F.max("whole").alias("whole"))
+    w = W.partitionBy("qid")
+    c = c.withColumn("n_whole", F.count_if("whole").over(w)).where("n_whole <> 1 or whole").drop("n_whole", "whole")
+    sources = e.groupBy("person").agg(F.count_distinct("source").alias("n_sources"))
+    phrase = c.join(e.select("person", "name"), "person").join(q.select("qid", "key"), "qid").where((F.col("key") != "") & F.col("name").contains(F.col("key"))).groupBy("qid", "person").agg(F.count("*").alias("n_phrase"))
+    s = c.join(sources, "person", "left").join(phrase, ["qid", "person"], "left").na.fill(0, ["n_sources", "n_phrase"])
+    order = w.orderBy(F.desc("n_sources"), F.desc("n_phrase"), "person")
+    s = s.withColumn("rank", F.row_number().over(order)).withColumn("n_candidates", F.count("*").over(w)).withColumn("_second", F.coalesce(F.lead("n_sources").over(order), F.lit(0)))
+    strong = (F.col("rank") == 1) & (F.col("n_sources") >= 4) & (F.col("_second") <= 2)
+    status = F.when(F.col("n_candidates") == 1, "resolved").when(strong, "suggested").otherwise("ambiguous")
+    found = s.where(F.col("rank") <= k).select("qid", "person", "n_sources", "n_phrase", "rank", status.alias("status"), "n_candidates")
+    none = queries.select("qid").distinct().join(found.select("qid").distinct(), "qid", "left_anti").withColumn("status", F.lit("absent"))
+    return found.unionByName(none, allowMissingColumns=True)
+
+
+def roll_up_year(event_id: Column) -> Column:
+    """The year of a roll-up row tahun_N_h, or null: such an id asks for the year."""
+    return F.regexp_extract(event_id, r"^tahun_(\d+)_h$", 1).try_cast("int")
+
+
+def answer_years(years: DataFrame, registry: DataFrame, segments: DataFrame) -> DataFrame:
+    """Of each year asked for (year): its segments (seg_id, year_h, source) and its registered events (event_id, year_h, seq; roll-ups left out), or a row that says which years have segments.
+
+    Result: year, kind (segment, event, absent), id, ord, first_year, last_year. The years are few and Spark broadcasts them by size.
+    """
+    span = segments.where("year_h is not null").agg(F.min("year_h").alias("first_year"), F.max("year_h").alias("last_year"))
+    y = years.select("year").where("year is not null").distinct()
+    seg = segments.join(y, F.col("year_h") == F.col("year")).select("year", F.lit("segment").alias("kind"), F.col("seg_id").cast("string").alias("id"), F.col("seg_id").cast("bigint").alias("ord"))
+    ev = registry.where(roll_up_year(F.col("event_id")).isNull()).join(y, F.col("year_h") == F.col("year")).select("year", F.lit("event").alias("kind"), F.col("event_id").alias("id"), F.col("seq").cast("bigint").alias("ord"))
+    absent = y.join(seg.select("year").distinct(), "year", "left_anti").select("year", F.lit("absent").alias("kind"), F.lit(None).cast("string").alias("id"), F.lit(None).cast("bigint").alias("ord"))
+    # One row of first and last year.
+    return seg.unionByName(ev).unionByName(absent).crossJoin(F.broadcast(span))
+
+
 def overlay(base: DataFrame, over: DataFrame, keys: list[str], order: str) -> DataFrame:
     """One row per key: of over the last, else of base the first. Both have the same columns; keys are compared null-safe."""
     b = base.groupBy(*keys).agg(F.min_by(F.struct(*base.columns), F.col(order)).alias("r")).withColumn("p", F.lit(0))

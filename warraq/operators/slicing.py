@@ -96,6 +96,13 @@ def budget_pages(df: DataFrame, keys: list[str], order: list[str], size: Column,
     )
 
 
+def paragraph_range(df: DataFrame, keys: list[str], first: int, last: int, index: str = "rel_idx") -> DataFrame:
+    """Rows first to last (0-based, inclusive; a last past the end means the end) of each key; status found. A key that ends before ``first`` comes once, with nulls and status out of range."""
+    inside = df.where(F.col(index).between(first, last)).withColumn("status", F.lit("found"))
+    short = df.groupBy(*keys).agg(F.max(index).alias("_max")).where(F.col("_max") < first).select(*keys, F.lit("out of range").alias("status"))
+    return inside.unionByName(short, allowMissingColumns=True)
+
+
 def shared_budget(df: DataFrame, keys: list[str], order: list[str], size: Column, budget: int) -> DataFrame:
     """One budget over all groups of a key, in display order: what an earlier group used is gone for a later one."""
     return within_budget(df, keys, order, size, budget)

@@ -11,16 +11,16 @@ from functools import cached_property
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from warraq.functions import normalise as N
 from warraq.functions import paragraphs as P
-from warraq.operators import labels, resolution, search, slicing
+from warraq.operators import labels, resolution, search, segmentation, slicing
 from warraq.plans.materialize import table
 
 #: A range of paragraphs, or a verse. Fixed patterns.
 RANGE, VERSE = re.compile(r"\s*(\d+)\s*-\s*(\d+)\s*"), re.compile(r"\s*(\d+)\s*(?::\s*(\d+))?\s*")
-CHAPTERS = 114
 
 
 class InputError(ValueError):
@@ -67,110 +67,133 @@ class Corpus:
         return self._table("sources")
 
     def resolve_sources(self, names: str | None) -> DataFrame:
-        """The sources of a list like "a, b" by id or title; all without one. Unknown names raise InputError."""
+        """The sources of a list like "a, b" by id or title, with their place in the order of display (ord), whatever the order of the list; all without one. Unknown and ambiguous names raise InputError."""
         if not names or not names.strip():
-            return self.sources
+            return self.sources.withColumn("ord", F.row_number().over(W.orderBy("book_id", "source")))
         wanted = [n for n in re.split(r"[,;]", names) if n.strip()]
         aliases = self.sources.select(F.col("source").alias("target"), F.explode(F.array("source", "title_ar", "title_id")).alias("alias"))
         got = resolution.resolve_aliases(self.spark.createDataFrame([(n, n) for n in wanted], "qid string, name string"), aliases).collect()  # as many rows as names were typed
         if bad := [r.qid.strip() for r in got if r.target is None]:
             raise InputError(f"unknown source: {', '.join(bad)}")
-        return self.sources.where(F.col("source").isin(*{r.target for r in got}))
+        return self.sources.withColumn("ord", F.row_number().over(W.orderBy("book_id", "source"))).where(F.col("source").isin(*{r.target for r in got}))
 
     # Q1, Q2
     def verse(self, ref: str, sources: str | None = None, budget: int = 0) -> DataFrame:
         """Paragraphs on a verse (S:A) or a whole chapter (S), segment by segment within the budget; sources without any come with status absent."""
         m = VERSE.fullmatch(ref)
-        if not m or not 1 <= int(m[1]) <= CHAPTERS:
+        if not m or not 1 <= int(m[1]) <= len(labels.VERSES):
             raise InputError(f"no verse: {ref}")
-        s = self.segments.where(F.col("surah") == int(m[1]))
+        if m[2] and not 1 <= int(m[2]) <= (n := labels.VERSES[int(m[1]) - 1]):
+            raise InputError(f"chapter {m[1]} has {n} verses: {ref}")
+        chapter = s = self.segments.where(F.col("surah") == int(m[1]))
         if m[2]:
             s = s.join(labels.verse_map(s).where(F.col("ayah") == int(m[2])).select("seg_id").distinct(), "seg_id")
-        return self._answer(s, sources, budget, ["label", "seg_section"])
+        return self._answer(s, sources, budget, ["label", "seg_section"], chapter).withColumn("label_note", labels.label_note(F.col("label")))
 
     def intro(self, surah: int, sources: str | None = None, budget: int = 0) -> DataFrame:
         """Segments of a chapter that stand before its first verse: label intro or section intro."""
         s = self.segments.where((F.col("surah") == surah) & (F.col("label").isin("intro", "istiadhah") | (F.col("seg_section") == "intro")))
-        return self._answer(s, sources, budget, ["label", "seg_section"])
+        return self._answer(s, sources, budget, ["label", "seg_section"], self.segments.where(F.col("surah") == surah))
 
-    def _answer(self, segs: DataFrame, sources: str | None, budget: int, keep: list[str]) -> DataFrame:
-        wanted = self.resolve_sources(sources).select("source")
-        segs = segs.join(wanted, "source")
+    def _answer(self, segs: DataFrame, sources: str | None, budget: int, keep: list[str], around: DataFrame | None = None) -> DataFrame:
+        """Rows of the answer, and for every source without any why (P18): it has no pages here, nothing at all of what lies around (the chapter), or so many segments there, but none on this."""
+        wanted = self.resolve_sources(sources).select("source", "ord")
+        segs = segs.join(wanted.select("source"), "source")
         rows = slicing.slice_intervals(segs, self.paragraphs).join(segs.select("seg_id", *keep), "seg_id")
         rows = slicing.within_budget(rows, ["seg_id"], ["web_page", "para_idx"], F.length("text"), budget)
         cite = slicing.citation(F.col("printed_juz"), F.col("printed_page"), F.col("url"))
-        found = rows.select("source", "seg_id", *keep, "rel_idx", "is_page_break", cite.alias("citation"), "text", F.lit("found").alias("status"))
-        absent = wanted.join(segs.select("source").distinct(), "source", "left_anti")
-        return found.unionByName(absent.withColumn("status", F.lit("absent")), allowMissingColumns=True)
+        found = rows.join(wanted, "source").select("source", "ord", "seg_id", *keep, "rel_idx", "is_page_break", cite.alias("citation"), "text", F.lit("found").alias("status"))
+        absent = wanted.join(rows.select("source").distinct(), "source", "left_anti")
+        paged = self.paragraphs.select("source").distinct().withColumn("_paged", F.lit(True))
+        near = (segs if around is None else around).groupBy("source").agg(F.count("*").alias("_near"))
+        n = F.coalesce("_near", F.lit(0))
+        why = F.when(F.col("_paged").isNull(), "no pages of this source").when(n == 0, "nothing on this here").otherwise(F.concat(n.cast("string"), F.lit(" segments near it, none with text on this")))
+        none = absent.join(paged, "source", "left").join(near, "source", "left").select("source", "ord", why.alias("reason"), F.lit("absent").alias("status"))
+        return found.unionByName(none, allowMissingColumns=True)
 
     # Q3
     def verse_coverage(self, surah: int | None = None) -> DataFrame:
         v = labels.verse_map(self.segments if surah is None else self.segments.where(F.col("surah") == surah)).where("surah is not null")
-        totals = v.groupBy("surah").agg(F.max("ayah").alias("n_ayat"))
+        totals = labels.chapters(self.spark)
         missing = slicing.compressed(labels.missing_verses(v, totals, ["source", "surah"]), ["source", "surah"], "ayah")
         return labels.coverage(v, totals, ["source", "surah"]).join(missing.select("source", "surah", F.col("numbers").alias("missing")), ["source", "surah"], "left")
 
     # Q4, Q5, Q12
-    def toc(self, seg_ids: list[int], events: bool = False) -> DataFrame:
-        """Sub-headings of segments with relative index, and the section each opens."""
+    def toc(self, seg_ids: list[int] | None, events: bool = False) -> DataFrame:
+        """Sub-headings of segments (None: of all) with relative index, and the section each opens."""
         rows = slicing.slice_intervals(self._chosen(seg_ids, events), self.paragraphs)
         parts = slicing.sections(rows, ["seg_id"], "rel_idx")
         return parts.select("seg_id", "section", "title", "from_idx", "to_idx", "n_chars", "kind")
 
     def text(self, seg_id: int, events: bool = False, paras: str | None = None, skip_verse: bool = False) -> DataFrame:
-        """Full text of a segment; paras "A-B" takes relative paragraphs A to B (B past the end means the end), skip_verse leaves verse out."""
+        """Full text of a segment; paras "A-B" takes relative paragraphs A to B (B past the end means the end; a beginning past it is an error), skip_verse leaves verse out."""
         rows = slicing.slice_intervals(self._chosen([seg_id], events), self.paragraphs)
         rows = slicing.verse_flags(rows, ["seg_id"], ["rel_idx"])
         if paras is not None:
             m = RANGE.fullmatch(paras)
             if not m or int(m[1]) > int(m[2]):
                 raise InputError(f"no range of paragraphs: {paras}")
-            rows = rows.where(F.col("rel_idx").between(int(m[1]), int(m[2])))
+            rows = slicing.paragraph_range(rows, ["seg_id"], int(m[1]), int(m[2]))
+            if not rows.where("status = 'out of range'").isEmpty():
+                raise InputError(f"segment {seg_id} ends before paragraph {m[1]}")
         if skip_verse:
             rows = rows.where("not is_verse")
         cite = slicing.citation(F.col("printed_juz"), F.col("printed_page"), F.col("url"))
         return rows.select("seg_id", "rel_idx", "is_page_break", cite.alias("citation"), "is_verse", "text").orderBy("rel_idx")
 
-    def _chosen(self, seg_ids: list[int], events: bool) -> DataFrame:
-        return (self.event_segments_table if events else self.segments).where(F.col("seg_id").isin(*seg_ids))
+    def _chosen(self, seg_ids: list[int] | None, events: bool) -> DataFrame:
+        s = self.event_segments_table if events else self.segments
+        return s if seg_ids is None else s.where(F.col("seg_id").isin(*seg_ids))
 
-    # Q6
+    # Q6, R9
     def event(self, query: str, sources: str | None = None, budget: int = 0) -> DataFrame:
-        """Paragraphs on an event, by id or name. An ambiguous name gives its candidates, with status ambiguous."""
+        """Paragraphs on an event, by id or name; a roll-up of a year answers as the year does. An ambiguous name gives its candidates, with status ambiguous."""
         got = resolution.resolve_events(self.spark.createDataFrame([(1, query)], "qid int, query string"), self.registry)
-        hit = got.where("status = 'resolved'").select("event_id").limit(1).collect()
+        hit = got.where("status = 'resolved'").select("event_id", resolution.roll_up_year(F.col("event_id")).alias("year")).limit(1).collect()
         if not hit:
             return got.join(self.registry.select("event_id", "name_ar", "name_id"), "event_id", "left").select("event_id", "name_ar", "name_id", "status")
+        if hit[0].year is not None:
+            return self.year(hit[0].year)
         return self._answer(self.event_segments_table.where(F.col("event_id") == hit[0].event_id), sources, budget, ["event_id", "basis"])
 
     def events(self) -> DataFrame:
         return self.registry.select("seq", "event_id", "name_ar", "name_id", "era", "year_h").orderBy("seq")
 
-    # Q7
+    # Q7, R7
     def person(self, query: str) -> DataFrame:
-        """All entries of a person, by number or name; of several persons the candidates with their scores."""
-        if query.strip().isdigit():
-            cid = int(query)
-        else:
-            e = self.entries.select(F.col("ishabah_id").alias("person"), "source", F.col("name_ar").alias("name"))
-            best = resolution.search_persons(self.spark.createDataFrame([(1, query)], "qid int, query string"), e).orderBy("rank")
-            top = best.limit(2).collect()
-            if not top:
-                return self.spark.createDataFrame([("absent",)], "status string")
-            if len(top) > 1 and top[0].score < 100 or len(top) > 1 and top[1].score == top[0].score:
-                return best.join(self._table("persons").select(F.col("ishabah_id").alias("person"), "name_ar"), "person").withColumn("status", F.lit("ambiguous")).drop("qid").orderBy("rank")
-            cid = top[0].person
+        """All entries of a person, by number or name, the canonical one first; of several persons the candidates by their sources, the first with status suggested if it stands out."""
+        persons = self._table("persons").select(F.col("ishabah_id").alias("person"), F.col("name_ar").alias("name"))
+        e = self.entries.select(F.col("ishabah_id").alias("person"), "source", F.col("name_ar").alias("name"))
+        got = resolution.resolve_persons(self.spark.createDataFrame([(1, query)], "qid int, query string"), persons, e)
+        top = got.orderBy("rank").limit(1).collect()
+        if not top or top[0].status == "absent":
+            return self.spark.createDataFrame([("absent",)], "status string")
+        if top[0].status != "resolved":
+            return got.join(persons, "person").drop("qid").orderBy("rank")
         note = F.when(F.col("link_confidence").isin("medium", "low"), F.concat(F.lit("link of "), "link_confidence", F.lit(" confidence")))
-        return self.entries.where(F.col("ishabah_id") == cid).select("source", "entry_num", "name_ar", "link_status", "link_method", note.alias("note"), "from_page", "to_page", F.lit("found").alias("status")).orderBy("source", "entry_num")
+        rows = self.entries.where(F.col("ishabah_id") == top[0].person)
+        return rows.select("source", "entry_num", "name_ar", "link_status", "link_method", note.alias("note"), "from_page", "to_page", F.lit("found").alias("status")).orderBy(F.col("link_status") != "canonical", "source", "entry_num")
+
+    # Q8, R8
+    @cached_property
+    def year_segments(self) -> DataFrame:
+        """The paragraphs from one heading that names a year to the next, per source: seg_id, year_h, source, from_page, from_para, to_page, to_para."""
+        p = self.paragraphs.where("text is not null")
+        named = p.where(P.is_heading(F.col("text"))).withColumn("year_h", segmentation.year_in_heading(F.col("text"))).where("year_h is not null")
+        at = F.struct("web_page", "para_idx")
+        last = p.groupBy("source").agg(F.max(at).alias("_last"))
+        w = W.partitionBy("source").orderBy("web_page", "para_idx", "para_id")
+        x = named.withColumn("_next", F.lead(at).over(w)).join(last, "source")
+        to_page = F.when(F.col("_next").isNull(), F.col("_last.web_page")).when(F.col("_next.para_idx") > 0, F.col("_next.web_page")).otherwise(F.col("_next.web_page") - 1)
+        to_para = F.when(F.col("_next").isNull(), F.col("_last.para_idx")).when(F.col("_next.para_idx") > 0, F.col("_next.para_idx") - 1)
+        return x.select(F.col("para_id").alias("seg_id"), "year_h", "source", F.col("web_page").alias("from_page"), F.col("para_idx").alias("from_para"), to_page.alias("to_page"), to_para.alias("to_para"))
 
-    # Q8
     def year(self, year: int) -> DataFrame:
-        """Registered events of a year; without any, the first and last year that have some."""
-        r = self.registry.where("year_h is not null")
-        hit = r.where(F.col("year_h") == year).select("event_id", "name_ar", "name_id", "era", "year_note", F.lit("found").alias("status"))
-        span = r.agg(F.min("year_h").alias("first_year"), F.max("year_h").alias("last_year")).withColumn("status", F.lit("absent"))
-        none = span.join(hit.limit(1).select(F.lit(1).alias("x")), F.lit(True), "left_anti")
-        return hit.unionByName(none, allowMissingColumns=True)
+        """Segments and registered events of a year; without segments, the first and last year that have some (kind absent)."""
+        got = resolution.answer_years(self.spark.createDataFrame([(year,)], "year int"), self.registry, self.year_segments)
+        names = self.registry.select(F.col("event_id").alias("id"), "name_ar", "name_id", "era", "year_note")
+        status = F.when(F.col("kind") == "absent", "absent").otherwise("found")
+        return got.join(names, "id", "left").select("kind", "id", "name_ar", "name_id", "era", "year_note", "first_year", "last_year", status.alias("status"))
 
     # Q9
     def search(self, query: str) -> DataFrame:
@@ -192,20 +215,34 @@ class Corpus:
         return zero.withColumn("n_absent", F.col("n_registered") - F.col("n_events")).withColumn("linked_percent", F.when(F.col("n_entries") > 0, F.round(100.0 * F.col("n_linked") / F.col("n_entries"), 1)))
 
     def info(self) -> DataFrame:
-        """Every source with its size, or without pages."""
+        """Every source with its size and the numbers of its entries, or without pages."""
         p = self.paragraphs.groupBy("source").agg(F.count("*").alias("n_paras"), F.count_distinct("web_page").alias("n_pages"), F.sum(F.length("text")).alias("n_chars"))
-        return self.sources.join(p, "source", "left").withColumn("status", F.when(F.col("n_paras").isNull(), "no pages").otherwise("ok")).orderBy("source")
+        e = self.entries.groupBy("source").agg(F.count("*").alias("n_entries"), F.min("entry_num").alias("first_number"), F.max("entry_num").alias("last_number"))
+        return self.sources.join(p, "source", "left").join(e, "source", "left").withColumn("status", F.when(F.col("n_paras").isNull(), "no pages").otherwise("ok")).orderBy("source")
 
     # Q13
-    def entries_by_number(self, ref: str) -> DataFrame:
-        """Entries of a reference like book:1-5,7; numbers that aren't there come with status missing."""
+    def entries_by_number(self, ref: str, offset: int = 0, budget: int = 0) -> DataFrame:
+        """Entries of a reference like book:1-5,7, from item ``offset`` on while their names fit into ``budget`` characters (0: all); the last row shown has next_offset, if more follow.
+
+        Numbers that aren't there come with status missing and a note on the numbers that are; a number under which several entries stand gives them all, with status ambiguous.
+        """
         spans = resolution.parse_references(self.spark.createDataFrame([("q", ref)], "qid string, ref string"))
         bad = spans.where("status <> 'ok'").limit(1).collect()
         if bad:
             raise InputError(f"{bad[0].status}: {ref}")
         e = self.entries.select(F.col("entry_id").alias("row_id"), F.col("source").alias("book"), F.col("entry_num").cast("bigint").alias("num"), F.lit(None).cast("bigint").alias("num_to"), F.lit(None).cast("string").alias("num_label"))
         got = resolution.look_up_numbers(spans, e)
-        return got.join(self.entries.select(F.col("entry_id").alias("row_id"), "name_ar", "from_page", "to_page"), "row_id", "left").drop("qid").orderBy("book", "num")
+        rows = got.join(self.entries.select(F.col("entry_id").alias("row_id"), "name_ar", "from_page", "to_page"), "row_id", "left").drop("qid")
+        span = e.groupBy("book").agg(F.concat_ws(" to ", F.min("num").cast("string"), F.max("num").cast("string")).alias("_span"), F.count("*").alias("_n"))
+        several = F.count("row_id").over(W.partitionBy("book", "num"))
+        status = F.when((F.col("status") != "missing") & (several > 1), "ambiguous").otherwise(F.col("status"))
+        note = F.when(F.col("status") == "missing", F.coalesce(F.concat(F.lit("numbers here: "), "_span", F.lit(", in "), F.col("_n").cast("string"), F.lit(" entries")), F.lit("no such book here"))).when(F.col("status") == "by label", "found in the label")
+        rows = rows.join(span, "book", "left").withColumn("note", note).withColumn("status", status).drop("_span", "_n")
+        at = W.orderBy("book", "num", "row_id")
+        rows = rows.withColumn("item", F.row_number().over(at) - 1).withColumn("_n", F.count("*").over(W.partitionBy())).where(F.col("item") >= offset)
+        shown = slicing.within_budget(rows.withColumn("_one", F.lit(1)), ["_one"], ["item"], F.coalesce(F.length("name_ar"), F.lit(0)), budget)
+        last = F.max("item").over(W.partitionBy())
+        return shown.withColumn("next_offset", F.when((F.col("item") == last) & (F.col("item") + 1 < F.col("_n")), F.col("item") + 1)).drop("_one", "cum_size", "_n").orderBy("item")
 
     # Q14
     def full_text(self, query: str, sources: str | None = None, any_term: bool = False, limit: int = 10) -> DataFrame:

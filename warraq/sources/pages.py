@@ -105,6 +105,8 @@ class _Page(HTMLParser):
             self.paras[-1].append(data)
 
 
+#: Words of paragraphs that aren't text, in the dialect "article". Fixed values.
+MARKS = ("ALDORAR", "copyright")
 _VOLUME = re.compile(r"ج(\d+)\s*-\s*ص(\d+)")
 
 
@@ -113,15 +115,25 @@ def parse_page(html: str, container: str = "nass") -> tuple[int | None, int | No
     page = _Page(container)
     page.feed(html)
     page.close()
+    if not page.seen and container == "article":
+        page = _Page("")
+        page.depth, page.seen = 1, True
+        page.feed(html)
+        page.close()
     if not page.seen:
         return None
     paras = [" ".join(" ".join(p).split()) for p in page.paras]
+    if container == "article":
+        paras = [p for p in paras if MARKS[0] not in p and MARKS[1] not in p.lower()]
     m = _VOLUME.search(page.title)
     return int(m[1]) if m else None, page.number, [p for p in paras if p]
 
 
 def html_pages(files: DataFrame, container: str = "nass") -> DataFrame:
-    """SRC3, SRC4: page records of HTML files (source, book_id, web_page, url, html). Pages without the container, and null ones, are dropped."""
+    """SRC3, SRC4: page records of HTML files (source, book_id, web_page, url, html). Pages without the container, and null ones, are dropped.
+
+    The dialect "article" takes the whole page where it has no article, and leaves out paragraphs with a word of MARKS.
+    """
 
     def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -33,10 +33,11 @@ def equal_parts(df: DataFrame, key: str, order: list[str], size: Column, most: i
     return sized.withColumn("n_parts", n).withColumn("part_no", F.when(total > 0, F.least(F.floor(before * n / total), n - 1)).otherwise(F.lit(0))).drop("_s")
 
 
-def split_export(df: DataFrame, key: str, order: list[str], most: int, soft: float = 0.85) -> DataFrame:
-    """SNK7: files of at most about ``most`` words: a new one begins at a page (n_words, is_start) once ``soft`` of it is reached and the page begins a chapter, or once it is full.
+def split_export(df: DataFrame, key: str, order: list[str], most: int, soft: float = 0.85, most_bytes: int | None = None) -> DataFrame:
+    """SNK7: files of at most about ``most`` words and ``most_bytes`` bytes: a new one begins at a page (n_words, is_start, and n_bytes where bytes are bounded) once ``soft`` of the
+    words is reached and the page begins a chapter, or once it is full by either measure.
 
-    Adds file_no. A fold over each book's pages in order.
+    Adds file_no and header, the line that a file after the first begins with (null: none). A fold over each book's pages in order.
     """
     import pandas as pd
 
@@ -44,15 +45,30 @@ def split_export(df: DataFrame, key: str, order: list[str], most: int, soft: flo
 
     def one(g: pd.DataFrame) -> pd.DataFrame:
         g = g.sort_values(order, kind="stable")
-        at, used, out = 0, 0, []
-        for n, start in zip(g["n_words"], g["is_start"]):
-            if used and (used >= most or used >= soft * most and bool(start)):
-                at, used = at + 1, 0
-            used += int(n)
+        at, used, size, out = 0, 0, 0, []
+        for n, b, start in zip(g["n_words"], g["n_bytes"] if most_bytes else g["n_words"], g["is_start"]):
+            full = used >= most or bool(most_bytes) and size >= most_bytes
+            if used and (full or used >= soft * most and bool(start)):
+                at, used, size = at + 1, 0, 0
+            used, size = used + int(n), size + int(b)
             out.append(at)
         return g.assign(file_no=out)[[*columns, "file_no"]]
 
-    return df.groupBy(key).applyInPandas(one, _with(df, "file_no int"))
+    files = df.groupBy(key).applyInPandas(one, _with(df, "file_no int"))
+    return files.withColumn("header", F.when(F.col("file_no") > 0, F.concat(F.lit("# "), F.col(key), F.lit(", continued, part "), (F.col("file_no") + 1).cast("string"))))
+
+
+def duplicates(df: DataFrame, keys: list[str], rid: str) -> DataFrame:
+    """SNK3: keys under which several rows came: n, first (the row that is kept, the least id), and the other ids in one text."""
+    ids = F.array_sort(F.collect_set(rid))
+    per = df.groupBy(*keys).agg(ids.alias("_ids")).where("size(_ids) > 1")
+    return per.select(*keys, F.size("_ids").alias("n"), F.get("_ids", F.lit(0)).alias("first"), F.array_join(F.transform(F.slice("_ids", F.lit(2), F.size("_ids")), lambda x: x.cast("string")), ",").alias("others"))
+
+
+def observed(df: DataFrame, **metrics: Column) -> tuple[DataFrame, Observation]:
+    """A18, SNK10: df with counters that are filled while it is written or read whole; observation.get has them then."""
+    seen = Observation()
+    return df.observe(seen, *(c.alias(k) for k, c in metrics.items())), seen
 
 
 def _with(df: DataFrame, field: str):
