@@ -78,6 +78,37 @@ def p3_page_pieces(spark: SparkSession, d: str) -> DataFrame:
     return _page_pieces(spark, d).withColumnRenamed("id", "seg_id")
 
 
+_WS = r"[\s\x{0B}\x{1C}-\x{1F}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+_CUTS = ((4, r"\n+"), (3, rf"[.!?؟][»\"'')\]”]*[¹²³]?{_WS}+"), (2, rf"[،؛,;:][»\"'')\]”]*{_WS}+|{_WS}\.\.\.{_WS}+"), (1, f"{_WS}+"))
+#: Where a match ends: what was split off before it, and all matches so far.
+_ENDS = " UNION ALL ".join(
+    f"SELECT id, {g} AS grade, unnest(list_transform(range(1, len(m) + 1), lambda i: CAST(list_sum(list_transform(s[1:i], lambda x: length(x))) + list_sum(list_transform(m[1:i], lambda x: length(x))) AS BIGINT))) AS pos FROM (SELECT id, regexp_split_to_array(text, '{p}') AS s, regexp_extract_all(text, '{p}') AS m FROM t)"
+    for g, p in _CUTS
+)
+#: The greedy walk over boundaries l (a list of pos, grade), piece by piece.
+_WALK = """
+c AS (SELECT id, n, CAST(0 AS BIGINT) AS piece_no, CAST(0 AS BIGINT) AS st, l FROM i
+  UNION ALL SELECT id, n, piece_no + 1, list_max(list_transform(list_filter(l, lambda x: x.pos <= e - {overlap}), lambda x: x.pos)), l FROM (
+    SELECT *, list_max(list_transform(list_filter(l, lambda x: x.pos > st + {limit} // 2 AND x.pos <= st + {limit}), lambda x: x.grade * 1099511627776 + x.pos)) % 1099511627776 AS e FROM c WHERE n - st > {limit})),
+d AS (SELECT *, CASE WHEN n - st <= {limit} THEN n ELSE list_max(list_transform(list_filter(l, lambda x: x.pos > st + {limit} // 2 AND x.pos <= st + {limit}), lambda x: x.grade * 1099511627776 + x.pos)) % 1099511627776 END AS en FROM c)
+"""
+ORACLE["p3_text_pieces"] = f"""
+WITH RECURSIVE t AS (SELECT DISTINCT para_id AS id, text FROM pages WHERE length(text) > 1500), ends AS ({_ENDS} UNION ALL SELECT id, 5, 0 FROM t UNION ALL SELECT id, 5, length(text) FROM t),
+b AS (SELECT id, pos, max(grade) AS grade FROM ends GROUP BY id, pos), g AS (SELECT *, lead(pos) OVER (PARTITION BY id ORDER BY pos) AS nx FROM b),
+h AS (SELECT id, pos, grade FROM b UNION ALL SELECT id, unnest(range(pos + 50, nx, 50)), 0 FROM g WHERE nx - pos > 50),
+i AS (SELECT id, length(any_value(text)) AS n, list({{'pos': CAST(pos AS BIGINT), 'grade': CAST(grade AS BIGINT)}}) AS l FROM h JOIN t USING (id) GROUP BY id), {_WALK.format(limit=1500, overlap=100)}
+SELECT d.id AS para_id, piece_no, st AS start, en AS "end", substr(text, st + 1, en - st) AS piece FROM d JOIN t USING (id)
+"""
+ORACLE["p3_page_pieces"] = f"""
+WITH RECURSIVE p AS (SELECT DISTINCT source, web_page, para_idx, text FROM pages WHERE trim(text) <> ''),
+hd AS (SELECT source, web_page, length(text) AS n, right(rtrim(text), 1) AS last FROM p QUALIFY row_number() OVER (PARTITION BY source, web_page ORDER BY para_idx, length(text), right(rtrim(text), 1)) = 1),
+tl AS (SELECT source, web_page, right(regexp_replace(rtrim(text), '[»"'')\\]¹²³]+$', ''), 1) AS last FROM p QUALIFY row_number() OVER (PARTITION BY source, web_page ORDER BY para_idx DESC, right(regexp_replace(rtrim(text), '[»"'')\\]¹²³]+$', ''), 1) DESC) = 1),
+gr AS (SELECT source, page, max(g) AS g FROM (SELECT source, web_page AS page, 2 AS g FROM hd WHERE n <= 70 AND last NOT IN ('.', '؟', '،', '؛') UNION ALL SELECT source, web_page + 1, 1 FROM tl WHERE last IN ('.', '؟', '!', '?')) GROUP BY ALL),
+r AS (SELECT DISTINCT seg_id AS id, source, from_page, to_page - from_page + 1 AS n FROM event_segments WHERE to_page - from_page + 1 > 8),
+u AS (SELECT *, unnest(range(0, n + 1)) AS pos FROM r),
+i AS (SELECT u.id, CAST(u.n AS BIGINT) AS n, list({{'pos': CAST(pos AS BIGINT), 'grade': CAST(CASE WHEN pos = 0 OR pos = u.n THEN 5 ELSE coalesce(gr.g, 0) END AS BIGINT)}}) AS l FROM u LEFT JOIN gr ON gr.source = u.source AND gr.page = from_page + pos GROUP BY u.id, u.n), {_WALK.format(limit=8, overlap=1)}
+SELECT d.id AS seg_id, piece_no, from_page + st AS from_page, from_page + en - 1 AS to_page FROM d JOIN r USING (id)
+"""
 ORACLE["p6_shared_share"] = f"""WITH {_GRAMS},
 c AS (SELECT s FROM g GROUP BY s HAVING count(DISTINCT para_id) > 1),
 h AS (SELECT DISTINCT para_id, pos FROM g JOIN c USING (s)),
