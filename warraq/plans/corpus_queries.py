@@ -439,15 +439,18 @@ WHERE NOT EXISTS (SELECT 1 FROM event_segments x WHERE x.source = s.source AND x
 
 @query
 def orphan_rows(spark: SparkSession, d: str) -> DataFrame:
-    """Order lines without an order, and event segments without a registered event."""
-    lines = table(spark, d, "lineitem").join(table(spark, d, "orders"), F.col("l_orderkey") == F.col("o_orderkey"), "left_anti").select(F.lit("lineitem").alias("tab"), F.col("l_orderkey").cast("string").alias("key"))
-    segs = table(spark, d, "event_segments").join(table(spark, d, "event_registry"), "event_id", "left_anti").select(F.lit("event_segments").alias("tab"), F.col("seg_id").cast("string").alias("key"))
-    return lines.unionByName(segs).distinct()
+    """Rows that name what isn't there: event segments and entries that begin on a page without rows, documents of a source without a target."""
+    pages = table(spark, d, "pages").select("source", F.col("web_page").alias("from_page")).distinct()
+    of = lambda tab, key: table(spark, d, tab).where("from_page is not null").join(pages, ["source", "from_page"], "left_anti").select(F.lit(tab).alias("tab"), F.col(key).cast("string").alias("key"))
+    docs = table(spark, d, "documents").join(table(spark, d, "mix_targets").select("source"), "source", "left_anti").select(F.lit("documents").alias("tab"), F.col("doc_id").cast("string").alias("key"))
+    return of("event_segments", "seg_id").unionByName(of("person_entries", "entry_id")).unionByName(docs).distinct()
 
 
 ORACLE["orphan_rows"] = """
-SELECT DISTINCT 'lineitem' AS tab, CAST(l_orderkey AS VARCHAR) AS key FROM lineitem ANTI JOIN orders ON l_orderkey = o_orderkey
-UNION SELECT DISTINCT 'event_segments', CAST(seg_id AS VARCHAR) FROM event_segments ANTI JOIN event_registry USING (event_id)
+WITH p AS (SELECT DISTINCT source, web_page FROM pages)
+SELECT DISTINCT 'event_segments' AS tab, CAST(seg_id AS VARCHAR) AS key FROM event_segments e WHERE from_page IS NOT NULL AND NOT EXISTS (SELECT 1 FROM p WHERE p.source = e.source AND p.web_page = e.from_page)
+UNION SELECT DISTINCT 'person_entries', CAST(entry_id AS VARCHAR) FROM person_entries e WHERE from_page IS NOT NULL AND NOT EXISTS (SELECT 1 FROM p WHERE p.source = e.source AND p.web_page = e.from_page)
+UNION SELECT DISTINCT 'documents', CAST(doc_id AS VARCHAR) FROM documents d WHERE NOT EXISTS (SELECT 1 FROM mix_targets t WHERE t.source = d.source)
 """
 
 
@@ -896,22 +899,35 @@ SELECT q.qid, w.target, CASE WHEN w.step IS NULL THEN 'unknown' WHEN w.target IS
 
 
 def _references(spark: SparkSession, d: str) -> DataFrame:
-    s = table(spark, d, "sources").where("book_role in ('kamus', 'kamus_asl')")
-    return s.select(F.col("source").alias("qid"), F.concat("source", F.lit(":1-5,٧,90-80,x,1-9999, 12 - 14 ,2/3")).alias("ref"))
+    """A reference for every numbered entry: a range forwards or backwards from its number, its number in Arabic figures, a part with a number, or nonsense."""
+    e = table(spark, d, "person_entries").where("entry_num is not null").select("entry_id", "source", "entry_num").distinct()
+    n, k = F.col("entry_num"), F.col("entry_id") % 6
+    arabic = F.translate(n.cast("string"), "0123456789", "٠١٢٣٤٥٦٧٨٩")
+    part = F.when(k == 0, F.concat(n.cast("string"), F.lit(" - "), (n + 3).cast("string"))).when(k == 1, F.concat((n + 3).cast("string"), F.lit("-"), n.cast("string"))).when(k == 2, arabic)
+    part = part.when(k == 3, F.concat(F.lit("2/"), n.cast("string"))).when(k == 4, F.concat(n.cast("string"), F.lit("-"), (n + 5000).cast("string"))).otherwise(F.concat(F.lit("x"), n.cast("string")))
+    return e.select(F.col("entry_id").cast("string").alias("qid"), F.concat("source", F.lit(":"), part, F.lit(","), n.cast("string")).alias("ref"))
+
+
+_REFS = """
+r0 AS (SELECT DISTINCT entry_id, source, entry_num AS n, entry_id % 6 AS k FROM person_entries WHERE entry_num IS NOT NULL),
+r AS (SELECT CAST(entry_id AS VARCHAR) AS qid, source AS book, CASE WHEN k = 3 THEN 2 END AS sub, CASE WHEN k = 5 THEN NULL WHEN k = 1 THEN n + 3 ELSE n END AS lo, CASE WHEN k = 5 THEN NULL WHEN k = 0 THEN n + 3 WHEN k = 4 THEN n + 5000 ELSE n END AS hi,
+  CASE k WHEN 1 THEN 'reversed' WHEN 4 THEN 'too wide' WHEN 5 THEN 'malformed' ELSE 'ok' END AS status FROM r0 UNION ALL SELECT CAST(entry_id AS VARCHAR), source, NULL, n, n, 'ok' FROM r0)
+"""
 
 
 @query
 def ref_expand_missing(spark: SparkSession, d: str) -> DataFrame:
-    """References like book:1-5,7 to entries, with the numbers that aren't there."""
+    """References to every entry's number and those after it, with the numbers that aren't there; an entry spans the numbers up to its page's end."""
     spans = resolution.parse_references(_references(spark, d)).where("status = 'ok' and sub is null")
-    e = table(spark, d, "person_entries").select(F.col("entry_id").alias("row_id"), F.col("source").alias("book"), F.col("entry_num").cast("bigint").alias("num"), F.lit(None).cast("bigint").alias("num_to"), F.lit(None).cast("string").alias("num_label")).distinct()
-    return resolution.look_up_numbers(spans, e)
+    to = F.when(F.col("to_page") > F.col("from_page"), F.col("entry_num") + F.col("to_page") - F.col("from_page"))
+    e = table(spark, d, "person_entries").select(F.col("entry_id").alias("row_id"), F.col("source").alias("book"), F.col("entry_num").cast("bigint").alias("num"), to.cast("bigint").alias("num_to"), F.lit(None).cast("string").alias("num_label")).distinct()
+    return resolution.look_up_numbers(cut(spans, "spans"), e)
 
 
-ORACLE["ref_expand_missing"] = """
-WITH s AS (SELECT source FROM sources WHERE book_role IN ('kamus', 'kamus_asl')), n AS (SELECT source, unnest([1, 2, 3, 4, 5, 7, 12, 13, 14]) AS num FROM s),
-e AS (SELECT DISTINCT entry_id, source, entry_num FROM person_entries)
-SELECT n.source AS qid, n.source AS book, CAST(n.num AS BIGINT) AS num, e.entry_id AS row_id, CASE WHEN e.entry_id IS NULL THEN 'missing' ELSE 'found' END AS status FROM n LEFT JOIN e ON e.source = n.source AND e.entry_num = n.num
+ORACLE["ref_expand_missing"] = f"""
+WITH {_REFS}, s AS (SELECT DISTINCT qid, book, CAST(unnest(range(lo, hi + 1)) AS BIGINT) AS num FROM r WHERE status = 'ok' AND sub IS NULL),
+e AS (SELECT DISTINCT entry_id, source, entry_num AS n, CASE WHEN to_page > from_page THEN entry_num + to_page - from_page ELSE entry_num END AS m FROM person_entries)
+SELECT s.qid, s.book, s.num, e.entry_id AS row_id, CASE WHEN e.entry_id IS NULL THEN 'missing' ELSE 'found' END AS status FROM s LEFT JOIN e ON e.source = s.book AND s.num BETWEEN e.n AND e.m
 """
 
 
@@ -921,7 +937,7 @@ def ref_grammar(spark: SparkSession, d: str) -> DataFrame:
     return resolution.parse_references(_references(spark, d))
 
 
-ORACLE["ref_grammar"] = "WITH s AS (SELECT source FROM sources WHERE book_role IN ('kamus', 'kamus_asl')) SELECT source AS qid, source AS book, CAST(sub AS BIGINT) AS sub, CAST(lo AS BIGINT) AS lo, CAST(hi AS BIGINT) AS hi, status FROM s CROSS JOIN (VALUES (NULL, 1, 5, 'ok'), (NULL, 7, 7, 'ok'), (NULL, 90, 80, 'reversed'), (NULL, NULL, NULL, 'malformed'), (NULL, 1, 9999, 'too wide'), (NULL, 12, 14, 'ok'), (2, 3, 3, 'ok')) AS v(sub, lo, hi, status)"
+ORACLE["ref_grammar"] = f"WITH {_REFS} SELECT qid, book, CAST(sub AS BIGINT) AS sub, CAST(lo AS BIGINT) AS lo, CAST(hi AS BIGINT) AS hi, status FROM r"
 
 
 @query
@@ -991,14 +1007,17 @@ SELECT ishabah_id, b.web_page AS found_page, b.para_idx, b.step FROM e LEFT JOIN
 
 @query
 def fuzzy_block_join(spark: SparkSession, d: str) -> DataFrame:
-    """Words of the documents (five plain letters or more) at most one edit apart."""
-    t = table(spark, d, "documents").select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit("([a-z]{5,})"), 1))).alias("token")).distinct()
+    """Words of all entries' names, from four letters on, at most one edit apart."""
+    names = table(spark, d, "person_entries").select("name_ar").unionByName(table(spark, d, "persons").select("name_ar"))
+    t = names.select(F.explode(F.split(N.person_key(F.col("name_ar")), " ")).alias("token")).where("length(token) >= 4").distinct()
     return entities.near_tokens(t, t).where("a < b")
 
 
-ORACLE["fuzzy_block_join"] = """
-WITH t AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[a-z]{5,}')) AS t FROM documents)
-SELECT x.t AS a, y.t AS b FROM t x JOIN t y ON x.t < y.t AND abs(length(x.t) - length(y.t)) <= 1 AND levenshtein(x.t, y.t) <= 1
+_BYTES = "translate(t, '" + "".join(map(chr, range(0x621, 0x64B))) + "', '" + "".join(map(chr, range(65, 65 + 42))).replace("'", "~") + "')"
+ORACLE["fuzzy_block_join"] = f"""
+WITH t AS (SELECT DISTINCT t FROM (SELECT unnest(string_split({_sql('N8', 'name_ar')}, ' ')) AS t FROM (SELECT name_ar FROM person_entries UNION ALL SELECT name_ar FROM persons)) WHERE length(t) >= 4)
+-- levenshtein counts bytes here, so each letter becomes one.
+SELECT x.t AS a, y.t AS b FROM (SELECT t, {_BYTES} AS k FROM t) x JOIN (SELECT t, {_BYTES} AS k FROM t) y ON x.t < y.t AND abs(length(x.t) - length(y.t)) <= 1 AND levenshtein(x.k, y.k) <= 1
 """
 
 
@@ -1024,8 +1043,11 @@ def rule_cascade(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def kunya_titles(spark: SparkSession, d: str) -> DataFrame:
-    """Entries titled by a kunya to canonical persons, by the name that follows in the title or by kunya and nisba."""
-    q = table(spark, d, "person_entries").where("link_status is null or link_status <> 'canonical'").select(F.col("entry_id").alias("qid"), F.col("name_ar").alias("title"), F.col("name_ar").alias("body")).distinct()
+    """Entries titled by a kunya to canonical persons, by the name that the title or the article's first paragraphs give them, or by kunya and nisba."""
+    e = table(spark, d, "person_entries").where("link_status is null or link_status <> 'canonical'")
+    articles = e.select(F.col("entry_id").alias("seg_id"), "source", "from_page", "from_para", "to_page", "to_para").distinct()
+    heads = entities.head_and_body(slicing.slice_intervals(articles, _slim(spark, d, "source", "web_page", "para_idx", "text")), P.is_heading(F.col("text"))).select(F.col("seg_id").alias("qid"), "head_text")
+    q = e.select(F.col("entry_id").alias("qid"), F.col("name_ar").alias("title")).distinct().join(heads, "qid", "left").select("qid", "title", F.concat_ws(" ", "title", "head_text").alias("body"))
     canon = table(spark, d, "persons").select(F.col("ishabah_id").alias("cid"), F.concat_ws(" ", "kunya", "name_ar").alias("name"))
     return entities.kunya_titled(cut(q, "titles"), canon)
 
@@ -1042,25 +1064,48 @@ def candidate_topk(spark: SparkSession, d: str) -> DataFrame:
     return entities.candidate_list(cut(_open(spark, d), "open"), canon, cut(aliases, "aliases"))
 
 
+def _named(spark: SparkSession, d: str) -> DataFrame:
+    """Numbered entries with the key under which editions are paired."""
+    return table(spark, d, "person_entries").where("entry_num is not null").select("entry_id", "source", "entry_num", N.pair_key(F.col("name_ar")).alias("name"), "ishabah_id", "link_status").distinct()
+
+
 @query
 def pair_editions(spark: SparkSession, d: str) -> DataFrame:
-    """Two editions of a dictionary paired one to one: the canonical one with itself, its numbers moved by one and its every seventh entry missing."""
-    p = table(spark, d, "persons").select(F.col("ishabah_id").alias("num"), N.pair_key(F.col("name_ar")).alias("key"))
-    return alignment.pair_editions(p, p.withColumn("num", F.col("num") + 1))
+    """The canonical dictionary's entries paired one to one with each other dictionary's under the same name, nearest number first."""
+    e = _named(spark, d)
+    others = e.where("source <> 'kamus_asl'")
+    left = e.where("source = 'kamus_asl'").join(others.select(F.col("source").alias("o")).distinct(), F.lit(True)).select(F.concat_ws("#", "o", "name").alias("key"), F.col("entry_num").alias("num"))
+    # Numbers of two dictionaries have nothing in common; within eleven of one another they do.
+    return alignment.pair_editions(left.withColumn("num", F.col("num") % 7), others.select(F.concat_ws("#", "source", "name").alias("key"), (F.col("entry_num") % 7).alias("num")))
+
+
+ORACLE["pair_editions"] = f"""
+WITH RECURSIVE e AS (SELECT DISTINCT source, entry_num % 7 AS num, {_sql('N11', 'name_ar')} AS name FROM person_entries WHERE entry_num IS NOT NULL),
+r AS (SELECT source || '#' || name AS key, list(DISTINCT num) AS free FROM e WHERE source <> 'kamus_asl' AND name IS NOT NULL GROUP BY 1),
+l AS (SELECT DISTINCT o.source || '#' || name AS key, num FROM e CROSS JOIN (SELECT DISTINCT source FROM e WHERE source <> 'kamus_asl') o WHERE e.source = 'kamus_asl'),
+k AS (SELECT key, CAST(num AS BIGINT) AS num, row_number() OVER (PARTITION BY key ORDER BY num) AS i FROM l JOIN r USING (key)),
+w AS (SELECT key, CAST(0 AS BIGINT) AS i, list_transform(free, lambda x: CAST(x AS BIGINT)) AS free, CAST(NULL AS BIGINT) AS a, CAST(NULL AS BIGINT) AS b FROM r
+  UNION ALL SELECT key, i, list_filter(free, lambda x: x IS DISTINCT FROM b), num, b FROM (
+    SELECT w.key, k.i, w.free, k.num, list_filter([num, num + 1, num - 1, num + 2, num - 2, num + 3, num - 3, num + 4, num - 4, num + 5, num - 5], lambda x: list_contains(free, x))[1] AS b FROM w JOIN k ON k.key = w.key AND k.i = w.i + 1))
+SELECT a AS num_left, b AS num_right, key FROM w WHERE b IS NOT NULL
+"""
 
 
 @query
 def pair_propagation(spark: SparkSession, d: str) -> DataFrame:
-    """Open entries of an edition that take over their partner's link."""
-    p = table(spark, d, "persons").select(F.col("ishabah_id").alias("num"), F.col("ishabah_id").alias("cid"), F.when(F.col("kunya").isNull(), "unresolved").otherwise("resolved").alias("status"))
-    pairs = p.select(F.col("num").alias("num_left"), (F.col("num") + 1).alias("num_right"))
-    return entities.propagate_pairs(p, pairs)
-
-
-ORACLE["pair_propagation"] = """
-WITH p AS (SELECT ishabah_id AS num, CASE WHEN kunya IS NULL THEN 'unresolved' ELSE 'resolved' END AS status FROM persons),
-x AS (SELECT a.num, a.status, b.num AS given FROM p a LEFT JOIN p b ON b.num = a.num - 1 AND b.status = 'resolved')
-SELECT num, CASE WHEN status <> 'resolved' AND given IS NOT NULL THEN given ELSE num END AS cid, CASE WHEN given IS NOT NULL THEN 'resolved' ELSE status END AS status, status <> 'resolved' AND given IS NOT NULL AS by_pair FROM x
+    """Open entries that take over the link of the entry of another dictionary that bears the same name."""
+    e = cut(_named(spark, d), "named")
+    links = e.groupBy(F.col("entry_id").alias("num")).agg(F.max("ishabah_id").alias("cid"), F.max(F.coalesce("link_status", F.lit("none"))).alias("status"))
+    l, r = (e.select(F.col("entry_id").alias(n), F.col("source").alias(f"s_{n}"), "name") for n in ("num_left", "num_right"))
+    pairs = l.join(r, "name").where("name <> '' and s_num_left <> s_num_right").select("num_left", "num_right")
+    return entities.propagate_pairs(links, pairs)
+
+
+ORACLE["pair_propagation"] = f"""
+WITH e AS (SELECT DISTINCT entry_id, source, {_sql('N11', 'name_ar')} AS name, ishabah_id, link_status FROM person_entries WHERE entry_num IS NOT NULL),
+k AS (SELECT entry_id AS num, max(ishabah_id) AS cid, max(coalesce(link_status, 'none')) AS status FROM e GROUP BY entry_id),
+g AS (SELECT b.entry_id AS num, min(k.cid) AS given FROM e a JOIN e b ON a.name = b.name AND a.name <> '' AND a.source <> b.source JOIN k ON k.num = a.entry_id AND k.status = 'resolved' GROUP BY b.entry_id)
+SELECT k.num, CASE WHEN status <> 'resolved' AND given IS NOT NULL THEN given ELSE cid END AS cid, CASE WHEN status <> 'resolved' AND given IS NOT NULL THEN 'resolved' ELSE status END AS status, status <> 'resolved' AND given IS NOT NULL AS by_pair FROM k LEFT JOIN g USING (num)
 """
 
 
@@ -1093,6 +1138,20 @@ def best_chain(spark: SparkSession, d: str) -> DataFrame:
     return alignment.best_chain(a, ["source", "surah"])
 
 
+ORACLE["best_chain"] = rf"""
+WITH RECURSIVE s AS (SELECT source, surah, from_page * 1000 + coalesce(from_para, 0) AS pos, CASE WHEN regexp_matches(label, '^~?\d+(-\d+)?$') THEN CAST(regexp_extract(label, '^~?(\d+)', 1) AS INTEGER) END AS lo,
+  CASE WHEN regexp_matches(label, '^~?\d+(-\d+)?$') THEN CAST(coalesce(nullif(regexp_extract(label, '-(\d+)$', 1), ''), regexp_extract(label, '^~?(\d+)', 1)) AS INTEGER) END AS hi FROM {_SEG} WHERE from_page IS NOT NULL),
+a AS (SELECT *, row_number() OVER (PARTITION BY source, surah ORDER BY pos, lo, hi) AS j FROM s WHERE lo <= hi),
+w AS (SELECT DISTINCT source, surah, CAST(0 AS BIGINT) AS j, CAST([] AS STRUCT("start" INTEGER, neg BIGINT, j BIGINT, hi INTEGER, prev BIGINT)[]) AS st FROM a
+  UNION ALL SELECT source, surah, j, list_append(st, {{'start': coalesce(best."start", lo), 'neg': coalesce(best.neg, 0) - 1, 'j': j, 'hi': hi, 'prev': best.j}}) FROM (
+    SELECT w.source, w.surah, a.j, a.lo, a.hi, st, list_min(list_filter(st, lambda x: x.hi < a.lo)) AS best FROM w JOIN a ON a.source IS NOT DISTINCT FROM w.source AND a.surah IS NOT DISTINCT FROM w.surah AND a.j = w.j + 1)),
+f AS (SELECT * FROM w QUALIFY row_number() OVER (PARTITION BY source, surah ORDER BY j DESC) = 1),
+e AS (SELECT source, surah, st, list_min(list_transform(st, lambda x: {{'span': x."start" - x.hi, 'neg': x.neg, 'j': x.j}})).j AS j FROM f),
+t AS (SELECT source, surah, st, j FROM e UNION ALL SELECT source, surah, st, st[j].prev FROM t WHERE st[j].prev IS NOT NULL)
+SELECT a.source, a.surah, a.pos, a.lo, a.hi FROM t JOIN a ON a.source IS NOT DISTINCT FROM t.source AND a.surah IS NOT DISTINCT FROM t.surah AND a.j = t.j
+"""
+
+
 @query
 def align_monotone(spark: SparkSession, d: str) -> DataFrame:
     """Segments of each book and surah, in order, aligned with verse numbers of non-decreasing order by their labels."""
@@ -1111,7 +1170,7 @@ def heading_match_scores(spark: SparkSession, d: str) -> DataFrame:
     p = _slim(spark, d, "source", "web_page", "para_idx", "text").where("text is not null")
     w = W.partitionBy("source", "web_page").orderBy("para_idx")
     rows = p.select("source", "web_page", "para_idx", N.verse_key(F.col("text")).alias("phrase"), F.lead(N.verse_key(F.col("text"))).over(w).alias("verse"))
-    return rows.select("source", "web_page", "para_idx", alignment.match_score(F.col("phrase"), F.col("para_idx"), F.col("verse"), F.lit(1)).alias("score"))
+    return rows.select("source", "web_page", "para_idx", alignment.match_score(F.col("phrase"), F.col("web_page") % 7, F.col("verse"), F.col("para_idx") + 1).alias("score"))
 
 
 ORACLE["heading_match_scores"] = f"""
@@ -1120,16 +1179,30 @@ q AS (SELECT *, lead(t) OVER (PARTITION BY source, web_page ORDER BY para_idx) A
 w AS (SELECT *, string_split(ph, ' ') AS a, string_split(v, ' ') AS b FROM q),
 c AS (SELECT *, list_transform(range(1, least(len(a), len(b)) + 1), lambda i: a[i] = b[i]) AS eq FROM w)
 SELECT source, web_page, para_idx, CASE WHEN v IS NULL OR ph = '' OR v = '' THEN 0 WHEN starts_with(v, ph) THEN CASE WHEN len(a) >= 3 THEN 60 ELSE 30 END
-  WHEN length(replace(v, ' ', '')) >= 8 AND starts_with(ph, v) THEN 60 WHEN coalesce(nullif(list_position(eq, false), 0) - 1, len(eq)) >= 3 THEN 40 ELSE 0 END + CASE WHEN para_idx = 1 THEN 100 ELSE 0 END AS score FROM c
+  WHEN length(replace(v, ' ', '')) >= 8 AND starts_with(ph, v) THEN 60 WHEN coalesce(nullif(list_position(eq, false), 0) - 1, len(eq)) >= 3 THEN 40 ELSE 0 END + CASE WHEN web_page % 7 = para_idx + 1 THEN 100 ELSE 0 END AS score FROM c
 """
 
 
 @query
 def located_headings(spark: SparkSession, d: str) -> DataFrame:
-    """Canonical persons' names located in their dictionary's pages, in order."""
-    t = table(spark, d, "persons").select(F.lit("kamus_asl").alias("source"), F.col("ishabah_id").alias("i"), F.col("from_page").alias("page"), N.heading_key(F.col("name_ar")).alias("tkey")).where("page is not null")
-    l = _slim(spark, d, "source", "web_page", "para_idx", "text").where("source = 'kamus_asl' and text is not null").select("source", F.col("web_page").alias("page"), "para_idx", N.heading_key(F.col("text")).alias("pkey"))
-    return alignment.located(t, l, ["source"])
+    """A table of contents of every source, its pages off by one now and then, located in the source's paragraphs, in order."""
+    p = cut(_slim(spark, d, "para_id", "source", "web_page", "para_idx", "text").where("text is not null").withColumn("k", N.heading_key(F.col("text"))), "keys")
+    i = F.row_number().over(W.partitionBy("source").orderBy("web_page", "para_idx", "para_id"))
+    t = p.where(P.is_heading(F.col("text"))).select("source", i.alias("i"), "web_page", F.col("k").alias("tkey")).select("source", "i", (F.col("web_page") + F.col("i") % 3 - 1).cast("int").alias("page"), "tkey")
+    return alignment.located(t, p.select("source", F.col("web_page").alias("page"), "para_idx", F.col("k").alias("pkey")), ["source"])
+
+
+ORACLE["located_headings"] = f"""
+WITH RECURSIVE p AS (SELECT *, {_sql('N6k', 'text')} AS pk, {_T_SQL} AS t FROM (SELECT DISTINCT para_id, source, web_page, para_idx, text FROM pages WHERE text IS NOT NULL)),
+h AS (SELECT source, row_number() OVER (PARTITION BY source ORDER BY web_page, para_idx, para_id) AS i, web_page, pk AS tk FROM p WHERE {_HEADING_SQL}), g AS (SELECT source, i, web_page + i % 3 - 1 AS page, tk FROM h),
+m AS (SELECT g.source, g.i, g.page, list_sort(list(p.para_idx) FILTER (WHERE p.web_page = g.page)) AS own, min(p.para_idx) FILTER (WHERE p.web_page = g.page - 1) AS before, min(p.para_idx) FILTER (WHERE p.web_page = g.page + 1) AS after
+  FROM g LEFT JOIN p ON p.source = g.source AND p.web_page BETWEEN g.page - 1 AND g.page + 1 AND p.pk <> '' AND g.tk <> '' AND (starts_with(p.pk, substr(g.tk, 1, 15)) OR starts_with(substr(g.tk, 1, 15), substr(p.pk, 1, 15))) GROUP BY ALL),
+w AS (SELECT DISTINCT source, CAST(0 AS BIGINT) AS i, CAST(-1 AS BIGINT) AS ap, CAST(-1 AS BIGINT) AS ax, CAST(NULL AS BIGINT) AS fp, CAST(NULL AS BIGINT) AS fx FROM g
+  UNION ALL SELECT source, i, coalesce(fp, ap), CASE WHEN fp IS NULL THEN ax ELSE fx END, fp, fx FROM (
+    SELECT *, CASE WHEN n IS NOT NULL OR len(own) > 0 THEN page WHEN before IS NOT NULL THEN page - 1 WHEN after IS NOT NULL THEN page + 1 END AS fp, coalesce(n, own[1], before, after) AS fx FROM (
+      SELECT m.source, m.i, m.page, coalesce(own, []) AS own, before, after, ap, ax, list_filter(coalesce(own, []), lambda x: ap <> m.page OR x > ax)[1] AS n FROM w JOIN m ON m.source = w.source AND m.i = w.i + 1)))
+SELECT source, CAST(i AS INTEGER) AS i, CAST(fp AS INTEGER) AS found_page, CAST(fx AS INTEGER) AS para_idx FROM w WHERE i > 0
+"""
 
 
 # ---- scans

@@ -495,16 +495,16 @@ SELECT source, surah, min(ayah) AS first, max(ayah) AS last, n_ayat AS n, min(ay
 
 
 @query
-def prefix_located(spark: SparkSession, d: str) -> DataFrame:
-    """Entries whose name begins as a paragraph of their first page does, in the first fifteen letters of both."""
-    e = table(spark, d, "person_entries").select("entry_id", "source", F.col("from_page").alias("web_page"), F.col("name_ar").alias("name")).where("name is not null").distinct()
-    p = _slim(spark, d, "para_id", "source", "web_page", "text").where("text is not null")
-    return e.join(p, ["source", "web_page"]).where(P.same_prefix(F.col("text"), F.col("name"))).groupBy("entry_id").agg(F.min("para_id").alias("para_id"))
+def prefix_agrees(spark: SparkSession, d: str) -> DataFrame:
+    """Linked entries whose name begins as their person's does, in the first fifteen letters of both."""
+    e = table(spark, d, "person_entries").select("entry_id", "ishabah_id", F.col("name_ar").alias("name")).distinct()
+    p = table(spark, d, "persons").select("ishabah_id", F.col("name_ar").alias("own"))
+    return e.join(p, "ishabah_id").where(P.same_prefix(F.col("name"), F.col("own"))).select("entry_id", "ishabah_id")
 
 
-ORACLE["prefix_located"] = f"""
-WITH e AS (SELECT DISTINCT entry_id, source, from_page, {_sql('N6k', 'name_ar')} AS t FROM person_entries WHERE name_ar IS NOT NULL), p AS (SELECT DISTINCT para_id, source, web_page, {_sql('N6k', 'text')} AS p FROM pages WHERE text IS NOT NULL)
-SELECT entry_id, min(para_id) AS para_id FROM e JOIN p ON e.source = p.source AND e.from_page = p.web_page AND t <> '' AND p <> '' AND substr(p, 1, least(15, length(p), length(t))) = substr(t, 1, least(15, length(p), length(t))) GROUP BY entry_id
+ORACLE["prefix_agrees"] = f"""
+WITH e AS (SELECT DISTINCT entry_id, ishabah_id, {_sql('N6k', 'name_ar')} AS t FROM person_entries), p AS (SELECT ishabah_id, {_sql('N6k', 'name_ar')} AS p FROM persons)
+SELECT entry_id, ishabah_id FROM e JOIN p USING (ishabah_id) WHERE t <> '' AND p <> '' AND substr(p, 1, least(15, length(p), length(t))) = substr(t, 1, least(15, length(p), length(t)))
 """
 
 
