@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from warraq.llm import encodings, lookalikes, matching, mixing, packing, spans, splitting, tokens
+from warraq.functions import normalise
+from warraq.llm import encodings, lookalikes, matching, mixing, names, packing, spans, splitting, tokens
 from warraq.plans.materialize import cut, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -221,3 +222,60 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
 def p5_linked(spark: SparkSession, d: str) -> DataFrame:
     """Every entry with its class of equal records, its canonical entry and the number of entries about the same person: the links of p5_found without making pairs."""
     return matching.linked_entries(_entries(spark, d))
+
+
+@query
+def p5_near_words(spark: SparkSession, d: str) -> DataFrame:
+    """The radius join by itself: words of all entries' names within a Damerau-Levenshtein distance of 1, x < y."""
+    words = table(spark, d, "person_entries").select(F.explode(F.split(normalise.person_key(F.col("name_ar")), " ")).alias("word"))
+    return names.near_parts(words).where("x < y")
+
+
+_LETTERS = "regexp_replace(translate(regexp_replace(regexp_replace(name_ar, '[\\x{FB50}-\\x{FDFF}\\x{FE70}-\\x{FEFF}\\x{200B}-\\x{200F}\\x{061C}]', ' ', 'g'), '[\\x{0610}-\\x{061A}\\x{064B}-\\x{065F}\\x{0670}\\x{06D6}-\\x{06ED}\\x{0640}]', '', 'g'), 'أإآٱةىؤئ', 'ااااهيوي'), '[^\\x{0621}-\\x{064A}]', ' ', 'g')"
+_PHRASES = "صلي الله عليه وسلم|صلي الله عليه واله وسلم|صلي الله عليه|عليه السلام|عليها السلام|عليهما السلام|رضي الله عنه|رضي الله عنها|رضي الله عنهما|رضي الله عنهم|رضي الله عنهن|رضي الله|رضوان الله عليه|رحمة الله عليه|رحمه الله|غفر الله له|اسلام رضي الله عنه|امراه|امراه ا|زوجه|زوجه النبي"
+_KEY = f"regexp_replace({_LETTERS}, '(^|\\s)عبدال', '\\1عبد ال', 'g')"
+for _phrase in _PHRASES.split("|"):
+    _KEY = f"replace({_KEY}, '{_phrase}', ' ')"
+ORACLE["p5_near_words"] = f"""
+WITH t AS (SELECT DISTINCT t FROM (SELECT unnest(regexp_split_to_array({_KEY}, ' +')) AS t FROM person_entries) WHERE t <> ''), i AS (SELECT t, unnest(range(1, length(t) + 1)) AS i FROM t),
+d AS (SELECT t, i, substr(t, 1, i - 1) || substr(t, i + 1) AS k FROM i), w AS (SELECT t, substr(t, 1, i - 1) || substr(t, i + 1, 1) || substr(t, i, 1) || substr(t, i + 2) AS k FROM i WHERE i < length(t)),
+p AS (SELECT d.t AS x, t.t AS y FROM d JOIN t ON d.k = t.t UNION SELECT a.t, b.t FROM d a JOIN d b ON a.k = b.k AND a.i = b.i AND length(a.t) = length(b.t) UNION SELECT w.t, t.t FROM w JOIN t ON w.k = t.t)
+SELECT DISTINCT least(x, y) AS x, greatest(x, y) AS y FROM p WHERE x <> y
+"""
+
+
+def _lengths(spark: SparkSession, d: str) -> DataFrame:
+    """Documents sized in code points: what SQL can count too."""
+    return table(spark, d, "documents").select(F.col("doc_id").alias("id"), "source", F.coalesce(F.length("text"), F.lit(0)).cast("bigint").alias("n_tokens")).distinct()
+
+
+@query
+def p7_placed(spark: SparkSession, d: str) -> DataFrame:
+    """Documents sized in code points, packed for every capacity: pieces and size of each, whether pieces follow one another without a gap, and whether any of its containers is overfull."""
+    packed = cut(packing.pack_all(_lengths(spark, d), table(spark, d, "pack_specs")), "packed")
+    full = packed.groupBy("spec_id", "container_id").agg((F.sum("n_tokens") > F.first("capacity")).alias("overfull"))
+    per = packed.join(full, ["spec_id", "container_id"]).groupBy("spec_id", F.col("id").alias("doc_id"))
+    return per.agg(F.count("*").alias("n_pieces"), F.sum("n_tokens").alias("size"), (F.max(F.col("first_token") + F.col("n_tokens")) == F.sum("n_tokens")).alias("whole"), F.max("overfull").alias("overfull"))
+
+
+ORACLE["p7_placed"] = """
+SELECT DISTINCT spec_id, doc_id, CAST(greatest(ceil(coalesce(length(text), 0) / capacity), 1) AS BIGINT) AS n_pieces, CAST(coalesce(length(text), 0) AS BIGINT) AS size, true AS whole, false AS overfull FROM documents CROSS JOIN pack_specs
+"""
+
+
+@query
+def p8_rates(spark: SparkSession, d: str) -> DataFrame:
+    """How often to take a document of each listed source, sized in code points, and the bounds of the copies that gives."""
+    rate = cut(mixing.rates(_lengths(spark, d), table(spark, d, "mix_targets")), "rates")
+    per = mixing.mix(_lengths(spark, d), rate).groupBy("source", "id").agg(F.count("*").alias("copies"), F.max("copy_no").alias("last"))
+    seen = per.groupBy("source").agg(F.min("copies").alias("fewest"), F.max("copies").alias("most"), F.min(F.col("copies") == F.col("last")).alias("counted"))
+    x = rate.join(seen, "source", "left")
+    within = F.when(F.col("fewest").isNotNull(), (F.col("fewest") >= F.greatest(F.floor("rate"), F.lit(1))) & (F.col("most") <= F.ceil("rate")) & F.col("counted"))
+    return x.select("source", "target_share", "max_repeats", "n_docs", "available_tokens", F.round("rate", 9).alias("rate"), F.coalesce(within, F.lit(True)).alias("within"))
+
+
+ORACLE["p8_rates"] = """
+WITH z AS (SELECT DISTINCT doc_id, source, CAST(coalesce(length(text), 0) AS BIGINT) AS n FROM documents), s AS (SELECT source, count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS a FROM z GROUP BY source),
+x AS (SELECT t.*, coalesce(n_docs, 0) AS n_docs, coalesce(a, 0) AS available_tokens FROM mix_targets t LEFT JOIN s USING (source)), y AS (SELECT *, sum(available_tokens) OVER () AS total FROM x)
+SELECT source, target_share, max_repeats, n_docs, available_tokens, CASE WHEN available_tokens > 0 THEN round(least(CAST(max_repeats AS DOUBLE), target_share * total / available_tokens), 9) ELSE 0.0 END AS rate, true AS within FROM y
+"""
