@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a temporary one only where none is named and Spark runs in one process."""
+    """The folder named by ``spark.checkpoint.dir``. Where none is named, and Spark runs in one process with this one, a temporary folder is set as its checkpoint folder; on a cluster that is an error."""
     sc = spark.sparkContext
     named = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if named:
