@@ -70,6 +70,24 @@ def test_every_fiftieth_name_against_all(spark):
     assert len(asked) > 100 and {p for p in near if p[0] in asked} == want
 
 
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.1"), reason="no test tables")
+def test_candidates_of_every_fiftieth_entry_against_all_pairs(spark):
+    """Pairs that the odds link, with the prior of all pairs instead of those that met, among every fiftieth entry and all entries: nearly all of them meet."""
+    rows = spark.read.parquet("/root/testdata/sf0.1/person_entries.parquet").select(F.col("entry_id").alias("rid"), F.lit(0).alias("side"), "name_ar", "name_norm", "kunya", "town", "death_h").distinct()
+    people = names.profiles(rows).cache()
+    met = names.meetings(people).cache()
+    of, base = names.odds(names.graded(met, people))
+    asked = people.where("rid % 50 = 0").select(F.col("rid").alias("a"))
+    every = names.graded(asked.join(people.select(F.col("rid").alias("b")), F.col("a") != F.col("b")), people)
+    score = F.lit(base - math.log(people.count() ** 2 / 2 / met.count()))
+    for f in names.FIELDS:
+        score = score + F.element_at(F.array(*map(F.lit, of[f])), F.col(f) + 1)
+    linked = {(r.a, r.b) for r in every.where(score >= 0).select("a", "b").collect()}
+    pairs = {(r.a, r.b) for r in met.collect()}
+    found = sum(p in pairs or p[::-1] in pairs for p in linked)
+    assert len(linked) > 100 and found >= 0.98 * len(linked), (found, len(linked))
+
+
 @pytest.mark.parametrize(
     "name, own, chain, nisba, kunya",
     [
