@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from warraq.functions import normalise as N
 from warraq.functions import paragraphs as P
-from warraq.operators import alignment, labels, resolution, search, segmentation
+from warraq.operators import alignment, labels, resolution, search, segmentation, slicing
 
 
 def test_deep_trees(spark):
@@ -88,3 +88,15 @@ def test_foreign_scripts_and_honorifics(spark):
     col = lambda values, f: [r[0] for r in spark.createDataFrame([(v,) for v in values], "t string").select(f(F.col("t"))).collect()]
     assert col(["。", "㐂", "漢", "Ж", "قال", None], P.has_foreign_script) == [True, True, True, True, False, None]
     assert col(["زيد رضي الله عنه", "امرأة زيد", "زوجة عمرو", "زيد صلى الله عليه وسلم"], N.person_key) == ["زيد", "زيد", "عمرو", "زيد"]
+
+
+def test_prefix_sums_over_blocks(spark):
+    rng = random.Random(2)
+    rows = [(rng.choice(["a", "a", "b", None]), rng.choice([None, *range(40)]), i, rng.choice([None, 0, *range(9)])) for i in range(300)]
+    df = spark.createDataFrame(rows, "k string, o int, i int, n int")
+    got = {r.i: (r.before, r.whole) for r in slicing.prefix_sums(df, ["k"], ["o", "i"], F.col("n"), "before", "whole", width=7).collect()}
+    order = lambda r: (r[1] is not None, r[1] or 0, r[2])
+    for r in rows:
+        same = [x for x in rows if x[0] == r[0]]
+        assert got[r[2]] == (sum(x[3] or 0 for x in same if order(x) < order(r)), sum(x[3] or 0 for x in same))
+    assert slicing.prefix_sums(df.limit(0), ["k"], ["o"], F.col("n"), "x").count() == 0

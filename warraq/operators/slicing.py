@@ -76,6 +76,27 @@ def citation(juz: Column, page: Column, url: Column) -> Column:
     return F.concat_ws(" - ", place, url)
 
 
+def prefix_sums(df: DataFrame, keys: list[str], order: list[str], size: Column, name: str, total: str | None = None, width: int = 4096) -> DataFrame:
+    """Adds ``name``, the sum of ``size`` over the rows of the key that come before in order, and ``total``, that over all its rows.
+
+    In two passes, so that a key with a third of all rows is no single task: sums per block of ``width`` values of the first order column (a number) are added up
+    first, and within a block the window is short. Null sizes count as 0; null keys are a key.
+    """
+    x = df.withColumn("_ps_block", F.floor(F.col(order[0]) / width)).withColumn("_ps_size", F.coalesce(size, F.lit(0)))
+    per = x.groupBy(*keys, "_ps_block").agg(F.sum("_ps_size").alias("_ps_sum"))
+    w = W.partitionBy(*keys)
+    before = F.coalesce(F.sum("_ps_sum").over(w.orderBy("_ps_block").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    at = per.select(*(F.col(k).alias(f"_ps_k{i}") for i, k in enumerate(keys)), F.col("_ps_block").alias("_ps_at"), before.alias("_ps_before"), F.sum("_ps_sum").over(w).alias("_ps_total"))
+    same = x["_ps_block"].eqNullSafe(at["_ps_at"])
+    for i, k in enumerate(keys):
+        same = same & x[k].eqNullSafe(at[f"_ps_k{i}"])
+    own = F.coalesce(F.sum("_ps_size").over(W.partitionBy(*keys, "_ps_block").orderBy(*order).rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    out = x.join(at, same).withColumn(name, F.col("_ps_before") + own)
+    if total:
+        out = out.withColumn(total, F.col("_ps_total"))
+    return out.drop("_ps_block", "_ps_size", "_ps_at", "_ps_before", "_ps_total", *(f"_ps_k{i}" for i in range(len(keys))))
+
+
 def within_budget(df: DataFrame, keys: list[str], order: list[str], size: Column, budget: int) -> DataFrame:
     """Rows whose running size stays within the budget, at least one a key; 0 or less: all rows. Adds cum_size."""
     w = W.partitionBy(*keys).orderBy(*order)
@@ -86,11 +107,10 @@ def within_budget(df: DataFrame, keys: list[str], order: list[str], size: Column
 
 
 def budget_pages(df: DataFrame, keys: list[str], order: list[str], size: Column, budget: int, offset: int = 0) -> DataFrame:
-    """One answer page per key: items from offset on while they fit; n_shown, used, next_offset (null at the end)."""
-    w = W.partitionBy(*keys).orderBy(*order)
-    n = F.count("*").over(W.partitionBy(*keys))
-    items = df.withColumn("_i", F.row_number().over(w) - 1).withColumn("_n", n).where(F.col("_i") >= offset)
-    shown = within_budget(items, keys, order, size, budget)
+    """One answer page per key: items from offset on while they fit; n_shown, used, next_offset (null at the end). The first order column is a number; keys may be large."""
+    items = prefix_sums(df, keys, order, F.lit(1), "_i", "_n").where(F.col("_i") >= offset)
+    sized = prefix_sums(items, keys, order, size, "_used").withColumn("cum_size", F.col("_used") + F.coalesce(size, F.lit(0)))
+    shown = sized.where((F.col("cum_size") <= budget) | (F.col("_i") == offset)) if budget > 0 else sized
     return shown.groupBy(*keys).agg(F.count("*").alias("n_shown"), F.max("cum_size").alias("used"), F.max("_i").alias("_last"), F.max("_n").alias("n_total")).select(
         *keys, "n_shown", "used", F.when(F.col("_last") + 1 < F.col("n_total"), F.col("_last") + 1).alias("next_offset"), "n_total"
     )

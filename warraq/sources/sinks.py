@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Observation
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from warraq.operators.slicing import prefix_sums
+
 
 def write_json_lines(df: DataFrame, path: str) -> None:
     """SNK1."""
@@ -19,18 +20,16 @@ def rebuild(df: DataFrame, path: str, partition: str, order: list[str]) -> None:
 
 
 def batches(df: DataFrame, key: str, order: list[str], size: int) -> DataFrame:
-    """SNK6, W25: batch_no (from 0) of at most ``size`` rows of one key."""
-    return df.withColumn("batch_no", F.floor((F.row_number().over(W.partitionBy(key).orderBy(*order)) - 1) / size))
+    """SNK6, W25: batch_no (from 0) of at most ``size`` rows of one key. The first order column is a number; a key may be large."""
+    return prefix_sums(df, [key], order, F.lit(1), "_place").withColumn("batch_no", F.floor(F.col("_place") / size)).drop("_place")
 
 
 def equal_parts(df: DataFrame, key: str, order: list[str], size: Column, most: int) -> DataFrame:
-    """SNK8: parts of about equal size, as few as keep to ``most`` on average; a row belongs where its beginning falls."""
-    w = W.partitionBy(key).orderBy(*order)
-    sized = df.withColumn("_s", size)
-    total = F.sum("_s").over(W.partitionBy(key))
-    n = F.greatest(F.ceil(total / most), F.lit(1))
-    before = F.sum("_s").over(w.rowsBetween(W.unboundedPreceding, 0)) - F.col("_s")
-    return sized.withColumn("n_parts", n).withColumn("part_no", F.when(total > 0, F.least(F.floor(before * n / total), n - 1)).otherwise(F.lit(0))).drop("_s")
+    """SNK8: parts of about equal size, as few as keep to ``most`` on average; a row belongs where its beginning falls. The first order column is a number; a key may be large."""
+    sized = prefix_sums(df, [key], order, size, "_before", "_total")
+    n = F.greatest(F.ceil(F.col("_total") / most), F.lit(1))
+    part = F.when(F.col("_total") > 0, F.least(F.floor(F.col("_before") * n / F.col("_total")), n - 1)).otherwise(F.lit(0))
+    return sized.withColumn("n_parts", n).withColumn("part_no", part).drop("_before", "_total")
 
 
 def split_export(df: DataFrame, key: str, order: list[str], most: int, soft: float = 0.85, most_bytes: int | None = None) -> DataFrame:
