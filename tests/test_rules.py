@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from warraq.functions import normalise as N
 from warraq.functions import paragraphs as P
-from warraq.operators import alignment, labels, resolution, search, segmentation, slicing
+from warraq.operators import alignment, entities, labels, resolution, search, segmentation, slicing
 
 
 def test_deep_trees(spark):
@@ -100,3 +100,25 @@ def test_prefix_sums_over_blocks(spark):
         same = [x for x in rows if x[0] == r[0]]
         assert got[r[2]] == (sum(x[3] or 0 for x in same if order(x) < order(r)), sum(x[3] or 0 for x in same))
     assert slicing.prefix_sums(df.limit(0), ["k"], ["o"], F.col("n"), "x").count() == 0
+
+
+def test_name_structures(spark):
+    names = [
+        (1, "أبو بكر الصديق عبد الله بن أبي قحافة عثمان التيمي، أمه سلمى بنت صخر، أبو العتيق"), (2, "زيد بن حارثة الكلبي؛ ابن شراحيل بن كعب"), (3, "أم سلمة هند"), (4, ""), (5, None), (6, "، - ،"), (7, "عبد الرحمن بن عوف - الزهري"), (8, "بن بن"),
+    ]
+    rows = {r.qid: r for r in entities.name_structures(spark.createDataFrame(names, "qid int, name string"), "qid").collect()}
+    assert set(rows) == set(range(1, 9))
+    assert (rows[1].titled, rows[1]["head"], rows[1].father_kunya) == (True, "ابو بكر", "ابو قحافه عثمان") and "التيمي" in rows[1].nisbas and "سلمي" not in rows[1].norm
+    assert rows[2].chain == ["زيد", "حارثه", "شراحيل", "كعب"] and rows[2].nisbas == ["الكلبي"] and not rows[2].titled
+    assert (rows[3].titled, rows[3]["head"]) == (True, "ام سلمه هند") and rows[7].chain == ["عبد الرحمن", "عوف"] and rows[7].nisbas == ["الزهري"]
+    for k in (4, 5, 6, 8):
+        assert (rows[k].chain, rows[k].kunyas, rows[k].father_kunya, rows[k].nisbas, rows[k].titled) == ([], [], None, [], False)
+    texts = ["قال زيد بن عمرو بن خالد ثم", "بن بن", "زيد", "", None, "زيد بن عمرو بن بن علي ابن حسن ابن علي القرشي"]
+    got = [r.c for r in spark.createDataFrame([(t,) for t in texts], "t string").select(entities.body_chains(F.col("t")).alias("c")).collect()]
+    assert got == [[["قال زيد", "عمرو", "خالد"]], [], [], [], [], [["علي", "حسن", "علي"], ["زيد", "عمرو"]]]
+
+
+def test_verse_index(spark):
+    rows = [(1, "[سورة هود (١١): الآيات ١ إلى ٢]"), (2, "الر كتاب (١) ألا تعبدوا (٢)"), (3, "[التفسير]"), (4, "قال (٣) كذا"), (5, "[سورة هود (١١): آية ٢]"), (6, "الا تعبدوا الا (٢)"), (7, None)]
+    got = {r.ayah: r.text for r in segmentation.verse_index(spark.createDataFrame([("b", *r) for r in rows], "book string, i int, text string"), ["book"], ["i"]).collect()}
+    assert got == {1: "الر كتاب", 2: "الا تعبدوا الا"}

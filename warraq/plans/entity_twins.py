@@ -172,3 +172,35 @@ UNION ALL SELECT qid, 'hidden', NULL, NULL, 1, count(*) FROM ev WHERE hide GROUP
 UNION ALL (SELECT qid, 'person', CAST(person AS VARCHAR), CAST(score AS INTEGER), CAST(row_number() OVER (PARTITION BY qid ORDER BY score DESC, n_sources DESC, person) AS INTEGER) AS rank, greatest(count(*) OVER (PARTITION BY qid) - 15, 0) FROM ps QUALIFY rank <= 15)
 UNION ALL (SELECT qid, 'unlinked', CAST(entry_id AS VARCHAR), NULL, CAST(row_number() OVER (PARTITION BY qid ORDER BY source, entry_num NULLS FIRST, entry_id) AS INTEGER) AS rank, greatest(count(*) OVER (PARTITION BY qid) - 20, 0) FROM un QUALIFY rank <= 20)
 """
+
+_KIN = "('امه', 'امها', 'امهما', 'زوجه', 'زوجها', 'اخته', 'اختهما', 'اخوه', 'ابوه', 'ابنته', 'بنته', 'امهاتهم', 'امهاتهن')"
+_BARE_T = lambda t: f"CASE WHEN starts_with({t}, 'ال') AND length({t}) > 3 THEN substr({t}, 3) ELSE {t} END"
+_AL = lambda t: f"(starts_with({t}, 'ال') AND length({t}) > 3)"
+ORACLE["name_structures"] = rf"""
+WITH a AS (SELECT DISTINCT entry_id, name_ar, kunya FROM person_entries),
+b AS (SELECT entry_id, name_ar || CASE entry_id % 4 WHEN 1 THEN '، ' || coalesce(kunya, '') WHEN 2 THEN ' - أمه ' || name_ar WHEN 3 THEN '؛ ابن ' || name_ar ELSE '' END AS name FROM a),
+c AS (SELECT entry_id, list_filter(regexp_split_to_array(name, '[،؛]|\s[-–—]+\s'), lambda x: trim(x) <> '') AS cl FROM b), d AS (SELECT entry_id, unnest(range(len(cl))) AS ci, unnest(cl) AS clause FROM c),
+e AS (SELECT entry_id, ci, regexp_replace(regexp_replace(' ' || {_sql('N8', 'clause')} || ' ', ' ({_TITLES}) ', ' ', 'g'), '^ | $', '', 'g') AS own FROM d),
+f AS (SELECT *, list_filter(string_split(own, ' '), lambda x: x <> '' AND x NOT IN {_STOPS}) AS t FROM e),
+g AS (SELECT *, ci > 0 AND t[1] IN ('بن', 'ابن', 'ب') AND len(t) > 1 AS goes_on FROM f WHERE len(t) > 0 AND NOT (ci > 0 AND (t[1] IN {_KIN} OR (t[1] = 'ابن' AND len(t) = 1)))),
+h AS (SELECT entry_id, ci, own, ci = 0 OR goes_on AS mine, list_filter(list_transform(string_split(array_to_string(list_transform(CASE WHEN goes_on THEN t[2:] ELSE t END, lambda x: CASE WHEN x IN {_LINKS} THEN '|' ELSE x END), ' '), '|'), lambda x: trim(x)), lambda x: x <> '') AS parts FROM g),
+i AS (SELECT entry_id, ci, mine, len(parts) AS n, unnest(range(len(parts))) AS i, string_split(unnest(parts), ' ') AS t FROM h),
+j AS (SELECT *, coalesce(list_position(list_transform(t, lambda x: x IN {_KUNYAS}), true), 0) AS k FROM i),
+l AS (SELECT *, CASE WHEN k > 0 THEN t[1:k - 1] ELSE t END AS np, k = 0 AND i = n - 1 AS last, CASE WHEN k > 0 THEN t[k + 1:] ELSE [] END AS after FROM j),
+m AS (SELECT *, coalesce(starts_with(np[1], 'عبد'), false) AS whole, list_transform(range(1, len(np) + 1), lambda x: {_AL('np[x]')} AND (ends_with({_BARE_T('np[x]')}, 'ي') OR (last AND x > 1))) AS out_, list_transform(after, lambda x: {_AL('x')}) AS stops FROM l),
+o AS (SELECT *, nullif(array_to_string(CASE WHEN whole THEN np ELSE list_transform(list_filter(range(1, len(np) + 1), lambda x: NOT out_[x]), lambda x: {_BARE_T('np[x]')}) END, ' '), '') AS link,
+  list_concat(CASE WHEN whole THEN [] ELSE list_transform(list_filter(range(1, len(np) + 1), lambda x: out_[x]), lambda x: np[x]) END, list_filter(after, lambda x: {_AL('x')})) AS apart,
+  CASE WHEN k > 0 THEN concat_ws(' ', CASE WHEN t[k] = 'ام' THEN 'ام' ELSE 'ابو' END, nullif(array_to_string(after[1:least(coalesce(nullif(list_position(stops, true), 0) - 1, len(after)), CASE WHEN t[k] = 'ام' THEN 2 ELSE 3 END)], ' '), '')) END AS phrase, k = 1 AND i = 0 AS leads FROM m),
+q AS (SELECT entry_id, string_agg(link, '|' ORDER BY ci, i) FILTER (WHERE mine AND link IS NOT NULL) AS chain, string_agg(DISTINCT phrase, '|' ORDER BY phrase) FILTER (WHERE NOT leads) AS kunyas, arg_min(phrase, ci * 1000 + i) FILTER (WHERE mine AND k = 1 AND i = 1) AS father_kunya,
+  arg_max(phrase, ci * 1000 + i) FILTER (WHERE mine AND leads) AS head, bool_or(mine AND leads) AS titled, array_to_string(list_sort(list_distinct(flatten(list(apart)))), '|') AS nisbas FROM o GROUP BY entry_id),
+z AS (SELECT entry_id, string_agg(own, ' ' ORDER BY ci) AS norm FROM h GROUP BY entry_id)
+SELECT b.entry_id, coalesce(chain, '') AS chain, coalesce(kunyas, '') AS kunyas, father_kunya, coalesce(nisbas, '') AS nisbas, coalesce(titled, false) AS titled, head, coalesce(norm, '') AS norm FROM b LEFT JOIN q USING (entry_id) LEFT JOIN z USING (entry_id)
+"""
+ORACLE["body_chains"] = rf"""
+WITH p AS (SELECT DISTINCT para_id, text FROM pages WHERE text IS NOT NULL), a AS (SELECT para_id, array_to_string(list_transform(list_filter(string_split({_sql('N8', 'text')}, ' '), lambda x: x <> '' AND x NOT IN {_STOPS}), lambda x: CASE WHEN x IN ('بن', 'ابن', 'بنت', 'ابنه', 'مولي') THEN '|' ELSE x END), ' ') AS m FROM p),
+b AS (SELECT para_id, regexp_split_to_array(m, '\|(?: \|)+') AS runs FROM a), r AS (SELECT para_id, unnest(range(len(runs))) AS i, unnest(runs) AS run FROM b),
+c AS (SELECT para_id, i, list_filter(list_transform(string_split(run, '|'), lambda x: trim(x)), lambda x: x <> '') AS parts FROM r),
+d AS (SELECT para_id, i, list_filter(list_transform(parts, lambda s: CASE WHEN starts_with(s, 'عبد') THEN s ELSE array_to_string(list_transform(list_filter(string_split(s, ' '), lambda t: NOT ({_AL('t')} AND ends_with({_BARE_T('t')}, 'ي'))), lambda t: {_BARE_T('t')}), ' ') END), lambda s: s <> '')[1:6] AS flat FROM c WHERE len(parts) >= 2),
+e AS (SELECT para_id, i, flat, count(*) OVER (PARTITION BY para_id) AS n FROM d WHERE len(flat) >= 2)
+SELECT para_id, CAST(n AS INTEGER) AS n_chains, CAST(len(flat) AS INTEGER) AS n_names, md5(array_to_string(flat, '|')) AS digest FROM e QUALIFY row_number() OVER (PARTITION BY para_id ORDER BY len(flat) DESC, i) = 1
+"""

@@ -521,6 +521,28 @@ SELECT entry_id AS rid, cid FROM e JOIN r USING (key) WHERE e.ishabah_id IS NULL
 """
 
 
+def _names(spark: SparkSession, d: str) -> DataFrame:
+    """Names of all entries, each put after its person's as a clause of its own: with a comma, as kin, or carried on."""
+    e = table(spark, d, "person_entries").select("entry_id", "name_ar", "kunya", F.col("entry_id").alias("k")).distinct()
+    more = F.when(F.col("k") % 4 == 1, F.concat(F.lit("، "), F.coalesce("kunya", F.lit("")))).when(F.col("k") % 4 == 2, F.concat(F.lit(" - أمه "), "name_ar")).when(F.col("k") % 4 == 3, F.concat(F.lit("؛ ابن "), "name_ar")).otherwise("")
+    return e.select("entry_id", F.concat("name_ar", more).alias("name"))
+
+
+@query
+def name_structures(spark: SparkSession, d: str) -> DataFrame:
+    """Chain, kunyas, nisbas and title of every entry's name, with a second clause: an apposition, kin, or the chain carried on."""
+    got = entities.name_structures(_names(spark, d), "entry_id")
+    text = lambda c: F.array_join(c, "|").alias(c)
+    return got.select("entry_id", text("chain"), text("kunyas"), "father_kunya", text("nisbas"), "titled", "head", "norm")
+
+
+@query
+def body_chains(spark: SparkSession, d: str) -> DataFrame:
+    """The longest chain of forefathers in every paragraph, and how many there are."""
+    p = _slim(spark, d, "para_id", "text").where("text is not null").select("para_id", entities.body_chains(F.col("text")).alias("c"))
+    return p.where("size(c) > 0").select("para_id", F.size("c").alias("n_chains"), F.size(F.get("c", F.lit(0))).alias("n_names"), F.md5(F.array_join(F.get("c", F.lit(0)), "|")).alias("digest"))
+
+
 @query
 def article_heads(spark: SparkSession, d: str) -> DataFrame:
     """E5: of every dictionary entry's article, its first paragraphs up to the next heading and the first of its body."""
