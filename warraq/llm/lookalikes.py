@@ -44,6 +44,7 @@ ODD = f"[{_CLASS}{_LIKE}]"
 #: Texts of these alone, the most, are as they should be too; few ranges, the commonest first, and none of them in ODD.
 USUAL = "[ء-ي -~\n\r\u064b-\u0652٠-٩،؛؟«»‘’“”–—…ĀāĪīŪūḌḍḤḥṢṣṬṭʿʾ\ufdfa]"
 _TOKEN = re.compile(r"[^\W_]+(?:[\u0610-\u061A\u064B-\u065F\u0670ـʿʾ'’]+[^\W_]+)*[\u064B-\u065F\u0670]*")
+_PLAIN = re.compile(f"{USUAL}*")
 _MARKS = re.compile(r"[\u0610-\u061A\u064B-\u065F\u0670ـ]")
 
 
@@ -69,6 +70,8 @@ def script(c: str) -> str:
 
 def plain(text: str) -> str:
     """The first two kinds repaired: identity and invisibility."""
+    if _PLAIN.fullmatch(text):
+        return text
     out = []
     n = len(text)
     for i, c in enumerate(text):

@@ -37,6 +37,8 @@ OWNER = {"ذو", "ذي", "ذا", "ذات"}
 SERVANT = "عبد"
 
 _DROP = re.compile("[ؐ-ًؚ-ٰٟـﷰ-﷿]")
+_OTHER = re.compile(r"[^\w\s.،,]")
+_LONGEST_FIRST = sorted(HONORIFICS, key=len, reverse=True)
 _SAME = str.maketrans({**ARABIC_LIKE, "أ": "ا", "إ": "ا", "آ": "ا", "ٱ": "ا", "ى": "ي", "ة": "ه", "ؤ": "و", "ئ": "ي", "گ": "ك"})
 PARTS = StructType([StructField("chain", ArrayType(StringType())) if c == "chain" else StructField(c, StringType()) for c in ("own", "chain", "nisba", "kunya", "laqab", "sex")])
 
@@ -44,11 +46,12 @@ PARTS = StructType([StructField("chain", ArrayType(StringType())) if c == "chain
 def simple(text: str) -> str:
     """The spelling in which names are compared: ordinary letters without marks, hamza, dots of teh marbuta and yeh set aside."""
     text = _DROP.sub("", plain(text)).translate(_SAME)
-    text = re.sub(r"[^\w\s.،,]", " ", text).replace(",", "،")
-    text = re.sub(r"\s+", " ", text).strip()
-    for h in sorted(HONORIFICS, key=len, reverse=True):
-        text = text.replace(h, " ")
-    return re.sub(r"\s+", " ", text).strip()
+    text = " ".join(_OTHER.sub(" ", text).replace(",", "،").split())
+    if "الله" in text or "السلام" in text:
+        for h in _LONGEST_FIRST:
+            text = text.replace(h, " ")
+        text = " ".join(text.split())
+    return text
 
 
 def close(x: str, y: str) -> bool:
@@ -149,12 +152,12 @@ def kunya_of(text: pd.Series) -> pd.Series:
         p = parse(t) if isinstance(t, str) else (None,) * 6
         return p[3] or p[0]
 
-    return pd.Series([one(t) for t in text], dtype=object)
+    return text.map({t: one(t) for t in text.unique()}).astype(object)
 
 
 @F.pandas_udf(StringType())
 def place(text: pd.Series) -> pd.Series:
-    return pd.Series([simple(t) or None if isinstance(t, str) else None for t in text], dtype=object)
+    return text.map({t: simple(t) or None if isinstance(t, str) else None for t in text.unique()}).astype(object)
 
 
 def near(x: Column, y: Column) -> Column:
@@ -211,30 +214,37 @@ def meetings(people: DataFrame, across: bool = False) -> DataFrame:
 
     across: only pairs of one record of side 0 and one of side 1.
     """
-    both = people.withColumn("kunyas", F.array_compact(F.array("kunya", "kunya2"))).withColumn("kunya", F.explode_outer("kunyas"))
-    keys = [both.where(f"{u} is not null and {v} is not null").select("rid", "side", F.lit(i).alias("view"), F.col(u).alias("u"), F.col(v).alias("v")) for i, (u, v) in enumerate(VIEWS)]
-    keyed = keys[0]
-    for k in keys[1:]:
-        keyed = keyed.unionByName(k)
-    # Names of which only the nisba is common: by it, town and the time of death.
-    late = both.where("nisba is not null and town is not null and death is not null")
+    # All views of a record in one pass; a second kunya adds keys of its own to the views of kunyas.
     when = F.floor(F.col("death") / YEARS)
     seen = lambda k: F.concat_ws("|", "town", (when + k).cast("string"))
-    keyed = keyed.unionByName(late.select("rid", "side", F.lit(len(VIEWS)).alias("view"), F.col("nisba").alias("u"), seen(0).alias("v")))
-    keyed = cut(keyed.where("not u like '%.' and not v like '%.'").distinct(), "keys")
+    key = lambda i, u, v: F.struct(F.lit(i).alias("view"), u.cast("string").alias("u"), v.alias("v"))
+    views = [key(i, F.col(x), F.col(y)) for i, uv in enumerate(VIEWS) for x, y in {uv, tuple("kunya2" if c == "kunya" else c for c in uv)}]
+    # Names of which only the nisba is common: by it, town and the time of death.
+    timed = F.col("nisba").isNotNull() & F.col("town").isNotNull() & F.col("death").isNotNull()
+    views.append(key(len(VIEWS), F.when(timed, F.col("nisba")), seen(0)))
+    keyed = people.select("rid", "side", F.explode(F.filter(F.array(*views), lambda x: x.u.isNotNull() & x.v.isNotNull() & ~x.u.endswith(".") & ~x.v.endswith("."))).alias("k")).select("rid", "side", "k.*")
+    keyed = cut(keyed, "keys")
     by_time = F.col("view") == len(VIEWS)
     words = keyed.select(F.explode(F.when(by_time, F.array("u")).otherwise(F.array("u", "v"))).alias("word"))
-    alike = cut(near_parts(words), "near")
-    as_u, as_v = alike.toDF("u", "w"), alike.where("x <> y").toDF("v", "w")
-    wide = keyed.join(as_u, "u").select("rid", "side", "view", F.col("w").alias("u"), "v").unionByName(keyed.join(as_v, "v").select("rid", "side", "view", "u", F.col("w").alias("v")))
-    beside = late.select("rid", "side", "nisba", F.explode(F.array(seen(-1), seen(1))).alias("v")).join(alike.toDF("nisba", "u"), "nisba")
-    wide = wide.unionByName(beside.select("rid", "side", F.lit(len(VIEWS)).alias("view"), "u", "v"))
+    often = cut(words.groupBy("word").agg(F.count("*").alias("n")), "words")
+    near_ = near_parts(often).where("x <> y").join(often.toDF("x", "nx"), "x").join(often.toDF("y", "ny"), "y")
+    # Being near is mutual, so of two records one is held as it is and the other under its neighbour's part: the one with the rarer part, which is the mistyped one as a rule.
+    up = cut(near_.where("struct(nx, x) < struct(ny, y)").select("x", "y"), "near")
+    same = keyed.select("rid", "side", "view", "u", "v")
+    at_u = keyed.join(up.toDF("u", "w"), "u").select("rid", "side", "view", F.col("w").alias("u"), "v")
+    at_v = keyed.where(~by_time).join(up.toDF("v", "w"), "v").select("rid", "side", "view", "u", F.col("w").alias("v"))
+    late = people.where(timed).select("rid", "side", F.lit(len(VIEWS)).alias("view"), F.col("nisba").alias("u"), F.explode(F.array(seen(-1), seen(1))).alias("v"))
+    beside = late.unionByName(late.join(up.toDF("u", "w"), "u").select("rid", "side", "view", F.col("w").alias("u"), "v"))
     # The three key columns as one number: two keys under one number would only be a pair more to grade.
-    key = F.xxhash64("view", "u", "v").alias("key")
-    a = (wide.where("side = 1") if across else wide).select(F.col("rid").alias("a"), F.col("side").alias("side_a"), key)
-    b = (keyed.where("side = 0") if across else keyed).select(F.col("rid").alias("b"), F.col("side").alias("side_b"), key)
-    met = a.join(b, "key").where("a <> b")
+    held = lambda df, own: df.select(F.col("rid").alias("a"), F.col("side").alias("side_a"), F.xxhash64("view", "u", "v").alias("key"), F.lit(own).alias("own"))
+    moved = held(at_u, False).unionByName(held(at_v, False)).unionByName(held(beside, False))
+    asked = held(same, True).drop("own").withColumnsRenamed({"a": "b", "side_a": "side_b"})
     first = (F.col("side_a") < F.col("side_b")) | ((F.col("side_a") == F.col("side_b")) & (F.col("a") < F.col("b")))
+    if across:
+        side = lambda df, k: df.where(F.col(df.columns[1]) == k)
+        met = side(held(same, True).unionByName(moved), 1).join(side(asked, 0), "key").unionByName(side(moved, 0).join(side(asked, 1), "key"))
+    else:
+        met = held(same, True).unionByName(moved).join(asked, "key").where(F.when(F.col("own"), first).otherwise(F.col("a") != F.col("b")))
     return met.select(F.when(first, F.col("a")).otherwise(F.col("b")).alias("a"), F.when(first, F.col("b")).otherwise(F.col("a")).alias("b")).distinct()
 
 
