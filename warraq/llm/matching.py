@@ -21,11 +21,12 @@ ROUNDS = 200
 CLOSE = 1e-3
 
 
-def propagate(pairs: DataFrame, second: float = SECOND, rounds: int = ROUNDS, damping: float = 0.5) -> DataFrame:
+def propagate(pairs: DataFrame, second: float = SECOND, rounds: int = ROUNDS, damping: float = 0.85) -> DataFrame:
     """pairs with marginal, the probability that the entry describes the person.
 
     pairs: entry, person bigint, source string (the entry's dictionary), score (log-odds of the pair by itself); no pair twice. A
-    null source is a dictionary of its own. An empty table gives no row.
+    null source is a dictionary of its own. An empty table gives no row. damping: the share of a new message in the next; it falls, to
+    a half at least, when messages move more than in the round before.
     """
     base = pairs.select("entry", "person", F.coalesce("source", F.lit("")).alias("source"), F.exp(F.least(F.greatest(F.col("score"), F.lit(-30.0)), F.lit(30.0))).alias("w"))
     # An entry that is nowhere in another's way hears nothing from its persons' factors: its marginals stand at once.
@@ -46,9 +47,11 @@ def propagate(pairs: DataFrame, second: float = SECOND, rounds: int = ROUNDS, da
         new = (1 + second * other) / (1 + other)
         step = sent.join(by_person, ["person", "source"]).withColumn("new", damping * new + (1 - damping) * F.col("nu"))
         state = cut(step.select("entry", "person", "source", "w", F.abs(F.col("new") - F.col("nu")).alias("moved"), F.col("new").alias("nu")), "messages")
-        moved = state.agg(F.max("moved")).first()[0] or 0.0
+        before, moved = moved, state.agg(F.max("moved")).first()[0] or 0.0
         if moved < CLOSE:
             break
+        if 0 < before < moved:
+            damping = max(damping / 1.3, 0.5)
     else:
         warnings.warn(f"belief propagation: messages still move by {moved:.2g} after {rounds} rounds", stacklevel=2)
     state = state.select("entry", "person", "source", "w", "nu").unionByName(base.where("not contested").select("entry", "person", "source", "w", F.lit(1.0).alias("nu")))
