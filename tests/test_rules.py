@@ -122,3 +122,9 @@ def test_verse_index(spark):
     rows = [(1, "[سورة هود (١١): الآيات ١ إلى ٢]"), (2, "الر كتاب (١) ألا تعبدوا (٢)"), (3, "[التفسير]"), (4, "قال (٣) كذا"), (5, "[سورة هود (١١): آية ٢]"), (6, "الا تعبدوا الا (٢)"), (7, None)]
     got = {r.ayah: r.text for r in segmentation.verse_index(spark.createDataFrame([("b", *r) for r in rows], "book string, i int, text string"), ["book"], ["i"]).collect()}
     assert got == {1: "الر كتاب", 2: "الا تعبدوا الا"}
+
+
+def test_title_aliases(spark):
+    rows = [(1, "أبو بكر", "أبو بكر"), (2, "عبد الله بن عثمان بن عامر", "عبد الله بن عثمان وهو أبو بكر"), (3, "أبو ذر", "أبو ذر واسمه جندب بن جنادة بن سفيان"), (4, "جندب بن جنادة بن سفيان", "جندب"), (5, "أم كذا", None), (6, "أبو زيد", "x"), (7, "عمرو", "أبو زيد"), (8, "خالد", "أبو زيد")]
+    got = entities.title_aliases(spark.createDataFrame(rows, "cid int, title string, head_text string"))
+    assert {(r.cid, r.main) for r in got.collect()} == {(1, 2), (3, 4)}

@@ -197,6 +197,35 @@ def segment_checks(segments: DataFrame, keys: list[str], order: list[str], lo: s
     return x.groupBy(*keys).agg(F.count("*").alias("n"), F.sum("_back").alias("n_back"), F.count_if(F.col(lo).isNull()).alias("n_unnumbered"), F.max(F.col(hi) - F.col(lo) + 1).alias("widest"), F.round(F.avg((F.col(lo) == F.col(hi)).cast("int")), 4).alias("single_share"))
 
 
+# How many times the average pages of a verse a segment may have, and from where on more is an error.
+DENSITY, MARGINAL = 8, 1.5
+
+
+def findings(segments: DataFrame, texts: DataFrame, verses: DataFrame, chapters: DataFrame, probes: DataFrame) -> DataFrame:
+    """What is wrong with the labelled segments of each book and chapter: source, surah, finding, at (a segment or verse), level (error, warning).
+
+    segments: seg_id, source, surah, lo, hi, from_page, from_para, to_page; texts: seg_id, text of its paragraphs; verses: source, surah, ayah that labels cover; chapters: surah, n_ayat;
+    probes: surah, ayah, phrase. density: a segment has more pages than DENSITY times its verses' average; an error from MARGINAL times that on. uncovered: a verse after the first label that no label
+    covers, or, a warning, before it. unlabelled, not found: a probe's verse has no segment, or none with its phrase (verse profile), in a book that treats the chapter.
+    """
+    group = W.partitionBy("source", "surah")
+    s = segments.where("lo is not null and from_page <= to_page").join(chapters, "surah").withColumn("pages", F.max("to_page").over(group) - F.min("from_page").over(group) + 1)
+    span, limit = F.col("to_page") - F.col("from_page") + 1, F.col("pages") / F.col("n_ayat") * (F.col("hi") - F.col("lo") + 1) * DENSITY
+    level = lambda bad: F.when(bad, "error").otherwise("warning").alias("level")
+    dense = s.where(span > limit).select("source", "surah", F.lit("density").alias("finding"), F.col("seg_id").cast("string").alias("at"), level(span > MARGINAL * limit))
+    first = segments.where("lo is not null").groupBy("source", "surah").agg(F.min_by("lo", F.struct("from_page", "from_para", "seg_id")).alias("first"))
+    every = first.join(chapters, "surah").select("source", "surah", "first", F.explode(F.expr("sequence(1, n_ayat)")).alias("ayah"))
+    gaps = every.join(verses.select("source", "surah", "ayah").distinct(), ["source", "surah", "ayah"], "left_anti").where("ayah <> first")
+    gaps = gaps.select("source", "surah", F.lit("uncovered").alias("finding"), F.col("ayah").cast("string").alias("at"), level(F.col("ayah") > F.col("first")))
+    asked = first.join(probes, "surah").select("source", "surah", "ayah", N.verse_key(F.col("phrase")).alias("phrase"))
+    labelled = asked.join(segments.where("lo is not null").select("source", "surah", "lo", "hi", "seg_id"), ["source", "surah"]).where("ayah between lo and hi")
+    found = labelled.join(texts.select("seg_id", N.verse_key(F.col("text")).alias("t")), "seg_id").where(F.col("t").contains(F.col("phrase"))).select("source", "surah", "ayah", "phrase").distinct()
+    key = ["source", "surah", "ayah", "phrase"]
+    have = labelled.select(*key).distinct()
+    probe = lambda df, what: df.select("source", "surah", F.lit(what).alias("finding"), F.col("ayah").cast("string").alias("at"), F.lit("error").alias("level"))
+    return dense.unionByName(gaps).unionByName(probe(asked.join(have, key, "left_anti"), "unlabelled")).unionByName(probe(have.join(found, key, "left_anti"), "not found"))
+
+
 def merge_reviewed(reviewed: DataFrame, asked: DataFrame) -> DataFrame:
     """Reviewed links (source, number, cid, confidence) checked against what was asked (source, number, candidates): ok, rejected (not among the candidates), null, unknown question.
 

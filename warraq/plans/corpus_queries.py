@@ -715,10 +715,11 @@ SELECT source, CASE WHEN total > 0 THEN least((before * n) // total, n - 1) ELSE
 @query
 def split_export(spark: SparkSession, d: str) -> DataFrame:
     """Export files of each source, cut at chapter beginnings where they come in time."""
-    pages = _slim(spark, d, "para_id", "source", "web_page", "text").groupBy("source", "web_page").agg(F.sum(F.coalesce(F.size(F.split(F.trim("text"), " +")), F.lit(0))).alias("n_words"))
+    pages = _slim(spark, d, "para_id", "source", "web_page", "text").groupBy("source", "web_page").agg(F.sum(F.coalesce(F.size(F.split(F.trim("text"), " +")), F.lit(0))).alias("n_words"), F.sum(F.coalesce(F.octet_length("text"), F.lit(0))).alias("n_bytes"))
     starts = table(spark, d, "event_segments").select("source", F.col("from_page").alias("web_page")).union(table(spark, d, "segments").select("source", "from_page")).distinct().withColumn("is_start", F.lit(True))
     rows = pages.join(starts, ["source", "web_page"], "left").withColumn("is_start", F.coalesce("is_start", F.lit(False)))
-    return sinks.split_export(rows, "source", ["web_page"], 8000).groupBy("source", "file_no").agg(F.sum("n_words").alias("n_words"), F.min("web_page").alias("first_page"))
+    files = sinks.split_export(rows, "source", ["web_page"], 8000, most_bytes=70_000)
+    return files.groupBy("source", "file_no", "header").agg(F.sum("n_words").alias("n_words"), F.sum("n_bytes").alias("n_bytes"), F.min("web_page").alias("first_page"))
 
 
 # ---- search and resolution

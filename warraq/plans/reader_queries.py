@@ -481,6 +481,71 @@ SELECT k.axis, k.source, CASE WHEN count(h.para_id) > 0 THEN count(h.para_id) EN
 """
 
 
+PROBES = [(78, 1, "قال"), (16, 3, "كان في"), (37, 2, "لا يوجد هذا"), (29, 69, "قال"), (51, 1, "سنة")]
+
+
+@query
+def segment_findings(spark: SparkSession, d: str) -> DataFrame:
+    """X22, SNK10: segments too long for their verses, verses that labels leave out, and probes whose phrase isn't where it should be."""
+    lo, hi = labels.bounds(F.col("label"))
+    s = cut(_segments(spark, d).where("surah is not null").select("seg_id", "source", "surah", lo.alias("lo"), hi.alias("hi"), "from_page", "from_para", "to_page", "to_para", "label"), "segments")
+    texts = slicing.slice_intervals(s, _slim(spark, d, "source", "web_page", "para_idx", "text")).select("seg_id", "text")
+    return segmentation.findings(s, texts, labels.verse_map(s), labels.chapters(spark), _values(spark, PROBES, "surah int, ayah int, phrase string"))
+
+
+ORACLE["segment_findings"] = rf"""
+WITH {_CHAPTERS}, {_SPANS.replace('b AS (', 'bb AS (').replace('FROM b ', 'FROM bb ')}, sl AS (WITH {_VERSE_SLICE} SELECT seg_id, {_sql('N4', 'text')} AS t FROM r),
+g AS (SELECT seg_id, source, surah, from_page, from_para, to_page, CAST(regexp_extract(label, '^~?(\d+)', 1) AS INTEGER) AS lo, CAST(coalesce(nullif(regexp_extract(label, '-(\d+)$', 1), ''), regexp_extract(label, '^~?(\d+)', 1)) AS INTEGER) AS hi FROM {_SEG} WHERE regexp_matches(label, '^~?\d+(-\d+)?$') AND surah IS NOT NULL),
+x AS (SELECT g.*, n_ayat, max(to_page) OVER (PARTITION BY source, g.surah) - min(from_page) OVER (PARTITION BY source, g.surah) + 1 AS pages FROM g JOIN c ON c.surah = g.surah WHERE from_page <= to_page),
+f AS (SELECT source, surah, lo AS first FROM g QUALIFY row_number() OVER (PARTITION BY source, surah ORDER BY from_page NULLS FIRST, from_para NULLS FIRST, seg_id) = 1),
+e AS (SELECT source, f.surah, first, unnest(range(1, n_ayat + 1)) AS ayah FROM f JOIN c ON c.surah = f.surah),
+a AS (SELECT source, f.surah, p.ayah, {_sql('N4', 'phrase')} AS phrase FROM f JOIN (VALUES {', '.join(f"({x}, {y}, '{z}')" for x, y, z in PROBES)}) AS p(surah, ayah, phrase) ON p.surah = f.surah),
+h AS (SELECT a.*, bool_or(g.seg_id IS NOT NULL) AS labelled, bool_or(sl.seg_id IS NOT NULL) AS found FROM a LEFT JOIN g ON g.source = a.source AND g.surah = a.surah AND a.ayah BETWEEN lo AND hi LEFT JOIN sl ON sl.seg_id = g.seg_id AND contains(t, phrase) GROUP BY ALL)
+SELECT source, surah, 'density' AS finding, CAST(seg_id AS VARCHAR) AS at, CASE WHEN to_page - from_page + 1 > 1.5 * 8 * pages / n_ayat * (hi - lo + 1) THEN 'error' ELSE 'warning' END AS level FROM x WHERE to_page - from_page + 1 > 8.0 * pages / n_ayat * (hi - lo + 1)
+UNION ALL SELECT source, surah, 'uncovered', CAST(ayah AS VARCHAR), CASE WHEN ayah > first THEN 'error' ELSE 'warning' END FROM e WHERE ayah <> first AND NOT EXISTS (SELECT 1 FROM v WHERE v.source = e.source AND v.surah = e.surah AND v.ayah = e.ayah)
+UNION ALL SELECT source, surah, CASE WHEN labelled THEN 'not found' ELSE 'unlabelled' END, CAST(ayah AS VARCHAR), 'error' FROM h WHERE NOT found
+"""
+
+
+@query
+def article_pages(spark: SparkSession, d: str) -> DataFrame:
+    """SRC4: pages of the second dialect, made of every page's paragraphs with marked ones between them, read back with their titles."""
+    esc = lambda c: F.replace(F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+    p = _slim(spark, d, "para_id", "source", "book_id", "web_page", "para_idx", "text").where("text is not null")
+    per = p.groupBy("source", "book_id", "web_page").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("para_idx", "para_id", esc(F.col("text")).alias("t")))), lambda r: F.concat(F.lit("<p>"), r.t, F.lit("</p><p>Copyright x</p>"))), "").alias("body"))
+    # Every third page has no article element: the whole page is taken.
+    whole = F.col("web_page") % 3 == 0
+    html = F.concat(F.lit("<title> "), "source", F.lit("  p. "), F.col("web_page").cast("string"), F.lit("</title>"), F.when(whole, "").otherwise("<p>menu</p><article>"), "body", F.when(whole, "").otherwise("</article>"), F.lit("<p>ALDORAR</p>"))
+    files = per.select("source", "book_id", "web_page", F.lit(None).cast("string").alias("url"), html.alias("html"))
+    got = src.paragraphs(src.html_pages(files, "article")).select("source", "web_page", "para_idx", F.md5("text").alias("digest"))
+    return got.join(src.page_titles(files), ["source", "web_page"])
+
+
+ORACLE["article_pages"] = rf"""
+WITH a AS (SELECT DISTINCT para_id, source, web_page, para_idx, text FROM pages WHERE text IS NOT NULL), b AS (SELECT *, trim(regexp_replace(text, '{N.SPACE}', ' ', 'g')) AS t FROM a)
+SELECT source, web_page, CAST(row_number() OVER (PARTITION BY source, web_page ORDER BY para_idx, para_id) - 1 AS INTEGER) AS para_idx, md5(t) AS digest, source || ' p. ' || web_page AS title FROM b WHERE t <> '' AND NOT contains(t, 'ALDORAR') AND NOT contains(lower(t), 'copyright')
+"""
+
+
+@query
+def record_json(spark: SparkSession, d: str) -> DataFrame:
+    """P17, SNK9: every entry as one record, with its citation as a structure and the other entries of its person as a list."""
+    e = table(spark, d, "person_entries").select("entry_id", "source", "from_page", "ishabah_id", "link_confidence").distinct()
+    cite = slicing.page_meta(_slim(spark, d, "para_id", "source", "web_page", "para_idx", "printed_juz", "printed_page", "url"))
+    others = e.where("ishabah_id is not null").select("ishabah_id", F.col("entry_id").alias("o"))
+    near = e.join(others, "ishabah_id").where("entry_id <> o").groupBy("entry_id").agg(F.array_sort(F.collect_set("o")).alias("xref"))
+    x = e.join(cite, (e["source"] == cite["source"]) & (e["from_page"] == cite["web_page"]), "left").drop(cite["source"]).join(near, "entry_id", "left")
+    return sinks.as_json(x.select("entry_id", "source", F.col("link_confidence").alias("grade_stored"), F.struct("printed_juz", "printed_page", "url").alias("citation"), F.coalesce("xref", F.array().cast("array<bigint>")).alias("xref")))
+
+
+ORACLE["record_json"] = """
+WITH e AS (SELECT DISTINCT entry_id, source, from_page, ishabah_id, link_confidence FROM person_entries),
+m AS (SELECT source, web_page, printed_juz, printed_page, url FROM (SELECT DISTINCT para_id, source, web_page, para_idx, printed_juz, printed_page, url FROM pages) QUALIFY row_number() OVER (PARTITION BY source, web_page ORDER BY para_idx, para_id) = 1),
+n AS (SELECT e.entry_id, list_sort(list(DISTINCT o.entry_id)) AS xref FROM e JOIN e o ON o.ishabah_id = e.ishabah_id AND o.entry_id <> e.entry_id GROUP BY e.entry_id)
+SELECT CAST(to_json({'entry_id': e.entry_id, 'source': e.source, 'grade_stored': link_confidence, 'citation': {'printed_juz': printed_juz, 'printed_page': printed_page, 'url': url}, 'xref': coalesce(xref, [])}) AS VARCHAR) AS json FROM e LEFT JOIN m ON m.source = e.source AND m.web_page = e.from_page LEFT JOIN n ON n.entry_id = e.entry_id
+"""
+
+
 @query
 def alignment_checks(spark: SparkSession, d: str) -> DataFrame:
     """Whether each book's labels on a chapter begin and end where its verses do."""
@@ -678,14 +743,14 @@ SELECT source, web_page, from_pos, to_pos, label, kind FROM s WHERE from_pos <=
 
 # ---- twins of what corpus_queries registers without one
 
-ORACLE["split_export"] = """
-WITH RECURSIVE n AS (SELECT source, web_page, CAST(sum(coalesce(len(regexp_split_to_array(trim(text), ' +')), 0)) AS BIGINT) AS w FROM (SELECT DISTINCT para_id, source, web_page, text FROM pages) GROUP BY source, web_page),
+_NEW_FILE = "(f.used > 0 AND (f.used >= 8000 OR f.size >= 70000 OR (f.used >= 6800 AND start)))"
+ORACLE["split_export"] = f"""
+WITH RECURSIVE n AS (SELECT source, web_page, CAST(sum(coalesce(len(regexp_split_to_array(trim(text), ' +')), 0)) AS BIGINT) AS w, CAST(sum(coalesce(strlen(text), 0)) AS BIGINT) AS b FROM (SELECT DISTINCT para_id, source, web_page, text FROM pages) GROUP BY source, web_page),
 b AS (SELECT source, from_page AS web_page FROM event_segments UNION SELECT source, from_page FROM segments),
 p AS (SELECT n.*, b.web_page IS NOT NULL AS start, row_number() OVER (PARTITION BY n.source ORDER BY n.web_page) AS k FROM n LEFT JOIN b ON b.source = n.source AND b.web_page = n.web_page),
-f AS (SELECT source, k, web_page, w, w AS used, 0 AS file_no FROM p WHERE k = 1
-  UNION ALL SELECT p.source, p.k, p.web_page, p.w, CASE WHEN f.used > 0 AND (f.used >= 8000 OR (f.used >= 6800 AND start)) THEN p.w ELSE f.used + p.w END, f.file_no + CASE WHEN f.used > 0 AND (f.used >= 8000 OR (f.used >= 6800 AND start)) THEN 1 ELSE 0 END
-  FROM f JOIN p ON p.source = f.source AND p.k = f.k + 1)
-SELECT source, CAST(file_no AS INTEGER) AS file_no, CAST(sum(w) AS BIGINT) AS n_words, min(web_page) AS first_page FROM f GROUP BY source, file_no
+f AS (SELECT source, k, web_page, w, b, w AS used, b AS size, 0 AS file_no FROM p WHERE k = 1
+  UNION ALL SELECT p.source, p.k, p.web_page, p.w, p.b, p.w + CASE WHEN {_NEW_FILE} THEN 0 ELSE f.used END, p.b + CASE WHEN {_NEW_FILE} THEN 0 ELSE f.size END, f.file_no + CASE WHEN {_NEW_FILE} THEN 1 ELSE 0 END FROM f JOIN p ON p.source = f.source AND p.k = f.k + 1)
+SELECT source, CAST(file_no AS INTEGER) AS file_no, CASE WHEN file_no > 0 THEN '# ' || source || ', continued, part ' || (file_no + 1) END AS header, CAST(sum(w) AS BIGINT) AS n_words, CAST(sum(b) AS BIGINT) AS n_bytes, min(web_page) AS first_page FROM f GROUP BY source, file_no
 """
 _PLAIN = "translate(text, 'أإآٱىة', 'اااايه')"
 ORACLE["fts_snippet"] = rf"""

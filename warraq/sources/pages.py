@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from warraq.functions import normalise as N
+
 PAGE = "source string, book_id string, web_page int, printed_juz int, printed_page int, url string, paras array<string>"
 
 
@@ -144,6 +146,12 @@ def html_pages(files: DataFrame, container: str = "nass") -> DataFrame:
     return files.select("source", "book_id", "web_page", "url", "html").mapInPandas(of, PAGE)
 
 
+def page_titles(files: DataFrame) -> DataFrame:
+    """SRC4: source, web_page and the title that each HTML file gives itself, blanks collapsed; null without one."""
+    title = N.collapse(F.regexp_replace(F.regexp_extract("html", r"(?is)<title[^>]*>(.*?)</title>", 1), "<[^>]*>", " "))
+    return files.select("source", "web_page", F.nullif(title, F.lit("")).alias("title"))
+
+
 class _Toc(HTMLParser):
     def __init__(self, book: str):
         super().__init__(convert_charrefs=True)
