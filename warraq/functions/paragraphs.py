@@ -34,27 +34,36 @@ def strip(c: Column) -> Column:
     return F.regexp_replace(c, f"^{N.SPACE}|{N.SPACE}$", "")
 
 
+def _bound(value: Column, of) -> Column:
+    """of(value), with the value made once a row: a filter has no common subexpressions, and would make it anew wherever it is named."""
+    return F.get(F.transform(F.array(value), of), F.lit(0))
+
+
 def is_blank(c: Column) -> Column:
     return strip(c) == ""
 
 
 def is_sub_heading(c: Column) -> Column:
     """At most 70 code points without vowel marks, in brackets or led by a keyword."""
-    s = strip(N.without_vowels(c))
-    bare = strip(F.regexp_replace(s, ORNAMENTS, ""))
-    bracketed = bare.rlike(r"(?s)^\(.*\)$") | bare.rlike(r"(?s)^\[.*\]$")
-    led = bare.rlike("^(" + "|".join(SUB_HEADINGS) + ")") | F.lower(bare).rlike("^(" + "|".join(LATIN_SUB_HEADINGS) + ")")
-    return (F.length(s) <= 70) & (bare != "") & (bracketed | led)
+
+    def of(bare: Column) -> Column:
+        bracketed = bare.rlike(r"(?s)^\(.*\)$") | bare.rlike(r"(?s)^\[.*\]$")
+        led = bare.rlike("^(" + "|".join(SUB_HEADINGS) + ")") | F.lower(bare).rlike("^(" + "|".join(LATIN_SUB_HEADINGS) + ")")
+        return (bare != "") & (bracketed | led)
+
+    return _bound(strip(N.without_vowels(c)), lambda s: (F.length(s) <= 70) & of(strip(F.regexp_replace(s, ORNAMENTS, ""))))
 
 
 def is_heading(c: Column) -> Column:
     """Short and in brackets or led by a heading word; up to 120 code points if it neither narrates nor breaks off."""
-    t = F.regexp_replace(N.name_column(c), "صلي الله عليه وسلم|ﷺ|--", " ")
-    t = N.collapse(t)
-    led = F.split(t, " ")[0].isin(*HEADING_WORDS) | t.startswith("ما نزل")
-    bracketed = t.rlike(r"^\(.*[):]$") | t.rlike(r"^\[.*\]$")
-    long = (F.length(t) <= 120) & ~t.rlike("|".join(NARRATION)) & ~t.rlike('[«»"،,]$')
-    return (t != "") & (led | bracketed) & ((F.length(t) <= 70) | long)
+
+    def of(t: Column) -> Column:
+        led = F.split(t, " ", 2)[0].isin(*HEADING_WORDS) | t.startswith("ما نزل")
+        bracketed = t.rlike(r"^\(.*[):]$") | t.rlike(r"^\[.*\]$")
+        long = ~t.rlike("|".join(NARRATION)) & ~t.rlike('[«»"،,]$')
+        return (t != "") & (F.length(t) <= 120) & (led | bracketed) & ((F.length(t) <= 70) | long)
+
+    return _bound(N.collapse(F.regexp_replace(N.name_column(c), "صلي الله عليه وسلم|ﷺ|--", " ")), of)
 
 
 def is_verse_line(c: Column) -> Column:
@@ -64,9 +73,13 @@ def is_verse_line(c: Column) -> Column:
 
 def is_genealogy(c: Column) -> Column:
     """C4: five tokens or more, a "son of" in the first four and two in the first eight."""
-    t = F.split(N.name_column(c), " ")
-    of = lambda n: F.size(F.filter(F.slice(t, 1, n), lambda x: x == "بن"))
-    return (F.size(t) >= 5) & (of(4) >= 1) & (of(8) >= 2)
+
+    def of(t: Column) -> Column:
+        n = lambda k: F.size(F.filter(F.slice(t, 1, k), lambda x: x == "بن"))
+        return (F.size(t) >= 5) & (n(4) >= 1) & (n(8) >= 2)
+
+    # What comes after the eighth word is one piece.
+    return _bound(F.split(N.name_column(c), " ", 9), of)
 
 
 def is_footnote(c: Column) -> Column:
@@ -81,10 +94,13 @@ def entry_number(c: Column) -> Column:
 
 def is_keyword_heading(c: Column) -> Column:
     """At most 60 code points, no verse, no footnote; ends with a colon or begins with a keyword."""
-    t = N.heading_text(c)
-    led = F.split(t, " ")[0].isin(*KEYWORD_HEADINGS)
-    head = F.when(led & t.contains(":"), F.split(t, ":")[0]).otherwise(t)
-    return (t != "") & (F.length(head) <= 60) & ~t.contains(" ... ") & ~t.rlike(r"^\(?[0-9]+\)") & (t.endswith(":") | led)
+
+    def of(t: Column) -> Column:
+        led = F.split(t, " ", 2)[0].isin(*KEYWORD_HEADINGS)
+        head = F.when(led & t.contains(":"), F.split(t, ":", 2)[0]).otherwise(t)
+        return (t != "") & (F.length(head) <= 60) & ~t.contains(" ... ") & ~t.rlike(r"^\(?[0-9]+\)") & (t.endswith(":") | led)
+
+    return _bound(N.heading_text(c), of)
 
 
 def same_prefix(paragraph: Column, title: Column, n: int = 15) -> Column:

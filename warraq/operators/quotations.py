@@ -26,9 +26,25 @@ CHAPTER = "سورت "
 BEFORE_HEADING, BEFORE_CLOSING = "*[]()﴾﴿.،:; ٠١٢٣٤٥٦٧٨٩", "*[]() "
 
 
+def _basmalah(key: Column) -> Column:
+    # Only what holds its first word is looked at closely.
+    return key.isin(*BASMALAH) | (key.contains("بسم") & (F.length(key) < 60) & (N.collapse(F.regexp_replace(key, r"[^\p{L}\s]+", " ")) == BASMALAH[1]))
+
+
+def _closing(key: Column) -> Column:
+    return F.ltrim(key, F.lit(BEFORE_CLOSING)).rlike(CLOSING)
+
+
+def _chapter_heading(key: Column, name_key: Column) -> Column:
+    t = F.ltrim(key, F.lit(BEFORE_HEADING))
+    own = F.concat(F.lit(CHAPTER), name_key)
+    near = F.substring(t, 1, 30).contains(CHAPTER.strip()) & t.contains(own) & (F.length(t) < 140)
+    return (name_key != "") & ~_basmalah(key) & ((t == own) | t.startswith(F.concat(F.lit("تفسير "), own)) | near)
+
+
 def is_basmalah(c: Column) -> Column:
     """Nothing but the basmalah, brackets and punctuation aside."""
-    return N.verse_key(c).isin(*BASMALAH) | (N.collapse(F.regexp_replace(N.verse_key(c), r"[^\p{L}\s]+", " ")) == BASMALAH[1])
+    return _basmalah(N.verse_key(c))
 
 
 def is_refuge(c: Column) -> Column:
@@ -38,15 +54,12 @@ def is_refuge(c: Column) -> Column:
 
 def is_closing(c: Column) -> Column:
     """Led by a closing phrase, brackets and asterisks aside."""
-    return F.ltrim(N.verse_key(c), F.lit(BEFORE_CLOSING)).rlike(CLOSING)
+    return _closing(N.verse_key(c))
 
 
 def is_chapter_heading(c: Column, name: Column) -> Column:
     """C12: "chapter NAME", the same led by "commentary on", or a short heading with "chapter" near its beginning that holds it; a null or empty name has none."""
-    t = F.ltrim(N.verse_key(c), F.lit(BEFORE_HEADING))
-    key = F.concat(F.lit(CHAPTER), N.verse_key(name))
-    near = F.substring(t, 1, 30).contains(CHAPTER.strip()) & t.contains(key) & (F.length(t) < 140)
-    return (N.verse_key(name) != "") & ~is_basmalah(c) & ((t == key) | t.startswith(F.concat(F.lit("تفسير "), key)) | near)
+    return _chapter_heading(N.verse_key(c), N.verse_key(name))
 
 
 def guarded_segments(rows: DataFrame, anchors: DataFrame, names: DataFrame, keys: list[str], pos: str = "pos", text: str = "text") -> DataFrame:
@@ -63,14 +76,15 @@ def guarded_segments(rows: DataFrame, anchors: DataFrame, names: DataFrame, keys
     same = F.lag("label").over(w).eqNullSafe(F.col("label")) & F.lag("kind").over(w).eqNullSafe(F.col("kind")) & F.lag("pos").over(w).isNotNull()
     kept = one.withColumn("_same", same).where("not _same").drop("_same").withColumn("_next", F.lead("pos").over(w))
     ends = one.groupBy(*keys).agg(F.min("pos").alias("_first"), F.max("pos").alias("_last"))
-    r = rows.select(*keys, F.col(pos).alias("_p"), F.col(text).alias("_t")).join(ends, keys).join(names.select(*keys, "own_name", "next_name"), keys, "left")
+    known = names.select(*keys, N.verse_key(F.col("own_name")).alias("_own"), N.verse_key(F.col("next_name")).alias("_nextname"))
+    r = rows.select(*keys, F.col(pos).alias("_p"), N.verse_key(F.col(text)).alias("_t")).join(ends, keys).join(known, keys, "left")
     p, first, last = F.col("_p"), F.col("_first"), F.col("_last")
     # A paragraph that heads its own chapter isn't taken for the next one's heading.
-    own, nxt = F.coalesce(is_chapter_heading(F.col("_t"), F.col("own_name")), F.lit(False)), F.coalesce(is_chapter_heading(F.col("_t"), F.col("next_name")), F.lit(False))
+    own, nxt = F.coalesce(_chapter_heading(F.col("_t"), F.col("_own")), F.lit(False)), F.coalesce(_chapter_heading(F.col("_t"), F.col("_nextname")), F.lit(False))
     cuts = r.groupBy(*keys).agg(
         F.max(p).alias("_end"), F.max(F.when(own & (p < first), p)).alias("_lead"),
-        F.min(F.when((nxt & ~own & (p > last)) | (is_basmalah(F.col("_t")) & (p > last + 1)), p)).alias("_trail"),
-        F.min(F.when(is_closing(F.col("_t")) & (p > last), p)).alias("_close"), F.collect_set(F.when(is_refuge(F.col("_t")) & (p < first), p)).alias("_refuges"), F.max("_first").alias("_first"),
+        F.min(F.when((nxt & ~own & (p > last)) | (_basmalah(F.col("_t")) & (p > last + 1)), p)).alias("_trail"),
+        F.min(F.when((p > last) & _closing(F.col("_t")), p)).alias("_close"), F.collect_set(F.when((p < first) & F.col("_t").startswith(REFUGE), p)).alias("_refuges"), F.max("_first").alias("_first"),
     )
     cuts = cuts.withColumn("_trail", F.coalesce("_trail", F.col("_end") + 1)).withColumn("_close", F.when(F.col("_close") < F.col("_trail"), F.col("_close"))).withColumn("_zone", F.coalesce(F.col("_lead") + 1, F.lit(0)))
     cuts = cuts.withColumn("_refuge", F.array_min(F.filter("_refuges", lambda x: x >= F.col("_zone"))))

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from warraq.functions import normalise as N
 from warraq.functions import paragraphs as P
 from warraq.operators import labels, resolution, search, segmentation, slicing
-from warraq.plans.materialize import table
+from warraq.plans.materialize import cut, table
 
 #: A range of paragraphs, or a verse. Fixed patterns.
 RANGE, VERSE = re.compile(r"\s*(\d+)\s*-\s*(\d+)\s*"), re.compile(r"\s*(\d+)\s*(?::\s*(\d+))?\s*")
@@ -179,7 +179,8 @@ class Corpus:
     def year_segments(self) -> DataFrame:
         """The paragraphs from one heading that names a year to the next, per source: seg_id, year_h, source, from_page, from_para, to_page, to_para."""
         p = self.paragraphs.where("text is not null")
-        named = p.where(P.is_heading(F.col("text"))).withColumn("year_h", segmentation.year_in_heading(F.col("text"))).where("year_h is not null")
+        named = p.where(P.is_heading(F.col("text"))).withColumn("year_h", segmentation.year_in_heading(F.col("text"))).where("year_h is not null").drop("text")
+        named = cut(named, "year-headings")
         at = F.struct("web_page", "para_idx")
         last = p.groupBy("source").agg(F.max(at).alias("_last"))
         w = W.partitionBy("source").orderBy("web_page", "para_idx", "para_id")

@@ -1330,7 +1330,7 @@ def anchor_segments(spark: SparkSession, d: str) -> DataFrame:
     """Headings of each page as anchors of segments over its paragraphs."""
     p = _slim(spark, d, "source", "web_page", "para_idx", "text").where("text is not null")
     bounds = p.groupBy("source", "web_page").agg(F.min("para_idx").alias("first"), F.max("para_idx").alias("last"))
-    anchors = p.where(P.is_heading(F.col("text"))).select("source", "web_page", F.col("para_idx").alias("pos"), F.md5("text").alias("label"))
+    anchors = cut(p.where(P.is_heading(F.col("text"))).select("source", "web_page", F.col("para_idx").alias("pos"), F.md5("text").alias("label")), "anchors")
     return segmentation.anchors_to_segments(anchors, bounds, ["source", "web_page"])
 
 

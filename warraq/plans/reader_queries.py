@@ -720,7 +720,7 @@ def guarded_pages(spark: SparkSession, d: str) -> DataFrame:
     p = _slim(spark, d, "para_id", "source", "web_page", "para_idx", "text").where("text is not null")
     pos = F.row_number().over(W.partitionBy("source", "web_page").orderBy("para_idx", "para_id")) - 1
     rows = cut(p.select("source", "web_page", pos.alias("pos"), "text"), "rows")
-    anchors = rows.where(P.is_heading(F.col("text"))).select("source", "web_page", "pos", F.split(N.name_column(F.col("text")), " ")[0].alias("label"), F.lit("heading").alias("kind"))
+    anchors = cut(rows.where(P.is_heading(F.col("text"))).select("source", "web_page", "pos", F.split(N.name_column(F.col("text")), " ")[0].alias("label"), F.lit("heading").alias("kind")), "anchors")
     names = rows.select("source", "web_page").distinct().select("source", "web_page", F.lit(None).cast("string").alias("own_name"), F.lit(None).cast("string").alias("next_name"))
     return quotations.guarded_segments(rows, anchors, names, ["source", "web_page"])
 
