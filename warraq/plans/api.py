@@ -179,8 +179,9 @@ class Corpus:
     def year_segments(self) -> DataFrame:
         """The paragraphs from one heading that names a year to the next, per source: seg_id, year_h, source, from_page, from_para, to_page, to_para."""
         p = self.paragraphs.where("text is not null")
-        named = p.where(P.is_heading(F.col("text"))).withColumn("year_h", segmentation.year_in_heading(F.col("text"))).where("year_h is not null").drop("text")
-        named = cut(named, "year-headings")
+        # Few rows are headings; the years are read from those alone.
+        heads = cut(p.where(P.is_heading(F.col("text"))).select("para_id", "source", "web_page", "para_idx", "text"), "headings")
+        named = cut(heads.withColumn("year_h", segmentation.year_in_heading(F.col("text"))).where("year_h is not null").drop("text"), "years")
         at = F.struct("web_page", "para_idx")
         last = p.groupBy("source").agg(F.max(at).alias("_last"))
         w = W.partitionBy("source").orderBy("web_page", "para_idx", "para_id")
