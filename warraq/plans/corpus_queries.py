@@ -943,13 +943,16 @@ ORACLE["ref_grammar"] = f"WITH {_REFS} SELECT qid, book, CAST(sub AS BIGINT) AS
 
 @query
 def xref_both_ways(spark: SparkSession, d: str) -> DataFrame:
-    """Events that share a page of a source, as undirected neighbours."""
+    """Events that follow one another on a page of a source, as undirected neighbours."""
     s = table(spark, d, "event_segments").where("from_page is not null and event_id is not null").select("source", "event_id", "from_page").distinct()
-    pairs = s.alias("a").join(s.alias("b"), ["source", "from_page"]).where("a.event_id < b.event_id").select(F.col("a.event_id").alias("a"), F.col("b.event_id").alias("b"))
+    pairs = s.select(F.col("event_id").alias("a"), F.lead("event_id").over(W.partitionBy("source", "from_page").orderBy("event_id")).alias("b")).where("b is not null")
     return resolution.both_ways(pairs, "a", "b")
 
 
-ORACLE["xref_both_ways"] = "SELECT DISTINCT a.event_id AS node, b.event_id AS neighbour FROM event_segments a JOIN event_segments b ON a.source = b.source AND a.from_page = b.from_page AND a.event_id <> b.event_id"
+ORACLE["xref_both_ways"] = """
+WITH s AS (SELECT DISTINCT source, event_id, from_page FROM event_segments WHERE from_page IS NOT NULL AND event_id IS NOT NULL), p AS (SELECT event_id AS a, lead(event_id) OVER (PARTITION BY source, from_page ORDER BY event_id) AS b FROM s)
+SELECT a AS node, b AS neighbour FROM p WHERE b IS NOT NULL UNION SELECT b, a FROM p WHERE b IS NOT NULL
+"""
 
 
 @query
