@@ -70,8 +70,26 @@ def test_search(corpus):
 
 def test_command_line(spark, capsys, tmp_path):
     assert main([DATA, "year", "x"]) == 2
+    for wrong in (["verse", "1:1", "--paras", "1-2"], ["text", "1", "--limit", "3"], ["info", "x"], ["year"], ["find", "x", "--skip-verse"], ["verse", "1:8"], ["verse", "115"], ["entries", "x"], ["event", "x", "--sources", "nowhere"]):
+        assert main([DATA, *wrong]) == 2, wrong
     assert main([str(tmp_path), "events"]) == 3
     assert main([DATA, "info"]) == 0
     assert capsys.readouterr().out.count('"source"') > 0
     with pytest.raises(CorpusMissing):
         Corpus(spark, str(tmp_path)).events()
+
+
+def test_reasons_ranges_and_offsets(corpus):
+    rows = corpus.verse("78").collect()
+    assert {r.source for r in rows} == {r.source for r in corpus.sources.collect()}
+    assert all((r.status == "absent") == (r.reason is not None) for r in rows) and len({r.source for r in rows}) == len({(r.source, r.ord) for r in rows})
+    seg = corpus.event_segments_table.where("from_page < to_page").first()
+    n = corpus.text(seg.seg_id, events=True).count()
+    assert corpus.text(seg.seg_id, events=True, paras=f"0-{n + 50}").count() == n
+    with pytest.raises(InputError):
+        corpus.text(seg.seg_id, events=True, paras=f"{n}-{n + 1}")
+    first = corpus.entries_by_number("kamus_asl:1-10", budget=60).collect()
+    assert first[-1].next_offset == len(first)
+    rest = corpus.entries_by_number("kamus_asl:1-10", offset=len(first)).collect()
+    assert [r["item"] for r in first + rest] == list(range(len(first) + len(rest))) and rest[-1].next_offset is None
+    assert {r.status for r in corpus.entries_by_number("nowhere:1").collect()} == {"missing"}

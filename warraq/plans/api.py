@@ -148,6 +148,7 @@ class Corpus:
     # Q6, R9
     def event(self, query: str, sources: str | None = None, budget: int = 0) -> DataFrame:
         """Paragraphs on an event, by id or name; a roll-up of a year answers as the year does. An ambiguous name gives its candidates, with status ambiguous."""
+        self.resolve_sources(sources)  # an unknown source is an error whatever the name finds
         got = resolution.resolve_events(self.spark.createDataFrame([(1, query)], "qid int, query string"), self.registry)
         hit = got.where("status = 'resolved'").select("event_id", resolution.roll_up_year(F.col("event_id")).alias("year")).limit(1).collect()
         if not hit:
