@@ -192,6 +192,17 @@ def test_resolve(spark):
     assert matching.resolve(e, p.limit(0)).count() == 0
 
 
+def test_crowded_keys_are_spread(spark):
+    """Salted or not, the same pairs meet; here a third of all entries bear one name."""
+    persons, entries, _ = people(spark, 3, 30)
+    crowd = [(7000 + i, "d0", "زيد بن عمرو القرشي" if i % 5 else "زيد بن عمر القرشي", None, "أبو خالد", f"بلد{i % 7}", 100 + i) for i in range(40)]
+    rows = [(r[0], 1, *r[2:]) for r in entries + crowd] + [(-r[0] - 1, 0, *r[1:]) for r in [*persons, (99, "زيد بن عمرو القرشي", None, "أبو خالد", None, None)]]
+    p = names.profiles(spark.createDataFrame(rows, "rid bigint, side int, name_ar string, name_norm string, kunya string, town string, death_h int")).cache()
+    for across in (False, True):
+        plain, salted = ({tuple(r) for r in names.meetings(p, across, hot).collect()} for hot in (10**9, 4))
+        assert plain == salted and len(plain) >= (40 if across else 40 * 39 // 2)
+
+
 def test_same_person(spark):
     persons, entries, true = people(spark, 2)
     rows = [(*r, False) for r in entries] + [(i, "c", *r[1:], True) for i, r in enumerate(persons)]

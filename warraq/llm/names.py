@@ -209,10 +209,15 @@ def profiles(rows: DataFrame) -> DataFrame:
     )
 
 
-def meetings(people: DataFrame, across: bool = False) -> DataFrame:
+#: Records under one key from which on its pairs are spread over several tasks, a task for each so many of them.
+HOT = 1000
+
+
+def meetings(people: DataFrame, across: bool = False, hot: int = HOT) -> DataFrame:
     """Pairs of rids (a < b by side, then rid) two of whose parts agree, one exactly and one within the radius. people: profiles().
 
-    across: only pairs of one record of side 0 and one of side 1.
+    across: only pairs of one record of side 0 and one of side 1. A key with more than ``hot`` records is salted: one of the two records of a pair
+    goes to one part of the key, the other to all parts.
     """
     # All views of a record in one pass; a second kunya adds keys of its own to the views of kunyas.
     when = F.floor(F.col("death") / YEARS)
@@ -239,12 +244,23 @@ def meetings(people: DataFrame, across: bool = False) -> DataFrame:
     held = lambda df, own: df.select(F.col("rid").alias("a"), F.col("side").alias("side_a"), F.xxhash64("view", "u", "v").alias("key"), F.lit(own).alias("own"))
     moved = held(at_u, False).unionByName(held(at_v, False)).unionByName(held(beside, False))
     asked = held(same, True).drop("own").withColumnsRenamed({"a": "b", "side_a": "side_b"})
+    crowded = cut(asked.groupBy("key").agg(F.ceil(F.count("*") / hot).cast("int").alias("parts")).where("parts > 1"), "crowded")
+    none_crowded = crowded.isEmpty()
+
+    def pairs(left: DataFrame, right: DataFrame) -> DataFrame:
+        if none_crowded:
+            return left.join(right, "key")
+        parts = F.coalesce("parts", F.lit(1))
+        one = left.join(crowded, "key", "left").withColumn("part", F.pmod(F.xxhash64("a"), parts)).drop("parts")
+        every = right.join(crowded, "key", "left").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), parts.cast("long") - 1))).drop("parts")
+        return one.join(every, ["key", "part"]).drop("part")
+
     first = (F.col("side_a") < F.col("side_b")) | ((F.col("side_a") == F.col("side_b")) & (F.col("a") < F.col("b")))
     if across:
         side = lambda df, k: df.where(F.col(df.columns[1]) == k)
-        met = side(held(same, True).unionByName(moved), 1).join(side(asked, 0), "key").unionByName(side(moved, 0).join(side(asked, 1), "key"))
+        met = pairs(side(held(same, True).unionByName(moved), 1), side(asked, 0)).unionByName(pairs(side(moved, 0), side(asked, 1)))
     else:
-        met = held(same, True).unionByName(moved).join(asked, "key").where(F.when(F.col("own"), first).otherwise(F.col("a") != F.col("b")))
+        met = pairs(held(same, True).unionByName(moved), asked).where(F.when(F.col("own"), first).otherwise(F.col("a") != F.col("b")))
     return met.select(F.when(first, F.col("a")).otherwise(F.col("b")).alias("a"), F.when(first, F.col("b")).otherwise(F.col("a")).alias("b")).distinct()
 
 
