@@ -138,21 +138,23 @@ OFFSETS = (0, 1, -1, 2, -2, 3, -3, 4, -4, 5, -5)
 def pair_editions(left: DataFrame, right: DataFrame) -> DataFrame:
     """Entries of two editions (num, key) paired one to one on equal keys, lefts in order of number, nearest offset first (0, +1, -1, ... -5); each right once.
 
-    Result: num_left, num_right, key. One key is one group. Null keys and numbers aren't paired.
+    Result: num_left, num_right, key. The numbers of one key, each once, are one row; only keys of both editions reach Python, many in a batch. Null keys and numbers aren't paired.
     """
 
-    def one(key: tuple, a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        free, out = set(b["num"]), []
-        for n in a["num"].sort_values():
-            for d in OFFSETS:
-                if n + d in free:
-                    free.remove(n + d)
-                    out.append((n, n + d, key[0]))
-                    break
-        return pd.DataFrame(out, columns=["num_left", "num_right", "key"])
-
-    of = lambda df: df.where("key is not null and num is not null").select("key", F.col("num").cast("bigint").alias("num")).distinct().groupBy("key")
-    return of(left).cogroup(of(right)).applyInPandas(one, "num_left bigint, num_right bigint, key string")
+    def paired(batches):
+        for batch in batches:
+            out = []
+            for key, lefts, rights in zip(batch["key"], batch["lefts"], batch["rights"]):
+                free = set(rights.tolist())
+                for n in sorted(lefts.tolist()):
+                    d = next((d for d in OFFSETS if n + d in free), None)
+                    if d is not None:
+                        free.remove(n + d)
+                        out.append((n, n + d, key))
+            yield pd.DataFrame(out, columns=["num_left", "num_right", "key"])
+
+    of = lambda df, name: df.where("key is not null and num is not null").groupBy("key").agg(F.collect_set(F.col("num").cast("bigint")).alias(name))
+    return of(left, "lefts").join(of(right, "rights"), "key").mapInPandas(paired, "num_left bigint, num_right bigint, key string")
 
 
 def located(titles: DataFrame, lines: DataFrame, keys: list[str]) -> DataFrame:

@@ -1076,11 +1076,17 @@ def _named(spark: SparkSession, d: str) -> DataFrame:
 @query
 def pair_editions(spark: SparkSession, d: str) -> DataFrame:
     """The canonical dictionary's entries paired one to one with each other dictionary's under the same name, nearest number first."""
-    e = _named(spark, d)
-    others = e.where("source <> 'kamus_asl'")
-    left = e.where("source = 'kamus_asl'").join(others.select(F.col("source").alias("o")).distinct(), F.lit(True)).select(F.concat_ws("#", "o", "name").alias("key"), F.col("entry_num").alias("num"))
     # Numbers of two dictionaries have nothing in common; within eleven of one another they do.
-    return alignment.pair_editions(left.withColumn("num", F.col("num") % 7), others.select(F.concat_ws("#", "source", "name").alias("key"), (F.col("entry_num") % 7).alias("num")))
+    e = table(spark, d, "person_entries").where("entry_num is not null").select("source", (F.col("entry_num") % 7).alias("num"), N.pair_key(F.col("name_ar")).alias("name"))
+    others = e.where("source <> 'kamus_asl'").select("source", F.concat("source", F.lit("#"), "name").alias("key"), "num")
+    # An entry is held only under the keys that its name has in another dictionary. A key is read at each of its marks, as a name may hold one too.
+    words = F.split("key", "#")
+    part = lambda start, n: F.array_join(F.slice(words, start, n), "#")
+    ways = F.transform(F.sequence(F.lit(1), F.size(words) - 1), lambda i: F.struct(part(F.lit(1), i).alias("o"), part(i + 1, F.size(words)).alias("name")))
+    keys = others.select("key").where("key is not null").distinct().select("key", F.explode(ways).alias("w")).select("key", "w.*")
+    keys = keys.join(others.select(F.col("source").alias("o")).distinct(), "o", "left_semi")
+    left = e.where("source = 'kamus_asl'").join(keys, "name").select("key", "num")
+    return alignment.pair_editions(left, others)
 
 
 ORACLE["pair_editions"] = f"""
