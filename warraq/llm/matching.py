@@ -11,6 +11,7 @@ from __future__ import annotations
 import warnings
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from warraq.llm import names
@@ -27,26 +28,29 @@ def propagate(pairs: DataFrame, second: float = SECOND, rounds: int = ROUNDS, da
     pairs: entry, person bigint, source string (the entry's dictionary), score (log-odds of the pair by itself); no pair twice. A
     null source is a dictionary of its own. An empty table gives no row. damping: the share of a new message in the next; it falls, to
     a half at least, when messages move more than in the round before.
+
+    entries, persons (optional): how many entries of the dictionary, and persons, are alike and stand as this one; their messages are the same.
     """
-    base = pairs.select("entry", "person", F.coalesce("source", F.lit("")).alias("source"), F.exp(F.least(F.greatest(F.col("score"), F.lit(-30.0)), F.lit(30.0))).alias("w"))
+    alike = [F.col(c) if c in pairs.columns else F.lit(1).alias(c) for c in ("entries", "persons")]
+    base = pairs.select("entry", "person", *alike, F.coalesce("source", F.lit("")).alias("source"), F.exp(F.least(F.greatest(F.col("score"), F.lit(-30.0)), F.lit(30.0))).alias("w"))
     # An entry that is nowhere in another's way hears nothing from its persons' factors: its marginals stand at once.
-    rivals = base.groupBy("person", "source").agg(F.count("*").alias("n"))
+    rivals = base.groupBy("person", "source").agg(F.sum("entries").alias("n"))
     base = base.join(rivals, ["person", "source"])
     contested = base.groupBy("entry").agg(F.max(F.col("n") > 1).alias("contested"))
-    base = cut(base.join(contested, "entry").select("entry", "person", "source", "w", "contested"), "pairs")
-    state = base.where("contested").select("entry", "person", "source", "w", F.lit(1.0).alias("nu"))
+    base = cut(base.join(contested, "entry").select("entry", "person", "entries", "persons", "source", "w", "contested"), "pairs")
+    state = base.where("contested").select("entry", "person", "entries", "persons", "source", "w", F.lit(1.0).alias("nu"))
     moved = 0.0
     # nu: from the person's factor to the pair; mu: from the entry's factor to the pair.
     for _ in range(rounds):
-        by_entry = state.groupBy("entry").agg(F.sum(F.col("w") * F.col("nu")).alias("all"))
+        by_entry = state.groupBy("entry").agg(F.sum(F.col("persons") * F.col("w") * F.col("nu")).alias("all"))
         mu = F.col("w") / (1 + F.greatest(F.col("all") - F.col("w") * F.col("nu"), F.lit(0.0)))
-        sent = state.join(by_entry, "entry").select("entry", "person", "source", "w", "nu", mu.alias("mu"))
+        sent = state.join(by_entry, "entry").select("entry", "person", "entries", "persons", "source", "w", "nu", mu.alias("mu"))
         # Odds to probability: another entry of the dictionary holds the person.
-        by_person = sent.groupBy("person", "source").agg(F.sum("mu").alias("all"))
+        by_person = sent.groupBy("person", "source").agg(F.sum(F.col("entries") * F.col("mu")).alias("all"))
         other = F.greatest(F.col("all") - F.col("mu"), F.lit(0.0))
         new = (1 + second * other) / (1 + other)
         step = sent.join(by_person, ["person", "source"]).withColumn("new", damping * new + (1 - damping) * F.col("nu"))
-        state = cut(step.select("entry", "person", "source", "w", F.abs(F.col("new") - F.col("nu")).alias("moved"), F.col("new").alias("nu")), "messages")
+        state = cut(step.select("entry", "person", "entries", "persons", "source", "w", F.abs(F.col("new") - F.col("nu")).alias("moved"), F.col("new").alias("nu")), "messages")
         before, moved = moved, state.agg(F.max("moved")).first()[0] or 0.0
         if moved < CLOSE:
             break
@@ -54,8 +58,8 @@ def propagate(pairs: DataFrame, second: float = SECOND, rounds: int = ROUNDS, da
             damping = max(damping / 1.3, 0.5)
     else:
         warnings.warn(f"belief propagation: messages still move by {moved:.2g} after {rounds} rounds", stacklevel=2)
-    state = state.select("entry", "person", "source", "w", "nu").unionByName(base.where("not contested").select("entry", "person", "source", "w", F.lit(1.0).alias("nu")))
-    by_entry = state.groupBy("entry").agg(F.sum(F.col("w") * F.col("nu")).alias("all"))
+    state = state.select("entry", "person", "persons", "source", "w", "nu").unionByName(base.where("not contested").select("entry", "person", "persons", "source", "w", F.lit(1.0).alias("nu")))
+    by_entry = state.groupBy("entry").agg(F.sum(F.col("persons") * F.col("w") * F.col("nu")).alias("all"))
     return state.join(by_entry, "entry").select("entry", "person", "source", (F.col("w") * F.col("nu") / (1 + F.col("all"))).alias("marginal"))
 
 
@@ -78,13 +82,23 @@ def resolve(entries: DataFrame, persons: DataFrame) -> DataFrame:
     entries: entry_id bigint, source, name_ar, name_norm, kunya, town string, death_h int; persons: ishabah_id int and the same fields.
     All fields but the ids may be null; repeated ids count once. Equal marginals go to the smaller ishabah_id.
     """
-    people = cut(names.profiles(_once(_records(entries, persons), "rid")), "profiles")
-    met = names.meetings(people, across=True)
-    scores = names.scored(cut(names.graded(met, people), "grades"))
-    source = entries.groupBy(F.col("entry_id").alias("b")).agg(F.min("source").alias("source"))
-    pairs = scores.join(source, "b").select(F.col("b").alias("entry"), (-F.col("a") - 1).alias("person"), "source", "score")
+    people = names.profiles(_once(_records(entries, persons), "rid"))
+    # Records that are equal in all parts and attributes are met and graded once; of persons the smallest number stands for them.
+    w = W.partitionBy(*(c for c in people.columns if c != "rid"))
+    rep = F.when(F.col("side") == 0, F.max("rid").over(w)).otherwise(F.min("rid").over(w))
+    people = cut(people.withColumns({"rep": rep, "n": F.count("*").over(w)}), "profiles")
+    classes = people.where("rid = rep").drop("rep")
+    met = names.meetings(classes, across=True)
+    scores = names.scored(cut(names.graded(met, classes), "grades"))
+    # Of these, entries of one dictionary get the same messages, too.
+    source = entries.groupBy(F.col("entry_id").alias("rid")).agg(F.min("source").alias("source"))
+    members = cut(people.where("side = 1").select("rid", "rep").join(source, "rid").withColumn("entry", F.min("rid").over(W.partitionBy("rep", "source"))), "members")
+    units = members.groupBy(F.col("rep").alias("b"), "source", "entry").agg(F.count("*").alias("entries"))
+    alike = classes.where("side = 0").select(F.col("rid").alias("a"), F.col("n").alias("persons"))
+    pairs = scores.select("a", "b", "score").join(alike, "a").join(units, "b").select("entry", (-F.col("a") - 1).alias("person"), "entries", "persons", "source", "score")
     found = propagate(pairs)
     best = found.groupBy("entry").agg(F.max_by(F.struct("person", "marginal"), F.struct("marginal", -F.col("person"))).alias("m"))
+    best = best.where("m.marginal >= 0.5").join(members.select("entry", "rid"), "entry").select(F.col("rid").alias("entry"), "m")
     p = F.col("m.marginal")
     grade = F.when(p >= 0.95, "high").when(p >= 0.8, "medium").otherwise("low")
     return best.where(p >= 0.5).select(F.col("entry").alias("entry_id"), F.col("m.person").cast("int").alias("ishabah_id"), p.alias("marginal"), grade.alias("confidence"))

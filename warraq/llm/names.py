@@ -280,7 +280,7 @@ START_OTHER = ((0.6, 0.1, 0.3), (0.2, 0.05, 0.75), (0.05, 0.02, 0.93), (0.05, 0.
 
 
 def graded(pairs: DataFrame, people: DataFrame) -> DataFrame:
-    """pairs (a, b) with the grade of each field. Kunyas agree if any two do; years are near within three, or with their figures in another order."""
+    """pairs (a, b) with the grade of each field, and n, the pairs they stand for, if people have n, the records they stand for. Kunyas agree if any two do; years are near within three, or with their figures in another order."""
     of = lambda x: people.select(F.col("rid").alias(x), *(F.col(c).alias(f"{c}_{x}") for c in people.columns if c not in ("rid", "side")))
     both = pairs.join(of("a"), "a").join(of("b"), "b")
     g = {f: _grade(F.col(f"{f}_a"), F.col(f"{f}_b")) for f in FIELDS if f not in ("kunya", "death")}
@@ -290,7 +290,8 @@ def graded(pairs: DataFrame, people: DataFrame) -> DataFrame:
     figures = lambda x: F.array_sort(F.split(F.col(f"death_{x}").cast("string"), ""))
     g["death"] = F.when(apart.isNull(), 0).when(apart == 0, 1).when((apart <= 3) | (figures("a") == figures("b")), 2).otherwise(3)
     g["own"] = F.when(F.col("sex_a") != F.col("sex_b"), 3).otherwise(g["own"])
-    return both.select("a", "b", *(g[f].cast("int").alias(f) for f in FIELDS))
+    n = [(F.col("n_a") * F.col("n_b")).alias("n")] if "n" in people.columns else []
+    return both.select("a", "b", *(g[f].cast("int").alias(f) for f in FIELDS), *n)
 
 
 def odds(grades: DataFrame, rounds: int = 500) -> tuple[dict, float]:
@@ -300,7 +301,7 @@ def odds(grades: DataFrame, rounds: int = 500) -> tuple[dict, float]:
 
     At most 4 ** len(FIELDS) patterns of grades reach the driver, with their counts.
     """
-    rows = grades.groupBy(*FIELDS).count().collect()
+    rows = grades.groupBy(*FIELDS).agg((F.sum("n") if "n" in grades.columns else F.count("*")).alias("count")).collect()
     if not rows:
         return {f: [0.0] * 4 for f in FIELDS}, 0.0
     x = np.array([[r[f] for f in FIELDS] for r in rows])
