@@ -1075,9 +1075,8 @@ def _named(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def pair_editions(spark: SparkSession, d: str) -> DataFrame:
-    """The canonical dictionary's entries paired one to one with each other dictionary's under the same name, nearest number first."""
-    # Numbers of two dictionaries have nothing in common; within eleven of one another they do.
-    e = table(spark, d, "person_entries").where("entry_num is not null").select("source", (F.col("entry_num") % 7).alias("num"), N.pair_key(F.col("name_ar")).alias("name"))
+    """The canonical dictionary's entries paired one to one with each other dictionary's under the same name, nearest number within five first."""
+    e = table(spark, d, "person_entries").where("entry_num is not null").select("source", F.col("entry_num").alias("num"), N.pair_key(F.col("name_ar")).alias("name"))
     others = e.where("source <> 'kamus_asl'").select("source", F.concat("source", F.lit("#"), "name").alias("key"), "num")
     # An entry is held only under the keys that its name has in another dictionary. A key is read at each of its marks, as a name may hold one too.
     words = F.split("key", "#")
@@ -1090,7 +1089,7 @@ def pair_editions(spark: SparkSession, d: str) -> DataFrame:
 
 
 ORACLE["pair_editions"] = f"""
-WITH RECURSIVE e AS (SELECT DISTINCT source, entry_num % 7 AS num, {_sql('N11', 'name_ar')} AS name FROM person_entries WHERE entry_num IS NOT NULL),
+WITH RECURSIVE e AS (SELECT DISTINCT source, entry_num AS num, {_sql('N11', 'name_ar')} AS name FROM person_entries WHERE entry_num IS NOT NULL),
 r AS (SELECT source || '#' || name AS key, list(DISTINCT num) AS free FROM e WHERE source <> 'kamus_asl' AND name IS NOT NULL GROUP BY 1),
 l AS (SELECT DISTINCT o.source || '#' || name AS key, num FROM e CROSS JOIN (SELECT DISTINCT source FROM e WHERE source <> 'kamus_asl') o WHERE e.source = 'kamus_asl'),
 k AS (SELECT key, CAST(num AS BIGINT) AS num, row_number() OVER (PARTITION BY key ORDER BY num) AS i FROM l JOIN r USING (key)),
