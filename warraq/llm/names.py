@@ -56,6 +56,8 @@ def simple(text: str) -> str:
 
 def close(x: str, y: str) -> bool:
     """Whether two words are at a distance of at most 1."""
+    if abs(len(x) - len(y)) > 1:
+        return False
     while x and y and x[0] == y[0]:
         x, y = x[1:], y[1:]
     while x and y and x[-1] == y[-1]:
@@ -73,7 +75,7 @@ def _tokens(text: str) -> list[str]:
         if before == SERVANT and t != "،" and t not in CONNECTORS or mistyped:
             out[-1] = SERVANT + t
         else:
-            out.append(t if t == "،" or re.fullmatch(r"\w\.", t) else t.replace(".", ""))
+            out.append(t if "." not in t or re.fullmatch(r"\w\.", t) else t.replace(".", ""))
     return [t for t in out if t]
 
 
@@ -84,12 +86,15 @@ def _connects(t: str, between: bool) -> bool:
 
 def _leads_kunya(tokens: list[str], i: int, leading: bool) -> bool:
     """Whether a kunya begins at i; before the own name, where that and a connector follow, also with a letter mistyped."""
-    t, *after = tokens[i : i + 4]
+    t = tokens[i]
+    if t not in KUNYA and (not leading or t in CONNECTORS or not any(close(t, k) for k in KUNYA)):
+        return False
+    after = tokens[i + 1 : i + 4]
     if not after or after[0] == "،":
         return False
     if t in KUNYA:
         return after[0] not in CONNECTORS
-    if not leading or t in CONNECTORS or len(after) < 3 or not any(close(t, k) for k in KUNYA):
+    if len(after) < 3:
         return False
     return not any(x == "،" or x.startswith("ال") or _connects(x, True) for x in after[:2]) and _connects(after[2], True)
 
@@ -280,7 +285,7 @@ START_OTHER = ((0.6, 0.1, 0.3), (0.2, 0.05, 0.75), (0.05, 0.02, 0.93), (0.05, 0.
 
 
 def graded(pairs: DataFrame, people: DataFrame) -> DataFrame:
-    """pairs (a, b) with the grade of each field, and n, the pairs they stand for, if people have n, the records they stand for. Kunyas agree if any two do; years are near within three, or with their figures in another order."""
+    """pairs (a, b) with the grade of each field, and, if people have n, the records they stand for, n, the pairs they stand for, and persons, the records a stands for. Kunyas agree if any two do; years are near within three, or with their figures in another order."""
     of = lambda x: people.select(F.col("rid").alias(x), *(F.col(c).alias(f"{c}_{x}") for c in people.columns if c not in ("rid", "side")))
     both = pairs.join(of("a"), "a").join(of("b"), "b")
     g = {f: _grade(F.col(f"{f}_a"), F.col(f"{f}_b")) for f in FIELDS if f not in ("kunya", "death")}
@@ -290,7 +295,7 @@ def graded(pairs: DataFrame, people: DataFrame) -> DataFrame:
     figures = lambda x: F.array_sort(F.split(F.col(f"death_{x}").cast("string"), ""))
     g["death"] = F.when(apart.isNull(), 0).when(apart == 0, 1).when((apart <= 3) | (figures("a") == figures("b")), 2).otherwise(3)
     g["own"] = F.when(F.col("sex_a") != F.col("sex_b"), 3).otherwise(g["own"])
-    n = [(F.col("n_a") * F.col("n_b")).alias("n")] if "n" in people.columns else []
+    n = [(F.col("n_a") * F.col("n_b")).alias("n"), F.col("n_a").alias("persons")] if "n" in people.columns else []
     return both.select("a", "b", *(g[f].cast("int").alias(f) for f in FIELDS), *n)
 
 
